@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming operator: no watermark, streaming window,
+state, trigger or late-data handling, and every read is a batch read.  No
+streaming query is claimed here.  (The text ingestion in ``sources.text``
+uses only splittable, file-based scans, so it could be pointed at
+``readStream`` later without a change of parse logic.)
+"""
