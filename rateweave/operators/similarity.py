@@ -80,11 +80,13 @@ def pair_moments(pairs: DataFrame, min_support: int | None = MIN_SUPPORT,
     return moments.where(keep)
 
 
-def correlations(moments: DataFrame, min_corr: float | None = MIN_CORR) -> DataFrame:
+def correlations(moments: DataFrame, min_corr: float | None = MIN_CORR,
+                 drop_undefined: bool = True) -> DataFrame:
     """Pearson r per pair (A3), rounded, undefined r dropped, ``r > min_corr``."""
     r = rounded_corr(pearson_from_moments("n", "sum_x", "sum_y", "sum_xy", "sum_x2", "sum_y2"))
     out = moments.select("user", "neighbor", r.alias("corr"), "n")
-    out = out.where(F.col("corr").isNotNull())
+    if drop_undefined:
+        out = out.where(F.col("corr").isNotNull())
     if min_corr is not None:
         out = out.where(F.col("corr") > min_corr)
     return out

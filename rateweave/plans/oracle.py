@@ -162,7 +162,7 @@ SELECT "user", item_id, score, corr_sum, support, {r('raw_rating')},
 ORACLE["top_n_recommendations"] = with_(*PRED, RECS) + f"""
 SELECT "user", item_id, rating, rank FROM (
   SELECT "user", item_id, round(rating, {D}) AS rating,
-         row_number() OVER (PARTITION BY "user" ORDER BY round(rating, {D}) DESC, item_id ASC) AS rank
+         CAST(row_number() OVER (PARTITION BY "user" ORDER BY round(rating, {D}) DESC, item_id ASC) AS INTEGER) AS rank
   FROM recs) t WHERE rank <= 10"""
 ORACLE["distinct_users"] = with_(RATINGS) + "SELECT DISTINCT user_id FROM ratings ORDER BY user_id"
 ORACLE["distinct_items"] = with_(RATINGS) + "SELECT DISTINCT item_id FROM ratings"
@@ -176,3 +176,119 @@ ORACLE["profile_ratings"] = with_(RATINGS) + "\n UNION ALL ".join(
 ORACLE["range_sum"] = with_(RATINGS) + """
 SELECT CAST(n * (n + 1) // 2 AS BIGINT) AS total FROM (SELECT count(*) AS n FROM ratings) c"""
 ORACLE["peek_rows"] = with_(RATINGS) + "SELECT * FROM ratings ORDER BY user_id, item_id LIMIT 10"
+
+# --- serving, notebook form, look-ups ---------------------------------------
+
+SUBJ = ", ".join(str(u) for u in K.DEFAULT_SUBJECT_USERS)
+FITEMS = ", ".join(str(i) for i in K.DEFAULT_FILTER_ITEMS)
+PS = K.PAGE_SIZE
+LP = 2  # page requested by the list queries
+RECS_ALL = PRED + (RECS,)
+
+USERS_ALL = f"""
+ua AS (
+  SELECT user_id FROM ratings WHERE item_id IN ({FITEMS})
+  GROUP BY user_id HAVING count(DISTINCT item_id) = {len(set(K.DEFAULT_FILTER_ITEMS))})"""
+
+
+def per_user_pages(src: str, user: str, order: str) -> str:
+    return f"""
+SELECT *, {PS} AS page_size, (total_items + {PS - 1}) // {PS} AS total_pages,
+       page * {PS} < total_items AS has_next, page > 1 AS has_prev
+FROM (SELECT *, CAST(ceil(rank / {PS}.0) AS INTEGER) AS page FROM (
+  SELECT s.*, CAST(row_number() OVER (PARTITION BY {user} ORDER BY {order}) AS INTEGER) AS rank,
+         count(*) OVER (PARTITION BY {user}) AS total_items
+  FROM {src} s) a) b"""
+
+
+SUBJECT_PAIRS = f"""
+sp AS (
+  SELECT a.user_id AS "user", b.user_id AS neighbor, a.item_id, a.rating AS x, b.rating AS y
+  FROM ratings a JOIN ratings b ON a.item_id = b.item_id AND a.user_id <> b.user_id
+  WHERE a.user_id IN ({SUBJ}))"""
+KNN = f"""
+knn AS (
+  SELECT "user", neighbor, corr, n FROM (
+    SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY corr DESC, neighbor ASC) AS rk
+    FROM nbc) s
+  WHERE rk <= {K.NOTEBOOK_K})"""
+ABSW = f"""
+absw AS (
+  SELECT "user", item_id, support, raw_prediction,
+         raw_prediction * (support / (support + {float(K.NOTEBOOK_C)})) AS prediction
+  FROM (SELECT "user", item_id, CAST(count(*) AS BIGINT) AS support,
+               CAST(sum(CAST(r.rating AS BIGINT) * {CU}) AS DOUBLE)
+                 / nullif(CAST(sum(abs({CU})) AS DOUBLE), 0) AS raw_prediction
+        FROM knn e JOIN ratings r ON r.user_id = e.neighbor
+        GROUP BY "user", item_id) g)"""
+NB_CTES = (RATINGS, SUBJECT_PAIRS, moments_sql("sp", "nbm", f"HAVING count(*) > {K.NOTEBOOK_MIN_SUPPORT}"),
+           corr_sql("nbm", "nbc", ""), KNN)
+
+ORACLE["users_rated_all"] = with_(RATINGS, USERS_ALL) + "SELECT user_id FROM ua"
+ORACLE["users_page"] = with_(RATINGS, USERS_ALL) + f"""
+SELECT user_id, {LP} AS page, {PS} AS page_size, total AS total_users,
+       (total + {PS - 1}) // {PS} AS total_pages,
+       {(LP - 1) * PS + PS} < total AS has_next, {(LP - 1) * PS} > 0 AS has_prev
+FROM ua CROSS JOIN (SELECT count(*) AS total FROM ua) t
+ORDER BY user_id LIMIT {PS} OFFSET {(LP - 1) * PS}"""
+ORACLE["items_page"] = with_(RATINGS, ITEMS) + f"""
+SELECT item_id, title, {LP} AS page, {PS} AS page_size, total AS total_items,
+       (total + {PS - 1}) // {PS} AS total_pages,
+       {LP * PS} < total AS has_next, {LP} > 1 AS has_prev
+FROM items CROSS JOIN (SELECT count(*) AS total FROM items) t
+ORDER BY item_id LIMIT {PS} OFFSET {(LP - 1) * PS}"""
+ORACLE["rated_items_page"] = with_(
+    RATINGS, ITEMS,
+    "\nmine AS (SELECT r.user_id, r.item_id, r.rating, i.title FROM ratings r LEFT JOIN items i USING (item_id))"
+) + per_user_pages("mine", "user_id", "item_id")
+ORACLE["paged_recommendations"] = with_(
+    *RECS_ALL, ITEMS,
+    f'\nrt AS (SELECT p."user", p.item_id, round(p.rating, {D}) AS rating, i.title '
+    'FROM recs p LEFT JOIN items i USING (item_id))'
+) + per_user_pages("rt", '"user"', "rating DESC, item_id ASC")
+ORACLE["page_meta"] = with_(*RECS_ALL) + f"""
+SELECT "user", count(*) AS total_items, (count(*) + {PS - 1}) // {PS} AS total_pages
+FROM recs GROUP BY "user" """
+ORACLE["attach_titles"] = with_(RATINGS, ITEMS) + """
+SELECT r.user_id, r.item_id, r.rating, i.title FROM ratings r LEFT JOIN items i USING (item_id)"""
+ORACLE["best_rated_items"] = with_(RATINGS, ITEMS) + f"""
+SELECT r.user_id, r.item_id, r.rating, i.title,
+       CAST(row_number() OVER (PARTITION BY r.user_id ORDER BY r.rating DESC, r.item_id ASC) AS INTEGER) AS rank
+FROM ratings r JOIN items i USING (item_id) WHERE r.user_id IN ({SUBJ})"""
+ORACLE["one_vs_all_pairs"] = with_(RATINGS, SUBJECT_PAIRS) + "SELECT * FROM sp"
+ORACLE["one_vs_all_corr"] = with_(RATINGS, SUBJECT_PAIRS, moments_sql("sp", "m", ""),
+                                  corr_sql("m", "c", "")) + "SELECT * FROM c"
+ORACLE["one_vs_all_knn"] = with_(*NB_CTES) + "SELECT * FROM knn"
+ORACLE["predict_abs_weighted"] = with_(*NB_CTES, ABSW) + f"""
+SELECT "user", item_id, support, {r('raw_prediction')}, {r('prediction')} FROM absw"""
+ORACLE["suggest_items"] = with_(*NB_CTES, ABSW, ITEMS) + f"""
+SELECT a."user", a.item_id, i.title, round(a.raw_prediction, {D}) AS raw_prediction, a.support,
+       round(a.prediction, {D}) AS prediction,
+       CAST(row_number() OVER (PARTITION BY a."user" ORDER BY round(a.prediction, {D}) DESC, a.item_id ASC)
+            AS INTEGER) AS rank
+FROM absw a JOIN items i USING (item_id)"""
+ORACLE["subset_correlations"] = with_(
+    RATINGS, SUBJECT_PAIRS, moments_sql("sp", "m", f"HAVING count(*) >= {K.MIN_SUPPORT}"),
+    corr_sql("m", "c", f"AND corr > {K.MIN_CORR}")) + "SELECT * FROM c"
+ORACLE["both_users_items"] = with_(RATINGS) + f"""
+SELECT a.item_id, a.user_id AS user1, b.user_id AS user2, a.rating AS rating1, b.rating AS rating2
+FROM ratings a JOIN ratings b USING (item_id)
+WHERE a.user_id = {K.DEFAULT_PAIR[0]} AND b.user_id = {K.DEFAULT_PAIR[1]}"""
+ORACLE["filter_user"] = with_(RATINGS) + f"SELECT * FROM ratings WHERE user_id = {K.DEFAULT_SUBJECT_USERS[0]}"
+ORACLE["user_ratings_multi"] = with_(RATINGS) + f"SELECT * FROM ratings WHERE user_id IN ({SUBJ})"
+_s = K.DEFAULT_SUBJECT_USERS
+ORACLE["pair_lookup"] = with_(
+    RATINGS,
+    f'\npl AS (SELECT * FROM (VALUES ({_s[0]}, {_s[1]}), ({_s[0]}, {_s[2]}), ({_s[1]}, {_s[2]})) v(pu, pn))',
+    """
+pp AS (SELECT a.user_id AS "user", b.user_id AS neighbor, a.rating AS x, b.rating AS y
+       FROM ratings a JOIN ratings b ON a.item_id = b.item_id
+       JOIN pl ON pl.pu = a.user_id AND pl.pn = b.user_id)""",
+    moments_sql("pp", "m", ""),
+    f"""
+c AS (SELECT "user", neighbor, n,
+             round(CASE WHEN n * sum_x2 - sum_x * sum_x > 0 AND n * sum_y2 - sum_y * sum_y > 0
+                   THEN CAST(n * sum_xy - sum_x * sum_y AS DOUBLE)
+                        / (sqrt(CAST(n * sum_x2 - sum_x * sum_x AS DOUBLE))
+                           * sqrt(CAST(n * sum_y2 - sum_y * sum_y AS DOUBLE))) END, {K.CORR_DIGITS}) AS corr
+      FROM m)""") + "SELECT * FROM c"

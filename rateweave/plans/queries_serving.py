@@ -1 +1,117 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: serving tables, notebook form and look-ups."""
+
+from __future__ import annotations
+
+from ..constants import (DEFAULT_FILTER_ITEMS, DEFAULT_PAIR, DEFAULT_SUBJECT_USERS,
+                         PAGE_SIZE)
+from ..operators import lookups as L
+from ..operators import serving as SV
+from ..operators.predict import predict_abs_weighted, recommend
+from ..operators.similarity import subject_correlations, subject_pairs
+from . import notebook as NB
+from .registry import Ctx, register, rounded
+from .train import train_neighbors
+
+SUBJECTS = list(DEFAULT_SUBJECT_USERS)
+LIST_PAGE = 2
+
+
+@register("users_rated_all")
+def q_users_rated_all(spark, sf_dir):
+    return SV.users_rated_all(Ctx(spark, sf_dir).ratings, list(DEFAULT_FILTER_ITEMS))
+
+
+@register("users_page")
+def q_users_page(spark, sf_dir):
+    return SV.users_page(Ctx(spark, sf_dir).ratings, list(DEFAULT_FILTER_ITEMS),
+                         LIST_PAGE, PAGE_SIZE)
+
+
+@register("items_page")
+def q_items_page(spark, sf_dir):
+    return SV.items_page(Ctx(spark, sf_dir).items, LIST_PAGE, PAGE_SIZE)
+
+
+@register("rated_items_page")
+def q_rated_items_page(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return SV.rated_items_pages(c.ratings, c.items, PAGE_SIZE)
+
+
+@register("paged_recommendations")
+def q_paged_recommendations(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    recs = recommend(train_neighbors(c.ratings), c.ratings)
+    return rounded(SV.recommendation_pages(recs, c.items, PAGE_SIZE))
+
+
+@register("page_meta")
+def q_page_meta(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return SV.page_meta(recommend(train_neighbors(c.ratings), c.ratings), PAGE_SIZE)
+
+
+@register("attach_titles")
+def q_attach_titles(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return SV.attach_titles(c.ratings.select("user_id", "item_id", "rating"), c.items)
+
+
+@register("best_rated_items")
+def q_best_rated_items(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return L.best_rated_items(c.ratings, c.items, SUBJECTS)
+
+
+@register("one_vs_all_pairs")
+def q_one_vs_all_pairs(spark, sf_dir):
+    return subject_pairs(Ctx(spark, sf_dir).ratings, SUBJECTS)
+
+
+@register("one_vs_all_corr")
+def q_one_vs_all_corr(spark, sf_dir):
+    return NB.one_vs_all_corr(Ctx(spark, sf_dir).ratings, SUBJECTS)
+
+
+@register("one_vs_all_knn")
+def q_one_vs_all_knn(spark, sf_dir):
+    return NB.one_vs_all_knn(Ctx(spark, sf_dir).ratings, SUBJECTS)
+
+
+@register("predict_abs_weighted")
+def q_predict_abs_weighted(spark, sf_dir):
+    r = Ctx(spark, sf_dir).ratings
+    return rounded(predict_abs_weighted(NB.one_vs_all_knn(r, SUBJECTS), r))
+
+
+@register("suggest_items")
+def q_suggest_items(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return rounded(NB.suggest_items(c.ratings, c.items, SUBJECTS))
+
+
+@register("subset_correlations")
+def q_subset_correlations(spark, sf_dir):
+    return subject_correlations(Ctx(spark, sf_dir).ratings, SUBJECTS)
+
+
+@register("both_users_items")
+def q_both_users_items(spark, sf_dir):
+    return L.both_users_items(Ctx(spark, sf_dir).ratings, *DEFAULT_PAIR)
+
+
+@register("filter_user")
+def q_filter_user(spark, sf_dir):
+    return L.filter_user(Ctx(spark, sf_dir).ratings, SUBJECTS[0])
+
+
+@register("user_ratings_multi")
+def q_user_ratings_multi(spark, sf_dir):
+    return L.user_ratings(Ctx(spark, sf_dir).ratings, SUBJECTS)
+
+
+@register("pair_lookup")
+def q_pair_lookup(spark, sf_dir):
+    s = SUBJECTS
+    return L.pair_lookup(spark, Ctx(spark, sf_dir).ratings,
+                         [(s[0], s[1]), (s[0], s[2]), (s[1], s[2])])
