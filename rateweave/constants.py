@@ -43,5 +43,5 @@ MAX_BROADCAST_SUBJECTS = 10_000
 DEFAULT_SUBJECT_USERS = (1, 2, 3)
 DEFAULT_PAIR = (1, 2)
 DEFAULT_FILTER_ITEMS = (1, 2)
-DEFAULT_VERSION_OLD = "1995-01-01"
-DEFAULT_VERSION_NEW = "1999-01-01"
+DEFAULT_VERSION_OLD = "1998-01-01"
+DEFAULT_VERSION_NEW = "2002-01-01"

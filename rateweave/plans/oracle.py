@@ -292,3 +292,42 @@ c AS (SELECT "user", neighbor, n,
                         / (sqrt(CAST(n * sum_x2 - sum_x * sum_x AS DOUBLE))
                            * sqrt(CAST(n * sum_y2 - sum_y * sum_y AS DOUBLE))) END, {K.CORR_DIGITS}) AS corr
       FROM m)""") + "SELECT * FROM c"
+
+# --- text ingestion and versioned sinks ----------------------------------------
+
+ORACLE["scan_ratings_text"] = with_(RATINGS) + """
+SELECT CAST(item_id AS VARCHAR) || ':' AS user_raw, CAST(NULL AS INTEGER) AS rating,
+       CAST(NULL AS DATE) AS rated_on
+FROM (SELECT DISTINCT item_id FROM ratings) h
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), rating, CAST(rated_at AS DATE) FROM ratings"""
+ORACLE["split_line_fields"] = with_(RATINGS) + """
+SELECT CAST(item_id AS VARCHAR) || ':' AS user_raw, CAST(NULL AS VARCHAR) AS rating_raw,
+       CAST(NULL AS VARCHAR) AS date_raw
+FROM (SELECT DISTINCT item_id FROM ratings) h
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), CAST(rating AS VARCHAR), strftime(rated_at, '%Y-%m-%d') FROM ratings"""
+ORACLE["parse_header_blocks"] = with_(RATINGS) + """
+SELECT CAST(user_id AS VARCHAR) AS user_raw, rating, CAST(rated_at AS DATE) AS rated_on,
+       CAST(item_id AS VARCHAR) AS item_raw
+FROM ratings"""
+ORACLE["parse_header_cumsum"] = ORACLE["parse_header_blocks"]
+ORACLE["silver_ratings"] = with_(RATINGS) + """
+SELECT user_id, item_id, rating, CAST(rated_at AS DATE) AS rated_at FROM ratings"""
+ORACLE["scan_items_csv"] = with_(RATINGS, ITEMS) + """
+SELECT item_id, CAST(year AS SMALLINT) AS year, title FROM items"""
+ORACLE["silver_items"] = ORACLE["scan_items_csv"]
+_STATS_COLS = f"""user_id, {r('mean_rating')}, {r('std_rating')}, max_rating, min_rating, rated_items"""
+_OLD_STATS = f"""
+old_stats AS (
+  SELECT user_id, avg(rating) AS mean_rating, stddev_pop(rating) AS std_rating,
+         max(rating) AS max_rating, min(rating) AS min_rating, CAST(count(*) AS BIGINT) AS rated_items
+  FROM ratings WHERE rated_at < TIMESTAMP '{K.DEFAULT_VERSION_OLD} 00:00:00' GROUP BY user_id)"""
+ORACLE["latest_version"] = with_(RATINGS, STATS) + f"""
+SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM stats"""
+ORACLE["versioned_stats"] = with_(RATINGS, STATS, _OLD_STATS) + f"""
+SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_OLD}' AS version_date FROM old_stats
+UNION ALL
+SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM stats"""
+ORACLE["versioned_neighbors"] = with_(*TRAIN) + f"""
+SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM topk"""

@@ -1 +1,110 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: text ingestion (bronze -> silver) and versioned sinks.
+
+The driver ships no raw text, so each text query first renders the ratings /
+items views derived from the driver tables into the shared scratch folder
+(``spark.checkpoint.dir``) with a Spark write, then scans that text back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..constants import DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD
+from ..operators.stats import user_stats
+from ..session import fresh_path
+from ..sources import text as T
+from ..sources import versioned as V
+from .registry import Ctx, register, rounded
+from .train import train_neighbors
+
+
+def _bronze(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    path = T.render_header_blocks(c.ratings, fresh_path(spark, "bronze-ratings"))
+    return T.scan_ratings_text(spark, path), path
+
+
+@register("scan_ratings_text")
+def q_scan_ratings_text(spark, sf_dir):
+    raw, _ = _bronze(spark, sf_dir)
+    return raw.select("user_raw", "rating", "rated_on")
+
+
+@register("split_line_fields")
+def q_split_line_fields(spark, sf_dir):
+    _, path = _bronze(spark, sf_dir)
+    return T.split_line_fields(spark, path)
+
+
+@register("parse_header_blocks")
+def q_parse_header_blocks(spark, sf_dir):
+    raw, _ = _bronze(spark, sf_dir)
+    return T.parse_header_blocks(raw)
+
+
+@register("parse_header_cumsum")
+def q_parse_header_cumsum(spark, sf_dir):
+    raw, _ = _bronze(spark, sf_dir)
+    return T.parse_header_cumsum(raw)
+
+
+@register("silver_ratings")
+def q_silver_ratings(spark, sf_dir):
+    """C1 + K1: parse, type, reject, write silver parquet, read it back."""
+    raw, _ = _bronze(spark, sf_dir)
+    good, _bad = T.silver_ratings(T.parse_header_blocks(raw))
+    out = V.write_table(good, fresh_path(spark, "silver-ratings"))
+    return spark.read.parquet(out)
+
+
+def _items_file(spark, sf_dir):
+    c = Ctx(spark, sf_dir)
+    return T.render_items_csv(c.items, fresh_path(spark, "bronze-items"))
+
+
+@register("scan_items_csv")
+def q_scan_items_csv(spark, sf_dir):
+    return T.scan_items_csv(spark, _items_file(spark, sf_dir))
+
+
+@register("silver_items")
+def q_silver_items(spark, sf_dir):
+    """C2 + K2: robust titles parse, overwrite silver parquet, read it back."""
+    parsed = T.parse_items_text(spark, _items_file(spark, sf_dir))
+    out = V.write_table(parsed, fresh_path(spark, "silver-items"))
+    return spark.read.parquet(out)
+
+
+def _stats_versions(spark, sf_dir):
+    """Two versions: stats as of the old date, then full stats (written twice)."""
+    c = Ctx(spark, sf_dir)
+    path = fresh_path(spark, "gold-user-stats")
+    old = c.ratings.where(F.col("rated_at") < F.lit(DEFAULT_VERSION_OLD).cast("timestamp_ntz"))
+    V.write_versioned(user_stats(old), path, DEFAULT_VERSION_OLD)
+    full = user_stats(c.ratings)
+    V.write_versioned(full, path, DEFAULT_VERSION_NEW)
+    V.write_versioned(full, path, DEFAULT_VERSION_NEW)  # rerun: replaces, no duplicates
+    return V.read_versioned(spark, path, full.schema)
+
+
+@register("versioned_stats")
+def q_versioned_stats(spark, sf_dir):
+    """C3 + K3: every stored version (history is kept)."""
+    return rounded(_stats_versions(spark, sf_dir))
+
+
+@register("latest_version")
+def q_latest_version(spark, sf_dir):
+    """P14 + A14: newest version only."""
+    return rounded(V.latest_version(_stats_versions(spark, sf_dir)))
+
+
+@register("versioned_neighbors")
+def q_versioned_neighbors(spark, sf_dir):
+    """C4 + K4: trained neighbours written as today's version, latest read back."""
+    c = Ctx(spark, sf_dir)
+    edges = train_neighbors(c.ratings)
+    path = fresh_path(spark, "gold-user-neighbors")
+    V.write_versioned(edges, path, DEFAULT_VERSION_NEW)
+    V.write_versioned(edges, path, DEFAULT_VERSION_NEW)
+    return V.latest_version(V.read_versioned(spark, path, edges.schema))
