@@ -53,11 +53,17 @@ def corated_pairs(blocked: DataFrame) -> DataFrame:
     Input (user_id, item_id, rating, block); output
     (block, item_id, user, neighbor, x, y).
     """
-    left = blocked.select("block", "item_id", F.col("user_id").alias("user"),
-                          F.col("rating").alias("x"))
-    right = blocked.select("block", "item_id", F.col("user_id").alias("neighbor"),
-                           F.col("rating").alias("y"))
-    return left.join(right, ["block", "item_id"]).where(F.col("user") < F.col("neighbor"))
+    # Both sides are the very same plan (renaming happens after the join), so
+    # Spark plans one exchange and reuses it for the other side.
+    side = blocked.select("block", "item_id", "user_id", "rating")
+    a, b = side.alias("a"), side.alias("b")
+    joined = a.join(b, (F.col("a.block") == F.col("b.block"))
+                    & (F.col("a.item_id") == F.col("b.item_id"))
+                    & (F.col("a.user_id") < F.col("b.user_id")))
+    return joined.select(
+        F.col("a.block").alias("block"), F.col("a.item_id").alias("item_id"),
+        F.col("a.user_id").alias("user"), F.col("b.user_id").alias("neighbor"),
+        F.col("a.rating").alias("x"), F.col("b.rating").alias("y"))
 
 
 def pair_moments(pairs: DataFrame, min_support: int | None = MIN_SUPPORT,
@@ -105,11 +111,19 @@ def symmetric(corrs: DataFrame) -> DataFrame:
 def block_correlations(ratings: DataFrame, n_blocks: int | Column | None = None,
                        users_per_block: int = USERS_PER_BLOCK, method: str = "mod",
                        min_support: int | None = MIN_SUPPORT,
-                       min_corr: float | None = MIN_CORR) -> DataFrame:
-    """Half-matrix correlations inside blocks: (user < neighbor, corr, n)."""
+                       min_corr: float | None = MIN_CORR,
+                       strategy: str = "join") -> DataFrame:
+    """Half-matrix correlations inside blocks: (user < neighbor, corr, n).
+
+    ``strategy="join"``: blocked self join + hash aggregate (all JVM);
+    ``strategy="matmul"``: per-block matrix products (``block_pair_moments``).
+    """
     blocked = assign_blocks(ratings.select("user_id", "item_id", "rating"),
                             n_blocks, users_per_block, method)
-    moments = pair_moments(corated_pairs(blocked), min_support)
+    if strategy == "matmul":
+        moments = block_pair_moments(blocked, min_support, min_corr=min_corr)
+    else:
+        moments = pair_moments(corated_pairs(blocked), min_support)
     return correlations(moments, min_corr)
 
 
@@ -149,3 +163,117 @@ def subject_correlations(ratings: DataFrame, subjects: Sequence[int] | DataFrame
     """Correlations of subject users against all users (J3 with ``!=``, D6)."""
     moments = pair_moments(subject_pairs(ratings, subjects), min_support, strict)
     return correlations(moments, min_corr)
+
+
+# --- per-block moments with dense matrix products ------------------------------
+
+MOMENTS_SCHEMA = ("user long, neighbor long, n long, sum_x long, sum_y long, "
+                  "sum_xy long, sum_x2 long, sum_y2 long")
+ITEM_CHUNK = 2048
+USER_TILE = 2048
+
+
+def _block_moments_fn(min_support: int | None, strict: bool, chunk: int = ITEM_CHUNK,
+                      tile: int = USER_TILE, min_corr: float | None = None):
+    """pandas function: all pair co-moments of one block via matrix products.
+
+    With M the users x items 0/1 matrix of "rated" and X the ratings
+    (0 where unrated), for users u < v:
+        n = M M^T,  Sxy = X X^T,  Sx = X M^T,  Sy = M X^T,
+        Sxx = X^2 M^T,  Syy = M (X^2)^T.
+    Users are processed in tiles and items in chunks, so memory is
+    O(tile^2 + tile x chunk) whatever the block or catalogue size.
+    Integer-valued float64 sums are exact (< 2^53), so results equal the join
+    + aggregate form bit for bit.  Only pairs passing the support filter
+    leave the task.  With ``min_corr`` set, pairs whose unrounded r is at or
+    below ``min_corr - 1e-6`` (or undefined) are dropped too: a strict superset
+    of what the exact filter in Spark keeps, so results do not change, but
+    far fewer rows travel back to the JVM.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def dense(rows, u_idx, i_idx, x, lo, width, c0, cw):
+        sel = rows & (i_idx >= c0) & (i_idx < c0 + cw)
+        m = np.zeros((width, cw)); xm = np.zeros((width, cw))
+        m[u_idx[sel] - lo, i_idx[sel] - c0] = 1.0
+        xm[u_idx[sel] - lo, i_idx[sel] - c0] = x[sel]
+        return m, xm
+
+    def fn(pdf):
+        users, u_idx = np.unique(pdf["user_id"].to_numpy(), return_inverse=True)
+        items, i_idx = np.unique(pdf["item_id"].to_numpy(), return_inverse=True)
+        x = pdf["rating"].to_numpy().astype(np.float64)
+        nu, ni = len(users), len(items)
+        parts = []
+        for a0 in range(0, nu, tile):
+            wa = min(tile, nu - a0)
+            rows_a = (u_idx >= a0) & (u_idx < a0 + wa)
+            for b0 in range(a0, nu, tile):
+                wb = min(tile, nu - b0)
+                rows_b = (u_idx >= b0) & (u_idx < b0 + wb)
+                same = a0 == b0
+                n = np.zeros((wa, wb)); sx = np.zeros((wa, wb)); sy = np.zeros((wa, wb))
+                sxy = np.zeros((wa, wb)); sxx = np.zeros((wa, wb)); syy = np.zeros((wa, wb))
+                for c0 in range(0, ni, chunk):
+                    cw = min(chunk, ni - c0)
+                    ma, xa = dense(rows_a, u_idx, i_idx, x, a0, wa, c0, cw)
+                    mb, xb = (ma, xa) if same else dense(rows_b, u_idx, i_idx, x, b0, wb, c0, cw)
+                    n += ma @ mb.T
+                    sxy += xa @ xb.T
+                    sx += xa @ mb.T
+                    sxx += (xa * xa) @ mb.T
+                    if not same:
+                        sy += ma @ xb.T
+                        syy += ma @ (xb * xb).T
+                if same:
+                    sy, syy = sx.T, sxx.T
+                    iu, iv = np.triu_indices(wa, k=1)  # sorted users: index order = id order
+                else:
+                    iu, iv = (g.ravel() for g in np.meshgrid(np.arange(wa), np.arange(wb),
+                                                             indexing="ij"))
+                nn = n[iu, iv]
+                if min_support is None:
+                    keep = nn > 0
+                else:
+                    keep = (nn > min_support) if strict else (nn >= max(min_support, 1))
+                if min_corr is not None:
+                    f = [a[iu, iv] for a in (sx, sy, sxy, sxx, syy)]
+                    vx = nn * f[3] - f[0] * f[0]
+                    vy = nn * f[4] - f[1] * f[1]
+                    ok = (vx > 0) & (vy > 0)
+                    r = np.full(len(nn), -2.0)
+                    r[ok] = (nn[ok] * f[2][ok] - f[0][ok] * f[1][ok]) / (
+                        np.sqrt(vx[ok]) * np.sqrt(vy[ok]))
+                    keep &= r > (min_corr - 1e-6)
+                iu, iv = iu[keep], iv[keep]
+                parts.append(pd.DataFrame({
+                    "user": users[a0 + iu], "neighbor": users[b0 + iv],
+                    "n": nn[keep].astype(np.int64),
+                    "sum_x": sx[iu, iv].astype(np.int64), "sum_y": sy[iu, iv].astype(np.int64),
+                    "sum_xy": sxy[iu, iv].astype(np.int64),
+                    "sum_x2": sxx[iu, iv].astype(np.int64), "sum_y2": syy[iu, iv].astype(np.int64),
+                }))
+        if not parts:
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in
+                                 ["user", "neighbor", "n", "sum_x", "sum_y", "sum_xy",
+                                  "sum_x2", "sum_y2"]})
+        return pd.concat(parts, ignore_index=True)
+
+    return fn
+
+
+def block_pair_moments(blocked: DataFrame, min_support: int | None = MIN_SUPPORT,
+                       strict: bool = False, min_corr: float | None = None) -> DataFrame:
+    """Same rows as ``pair_moments(corated_pairs(blocked), ...)``, one task per block.
+
+    One shuffle of the ratings by block; no pair rows are materialised or
+    shuffled.  A block holds at most ``users_per_block`` users, so the group
+    handed to pandas is bounded by block size x items per user.
+    """
+    # An explicit partition count keeps AQE from packing many compute-heavy
+    # (but byte-light) blocks into a few tasks.
+    parts = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = blocked.select("block", "user_id", "item_id", "rating").repartition(parts, "block")
+    return side.groupBy("block").applyInPandas(
+        _block_moments_fn(min_support, strict, min_corr=min_corr), MOMENTS_SCHEMA)

@@ -9,7 +9,7 @@ from ..operators import predict as P
 from ..operators import similarity as S
 from ..operators import stats as ST
 from ..operators.neighbors import top_k_per_user
-from ..plans.train import train_neighbors
+from ..plans.train import recommend_all, train_neighbors
 from .registry import Ctx, register, rounded
 
 TOP_N = 10
@@ -72,40 +72,38 @@ def q_train_neighbors(spark, sf_dir):
 
 @register("neighbor_ratings")
 def q_neighbor_ratings(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
+    r = Ctx(spark, sf_dir).ratings_once
     return P.neighbor_ratings(train_neighbors(r), r)
 
 
 @register("predict_raw")
 def q_predict_raw(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
+    r = Ctx(spark, sf_dir).ratings_once
     return rounded(P.predict_raw(train_neighbors(r), r))
 
 
 @register("predict_penalized")
 def q_predict_penalized(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
+    r = Ctx(spark, sf_dir).ratings_once
     out = P.penalize(P.predict_raw(train_neighbors(r), r))
     return rounded(out.select("user", "item_id", "support", "raw_rating", "user_mean", "rating"))
 
 
 @register("exclude_rated")
 def q_exclude_rated(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
+    r = Ctx(spark, sf_dir).ratings_once
     preds = P.penalize(P.predict_raw(train_neighbors(r), r))
     return rounded(P.exclude_rated(preds, r).select("user", "item_id", "rating"))
 
 
 @register("recommend_all")
 def q_recommend_all(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
-    return rounded(P.recommend(train_neighbors(r), r))
+    return rounded(recommend_all(Ctx(spark, sf_dir).ratings))
 
 
 @register("top_n_recommendations")
 def q_top_n(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
-    preds = P.recommend(train_neighbors(r), r).select("user", "item_id", "rating")
+    preds = recommend_all(Ctx(spark, sf_dir).ratings).select("user", "item_id", "rating")
     return rounded(P.top_n(preds, TOP_N))
 
 

@@ -6,11 +6,11 @@ from ..constants import (DEFAULT_FILTER_ITEMS, DEFAULT_PAIR, DEFAULT_SUBJECT_USE
                          PAGE_SIZE)
 from ..operators import lookups as L
 from ..operators import serving as SV
-from ..operators.predict import predict_abs_weighted, recommend
+from ..operators.predict import predict_abs_weighted
 from ..operators.similarity import subject_correlations, subject_pairs
 from . import notebook as NB
 from .registry import Ctx, register, rounded
-from .train import train_neighbors
+from .train import recommend_all
 
 SUBJECTS = list(DEFAULT_SUBJECT_USERS)
 LIST_PAGE = 2
@@ -41,14 +41,14 @@ def q_rated_items_page(spark, sf_dir):
 @register("paged_recommendations")
 def q_paged_recommendations(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    recs = recommend(train_neighbors(c.ratings), c.ratings)
+    recs = recommend_all(c.ratings_once, checkpoint_input=False)
     return rounded(SV.recommendation_pages(recs, c.items, PAGE_SIZE))
 
 
 @register("page_meta")
 def q_page_meta(spark, sf_dir):
     c = Ctx(spark, sf_dir)
-    return SV.page_meta(recommend(train_neighbors(c.ratings), c.ratings), PAGE_SIZE)
+    return SV.page_meta(recommend_all(c.ratings), PAGE_SIZE)
 
 
 @register("attach_titles")

@@ -57,6 +57,14 @@ class Ctx:
             self._ratings = load_ratings(self.spark, self.sf_dir)
         return self._ratings
 
+    @property
+    def ratings_once(self) -> DataFrame:
+        """Ratings checkpointed once, for plans that read them in several branches."""
+        if getattr(self, "_ratings_ckpt", None) is None:
+            from .train import materialize
+            self._ratings_ckpt = materialize(self.ratings)
+        return self._ratings_ckpt
+
     @property
     def items(self) -> DataFrame:
         if self._items is None:

@@ -37,12 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
     be on shared storage).  Only when the session has none (tests, laptops) a
     fresh temporary folder is created and registered as the checkpoint dir.
     """
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="rateweave-")
-        spark.sparkContext.setCheckpointDir(root)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
