@@ -1,0 +1,127 @@
+"""Hand-made edge fixtures (FIXTURES.md section 5)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import ratings_df
+from rateweave.operators import serving as SV
+from rateweave.operators.predict import recommend
+from rateweave.operators.stats import normalize_ratings, user_stats
+from rateweave.plans.train import train_neighbors
+from rateweave.sources import versioned as V
+
+STRATEGIES = ["join", "matmul"]
+
+
+def edges_of(spark, rows, strategy, **kw):
+    kw.setdefault("n_blocks", 1)
+    out = train_neighbors(ratings_df(spark, rows), strategy=strategy, **kw)
+    return {(r.user, r.neighbor): r.corr for r in out.collect()}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_constant_side_gives_no_edge(spark, strategy):
+    # user 1 rates 11 shared items all 3 -> zero variance -> r undefined, not NaN
+    rows = [(1, i, 3) for i in range(11)] + [(2, i, 1 + i % 5) for i in range(11)]
+    assert edges_of(spark, rows, strategy) == {}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_perfect_pair_and_support(spark, strategy):
+    ten = [(1, i, 1 + i % 5) for i in range(10)] + [(2, i, 1 + i % 5) for i in range(10)]
+    assert edges_of(spark, ten, strategy) == {(1, 2): 1.0, (2, 1): 1.0}
+    nine = [r for r in ten if r[1] < 9]
+    assert edges_of(spark, nine, strategy) == {}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_threshold_is_exclusive_after_rounding(spark, strategy):
+    x = [4, 4, 3, 5, 3, 1, 4, 3, 3, 5]
+    y = [1, 4, 2, 2, 2, 2, 2, 1, 1, 3]  # r = 0.29999999999999993 -> 0.3 after rounding
+    rows = [(1, i, v) for i, v in enumerate(x)] + [(2, i, v) for i, v in enumerate(y)]
+    assert edges_of(spark, rows, strategy) == {}
+    # the same pair is kept when the floor is lowered
+    assert edges_of(spark, rows, strategy, min_corr=0.29) == {(1, 2): 0.3, (2, 1): 0.3}
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_tie_at_rank_k_keeps_lower_id(spark, strategy):
+    base = [1 + i % 5 for i in range(10)]
+    rows = [(1, i, v) for i, v in enumerate(base)]
+    rows += [(7, i, v) for i, v in enumerate(base)] + [(5, i, v) for i, v in enumerate(base)]
+    e = edges_of(spark, rows, strategy, k=1)
+    assert e[(1, 5)] == 1.0 and (1, 7) not in e
+
+
+def test_prediction_cardinalities(spark):
+    # user 1 has one neighbour (2); user 3 has one rating; user 9 is unknown
+    base = [1 + i % 5 for i in range(10)]
+    rows = [(1, i, v) for i, v in enumerate(base)] + [(2, i, v) for i, v in enumerate(base)]
+    rows += [(2, 20, 4), (3, 0, 5)]
+    r = ratings_df(spark, rows)
+    recs = recommend(train_neighbors(r, n_blocks=1), r).collect()
+    got = {(x.user, x.item_id): x.rating for x in recs}
+    mean = 34 / 11  # candidates of user 1: items 0-9 (rated) and 20, raw = neighbour rating
+    assert got == {(1, 20): pytest.approx(mean + (4 - mean) * (1 / 6))}
+    assert [x for x in recs if x.user == 9] == []
+
+
+def test_zero_std_and_missing_stats_give_z0(spark):
+    r = ratings_df(spark, [(1, 1, 3), (1, 2, 3), (2, 1, 5), (2, 2, 1)])
+    stats = user_stats(r).where(F.col("user_id") == 1)  # user 2 has no stats row
+    z = {(x.user_id, x.item_id): x.z for x in normalize_ratings(r, stats).collect()}
+    assert z == {(1, 1): 0.0, (1, 2): 0.0, (2, 1): 0.0, (2, 2): 0.0}
+    full = {(x.user_id, x.item_id): x.z for x in normalize_ratings(r, user_stats(r)).collect()}
+    assert full[(2, 1)] == pytest.approx(1.0) and full[(2, 2)] == pytest.approx(-1.0)
+
+
+def test_relational_division(spark):
+    r = ratings_df(spark, [(1, 1, 3), (1, 2, 4), (2, 1, 5), (3, 2, 1), (3, 1, 2), (4, 9, 1)])
+    ids = lambda items: sorted(x.user_id for x in SV.users_rated_all(r, items).collect())
+    assert ids([1, 2]) == [1, 3]
+    assert ids([1, 1, 2]) == [1, 3]
+    assert ids([]) == [1, 2, 3, 4]
+    assert ids(None) == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("n,pages", [(0, 0), (1, 1), (20, 1), (21, 2)])
+def test_paging_metadata(spark, n, pages):
+    rows = [(u, 1, 3) for u in range(1, n + 1)]
+    r = ratings_df(spark, rows) if rows else ratings_df(spark, [(1, 1, 3)]).where("false")
+    p1 = SV.users_page(r, [], 1, 20).collect()
+    assert len(p1) == min(n, 20)
+    if n:
+        assert p1[0].total_pages == pages and p1[0].total_users == n
+        assert p1[0].has_prev is False and p1[0].has_next == (n > 20)
+    if n > 20:
+        p2 = SV.users_page(r, [], 2, 20).collect()
+        assert [x.user_id for x in p2] == [21] and p2[0].has_prev and not p2[0].has_next
+    meta = SV.page_meta(r.select(F.col("user_id").alias("item_id"), F.lit(1).alias("user")))
+    got = meta.collect()
+    assert (got[0].total_pages if got else 0) == pages
+
+
+def test_page_size_is_validated(spark):
+    r = ratings_df(spark, [(1, 1, 3)])
+    with pytest.raises(ValueError):
+        SV.users_page(r, [], 1, 0)
+    with pytest.raises(ValueError):
+        SV.users_page(r, [], 1, 101)
+    with pytest.raises(ValueError):
+        SV.users_page(r, [], 0, 20)
+
+
+def test_versions(spark, tmp_dir):
+    r = ratings_df(spark, [(1, 1, 3), (1, 2, 4), (2, 1, 5)])
+    stats = user_stats(r)
+    path = tmp_dir + "/stats"
+    V.write_versioned(stats.where("user_id = 1"), path, "2020-01-01")
+    V.write_versioned(stats, path, "2021-01-01")
+    V.write_versioned(stats, path, "2021-01-01")  # same date again: replaced
+    allv = V.read_versioned(spark, path, stats.schema)
+    assert allv.count() == 3  # 1 old + 2 new, no duplicates
+    latest = V.latest_version(allv).collect()
+    assert sorted(x.user_id for x in latest) == [1, 2]
+    assert {str(x.version_date) for x in latest} == {"2021-01-01"}
+    empty = V.latest_version(allv.where("false"))
+    assert empty.count() == 0
