@@ -30,6 +30,12 @@ NOTEBOOK_C = 5
 # i.e. ~480 users per block; we derive the block count from the data instead
 # so the quadratic work per (block, item) group stays bounded at any scale.
 USERS_PER_BLOCK = 500
+# Block mixing hash ((user mod P) * A + B) mod P, then mod n_blocks.  Plain
+# 64-bit integer arithmetic ((P-1) * A + B < 2^63), so Spark and the SQL
+# oracle compute identical blocks, and any id pattern is spread evenly.
+BLOCK_PRIME = 2147483647
+BLOCK_MULT = 1000000007
+BLOCK_ADD = 12345
 # Correlations are rounded before threshold and ranking so that engines agree.
 CORR_DIGITS = 9
 # Doubles in registered query outputs are rounded to this many digits.

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import CORR_DIGITS, RATING_MAX, RATING_MIN
+from ..constants import (BLOCK_ADD, BLOCK_MULT, BLOCK_PRIME, CORR_DIGITS, RATING_MAX,
+                         RATING_MIN)
 
 
 def col(c: str | Column) -> Column:
@@ -59,13 +60,25 @@ def shrink_to_zero(raw, support, penalty: float) -> Column:
     return raw * (support / (support + F.lit(float(penalty))))
 
 
-def block_of(user, n_blocks, method: str = "mod") -> Column:
+def block_of(user, n_blocks, method: str = "mix") -> Column:
     """Similarity block of a user.
 
-    ``mod``  : pmod(user, n)        (portable; SQL oracles use it)
+    ``mix``  : pmod(pmod(pmod(user, P) * A + B, P), n) -- default; portable
+               integer hash, so patterned ids (all even, multiples of n, ...)
+               cannot pile into one block; SQL oracles use the same formula
+    ``mod``  : pmod(user, n)        (balanced only for dense sequential ids)
     ``hash`` : pmod(hash(user), n)  (the reference's Murmur3 blocking)
     """
-    key = col(user) if method == "mod" else F.hash(col(user))
+    u = col(user)
+    if method == "mix":
+        key = F.pmod(F.pmod(u, F.lit(BLOCK_PRIME)) * F.lit(BLOCK_MULT) + F.lit(BLOCK_ADD),
+                     F.lit(BLOCK_PRIME))
+    elif method == "mod":
+        key = u
+    elif method == "hash":
+        key = F.hash(u)
+    else:
+        raise ValueError(f"unknown block method {method!r}")
     n = n_blocks if isinstance(n_blocks, Column) else F.lit(int(n_blocks))
     return F.pmod(key, n)
 

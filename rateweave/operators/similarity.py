@@ -40,7 +40,7 @@ def block_count(ratings: DataFrame, users_per_block: int = USERS_PER_BLOCK) -> C
 
 
 def assign_blocks(ratings: DataFrame, n_blocks: int | Column | None = None,
-                  users_per_block: int = USERS_PER_BLOCK, method: str = "mod") -> DataFrame:
+                  users_per_block: int = USERS_PER_BLOCK, method: str = "mix") -> DataFrame:
     """Add ``block``."""
     if n_blocks is None:
         n_blocks = block_count(ratings, users_per_block)
@@ -109,7 +109,7 @@ def symmetric(corrs: DataFrame) -> DataFrame:
 
 
 def block_correlations(ratings: DataFrame, n_blocks: int | Column | None = None,
-                       users_per_block: int = USERS_PER_BLOCK, method: str = "mod",
+                       users_per_block: int = USERS_PER_BLOCK, method: str = "mix",
                        min_support: int | None = MIN_SUPPORT,
                        min_corr: float | None = MIN_CORR,
                        strategy: str = "join") -> DataFrame:

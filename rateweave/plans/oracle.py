@@ -44,8 +44,10 @@ BLOCKED = f"""
 nb AS (SELECT CAST(greatest(1, ceil(count(DISTINCT user_id) / {K.USERS_PER_BLOCK}.0)) AS BIGINT) AS n
        FROM ratings),
 blocked AS (
-  SELECT r.user_id, r.item_id, r.rating, ((r.user_id % nb.n) + nb.n) % nb.n AS block
-  FROM ratings r CROSS JOIN nb)"""
+  SELECT r.user_id, r.item_id, r.rating, (mixed % nb.n + nb.n) % nb.n AS block
+  FROM (SELECT *, ((((user_id % {K.BLOCK_PRIME} + {K.BLOCK_PRIME}) % {K.BLOCK_PRIME}) * {K.BLOCK_MULT} + {K.BLOCK_ADD}) % {K.BLOCK_PRIME} + {K.BLOCK_PRIME}) % {K.BLOCK_PRIME}
+                  AS mixed FROM ratings) r
+  CROSS JOIN nb)"""
 
 PAIRS = """
 pairs AS (

@@ -24,7 +24,7 @@ def test_neighbors_equal_bruteforce(spark, small, strategy):
     r, rows = small
     want = BF.neighbors(rows, n_blocks=2)
     got = {}
-    for x in train_neighbors(r, n_blocks=2, strategy=strategy).collect():
+    for x in train_neighbors(r, n_blocks=2, method="mod", strategy=strategy).collect():
         got.setdefault(x.user, []).append((x.neighbor, x.corr))
     for u in got:
         got[u].sort(key=lambda t: (-t[1], t[0]))
@@ -35,7 +35,7 @@ def test_predictions_equal_bruteforce(spark, small):
     r, rows = small
     edges = BF.neighbors(rows, n_blocks=2)
     want = BF.recommend(rows, edges)
-    recs = recommend(train_neighbors(r, n_blocks=2), r).collect()
+    recs = recommend(train_neighbors(r, n_blocks=2, method="mod"), r).collect()
     got = {}
     for x in recs:
         got.setdefault(x.user, {})[x.item_id] = x.rating
@@ -97,3 +97,26 @@ def test_random_fixtures_match_bruteforce(spark, data):
         for u in got:
             got[u].sort(key=lambda t: (-t[1], t[0]))
         assert got == want
+
+
+def test_fixture_counts_with_modulo_blocks(spark):
+    """FIXTURES.md section 3: sf0.01, blocks user_id % 4 -> 46,311 edges, 95,961 predictions."""
+    from conftest import SF_MID
+    from rateweave.plans.train import recommend_all
+
+    r = load_ratings(spark, SF_MID)
+    for strategy in ("matmul", "join"):
+        assert train_neighbors(r, n_blocks=4, method="mod", strategy=strategy).count() == 46311
+    recs = recommend_all(r, n_blocks=4, method="mod")
+    n, mean = recs.agg(F.count("*"), F.avg("rating")).first()
+    assert n == 95961
+    assert round(mean, 6) == 2.992615
+
+
+def test_mix_blocks_are_balanced_for_patterned_ids(spark):
+    from rateweave.functions.columns import block_of
+
+    users = spark.range(1, 15001).selectExpr("id * 30 AS user_id")  # all multiples of n
+    sizes = users.groupBy(block_of("user_id", 30, "mix").alias("b")).count()
+    lo, hi, nb = sizes.agg(F.min("count"), F.max("count"), F.count("*")).first()
+    assert nb == 30 and hi < 2 * lo
