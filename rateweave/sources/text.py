@@ -42,12 +42,16 @@ RAW_ITEMS_SCHEMA = "item_id INT, year SMALLINT, title STRING"
 
 # --- rendering (bronze fixtures derived from the ratings view) ----------------
 
-def render_header_blocks(ratings: DataFrame, path: str, n_files: int = 4) -> str:
+def render_header_blocks(ratings: DataFrame, path: str, n_files: int | None = None) -> str:
     """Write ratings as header-block text, one item block per file section.
 
     Rows are hash-partitioned by item and sorted inside each file, so every
     block sits whole in one file: header first, then users ascending.
+    ``n_files`` defaults to the session's shuffle partition count, so the
+    write is as parallel as any other stage.
     """
+    if n_files is None:
+        n_files = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     heads = ratings.select("item_id").distinct().select(
         "item_id", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("user_id"),
         F.concat(F.col("item_id").cast("string"), F.lit(":")).alias("value"))
@@ -61,12 +65,14 @@ def render_header_blocks(ratings: DataFrame, path: str, n_files: int = 4) -> str
     return path
 
 
-def render_items_csv(items: DataFrame, path: str, n_files: int = 1) -> str:
+def render_items_csv(items: DataFrame, path: str, n_files: int | None = None) -> str:
     """Write ``item_id,year,title`` lines; a missing year is the text ``NULL``."""
     year = F.coalesce(F.col("year").cast("string"), F.lit("NULL"))
-    items.select(F.concat_ws(",", F.col("item_id").cast("string"), year,
-                             F.col("title")).alias("value")) \
-        .repartition(n_files).write.mode("overwrite").text(path)
+    lines = items.select(F.concat_ws(",", F.col("item_id").cast("string"), year,
+                                     F.col("title")).alias("value"))
+    if n_files:
+        lines = lines.repartition(n_files)
+    lines.write.mode("overwrite").text(path)
     return path
 
 
