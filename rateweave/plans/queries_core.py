@@ -27,78 +27,79 @@ def q_user_stats(spark, sf_dir):
 
 @register("normalize_ratings")
 def q_normalize_ratings(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
+    c = Ctx(spark, sf_dir, True)
     return rounded(ST.normalize_ratings(c.ratings, ST.user_stats(c.ratings)))
 
 
 @register("user_blocks")
 def q_user_blocks(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings
+    r = Ctx(spark, sf_dir, True).ratings
     return S.assign_blocks(r.select("user_id", "item_id", "rating"))
 
 
 @register("corated_pairs")
 def q_corated_pairs(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings.select("user_id", "item_id", "rating")
+    r = Ctx(spark, sf_dir, True).ratings.select("user_id", "item_id", "rating")
     return S.corated_pairs(S.assign_blocks(r))
 
 
 @register("pair_moments")
 def q_pair_moments(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings.select("user_id", "item_id", "rating")
+    r = Ctx(spark, sf_dir, True).ratings.select("user_id", "item_id", "rating")
     return S.pair_moments(S.corated_pairs(S.assign_blocks(r)))
 
 
 @register("user_correlations")
 def q_user_correlations(spark, sf_dir):
-    return S.block_correlations(Ctx(spark, sf_dir).ratings)
+    return S.block_correlations(Ctx(spark, sf_dir, True).ratings)
 
 
 @register("symmetric_corr")
 def q_symmetric_corr(spark, sf_dir):
-    return S.symmetric(S.block_correlations(Ctx(spark, sf_dir).ratings))
+    return S.symmetric(S.block_correlations(Ctx(spark, sf_dir, True).ratings))
 
 
 @register("top_k_neighbors")
 def q_top_k_neighbors(spark, sf_dir):
-    sym = S.symmetric(S.block_correlations(Ctx(spark, sf_dir).ratings))
+    sym = S.symmetric(S.block_correlations(Ctx(spark, sf_dir, True).ratings))
     return top_k_per_user(sym, K_NEIGHBORS)
 
 
 @register("train_neighbors")
 def q_train_neighbors(spark, sf_dir):
-    return train_neighbors(Ctx(spark, sf_dir).ratings)
+    # ratings are read twice (block count + moments): materialise them once
+    return train_neighbors(Ctx(spark, sf_dir, True).ratings)
 
 
 @register("neighbor_ratings")
 def q_neighbor_ratings(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings_once
+    r = Ctx(spark, sf_dir, True).ratings
     return P.neighbor_ratings(train_neighbors(r), r)
 
 
 @register("predict_raw")
 def q_predict_raw(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings_once
+    r = Ctx(spark, sf_dir, True).ratings
     return rounded(P.predict_raw(train_neighbors(r), r))
 
 
 @register("predict_penalized")
 def q_predict_penalized(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings_once
+    r = Ctx(spark, sf_dir, True).ratings
     out = P.penalize(P.predict_raw(train_neighbors(r), r))
     return rounded(out.select("user", "item_id", "support", "raw_rating", "user_mean", "rating"))
 
 
 @register("exclude_rated")
 def q_exclude_rated(spark, sf_dir):
-    r = Ctx(spark, sf_dir).ratings_once
+    r = Ctx(spark, sf_dir, True).ratings
     preds = P.penalize(P.predict_raw(train_neighbors(r), r))
     return rounded(P.exclude_rated(preds, r).select("user", "item_id", "rating"))
 
 
 @register("recommend_all")
 def q_recommend_all(spark, sf_dir):
-    return rounded(recommend_all(Ctx(spark, sf_dir).ratings))
+    return rounded(recommend_all(Ctx(spark, sf_dir).ratings))  # materialises its input
 
 
 @register("top_n_recommendations")

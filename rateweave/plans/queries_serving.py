@@ -34,14 +34,14 @@ def q_items_page(spark, sf_dir):
 
 @register("rated_items_page")
 def q_rated_items_page(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
+    c = Ctx(spark, sf_dir, True)
     return SV.rated_items_pages(c.ratings, c.items, PAGE_SIZE)
 
 
 @register("paged_recommendations")
 def q_paged_recommendations(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
-    recs = recommend_all(c.ratings_once, checkpoint_input=False)
+    c = Ctx(spark, sf_dir, True)
+    recs = recommend_all(c.ratings, checkpoint_input=False)
     return rounded(SV.recommendation_pages(recs, c.items, PAGE_SIZE))
 
 
@@ -53,7 +53,7 @@ def q_page_meta(spark, sf_dir):
 
 @register("attach_titles")
 def q_attach_titles(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
+    c = Ctx(spark, sf_dir, True)
     return SV.attach_titles(c.ratings.select("user_id", "item_id", "rating"), c.items)
 
 
@@ -86,7 +86,7 @@ def q_predict_abs_weighted(spark, sf_dir):
 
 @register("suggest_items")
 def q_suggest_items(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
+    c = Ctx(spark, sf_dir, True)
     return rounded(NB.suggest_items(c.ratings, c.items, SUBJECTS))
 
 

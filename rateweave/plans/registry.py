@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..constants import OUT_DIGITS
+from ..sources.versioned import materialize
 from ..sources.views import load_items, load_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,27 +45,27 @@ def rounded(df: DataFrame, keep: tuple[str, ...] = EXACT) -> DataFrame:
 
 
 class Ctx:
-    """Lazily built inputs shared by the queries of one call."""
+    """Inputs of one query call.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    ``materialize=True``: the ratings view is written once as parquet in the
+    shared checkpoint folder and every branch of the plan (training, scoring,
+    titles, block count, totals) reads that table instead of recomputing the
+    lineitem x orders join.  Queries that touch only a few users keep the
+    lazy view, so their filter reaches the parquet scan.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
         self._ratings = None
         self._items = None
 
     @property
     def ratings(self) -> DataFrame:
         if self._ratings is None:
-            self._ratings = load_ratings(self.spark, self.sf_dir)
+            view = load_ratings(self.spark, self.sf_dir)
+            self._ratings = materialize(view, "ratings") if self.materialize else view
         return self._ratings
 
-    @property
-    def ratings_once(self) -> DataFrame:
-        """Ratings checkpointed once, for plans that read them in several branches."""
-        if getattr(self, "_ratings_ckpt", None) is None:
-            from .train import materialize
-            self._ratings_ckpt = materialize(self.ratings)
-        return self._ratings_ckpt
-
     @property
     def items(self) -> DataFrame:
         if self._items is None:

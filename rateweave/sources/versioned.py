@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
+from ..session import fresh_path
+
 
 def write_versioned(df: DataFrame, path: str, version_date: str,
                     n_files: int | None = None, by: list[str] | None = None) -> str:
@@ -48,3 +50,19 @@ def latest_version(df: DataFrame, column: str = "version_date") -> DataFrame:
     """Rows of the newest version only; an empty table gives an empty result."""
     newest = df.agg(F.max(column)).scalar()
     return df.where(F.col(column) == newest)
+
+
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Write ``df`` once as parquet in the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the upstream joins) and, unlike an RDD checkpoint, keeps a columnar table:
+    later scans prune columns and push filters, and AQE sees real sizes.
+    Used where a plan would otherwise compute the same input in several
+    branches (a scalar-subquery total next to the rows, training next to
+    scoring).
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
