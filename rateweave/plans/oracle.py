@@ -176,7 +176,7 @@ ORACLE["profile_ratings"] = with_(RATINGS) + "\n UNION ALL ".join(
        round(max(CAST({c} AS DOUBLE)), {D}) AS max_value FROM ratings"""
     for c in ("user_id", "item_id", "rating"))
 ORACLE["range_sum"] = with_(RATINGS) + """
-SELECT CAST(n * (n + 1) // 2 AS BIGINT) AS total FROM (SELECT count(*) AS n FROM ratings) c"""
+SELECT CAST(n * (n + 1) // 2 AS BIGINT) AS total FROM (SELECT count(DISTINCT user_id) AS n FROM ratings) c"""
 ORACLE["peek_rows"] = with_(RATINGS) + "SELECT * FROM ratings ORDER BY user_id, item_id LIMIT 10"
 
 # --- serving, notebook form, look-ups ---------------------------------------

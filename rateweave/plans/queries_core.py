@@ -126,8 +126,13 @@ def q_profile_ratings(spark, sf_dir):
 
 @register("range_sum")
 def q_range_sum(spark, sf_dir):
-    """Integer range source (S7) sized by the ratings table, summed without keys."""
-    n = Ctx(spark, sf_dir).ratings.count()  # one scalar to size the range
+    """Integer range source (S7) sized by the data, summed without keys.
+
+    The range is 1..(distinct users): it grows with the tables, and its sum
+    n(n+1)/2 stays inside bigint for up to ~4e9 users (sizing it by ratings
+    would overflow at 100 TB).
+    """
+    n = Ctx(spark, sf_dir).ratings.select("user_id").distinct().count()  # one scalar
     return spark.range(1, n + 1).agg(F.sum("id").alias("total"))
 
 
