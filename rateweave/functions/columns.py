@@ -13,7 +13,7 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def pearson_from_moments(n, sx, sy, sxy, sxx, syy) -> Column:
+def pearson_from_moments(n, sx, sy, sxy, sxx, syy, eps: float = 0.0) -> Column:
     """Pearson r from integer co-moments, null when either side is constant.
 
     Uses the all-integer form (n*Sxy - Sx*Sy) / sqrt((n*Sxx - Sx^2)(n*Syy - Sy^2)):
@@ -21,13 +21,20 @@ def pearson_from_moments(n, sx, sy, sxy, sxx, syy) -> Column:
     is detected exactly (no ``sqrt`` of a -1e-15 residual, no NaN), and only
     the final sqrt/division round.  The product of the variance terms is taken
     in double to avoid bigint overflow on very long co-rating lists.
+    For floating inputs (e.g. z-scores) pass ``eps`` > 0: a variance term at
+    or below ``eps * n * Sxx`` counts as zero, so a constant side's rounding
+    residual cannot produce a spurious r.
     """
     n, sx, sy, sxy, sxx, syy = map(col, (n, sx, sy, sxy, sxx, syy))
     num = n * sxy - sx * sy
     var_x = n * sxx - sx * sx
     var_y = n * syy - sy * sy
+    if eps:
+        ok = (var_x > F.lit(eps) * n * sxx) & (var_y > F.lit(eps) * n * syy)
+    else:
+        ok = (var_x > 0) & (var_y > 0)
     return F.when(
-        (var_x > 0) & (var_y > 0),
+        ok,
         num.cast("double") / (F.sqrt(var_x.cast("double")) * F.sqrt(var_y.cast("double"))),
     )
 

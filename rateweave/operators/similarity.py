@@ -32,6 +32,10 @@ from ..constants import (MAX_BROADCAST_SUBJECTS, MIN_CORR, MIN_SUPPORT,
 from ..functions.columns import block_of, pearson_from_moments, rounded_corr
 
 
+INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+FLOAT_VAR_EPS = 1e-9
+
+
 def block_count(ratings: DataFrame, users_per_block: int = USERS_PER_BLOCK) -> Column:
     """Scalar-subquery column: max(1, ceil(distinct users / users_per_block))."""
     return ratings.agg(
@@ -73,7 +77,8 @@ def pair_moments(pairs: DataFrame, min_support: int | None = MIN_SUPPORT,
     ``strict`` selects ``n > min`` (notebook) instead of ``n >= min`` (batch).
     ``min_support=None`` keeps every pair (0 is a real threshold, not "default").
     """
-    x, y = F.col("x").cast("bigint"), F.col("y").cast("bigint")
+    kind = "bigint" if dict(pairs.dtypes)["x"] in INTEGRAL else "double"
+    x, y = F.col("x").cast(kind), F.col("y").cast(kind)
     moments = pairs.groupBy("user", "neighbor").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(x).alias("sum_x"), F.sum(y).alias("sum_y"),
@@ -88,8 +93,14 @@ def pair_moments(pairs: DataFrame, min_support: int | None = MIN_SUPPORT,
 
 def correlations(moments: DataFrame, min_corr: float | None = MIN_CORR,
                  drop_undefined: bool = True) -> DataFrame:
-    """Pearson r per pair (A3), rounded, undefined r dropped, ``r > min_corr``."""
-    r = rounded_corr(pearson_from_moments("n", "sum_x", "sum_y", "sum_xy", "sum_x2", "sum_y2"))
+    """Pearson r per pair (A3), rounded, undefined r dropped, ``r > min_corr``.
+
+    Integer moments are exact; floating moments (z-scores) get a relative
+    zero-variance guard.
+    """
+    eps = 0.0 if dict(moments.dtypes)["sum_x"] in INTEGRAL else FLOAT_VAR_EPS
+    r = rounded_corr(pearson_from_moments("n", "sum_x", "sum_y", "sum_xy", "sum_x2", "sum_y2",
+                                          eps))
     out = moments.select("user", "neighbor", r.alias("corr"), "n")
     if drop_undefined:
         out = out.where(F.col("corr").isNotNull())

@@ -120,3 +120,19 @@ def test_mix_blocks_are_balanced_for_patterned_ids(spark):
     sizes = users.groupBy(block_of("user_id", 30, "mix").alias("b")).count()
     lo, hi, nb = sizes.agg(F.min("count"), F.max("count"), F.count("*")).first()
     assert nb == 30 and hi < 2 * lo
+
+
+def test_zscore_correlation_equals_integer_correlation(spark, small):
+    """Pearson r is invariant to the per-user z-score map (D19): same r to 1e-9."""
+    from rateweave.operators.similarity import correlations, pair_moments, subject_pairs
+    from rateweave.operators.stats import normalize_ratings, user_stats
+
+    r, _ = small
+    subjects = [1, 2, 3, 4, 5]
+    ints = correlations(pair_moments(subject_pairs(r, subjects), 5), None)
+    z = normalize_ratings(r, user_stats(r)).select("user_id", "item_id", F.col("z").alias("rating"))
+    floats = correlations(pair_moments(subject_pairs(z, subjects), 5), None)
+    a = {(x.user, x.neighbor): x.corr for x in ints.collect()}
+    b = {(x.user, x.neighbor): x.corr for x in floats.collect()}
+    assert a.keys() == b.keys() and len(a) > 100
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-8
