@@ -123,7 +123,7 @@ def block_correlations(ratings: DataFrame, n_blocks: int | Column | None = None,
                        users_per_block: int = USERS_PER_BLOCK, method: str = "mix",
                        min_support: int | None = MIN_SUPPORT,
                        min_corr: float | None = MIN_CORR,
-                       strategy: str = "join") -> DataFrame:
+                       strategy: str = "matmul") -> DataFrame:
     """Half-matrix correlations inside blocks: (user < neighbor, corr, n).
 
     ``strategy="join"``: blocked self join + hash aggregate (all JVM);
