@@ -18,17 +18,18 @@ from ..session import fresh_path
 
 
 def write_versioned(df: DataFrame, path: str, version_date: str,
-                    n_files: int | None = None, by: list[str] | None = None) -> str:
+                    cluster_by: list[str] | None = None) -> str:
     """Write ``df`` as version ``version_date`` of the table at ``path``.
 
-    ``n_files``/``by``: optional layout (hash-partition by ``by`` into
-    ``n_files`` tasks, e.g. by user so a look-up touches few files); without
-    it the upstream partitioning is kept, instead of a ``coalesce`` that
-    would throttle the upstream stage.
+    ``cluster_by`` (e.g. ``["user"]``) range-partitions and sorts the rows by
+    those columns, so each file and row group covers a narrow key range and a
+    look-up ``where user = x`` skips the rest by parquet min/max statistics
+    (the serving tier's "index").  Without it the upstream partitioning is
+    kept, instead of a ``coalesce`` that would throttle the upstream stage.
     """
     out = df.withColumn("version_date", F.to_date(F.lit(version_date)))
-    if n_files:
-        out = out.repartition(n_files, *(by or []))
+    if cluster_by:
+        out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
     (out.write.partitionBy("version_date").mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     return path

@@ -125,3 +125,17 @@ def test_versions(spark, tmp_dir):
     assert {str(x.version_date) for x in latest} == {"2021-01-01"}
     empty = V.latest_version(allv.where("false"))
     assert empty.count() == 0
+
+
+def test_clustered_versioned_table_prunes_lookups(spark, tmp_dir):
+    rows = [(u, i, 1 + (u * i) % 5) for u in range(1, 400) for i in range(3)]
+    df = ratings_df(spark, rows).withColumnRenamed("user_id", "user")
+    path = tmp_dir + "/clustered"
+    V.write_versioned(df, path, "2021-01-01", cluster_by=["user"])
+    files = spark.read.parquet(path).select(F.input_file_name().alias("f"), "user")
+    spans = files.groupBy("f").agg(F.min("user").alias("lo"), F.max("user").alias("hi")).collect()
+    # range-partitioned: file key ranges do not overlap
+    spans = sorted((r.lo, r.hi) for r in spans)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    plan = spark.read.parquet(path).where("user = 7")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user,7)" in plan
