@@ -37,13 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
     be on shared storage).  Only when the session has none (tests, laptops) a
     fresh temporary folder is created and registered as the checkpoint dir.
     """
-    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no context
+        sc = None
+    if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="rateweave-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

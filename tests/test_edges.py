@@ -139,3 +139,12 @@ def test_clustered_versioned_table_prunes_lookups(spark, tmp_dir):
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
     plan = spark.read.parquet(path).where("user = 7")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(user,7)" in plan
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_empty_input_gives_empty_output(spark, strategy):
+    r = ratings_df(spark, [(1, 1, 3)]).where("false")
+    edges = train_neighbors(r, strategy=strategy)
+    assert edges.count() == 0
+    assert recommend(edges, r).count() == 0
+    assert user_stats(r).count() == 0
