@@ -136,3 +136,27 @@ def test_zscore_correlation_equals_integer_correlation(spark, small):
     b = {(x.user, x.neighbor): x.corr for x in floats.collect()}
     assert a.keys() == b.keys() and len(a) > 100
     assert max(abs(a[k] - b[k]) for k in a) < 1e-8
+
+
+@pytest.mark.parametrize("strategy", ["join", "matmul"])
+def test_skewed_fixture_matches_bruteforce(spark, strategy):
+    """A hot item rated by every user and a power user who rated every item."""
+    import random
+
+    rnd = random.Random(5)
+    rows = {}
+    for u in range(1, 301):
+        rows[(u, 0)] = rnd.randint(1, 5)                      # hot item
+        for i in rnd.sample(range(1, 40), rnd.randint(8, 25)):
+            rows[(u, i)] = rnd.randint(1, 5)
+    for i in range(40):
+        rows[(7, i)] = 1 + i % 5                              # power user
+    data = [(u, i, v) for (u, i), v in sorted(rows.items())]
+    want = BF.neighbors(data, k=10, min_support=5, min_corr=0.2, n_blocks=3)
+    got = {}
+    for x in train_neighbors(ratings_df(spark, data), k=10, n_blocks=3, method="mod",
+                             min_support=5, min_corr=0.2, strategy=strategy).collect():
+        got.setdefault(x.user, []).append((x.neighbor, x.corr))
+    for u in got:
+        got[u].sort(key=lambda t: (-t[1], t[0]))
+    assert got == want
