@@ -131,6 +131,8 @@ def block_correlations(ratings: DataFrame, n_blocks: int | Column | None = None,
     """
     blocked = assign_blocks(ratings.select("user_id", "item_id", "rating"),
                             n_blocks, users_per_block, method)
+    if strategy == "matmul" and dict(blocked.dtypes)["rating"] not in INTEGRAL:
+        strategy = "join"  # the matrix kernel's exact int64 sums need integer ratings
     if strategy == "matmul":
         moments = block_pair_moments(blocked, min_support, min_corr=min_corr)
     else:

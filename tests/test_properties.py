@@ -160,3 +160,12 @@ def test_skewed_fixture_matches_bruteforce(spark, strategy):
     for u in got:
         got[u].sort(key=lambda t: (-t[1], t[0]))
     assert got == want
+
+
+def test_fractional_ratings_use_exact_path(spark):
+    """Non-integer ratings fall back to the join strategy (double moments)."""
+    rows = [(u, i, float(1 + (u * 7 + i * 3) % 5) + 0.5 * (i % 2)) for u in range(1, 30) for i in range(15)]
+    r = spark.createDataFrame(rows, "user_id long, item_id int, rating double")
+    a = train_neighbors(r, n_blocks=1, min_corr=0.0, strategy="matmul")
+    b = train_neighbors(r, n_blocks=1, min_corr=0.0, strategy="join")
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
