@@ -15,9 +15,14 @@ Design
   size, not by item skew.  By default the block count is derived from the
   data (``ceil(users / users_per_block)``) as a scalar subquery -- no driver
   round trip, and the work per block stays constant as data grows.
-* The pair join produces (user, neighbor, x, y) rows that feed a hash
-  aggregate with map-side partial aggregation; nothing is repartitioned
-  before the aggregate (that would ship every raw pair).
+* Two ways to get the pair co-moments, with identical rows:
+  - ``matmul`` (default): one shuffle of the ratings by block, then each
+    block's co-moments as matrix products in ``applyInPandas``; no pair row
+    is materialised or shuffled.
+  - ``join``: the blocked self join emits (user, neighbor, x, y) rows into a
+    hash aggregate with map-side partial aggregation (nothing repartitioned
+    before it).  All JVM, but the partial aggregate only sees the items of a
+    block that share its task, so most pair rows still cross the shuffle.
 """
 
 from __future__ import annotations
