@@ -45,8 +45,9 @@ def q_corated_pairs(spark, sf_dir):
 
 @register("pair_moments")
 def q_pair_moments(spark, sf_dir):
+    """A2 + P11; computed per block with matrix products (same rows as the join form)."""
     r = Ctx(spark, sf_dir, True).ratings.select("user_id", "item_id", "rating")
-    return S.pair_moments(S.corated_pairs(S.assign_blocks(r)))
+    return S.block_pair_moments(S.assign_blocks(r))
 
 
 @register("user_correlations")

@@ -169,3 +169,16 @@ def test_fractional_ratings_use_exact_path(spark):
     a = train_neighbors(r, n_blocks=1, min_corr=0.0, strategy="matmul")
     b = train_neighbors(r, n_blocks=1, min_corr=0.0, strategy="join")
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_join_moments_equal_block_moments(spark, small):
+    from rateweave.operators.similarity import (assign_blocks, block_pair_moments,
+                                                corated_pairs, pair_moments)
+
+    r, _ = small
+    blocked = assign_blocks(r.select("user_id", "item_id", "rating"), 2)
+    for support, strict in ((10, False), (10, True), (None, False)):
+        a = pair_moments(corated_pairs(blocked), support, strict)
+        b = block_pair_moments(blocked, support, strict)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
