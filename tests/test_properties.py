@@ -182,3 +182,16 @@ def test_join_moments_equal_block_moments(spark, small):
         b = block_pair_moments(blocked, support, strict)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_block_scoring_equals_join_scoring(spark, small):
+    from rateweave.plans.train import recommend_all
+
+    r, _ = small
+    cols = ["user", "item_id", "score", "corr_sum", "support",
+            "round(raw_rating, 9) AS raw", "round(user_mean, 9) AS m", "round(rating, 9) AS rt"]
+    for drop in (True, False):
+        a = recommend_all(r, n_blocks=2, strategy="join", drop_rated=drop).selectExpr(*cols)
+        b = recommend_all(r, n_blocks=2, strategy="block", drop_rated=drop).selectExpr(*cols)
+        assert a.count() > 0
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
