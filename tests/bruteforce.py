@@ -22,7 +22,8 @@ def pearson(xs, ys):
     return (n * sxy - sx * sy) / (math.sqrt(vx) * math.sqrt(vy))
 
 
-def neighbors(rows, k=50, min_support=10, min_corr=0.3, n_blocks=1):
+def neighbors(rows, k=50, min_support=10, min_corr=0.3, n_blocks=1, block_of=None):
+    """``block_of``: optional {user: block}; default user % n_blocks."""
     by_user = defaultdict(dict)
     for u, i, r in rows:
         by_user[u][i] = r
@@ -30,7 +31,10 @@ def neighbors(rows, k=50, min_support=10, min_corr=0.3, n_blocks=1):
     edges = defaultdict(list)
     for a_pos, a in enumerate(users):
         for b in users[a_pos + 1:]:
-            if a % n_blocks != b % n_blocks:
+            if block_of is not None:
+                if block_of[a] != block_of[b]:
+                    continue
+            elif a % n_blocks != b % n_blocks:
                 continue
             common = sorted(set(by_user[a]) & set(by_user[b]))
             if len(common) < min_support:

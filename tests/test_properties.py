@@ -195,3 +195,19 @@ def test_block_scoring_equals_join_scoring(spark, small):
         b = recommend_all(r, n_blocks=2, strategy="block", drop_rated=drop).selectExpr(*cols)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("method", ["hash", "mix"])
+def test_other_block_methods_match_bruteforce(spark, small, method):
+    from rateweave.functions.columns import block_of
+
+    r, rows = small
+    users = r.select("user_id").distinct()
+    blocks = {x.user_id: x.b for x in users.select("user_id", block_of("user_id", 3, method).alias("b")).collect()}
+    want = BF.neighbors(rows, n_blocks=3, block_of=blocks)
+    got = {}
+    for x in train_neighbors(r, n_blocks=3, method=method).collect():
+        got.setdefault(x.user, []).append((x.neighbor, x.corr))
+    for u in got:
+        got[u].sort(key=lambda t: (-t[1], t[0]))
+    assert got == want
