@@ -143,6 +143,65 @@ def parse_header_blocks(raw: DataFrame) -> DataFrame:
         F.coalesce("local", "carry").alias("item_raw"))
 
 
+FILLED_SCHEMA = ("file string, split long, pos long, user_raw string, rating int, "
+                 "rated_on date, is_header boolean, local string")
+
+
+def _fill_in_partition(batches):
+    """mapInPandas body: forward-fill headers through each split, in scan order.
+
+    A file scan hands every split to one task as a contiguous run of lines, in
+    file order, so the fill needs no shuffle.  The fill restarts at every
+    split boundary; a split's leading rows (before its first header) stay
+    null here and get the carry-in from the small per-split table.
+    """
+    import pandas as pd
+
+    last_key, last_item = None, None
+    for pdf in batches:
+        if pdf.empty:
+            yield pdf.assign(is_header=pd.Series(dtype=bool), local=pd.Series(dtype=object))
+            continue
+        key = pdf["file"].astype(str) + "\x00" + pdf["split"].astype(str)
+        is_header = pdf["user_raw"].fillna("").str.endswith(":")
+        header = pdf["user_raw"].where(is_header).str.replace(":", "", regex=False)
+        run = (key != key.shift()).cumsum()
+        local = header.groupby(run).ffill()
+        if last_key is not None and key.iloc[0] == last_key:
+            first = run == run.iloc[0]
+            local = local.where(~(first & local.isna()), last_item)
+        tail = local[run == run.iloc[-1]].dropna()
+        if key.iloc[-1] != last_key or len(tail):
+            last_item = tail.iloc[-1] if len(tail) else None
+        last_key = key.iloc[-1]
+        yield pdf.assign(is_header=is_header, local=local)
+
+
+def parse_header_blocks_local(raw: DataFrame) -> DataFrame:
+    """W1 without shuffling the text: per-partition fill + carry-in for leading rows.
+
+    Same output as ``parse_header_blocks``.  Only header rows are aggregated
+    (one row per split) and only rows before the first header of a split are
+    joined to the carry table; the bulk of the text is never shuffled.
+    """
+    filled = raw.select("file", "split", "pos", "user_raw", "rating", "rated_on") \
+        .mapInPandas(_fill_in_partition, FILLED_SCHEMA)
+    heads = filled.where("is_header").select(
+        "file", "split", "pos", F.regexp_replace("user_raw", ":", "").alias("header"))
+    last_in_split = heads.groupBy("file", "split").agg(
+        F.max_by("header", "pos").alias("last_header"))
+    splits = raw.select("file", "split").distinct()
+    w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carry = splits.join(last_in_split, ["file", "split"], "left").select(
+        "file", "split", F.last("last_header", ignorenulls=True).over(w).alias("carry"))
+    rows = filled.where(~F.col("is_header"))
+    settled = rows.where(F.col("local").isNotNull()).select(
+        "user_raw", "rating", "rated_on", F.col("local").alias("item_raw"))
+    leading = rows.where(F.col("local").isNull()).join(carry, ["file", "split"], "left") \
+        .select("user_raw", "rating", "rated_on", F.col("carry").alias("item_raw"))
+    return settled.unionByName(leading)
+
+
 def parse_header_cumsum(raw: DataFrame) -> DataFrame:
     """Notebook variant: running header count, then join rows to their header."""
     marked = _marked(raw)

@@ -23,7 +23,7 @@ def bronze(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("size", SPLIT_SIZES)
-@pytest.mark.parametrize("variant", ["ffill", "cumsum"])
+@pytest.mark.parametrize("variant", ["ffill", "cumsum", "local"])
 def test_parse_any_split_size(spark, bronze, size, variant):
     path, expected = bronze
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -33,7 +33,8 @@ def test_parse_any_split_size(spark, bronze, size, variant):
     try:
         raw = T.scan_ratings_text(spark, path)
         n_splits = raw.select("file", "split").distinct().count()
-        parse = T.parse_header_blocks if variant == "ffill" else T.parse_header_cumsum
+        parse = {"ffill": T.parse_header_blocks, "cumsum": T.parse_header_cumsum,
+                 "local": T.parse_header_blocks_local}[variant]
         good, bad = T.silver_ratings(parse(raw))
         got = sorted(tuple(x) for x in good.collect())
         assert bad.count() == 0
@@ -84,3 +85,36 @@ def test_titles_file(spark, tmp_dir):
     # the reference's plain CSV read truncates an unquoted title at its comma
     plain = {r.item_id: (r.year, r.title) for r in T.scan_items_csv(spark, tmp_dir).collect()}
     assert plain[3] == (1997, "Hello") and plain[2][0] is None
+
+
+@pytest.mark.parametrize("size", ["2k", "128m"])
+def test_local_fill_across_arrow_batches(spark, bronze, size):
+    """Tiny Arrow batches: runs of one split cross batch boundaries, and with
+    large splits several files share one partition."""
+    path, expected = bronze
+    keys = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": "1k",
+            "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        raw = T.scan_ratings_text(spark, path)
+        good, bad = T.silver_ratings(T.parse_header_blocks_local(raw))
+        assert bad.count() == 0
+        assert sorted(tuple(x) for x in good.collect()) == expected
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_local_fill_rejects_like_window_fill(spark, tmp_dir):
+    _write(tmp_dir, "part-00000.txt", [
+        "5,3,2005-09-06",
+        "1:", "10,3,2005-09-06", "bad,4,2005-10-19", "11,5,2005-05-13",
+        "2:", "10,4,2005-10-19",
+    ])
+    raw = T.scan_ratings_text(spark, tmp_dir)
+    a = T.silver_ratings(T.parse_header_blocks_local(raw))
+    b = T.silver_ratings(T.parse_header_blocks(raw))
+    for x, y in zip(a, b):
+        assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
