@@ -333,3 +333,6 @@ UNION ALL
 SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM stats"""
 ORACLE["versioned_neighbors"] = with_(*TRAIN) + f"""
 SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM topk"""
+ORACLE["recommend_for_users"] = with_(*PRED, RECS) + f"""
+SELECT "user", item_id, score, corr_sum, support, {r('raw_rating')},
+       {r('user_mean')}, {r('rating')} FROM recs WHERE "user" IN ({SUBJ})"""

@@ -115,3 +115,13 @@ def q_pair_lookup(spark, sf_dir):
     s = SUBJECTS
     return L.pair_lookup(spark, Ctx(spark, sf_dir).ratings,
                          [(s[0], s[1]), (s[0], s[2]), (s[1], s[2])])
+
+
+@register("recommend_for_users")
+def q_recommend_for_users(spark, sf_dir):
+    """C5 per request: penalised predictions for the subject users only."""
+    from ..operators.predict import recommend_for_users
+    from .train import train_neighbors
+
+    c = Ctx(spark, sf_dir, True)
+    return rounded(recommend_for_users(train_neighbors(c.ratings), c.ratings, SUBJECTS))

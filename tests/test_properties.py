@@ -211,3 +211,14 @@ def test_other_block_methods_match_bruteforce(spark, small, method):
     for u in got:
         got[u].sort(key=lambda t: (-t[1], t[0]))
     assert got == want
+
+
+def test_recommend_for_users_equals_batch_rows(spark, small):
+    from rateweave.operators.predict import recommend_for_users
+
+    r, _ = small
+    edges = train_neighbors(r, n_blocks=2)
+    cols = ["user", "item_id", "support", "round(rating, 9) AS rt"]
+    a = recommend_for_users(edges, r, [3, 5, 8]).selectExpr(*cols)
+    b = recommend(edges, r).where("user IN (3, 5, 8)").selectExpr(*cols)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
