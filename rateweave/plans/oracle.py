@@ -336,3 +336,11 @@ SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FR
 ORACLE["recommend_for_users"] = with_(*PRED, RECS) + f"""
 SELECT "user", item_id, score, corr_sum, support, {r('raw_rating')},
        {r('user_mean')}, {r('rating')} FROM recs WHERE "user" IN ({SUBJ})"""
+ORACLE["users_pages_all"] = with_(RATINGS) + f"""
+SELECT user_id, rank, page, {PS} AS page_size, total AS total_users,
+       (total + {PS - 1}) // {PS} AS total_pages,
+       (page - 1) * {PS} + {PS} < total AS has_next, (page - 1) * {PS} > 0 AS has_prev
+FROM (SELECT user_id, rank, CAST(ceil(rank / {PS}.0) AS INTEGER) AS page, total
+      FROM (SELECT user_id, row_number() OVER (ORDER BY user_id) AS rank,
+                   count(*) OVER () AS total
+            FROM (SELECT DISTINCT user_id FROM ratings) u) a) b"""

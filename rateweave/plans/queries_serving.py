@@ -125,3 +125,9 @@ def q_recommend_for_users(spark, sf_dir):
 
     c = Ctx(spark, sf_dir, True)
     return rounded(recommend_for_users(train_neighbors(c.ratings), c.ratings, SUBJECTS))
+
+
+@register("users_pages_all")
+def q_users_pages_all(spark, sf_dir):
+    """C7 for every page at once: distributed global rank, no single-task window."""
+    return SV.users_pages(Ctx(spark, sf_dir).ratings, [], PAGE_SIZE)

@@ -148,3 +148,14 @@ def test_empty_input_gives_empty_output(spark, strategy):
     assert edges.count() == 0
     assert recommend(edges, r).count() == 0
     assert user_stats(r).count() == 0
+
+
+@pytest.mark.parametrize("n_parts", [1, 3, 16])
+def test_global_rank_matches_row_number(spark, n_parts):
+    from pyspark.sql import Window
+
+    df = spark.range(0, 997).selectExpr("(id * 7919) % 100003 AS user_id")
+    got = {r.user_id: r.rank for r in SV.global_rank(df, ["user_id"], n_parts).collect()}
+    want = {r.user_id: r.rank for r in df.select(
+        "user_id", F.row_number().over(Window.orderBy("user_id")).alias("rank")).collect()}
+    assert got == want
