@@ -159,3 +159,17 @@ def test_global_rank_matches_row_number(spark, n_parts):
     want = {r.user_id: r.rank for r in df.select(
         "user_id", F.row_number().over(Window.orderBy("user_id")).alias("rank")).collect()}
     assert got == want
+
+
+def test_block_scoring_counts_zero_and_negative_edges(spark):
+    from rateweave.operators.predict import recommend_blocked
+
+    r = ratings_df(spark, [(1, 1, 4), (2, 1, 2), (2, 2, 5), (3, 2, 1), (3, 3, 3), (4, 3, 5)])
+    edges = spark.createDataFrame(
+        [(1, 2, 0.0), (1, 3, 0.5), (2, 3, -0.4), (2, 4, 0.9), (3, 4, 0.31)],
+        "user long, neighbor long, corr double")
+    cols = ["user", "item_id", "score", "corr_sum", "support",
+            "round(raw_rating, 9) AS raw", "round(user_mean, 9) AS m"]
+    a = recommend(edges, r, drop_rated=False).selectExpr(*cols)
+    b = recommend_blocked(edges, r, 1, "mod", drop_rated=False).selectExpr(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
