@@ -344,3 +344,5 @@ FROM (SELECT user_id, rank, CAST(ceil(rank / {PS}.0) AS INTEGER) AS page, total
       FROM (SELECT user_id, row_number() OVER (ORDER BY user_id) AS rank,
                    count(*) OVER () AS total
             FROM (SELECT DISTINCT user_id FROM ratings) u) a) b"""
+ORACLE["versioned_recommendations"] = with_(*PRED, RECS) + f"""
+SELECT "user", item_id, {r('rating')}, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM recs"""

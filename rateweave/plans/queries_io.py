@@ -15,7 +15,7 @@ from ..session import fresh_path
 from ..sources import text as T
 from ..sources import versioned as V
 from .registry import Ctx, register, rounded
-from .train import train_neighbors
+from .train import recommend_all, train_neighbors
 
 
 def _bronze(spark, sf_dir):
@@ -108,3 +108,14 @@ def q_versioned_neighbors(spark, sf_dir):
     # clustered by user: a serving look-up reads one narrow key range
     V.write_versioned(edges, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
     return V.latest_version(V.read_versioned(spark, path, edges.schema))
+
+
+@register("versioned_recommendations")
+def q_versioned_recommendations(spark, sf_dir):
+    """K3/K4 applied to the serving table: today's predictions for every user,
+    clustered by user (the service's per-user look-up), latest version read back."""
+    c = Ctx(spark, sf_dir, True)
+    recs = recommend_all(c.ratings, checkpoint_input=False).select("user", "item_id", "rating")
+    path = fresh_path(spark, "gold-recommendations")
+    V.write_versioned(recs, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
+    return rounded(V.latest_version(V.read_versioned(spark, path, recs.schema)))
