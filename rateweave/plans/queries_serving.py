@@ -121,10 +121,11 @@ def q_pair_lookup(spark, sf_dir):
 def q_recommend_for_users(spark, sf_dir):
     """C5 per request: penalised predictions for the subject users only."""
     from ..operators.predict import recommend_for_users
-    from .train import train_neighbors
+    from .train import train_neighbors_for
 
     c = Ctx(spark, sf_dir, True)
-    return rounded(recommend_for_users(train_neighbors(c.ratings), c.ratings, SUBJECTS))
+    edges = train_neighbors_for(c.ratings, SUBJECTS)  # only the subjects' blocks
+    return rounded(recommend_for_users(edges, c.ratings, SUBJECTS))
 
 
 @register("users_pages_all")

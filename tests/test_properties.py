@@ -222,3 +222,13 @@ def test_recommend_for_users_equals_batch_rows(spark, small):
     a = recommend_for_users(edges, r, [3, 5, 8]).selectExpr(*cols)
     b = recommend(edges, r).where("user IN (3, 5, 8)").selectExpr(*cols)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_train_for_users_equals_full_training_rows(spark, small):
+    from rateweave.plans.train import train_neighbors_for
+
+    r, _ = small
+    ids = [3, 5, 8, 100]
+    a = train_neighbors_for(r, ids, n_blocks=4)
+    b = train_neighbors(r, n_blocks=4).where(F.col("user").isin(ids))
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
