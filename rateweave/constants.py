@@ -45,6 +45,12 @@ ITEM_MODULUS = 100
 # Largest subject-user list that may be broadcast (rows <= list x items).
 MAX_BROADCAST_SUBJECTS = 10_000
 
+# Largest per-block scoring output (users x items of one block) handed to one
+# pandas call; larger blocks are scored with the join form instead.
+MAX_BLOCK_OUTPUT = 20_000_000
+# Largest block (users) whose pair co-moments one pandas call computes.
+MAX_DENSE_BLOCK_USERS = 10_000
+
 # Default subjects / parameters of the registered single-user style queries.
 DEFAULT_SUBJECT_USERS = (1, 2, 3)
 DEFAULT_PAIR = (1, 2)

@@ -232,3 +232,26 @@ def test_train_for_users_equals_full_training_rows(spark, small):
     a = train_neighbors_for(r, ids, n_blocks=4)
     b = train_neighbors(r, n_blocks=4).where(F.col("user").isin(ids))
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_auto_strategy_falls_back_to_join(spark, small, monkeypatch):
+    import rateweave.plans.train as TR
+
+    r, _ = small
+    assert 0 < TR.largest_block_output(r, 2, "mod") <= 150 * 100
+    cols = ["user", "item_id", "support", "round(rating, 9) AS rt"]
+    base = TR.recommend_all(r, n_blocks=2, strategy="join").selectExpr(*cols)
+    monkeypatch.setattr(TR, "MAX_BLOCK_OUTPUT", 1)  # every block "too big"
+    forced = TR.recommend_all(r, n_blocks=2).selectExpr(*cols)
+    assert forced.exceptAll(base).count() == 0 and base.exceptAll(forced).count() == 0
+
+
+def test_auto_training_strategy_guard(spark, small, monkeypatch):
+    import rateweave.plans.train as TR
+
+    r, _ = small
+    assert TR.largest_block_users(r, 1, "mix") >= 140  # ~150 users, HLL estimate
+    base = TR.train_neighbors(r, n_blocks=1, strategy="matmul")
+    monkeypatch.setattr(TR, "MAX_DENSE_BLOCK_USERS", 10)  # force the join path
+    forced = TR.train_neighbors(r, n_blocks=1)
+    assert forced.exceptAll(base).count() == 0 and base.exceptAll(forced).count() == 0
