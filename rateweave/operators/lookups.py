@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..constants import MAX_BROADCAST_SUBJECTS
 from .serving import attach_titles
 from .similarity import correlations, pair_moments
 
@@ -38,7 +39,9 @@ def pair_lookup(spark: SparkSession, ratings: DataFrame,
     Computed from ratings directly (no blocking), so any pair can be looked up.
     The pair list is a parameter table of len(pairs) rows.
     """
-    plist = [(int(a), int(b)) for a, b in pairs]
+    plist = sorted({(int(a), int(b)) for a, b in pairs})
+    if len(plist) > MAX_BROADCAST_SUBJECTS:
+        raise ValueError(f"at most {MAX_BROADCAST_SUBJECTS} pairs per call, got {len(plist)}")
     ids = sorted({u for p in plist for u in p})
     wanted = spark.createDataFrame(plist, "user long, neighbor long")
     mine = ratings.where(F.col("user_id").isin(ids))
