@@ -173,3 +173,21 @@ def test_block_scoring_counts_zero_and_negative_edges(spark):
     a = recommend(edges, r, drop_rated=False).selectExpr(*cols)
     b = recommend_blocked(edges, r, 1, "mod", drop_rated=False).selectExpr(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_reference_order_and_keep_rated_flags(spark):
+    base = [1 + i % 5 for i in range(12)]
+    rows = [(1, i, v) for i, v in enumerate(base[:10])]
+    rows += [(2, i, v) for i, v in enumerate(base)] + [(2, 30, 1), (2, 31, 5)]
+    r = ratings_df(spark, rows)
+    edges = train_neighbors(r, n_blocks=1)
+    items = spark.createDataFrame([(i, f"t{i}") for i in range(40)], "item_id int, title string")
+    kept = recommend(edges, r, drop_rated=False).where("user = 1")
+    dropped = recommend(edges, r).where("user = 1")
+    assert kept.count() == 14 and dropped.count() == 4  # 10 rated items are candidates too
+    by_item = SV.recommendation_pages(dropped, items, order="item").orderBy("rank").collect()
+    assert [x.item_id for x in by_item] == [10, 11, 30, 31]  # the reference's ascending ids (D2)
+    by_score = SV.recommendation_pages(dropped, items).orderBy("rank").collect()
+    assert [round(x.rating, 6) for x in by_score] == sorted(
+        (round(x.rating, 6) for x in by_score), reverse=True)
+    assert {x.title for x in by_score} == {"t10", "t11", "t30", "t31"}
