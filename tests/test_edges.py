@@ -191,3 +191,15 @@ def test_reference_order_and_keep_rated_flags(spark):
     assert [round(x.rating, 6) for x in by_score] == sorted(
         (round(x.rating, 6) for x in by_score), reverse=True)
     assert {x.title for x in by_score} == {"t10", "t11", "t30", "t31"}
+
+
+def test_block_scoring_with_cancelling_weights(spark):
+    """+c and -c on the same item: weight sum 0 -> no raw value, mean skips it."""
+    from rateweave.operators.predict import recommend_blocked
+
+    r = ratings_df(spark, [(1, 9, 3), (2, 1, 5), (2, 2, 4), (3, 1, 1), (3, 2, 2)])
+    edges = spark.createDataFrame([(1, 2, 0.5), (1, 3, -0.5)], "user long, neighbor long, corr double")
+    cols = ["user", "item_id", "score", "corr_sum", "support", "raw_rating", "user_mean", "rating"]
+    a = recommend(edges, r, drop_rated=False).select(*cols)
+    b = recommend_blocked(edges, r, 1, "mod", drop_rated=False).select(*cols)
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
