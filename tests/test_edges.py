@@ -203,3 +203,14 @@ def test_block_scoring_with_cancelling_weights(spark):
     a = recommend(edges, r, drop_rated=False).select(*cols)
     b = recommend_blocked(edges, r, 1, "mod", drop_rated=False).select(*cols)
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_global_rank_empty_and_single(spark):
+    empty = spark.range(0, 0).selectExpr("id AS user_id")
+    assert SV.global_rank(empty, ["user_id"], 4).count() == 0
+    one = spark.range(5, 6).selectExpr("id AS user_id")
+    assert [(r.user_id, r.rank) for r in SV.global_rank(one, ["user_id"], 4).collect()] == [(5, 1)]
+    pages = SV.global_pages(spark.range(1, 22).selectExpr("id AS user_id"), ["user_id"], 20,
+                            "total_users").orderBy("rank").collect()
+    assert [p.page for p in pages] == [1] * 20 + [2]
+    assert pages[0].has_next and not pages[0].has_prev and pages[-1].has_prev and not pages[-1].has_next
