@@ -9,6 +9,7 @@ import pytest
 from conftest import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "scripts"))
+os.environ.setdefault("CHECK_EXACT", "1")  # doubles must match DuckDB's bit for bit
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import canon  # noqa: E402
 from rateweave.sources.views import TABLES  # noqa: E402
