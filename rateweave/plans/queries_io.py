@@ -77,7 +77,7 @@ def q_silver_items(spark, sf_dir):
 
 def _stats_versions(spark, sf_dir):
     """Two versions: stats as of the old date, then full stats (written twice)."""
-    c = Ctx(spark, sf_dir)
+    c = Ctx(spark, sf_dir, True)  # three passes over the ratings: read the view once
     path = fresh_path(spark, "gold-user-stats")
     old = c.ratings.where(F.col("rated_at") < F.lit(DEFAULT_VERSION_OLD).cast("timestamp_ntz"))
     V.write_versioned(user_stats(old), path, DEFAULT_VERSION_OLD)
