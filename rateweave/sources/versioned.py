@@ -66,4 +66,20 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.materialized_path = path  # for release()
+    return out
+
+
+def release(materialized: DataFrame) -> None:
+    """Free a table written by ``materialize`` once nothing reads it any more.
+
+    Spark-native: the folder is overwritten with an empty DataFrame of the
+    same schema, which removes the data files.  Call it after the results
+    that read the table have been written (plans are lazy).
+    """
+    path = getattr(materialized, "materialized_path", None)
+    if path is None:
+        raise ValueError("not a DataFrame returned by materialize()")
+    spark = materialized.sparkSession
+    spark.createDataFrame([], materialized.schema).write.mode("overwrite").parquet(path)

@@ -214,3 +214,13 @@ def test_global_rank_empty_and_single(spark):
                             "total_users").orderBy("rank").collect()
     assert [p.page for p in pages] == [1] * 20 + [2]
     assert pages[0].has_next and not pages[0].has_prev and pages[-1].has_prev and not pages[-1].has_next
+
+
+def test_materialize_and_release(spark):
+    m = V.materialize(ratings_df(spark, [(1, 1, 3), (2, 1, 4)]), "release-test")
+    assert m.count() == 2
+    path = m.materialized_path
+    V.release(m)
+    assert spark.read.parquet(path).count() == 0
+    with pytest.raises(ValueError):
+        V.release(ratings_df(spark, [(1, 1, 3)]))
