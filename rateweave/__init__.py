@@ -11,6 +11,20 @@ functions  reusable column expressions (Pearson from moments, shrinkage, ...)
 operators  relational building blocks (stats, similarity, neighbours, ...)
 plans      composite jobs and the query registry used by ``__spark_entry__``
 streaming  (empty: the reference has no streaming operator)
+
+The most used entry points are re-exported here.
 """
 
-__all__ = ["constants"]
+from .operators.predict import recommend, recommend_for_users
+from .operators.serving import recommendation_pages, users_page, users_rated_all
+from .operators.stats import normalize_ratings, user_stats
+from .plans.train import recommend_all, train_neighbors, train_neighbors_for
+from .sources.versioned import latest_version, materialize, release, write_versioned
+from .sources.views import load_items, load_ratings
+
+__all__ = [
+    "load_ratings", "load_items", "user_stats", "normalize_ratings",
+    "train_neighbors", "train_neighbors_for", "recommend_all", "recommend",
+    "recommend_for_users", "recommendation_pages", "users_page", "users_rated_all",
+    "write_versioned", "latest_version", "materialize", "release",
+]
