@@ -224,3 +224,14 @@ def test_materialize_and_release(spark):
     assert spark.read.parquet(path).count() == 0
     with pytest.raises(ValueError):
         V.release(ratings_df(spark, [(1, 1, 3)]))
+
+
+def test_attach_titles_strict_and_inner(spark):
+    r = ratings_df(spark, [(1, 1, 3), (1, 2, 4)])
+    items = spark.createDataFrame([(1, "one")], "item_id int, title string")
+    left = SV.attach_titles(r.select("user_id", "item_id"), items).collect()
+    assert sorted((x.item_id, x.title) for x in left) == [(1, "one"), (2, None)]
+    inner = SV.attach_titles(r.select("user_id", "item_id"), items, how="inner").collect()
+    assert [(x.item_id, x.title) for x in inner] == [(1, "one")]
+    with pytest.raises(KeyError):
+        SV.attach_titles(r.select("user_id", "item_id"), items, strict=True)
