@@ -148,6 +148,8 @@ def test_empty_input_gives_empty_output(spark, strategy):
     assert edges.count() == 0
     assert recommend(edges, r).count() == 0
     assert user_stats(r).count() == 0
+    from rateweave.plans.train import recommend_all
+    assert recommend_all(r).count() == 0  # one-pass block count on no users
 
 
 @pytest.mark.parametrize("n_parts", [1, 3, 16])
