@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from ..sources.views import read_table
 from .chat import CLOSE, CUT, GUARDED, OPEN, conversation_digests, format_conversations
+from .exact import exact_groups
 from .extraction import extract_main_text
-from .common import WORD
+from .common import LOWER, UPPER, WORD
 from .mixing import MOST_COPIES, SEED, WEIGHTS, mix_sources
 from .packing import pack_documents
 from .sharding import assign_shards
+from .simhash import near_groups
 
 SHARDS = 24
 # A text made of control strings.
@@ -27,6 +29,16 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read_table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -44,7 +56,7 @@ def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op8_shard, op9_chat, op10_extract)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op4_exact_dedup, op5_simhash_dedup, op8_shard, op9_chat, op10_extract)}
 
 GUARDED_SQL = f"'{GUARDED}', '\\1{chr(92) * 2}', 'g'"
 
@@ -83,6 +95,12 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        CAST(size * CAST(floor(rank * rate + first) - floor((rank - 1) * rate + first) AS INT) AS BIGINT) AS taken
 FROM placed""",
+    "op4_exact_dedup": f"""
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(text) AS text_sha256
+FROM (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS text FROM documents) t
+WINDOW w AS (PARTITION BY text)""",
     "op9_chat": f"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
