@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.views import read_table
 from .chat import CLOSE, CUT, GUARDED, OPEN, conversation_digests, format_conversations
+from .embeddings import THRESHOLD, embedding_groups
 from .exact import exact_groups
 from .extraction import extract_main_text
 from .common import LOWER, UPPER, WORD
@@ -29,6 +30,10 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(read_table(spark, sf_dir, "embeddings"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -56,7 +61,7 @@ def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op4_exact_dedup, op5_simhash_dedup, op8_shard, op9_chat, op10_extract)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op3_embedding_dedup, op4_exact_dedup, op5_simhash_dedup, op8_shard, op9_chat, op10_extract)}
 
 GUARDED_SQL = f"'{GUARDED}', '\\1{chr(92) * 2}', 'g'"
 
