@@ -109,3 +109,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("copies", (reached(F.col("rank")) - reached(F.col("rank") - 1)).cast("int"))
         .select("doc_id", "size", "source_size", "target", "copies",
                 (F.col("copies") * F.col("size")).alias("taken"), *keep))
+
+
+def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source") -> DataFrame:
+    """The rows of ``docs`` with all their columns, each as often as the mix takes it."""
+    row, times = free_name(docs, "row"), free_name(docs, "times")
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    taken = mix_sources(rows, id_col, text_col, source_col, keep=(row,)).filter("copies > 0").select(
+        row, F.col("copies").alias(times))
+    return rows.join(taken, row).withColumn(
+        times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)

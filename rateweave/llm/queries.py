@@ -13,8 +13,10 @@ from .extraction import extract_main_text
 from .common import LOWER, UPPER, WORD
 from .mixing import MOST_COPIES, SEED, WEIGHTS, mix_sources
 from .packing import pack_documents
+from .quality import classify_quality
 from .sharding import assign_shards
 from .simhash import near_groups
+from .suffix_tree import lm_scores
 
 SHARDS = 24
 # A text made of control strings.
@@ -44,6 +46,14 @@ def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(read_table(spark, sf_dir, "documents"))
+
+
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(read_table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
@@ -61,7 +71,7 @@ def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op3_embedding_dedup, op4_exact_dedup, op5_simhash_dedup, op8_shard, op9_chat, op10_extract)}
+QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op3_embedding_dedup, op4_exact_dedup, op5_simhash_dedup, op6_quality, op7_lm_score, op8_shard, op9_chat, op10_extract)}
 
 GUARDED_SQL = f"'{GUARDED}', '\\1{chr(92) * 2}', 'g'"
 
