@@ -34,8 +34,8 @@ def reply_paths(messages: DataFrame, id_col: str = "id", parent_col: str = "pare
     Ids are unique and not null; a message whose parent is null or unknown is
     a root.  Step k joins the paths found so far with the 2**k-th ancestors,
     which are joined with themselves for the next step, so the number of
-    joins grows with the logarithm of the depth.  Messages on a cycle of
-    replies have no leaf below them or no root above them and are left out.
+    joins grows with the logarithm of the depth.  A cycle of replies has no
+    leaf and is left out; a leaf that leads into one raises ValueError.
     """
     nodes = messages.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"))
     links = nodes.filter("parent is not null").select("id", F.col("parent").alias("above"))
@@ -43,16 +43,18 @@ def reply_paths(messages: DataFrame, id_col: str = "id", parent_col: str = "pare
     hops = written(links, "replies")
     leaves = nodes.select("id").join(hops.select(F.col("above").alias("id")), "id", "left_anti")
     paths = written(leaves.select(F.col("id").alias("leaf"), "id", F.lit(0).alias("up")), "paths")
-    step = 1
-    while hops.limit(1).count():
-        further = paths.join(hops, "id").select("leaf", F.col("above").alias("id"), (F.col("up") + step).alias("up"))
+    step, most = 1, nodes.count()
+    while True:
+        further = written(paths.join(hops, "id").select(
+            "leaf", F.col("above").alias("id"), (F.col("up") + step).alias("up")), "further")
+        if not further.limit(1).count():
+            return paths
+        if step > most:
+            raise ValueError("the replies above a leaf contain a cycle")
         paths = written(paths.unionByName(further), "paths")
         onward = hops.select(F.col("id").alias("above"), F.col("above").alias("next"))
         hops = written(hops.join(onward, "above").select("id", F.col("next").alias("above")), "replies")
         step *= 2
-        if step > 1 << 40:
-            raise ValueError("the replies contain a cycle")
-    return paths
 
 
 def best_paths(messages: DataFrame, paths: DataFrame, most: int | None = None) -> DataFrame:
