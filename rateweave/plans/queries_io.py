@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD
+from ..constants import DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD, QUERY_BLOCKS
 from ..operators.stats import user_stats
 from ..session import fresh_path
 from ..sources import text as T
 from ..sources import versioned as V
+from ..sources.versioned import materialize as written
 from .registry import Ctx, register, rounded
 from .train import recommend_all, train_neighbors
 
@@ -48,13 +49,42 @@ def q_parse_header_cumsum(spark, sf_dir):
     return T.parse_header_cumsum(raw)
 
 
+def _silver(spark, sf_dir):
+    """C1 + K1: parse, type, and write both the valid rows and the rejects."""
+    raw, _ = _bronze(spark, sf_dir)
+    typed = written(T.type_ratings(T.parse_header_blocks(raw)), "typed-ratings")
+    good, bad = T.split_typed(typed)
+    return (V.write_table(good, fresh_path(spark, "silver-ratings")),
+            V.write_table(bad, fresh_path(spark, "rejected-ratings")))
+
+
 @register("silver_ratings")
 def q_silver_ratings(spark, sf_dir):
-    """C1 + K1: parse, type, reject, write silver parquet, read it back."""
-    raw, _ = _bronze(spark, sf_dir)
-    good, _bad = T.silver_ratings(T.parse_header_blocks(raw))
-    out = V.write_table(good, fresh_path(spark, "silver-ratings"))
-    return spark.read.parquet(out)
+    return spark.read.parquet(_silver(spark, sf_dir)[0])
+
+
+@register("silver_rejects")
+def q_silver_rejects(spark, sf_dir):
+    """The lines that K1 could not type, as text: an empty table for clean input.
+
+    The rendered text is clean, so lines without a user and without a rating
+    are written beside it for one item in ten.
+    """
+    ratings = Ctx(spark, sf_dir).ratings
+    path = T.render_header_blocks(ratings, fresh_path(spark, "bronze-ratings"))
+    faulty = ratings.filter("item_id % 10 = 0").select(F.inline(F.array(
+        F.struct(F.concat(F.lit(","), F.col("rating").cast("string"), F.lit(",2000-01-02")).alias("value")),
+        F.struct(F.concat(F.col("user_id").cast("string"), F.lit(",x,2000-01-02")).alias("value")))))
+    faulty.write.mode("append").text(path)
+    _, bad = T.silver_ratings(T.parse_header_blocks(T.scan_ratings_text(spark, path)))
+    return spark.read.parquet(V.write_table(bad, fresh_path(spark, "rejected-ratings")))
+
+
+@register("peek_raw_lines")
+def q_peek_raw_lines(spark, sf_dir):
+    """S6 on raw text: the first lines in a total order, with their number of fields."""
+    _, path = _bronze(spark, sf_dir)
+    return T.peek_lines(spark, path, 10)
 
 
 def _items_file(spark, sf_dir):
@@ -102,8 +132,8 @@ def q_latest_version(spark, sf_dir):
 @register("versioned_neighbors")
 def q_versioned_neighbors(spark, sf_dir):
     """C4 + K4: trained neighbours written as today's version, latest read back."""
-    c = Ctx(spark, sf_dir, True)
-    edges = train_neighbors(c.ratings)
+    c = Ctx(spark, sf_dir, True, dense=True)
+    edges = train_neighbors(c.ratings, n_blocks=QUERY_BLOCKS)
     path = fresh_path(spark, "gold-user-neighbors")
     # clustered by user: a serving look-up reads one narrow key range
     V.write_versioned(edges, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
@@ -114,8 +144,8 @@ def q_versioned_neighbors(spark, sf_dir):
 def q_versioned_recommendations(spark, sf_dir):
     """K3/K4 applied to the serving table: today's predictions for every user,
     clustered by user (the service's per-user look-up), latest version read back."""
-    c = Ctx(spark, sf_dir, True)
-    recs = recommend_all(c.ratings, checkpoint_input=False).select("user", "item_id", "rating")
+    c = Ctx(spark, sf_dir, True, dense=True)
+    recs = recommend_all(c.ratings, n_blocks=QUERY_BLOCKS, checkpoint_input=False).select("user", "item_id", "rating")
     path = fresh_path(spark, "gold-recommendations")
     V.write_versioned(recs, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
     return rounded(V.latest_version(V.read_versioned(spark, path, recs.schema)))

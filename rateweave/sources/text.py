@@ -18,9 +18,10 @@ an *un-partitioned* window: every row of every file goes to one task.  Here
 the order that matters is the line order inside each file, which Spark
 preserves inside each input split:
 
-1. scan with ``_metadata.file_path`` / ``_metadata.file_block_start`` (the
-   split) and ``monotonically_increasing_id()`` (line order inside a split);
-2. shuffle once by (file, split) and fill inside the split with a window;
+1. scan with a digest of ``_metadata.file_path`` and
+   ``_metadata.file_block_start`` (the split);
+2. fill inside the split as the scan hands out its lines, in Arrow batches:
+   no line of text is shuffled;
 3. per split, keep its last header (a tiny table: one row per split);
 4. the carry-in of a split is the last header of the nearest earlier split
    of the same file that has one (window by file over the tiny table);
@@ -35,6 +36,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..constants import BLOCK_PIECES
 
 RAW_RATINGS_SCHEMA = "user_raw STRING, rating INT, rated_on DATE"
 RAW_ITEMS_SCHEMA = "item_id INT, year SMALLINT, title STRING"
@@ -42,25 +46,28 @@ RAW_ITEMS_SCHEMA = "item_id INT, year SMALLINT, title STRING"
 
 # --- rendering (bronze fixtures derived from the ratings view) ----------------
 
-def render_header_blocks(ratings: DataFrame, path: str, n_files: int | None = None) -> str:
-    """Write ratings as header-block text, one item block per file section.
+def render_header_blocks(ratings: DataFrame, path: str, n_files: int | None = None,
+                         pieces: int = BLOCK_PIECES) -> str:
+    """Write ratings as header-block text, up to ``pieces`` blocks per item.
 
-    Rows are hash-partitioned by item and sorted inside each file, so every
-    block sits whole in one file: header first, then users ascending.
+    Rows are hash-partitioned by item and piece (user mod ``pieces``), so an
+    item that most rows belong to is written by several tasks; inside each
+    file a block's header comes first, then its users ascending.
     ``n_files`` defaults to the session's shuffle partition count, so the
     write is as parallel as any other stage.
     """
     if n_files is None:
         n_files = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heads = ratings.select("item_id").distinct().select(
-        "item_id", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("user_id"),
+    piece = F.pmod("user_id", F.lit(pieces)).alias("piece")
+    heads = ratings.select("item_id", piece).distinct().select(
+        "item_id", "piece", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("user_id"),
         F.concat(F.col("item_id").cast("string"), F.lit(":")).alias("value"))
     rows = ratings.select(
-        "item_id", F.lit(1).alias("kind"), "user_id",
+        "item_id", piece, F.lit(1).alias("kind"), "user_id",
         F.concat_ws(",", F.col("user_id").cast("string"), F.col("rating").cast("string"),
                     F.date_format("rated_at", "yyyy-MM-dd")).alias("value"))
-    lines = heads.unionByName(rows).repartition(n_files, "item_id") \
-        .sortWithinPartitions("item_id", "kind", "user_id").select("value")
+    lines = heads.unionByName(rows).repartition(n_files, "item_id", "piece") \
+        .sortWithinPartitions("item_id", "piece", "kind", "user_id").select("value")
     lines.write.mode("overwrite").text(path)
     return path
 
@@ -91,7 +98,7 @@ def scan_ratings_text(spark: SparkSession, path: str, glob: str = "part-*") -> D
           .csv(path))
     return df.select(
         "user_raw", "rating", "rated_on",
-        F.col("_metadata.file_path").alias("file"),
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         F.monotonically_increasing_id().alias("pos"))
 
@@ -105,106 +112,96 @@ def split_line_fields(spark: SparkSession, path: str, glob: str = "part-*") -> D
                         F.get(parts, 2).alias("date_raw"))
 
 
+def peek_lines(spark: SparkSession, path: str, n: int, glob: str = "part-*") -> DataFrame:
+    """The first ``n`` raw lines in order of their text, with their number of fields."""
+    lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
+    return lines.orderBy("value").limit(n).withColumn("fields", F.size(F.split("value", ",")))
+
+
 # --- header blocks -------------------------------------------------------------
 
-def _marked(raw: DataFrame) -> DataFrame:
-    """Header flag (P1) and header id (P2), co-partitioned by split."""
-    is_header = F.col("user_raw").endswith(":")
+def _headed(raw: DataFrame) -> DataFrame:
+    """Header flag (P1; a line without a user is none) and header id."""
+    is_header = F.coalesce(F.col("user_raw").endswith(":"), F.lit(False))
     return raw.select(
-        "file", "split", "pos", "user_raw", "rating", "rated_on",
-        is_header.alias("is_header"),
-        F.when(is_header, F.regexp_replace("user_raw", ":", "")).alias("header"),
-    ).repartition("file", "split")
+        "file", "split", "pos", "user_raw", "rating", "rated_on", is_header.alias("is_header"),
+        F.when(is_header, F.regexp_replace("user_raw", ":", "")).alias("header"))
 
 
-def _carry_in(marked: DataFrame) -> DataFrame:
+def _carry_in(raw: DataFrame) -> DataFrame:
     """(file, split, carry): last header of the nearest earlier split with one."""
-    last_in_split = marked.groupBy("file", "split").agg(
-        F.max(F.struct(F.when(F.col("is_header"), F.col("pos")).alias("p"),
-                       F.col("header").alias("h"))).getField("h").alias("last_header"))
+    headers = _headed(raw).where("is_header").groupBy("file", "split").agg(
+        F.max_by("header", "pos").alias("last_header"))
+    last_in_split = raw.select("file", "split").distinct().join(headers, ["file", "split"], "left")
     w = Window.partitionBy("file").orderBy("split") \
         .rowsBetween(Window.unboundedPreceding, -1)
     return last_in_split.select(
         "file", "split", F.last("last_header", ignorenulls=True).over(w).alias("carry"))
 
 
-def parse_header_blocks(raw: DataFrame) -> DataFrame:
-    """Forward-fill the item id down each file and drop header rows.
-
-    Output: user_raw, rating, rated_on, item_raw (text, before casts).
-    """
-    marked = _marked(raw)
-    w = Window.partitionBy("file", "split").orderBy("pos") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = marked.withColumn("local", F.last("header", ignorenulls=True).over(w))
-    out = filled.join(_carry_in(marked), ["file", "split"], "left")
-    return out.where(~F.col("is_header")).select(
-        "user_raw", "rating", "rated_on",
-        F.coalesce("local", "carry").alias("item_raw"))
-
-
-FILLED_SCHEMA = ("file string, split long, pos long, user_raw string, rating int, "
-                 "rated_on date, is_header boolean, local string")
-
-
-def _fill_in_partition(batches):
-    """mapInPandas body: forward-fill headers through each split, in scan order.
+def _fill_fn():
+    """mapInArrow function: forward-fill headers through each split, in scan order.
 
     A file scan hands every split to one task as a contiguous run of lines, in
     file order, so the fill needs no shuffle.  The fill restarts at every
     split boundary; a split's leading rows (before its first header) stay
     null here and get the carry-in from the small per-split table.
     """
-    import pandas as pd
-
-    last_key, last_item = None, None
-    for pdf in batches:
-        if pdf.empty:
-            yield pdf.assign(is_header=pd.Series(dtype=bool), local=pd.Series(dtype=object))
-            continue
-        key = pdf["file"].astype(str) + "\x00" + pdf["split"].astype(str)
-        is_header = pdf["user_raw"].fillna("").str.endswith(":")
-        header = pdf["user_raw"].where(is_header).str.replace(":", "", regex=False)
-        run = (key != key.shift()).cumsum()
-        local = header.groupby(run).ffill()
-        if last_key is not None and key.iloc[0] == last_key:
-            first = run == run.iloc[0]
-            local = local.where(~(first & local.isna()), last_item)
-        tail = local[run == run.iloc[-1]].dropna()
-        if key.iloc[-1] != last_key or len(tail):
-            last_item = tail.iloc[-1] if len(tail) else None
-        last_key = key.iloc[-1]
-        yield pdf.assign(is_header=is_header, local=local)
-
-
-def parse_header_blocks_local(raw: DataFrame) -> DataFrame:
-    """W1 without shuffling the text: per-partition fill + carry-in for leading rows.
-
-    Same output as ``parse_header_blocks``.  Only header rows are aggregated
-    (one row per split) and only rows before the first header of a split are
-    joined to the carry table; the bulk of the text is never shuffled.
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def fn(batches):
+        last_key, last = None, None
+        for batch in batches:
+            for part in cut(batch):
+                key = (part.column("file")[0].as_py(), part.column("split")[0].as_py())
+                raw = part.column("user_raw")
+                head = pc.fill_null(pc.ends_with(raw, ":"), False)
+                item = pc.if_else(head, pc.replace_substring(raw, ":", ""), pa.scalar(None, pa.string()))
+                if key == last_key and last is not None:
+                    item = pa.concat_arrays([pa.array([last], pa.string()), item])
+                    item = pc.fill_null_forward(item).slice(1)
+                else:
+                    item = pc.fill_null_forward(item)
+                last_key, last = key, item[len(item) - 1].as_py()
+                out = pa.RecordBatch.from_arrays([*part.columns, item], names=[*part.schema.names, "local"])
+                yield out.filter(pc.invert(head))
+
+    def cut(batch):
+        """A batch at its split boundaries."""
+        if not len(batch):
+            return
+        same = pc.and_(pc.equal(batch.column("file").slice(1), batch.column("file").slice(0, len(batch) - 1)),
+                       pc.equal(batch.column("split").slice(1), batch.column("split").slice(0, len(batch) - 1)))
+        at = [0, *(i + 1 for i, x in enumerate(same.to_pylist()) if not x), len(batch)] if not pc.all(same).as_py() and len(same) \
+            else [0, len(batch)]
+        for a, b in zip(at, at[1:]):
+            yield batch.slice(a, b - a)
+
+    return fn
+
+
+def parse_header_blocks(raw: DataFrame) -> DataFrame:
+    """Forward-fill the item id down each file and drop header rows.
+
+    Output: user_raw, rating, rated_on, item_raw (text, before casts).  The
+    lines are filled inside their scan tasks and not shuffled; the headers are
+    scanned once more for the last one of each split.
     """
-    filled = raw.select("file", "split", "pos", "user_raw", "rating", "rated_on") \
-        .mapInPandas(_fill_in_partition, FILLED_SCHEMA)
-    heads = filled.where("is_header").select(
-        "file", "split", "pos", F.regexp_replace("user_raw", ":", "").alias("header"))
-    last_in_split = heads.groupBy("file", "split").agg(
-        F.max_by("header", "pos").alias("last_header"))
-    splits = raw.select("file", "split").distinct()
-    w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    carry = splits.join(last_in_split, ["file", "split"], "left").select(
-        "file", "split", F.last("last_header", ignorenulls=True).over(w).alias("carry"))
-    rows = filled.where(~F.col("is_header"))
-    settled = rows.where(F.col("local").isNotNull()).select(
-        "user_raw", "rating", "rated_on", F.col("local").alias("item_raw"))
-    leading = rows.where(F.col("local").isNull()).join(carry, ["file", "split"], "left") \
-        .select("user_raw", "rating", "rated_on", F.col("carry").alias("item_raw"))
-    return settled.unionByName(leading)
+    rows = raw.select("file", "split", "user_raw", "rating", "rated_on")
+    filled = rows.mapInArrow(_fill_fn(), T.StructType([*rows.schema.fields, T.StructField("local", T.StringType())]))
+    # one row for each input split, as many as the scan has tasks
+    carry = F.broadcast(_carry_in(raw))
+    return filled.join(carry, ["file", "split"], "left").select(
+        "user_raw", "rating", "rated_on", F.coalesce("local", "carry").alias("item_raw"))
 
 
 def parse_header_cumsum(raw: DataFrame) -> DataFrame:
-    """Notebook variant: running header count, then join rows to their header."""
-    marked = _marked(raw)
+    """Notebook variant: running header count, then join rows to their header.
+
+    This form shuffles all lines by split; ``parse_header_blocks`` does not.
+    """
+    marked = _headed(raw).repartition("file", "split")
     w = Window.partitionBy("file", "split").orderBy("pos") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = marked.withColumn("hno", F.sum(F.col("is_header").cast("int")).over(w))
@@ -212,7 +209,7 @@ def parse_header_cumsum(raw: DataFrame) -> DataFrame:
                                               F.col("header").alias("head_item"))
     rows = numbered.where(~F.col("is_header"))
     joined = rows.join(heads, ["file", "split", "hno"], "left") \
-        .join(_carry_in(marked), ["file", "split"], "left")
+        .join(_carry_in(raw), ["file", "split"], "left")
     return joined.select("user_raw", "rating", "rated_on",
                          F.coalesce("head_item", "carry").alias("item_raw"))
 
@@ -221,7 +218,7 @@ def type_ratings(parsed: DataFrame) -> DataFrame:
     """Typed silver columns with ``try_cast`` (D4) plus an ``ok`` flag."""
     typed = parsed.select(
         F.expr("try_cast(user_raw AS BIGINT)").alias("user_id"),
-        F.expr("try_cast(item_raw AS INT)").alias("item_id"),
+        F.expr("try_cast(item_raw AS BIGINT)").alias("item_id"),
         F.col("rating"), F.col("rated_on").alias("rated_at"))
     ok = (F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
           & F.col("rating").isNotNull() & F.col("rated_at").isNotNull())
@@ -230,7 +227,11 @@ def type_ratings(parsed: DataFrame) -> DataFrame:
 
 def silver_ratings(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows): malformed ids, missing items and nulls are rejected."""
-    typed = type_ratings(parsed)
+    return split_typed(type_ratings(parsed))
+
+
+def split_typed(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``type_ratings`` as (valid, rejected)."""
     cols = ["user_id", "item_id", "rating", "rated_at"]
     return typed.where("ok").select(cols), typed.where("NOT ok").select(cols)
 

@@ -23,7 +23,7 @@ def bronze(spark, tmp_path_factory):
 
 
 @pytest.mark.parametrize("size", SPLIT_SIZES)
-@pytest.mark.parametrize("variant", ["ffill", "cumsum", "local"])
+@pytest.mark.parametrize("variant", ["ffill", "cumsum"])
 def test_parse_any_split_size(spark, bronze, size, variant):
     path, expected = bronze
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -33,8 +33,7 @@ def test_parse_any_split_size(spark, bronze, size, variant):
     try:
         raw = T.scan_ratings_text(spark, path)
         n_splits = raw.select("file", "split").distinct().count()
-        parse = {"ffill": T.parse_header_blocks, "cumsum": T.parse_header_cumsum,
-                 "local": T.parse_header_blocks_local}[variant]
+        parse = {"ffill": T.parse_header_blocks, "cumsum": T.parse_header_cumsum}[variant]
         good, bad = T.silver_ratings(parse(raw))
         got = sorted(tuple(x) for x in good.collect())
         assert bad.count() == 0
@@ -99,7 +98,7 @@ def test_local_fill_across_arrow_batches(spark, bronze, size):
         spark.conf.set(k, v)
     try:
         raw = T.scan_ratings_text(spark, path)
-        good, bad = T.silver_ratings(T.parse_header_blocks_local(raw))
+        good, bad = T.silver_ratings(T.parse_header_blocks(raw))
         assert bad.count() == 0
         assert sorted(tuple(x) for x in good.collect()) == expected
     finally:
@@ -107,14 +106,40 @@ def test_local_fill_across_arrow_batches(spark, bronze, size):
             spark.conf.set(k, v)
 
 
-def test_local_fill_rejects_like_window_fill(spark, tmp_dir):
+def test_parsers_agree_on_lines_without_a_user(spark, tmp_dir):
     _write(tmp_dir, "part-00000.txt", [
         "5,3,2005-09-06",
-        "1:", "10,3,2005-09-06", "bad,4,2005-10-19", "11,5,2005-05-13",
-        "2:", "10,4,2005-10-19",
+        "1:", "10,3,2005-09-06", "bad,4,2005-10-19", ",4,2000-01-02", "11,5,2005-05-13",
+        "2:", "10,4,2005-10-19", ",,",
     ])
     raw = T.scan_ratings_text(spark, tmp_dir)
-    a = T.silver_ratings(T.parse_header_blocks_local(raw))
-    b = T.silver_ratings(T.parse_header_blocks(raw))
+    a = T.silver_ratings(T.parse_header_blocks(raw))
+    b = T.silver_ratings(T.parse_header_cumsum(raw))
     for x, y in zip(a, b):
         assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+    assert a[0].count() == 3 and a[1].count() == 4
+
+
+def test_inputs_are_chosen_by_name(spark, tmp_dir):
+    _write(tmp_dir, "part-00000.txt", ["1:", "10,3,2005-09-06"])
+    _write(tmp_dir, "part-00001.txt", ["2:", "11,4,2005-09-06"])
+    _write(tmp_dir, "movie_titles.csv", ["1,2003,Dinosaur Planet"])
+    _write(tmp_dir, "readme.txt", ["9:", "1,1,2000-01-01"])
+    _write(os.path.join(tmp_dir, "deeper"), "part-9.txt", ["3:", "12,5,2005-09-06"])
+    good, bad = T.silver_ratings(T.parse_header_blocks(T.scan_ratings_text(spark, tmp_dir)))
+    assert sorted((r.user_id, r.item_id) for r in good.collect()) == [(10, 1), (11, 2), (12, 3)]
+    assert bad.count() == 0
+    only, _ = T.silver_ratings(T.parse_header_blocks(T.scan_ratings_text(spark, tmp_dir, "part-0000[1]*")))
+    assert [(r.user_id, r.item_id) for r in only.collect()] == [(11, 2)]
+    titles = spark.read.option("pathGlobFilter", "*titles*").text(tmp_dir)
+    assert titles.count() == 1
+
+
+def test_rendered_blocks_are_split(spark, tmp_dir):
+    r = spark.range(0, 1000).selectExpr("id AS user_id", "CAST(7 AS BIGINT) AS item_id", "3 AS rating",
+                                        "TIMESTAMP_NTZ'2001-01-01 00:00:00' AS rated_at")
+    path = T.render_header_blocks(r, tmp_dir + "/hot", n_files=16)
+    files = spark.read.text(path).select("value", F.input_file_name().alias("f"))
+    assert files.select("f").distinct().count() > 3 and files.where("value = '7:'").count() == 8
+    good, bad = T.silver_ratings(T.parse_header_blocks(T.scan_ratings_text(spark, path)))
+    assert good.count() == 1000 and good.where("item_id = 7").count() == 1000 and bad.count() == 0
