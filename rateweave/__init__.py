@@ -10,7 +10,6 @@ sources    table readers, the derived ratings/items views, text scans, sinks
 functions  reusable column expressions (Pearson from moments, shrinkage, ...)
 operators  relational building blocks (stats, similarity, neighbours, ...)
 plans      composite jobs and the query registry used by ``__spark_entry__``
-streaming  (empty: the reference has no streaming operator)
 
 The most used entry points are re-exported here.
 """

@@ -7,6 +7,7 @@ Fixed values that must equal the reference's defaults for equal results:
     smoothing factor (shrinkage lambda)     = 5
     rating clip                             = 1 .. 5
     page size                               = default 20, at most 100
+        similarity blocks                       = 1000
     notebook form: k = 50, support > 10 (strict), C = 5
 """
 
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 # --- fixed values (reference defaults) -------------------------------------
 K_NEIGHBORS = 50
+N_BLOCKS = 1000
 MIN_SUPPORT = 10
 MIN_CORR = 0.3
 SMOOTHING = 5
@@ -26,10 +28,13 @@ NOTEBOOK_MIN_SUPPORT = 10
 NOTEBOOK_C = 5
 
 # --- our own choices ---------------------------------------------------------
-# Users per similarity block.  The reference fixes 1000 blocks for ~480k users,
-# i.e. ~480 users per block; we derive the block count from the data instead
-# so the quadratic work per (block, item) group stays bounded at any scale.
-USERS_PER_BLOCK = 500
+# Similarity blocks of the registered queries, whatever the table's size; a
+# caller passes the count that suits the table (see N_BLOCKS).
+QUERY_BLOCKS = 8
+# Users of one side of a training tile pair, and users of one scoring tile: the
+# sizes that bound a task, without influence on any result.
+TRAIN_TILE = 1024
+SCORE_TILE = 512
 # Block mixing hash ((user mod P) * A + B) mod P, then mod n_blocks.  Plain
 # 64-bit integer arithmetic ((P-1) * A + B < 2^63), so Spark and the SQL
 # oracle compute identical blocks, and any id pattern is spread evenly.
@@ -40,16 +45,12 @@ BLOCK_ADD = 12345
 CORR_DIGITS = 9
 # Doubles in registered query outputs are rounded to this many digits.
 OUT_DIGITS = 6
-# The derived ratings view maps parts onto this many items.
-ITEM_MODULUS = 100
-# Largest subject-user list that may be broadcast (rows <= list x items).
-MAX_BROADCAST_SUBJECTS = 10_000
+# The similarity queries map parts onto this many items, so that users share
+# items as they do in rating data; all other queries keep the part keys.
+DENSE_ITEMS = 100
 
-# Largest per-block scoring output (users x items of one block) handed to one
-# pandas call; larger blocks are scored with the join form instead.
-MAX_BLOCK_OUTPUT = 20_000_000
-# Largest block (users) whose pair co-moments one pandas call computes.
-MAX_DENSE_BLOCK_USERS = 10_000
+# Pieces that an item's block of lines is rendered in, whatever the table's size.
+BLOCK_PIECES = 8
 
 # Default subjects / parameters of the registered single-user style queries.
 DEFAULT_SUBJECT_USERS = (1, 2, 3)

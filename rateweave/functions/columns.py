@@ -67,7 +67,7 @@ def shrink_to_zero(raw, support, penalty: float) -> Column:
     return raw * (support / (support + F.lit(float(penalty))))
 
 
-def block_of(user, n_blocks, method: str = "mix") -> Column:
+def block_of(user, n_blocks: int, method: str = "mix") -> Column:
     """Similarity block of a user.
 
     ``mix``  : pmod(pmod(pmod(user, P) * A + B, P), n) -- default; portable
@@ -86,8 +86,12 @@ def block_of(user, n_blocks, method: str = "mix") -> Column:
         key = F.hash(u)
     else:
         raise ValueError(f"unknown block method {method!r}")
-    n = n_blocks if isinstance(n_blocks, Column) else F.lit(int(n_blocks))
-    return F.pmod(key, n)
+    return F.pmod(key, F.lit(int(n_blocks)))
+
+
+def tile_of(user, tiles: Column) -> Column:
+    """Tile of a user inside its block, independent of the block's own hash."""
+    return F.pmod(F.xxhash64(col(user)), tiles).cast("int")
 
 
 def page_number(rank, page_size: int) -> Column:

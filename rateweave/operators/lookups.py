@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import MAX_BROADCAST_SUBJECTS
 from .serving import attach_titles
 from .similarity import correlations, pair_moments
 
@@ -40,14 +39,12 @@ def pair_lookup(spark: SparkSession, ratings: DataFrame,
     The pair list is a parameter table of len(pairs) rows.
     """
     plist = sorted({(int(a), int(b)) for a, b in pairs})
-    if len(plist) > MAX_BROADCAST_SUBJECTS:
-        raise ValueError(f"at most {MAX_BROADCAST_SUBJECTS} pairs per call, got {len(plist)}")
-    ids = sorted({u for p in plist for u in p})
     wanted = spark.createDataFrame(plist, "user long, neighbor long")
-    mine = ratings.where(F.col("user_id").isin(ids))
+    ids = spark.createDataFrame([(u,) for u in sorted({u for p in plist for u in p})], "user_id long")
+    mine = ratings.join(ids, "user_id", "left_semi")
     left = mine.select(F.col("user_id").alias("user"), "item_id", F.col("rating").alias("x"))
     right = mine.select(F.col("user_id").alias("neighbor"), "item_id", F.col("rating").alias("y"))
-    pairs_df = left.join(F.broadcast(wanted), "user") \
+    pairs_df = left.join(wanted, "user") \
         .join(right, ["neighbor", "item_id"]).select("user", "neighbor", "x", "y")
     return correlations(pair_moments(pairs_df, None), None, drop_undefined=False) \
         .select("user", "neighbor", "n", "corr")

@@ -2,60 +2,55 @@
 
 Design
 ------
-* Correlations are computed on the integer ratings.  Pearson r is unchanged
+* Correlations are computed on the ratings themselves.  Pearson r is unchanged
   by a per-user positive affine map, so r on the reference's z-scores equals
   r on raw ratings; the only difference is that a user with std 0 (z = 0) has
-  an undefined r, which the exact integer variance test also reports as null.
-  Integer moments are exact, so the threshold and ranking do not depend on
-  summation order.
+  an undefined r, which the variance test also reports as null.  Integer
+  moments are exact, so the threshold and ranking do not depend on summation
+  order.
 * Blocking: users are split into ``n_blocks`` blocks and only pairs inside a
-  block are compared (reference design).  Because (user, item) is unique, a
-  (block, item) group holds at most ``users_per_block`` rows however popular
-  the item is, so the quadratic pair work per group is bounded by the block
-  size, not by item skew.  By default the block count is derived from the
-  data (``ceil(users / users_per_block)``) as a scalar subquery -- no driver
-  round trip, and the work per block stays constant as data grows.
-* Two ways to get the pair co-moments, with identical rows:
-  - ``matmul`` (default): one shuffle of the ratings by block, then each
-    block's co-moments as matrix products in ``applyInPandas``; no pair row
-    is materialised or shuffled.
-  - ``join``: the blocked self join emits (user, neighbor, x, y) rows into a
-    hash aggregate with map-side partial aggregation (nothing repartitioned
-    before it).  All JVM, but the partial aggregate only sees the items of a
-    block that share its task, so most pair rows still cross the shuffle.
+  block are compared (reference design).  The count is a parameter and never
+  follows from the data, so more users change no correlation among the
+  others.  Work inside a block grows with the square of its users; a caller
+  with a large table passes a larger count.
+* Inside a block, users are dealt into tiles of about TRAIN_TILE users, and a
+  task computes the co-moments of one pair of tiles as matrix products: no
+  pair row is shuffled, and a task's size does not depend on the block's.
+* ``corated_pairs`` and ``pair_moments`` are the same as plain relational
+  operators: a blocked self join and a hash aggregate.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import (MAX_BROADCAST_SUBJECTS, MIN_CORR, MIN_SUPPORT,
-                         USERS_PER_BLOCK)
-from ..functions.columns import block_of, pearson_from_moments, rounded_corr
-
+from ..constants import MIN_CORR, MIN_SUPPORT, N_BLOCKS, TRAIN_TILE
+from ..functions.columns import block_of, pearson_from_moments, rounded_corr, tile_of
+from ..sources.versioned import materialize
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 FLOAT_VAR_EPS = 1e-9
 
 
-def block_count(ratings: DataFrame, users_per_block: int = USERS_PER_BLOCK) -> Column:
-    """Scalar-subquery column: max(1, ceil(distinct users / users_per_block))."""
-    return ratings.agg(
-        F.greatest(F.lit(1), F.ceil(F.count_distinct("user_id") / F.lit(users_per_block)))
-        .cast("bigint")).scalar()
-
-
-def assign_blocks(ratings: DataFrame, n_blocks: int | Column | None = None,
-                  users_per_block: int = USERS_PER_BLOCK, method: str = "mix") -> DataFrame:
+def assign_blocks(ratings: DataFrame, n_blocks: int = N_BLOCKS, method: str = "mix") -> DataFrame:
     """Add ``block``."""
-    if n_blocks is None:
-        n_blocks = block_count(ratings, users_per_block)
     return ratings.withColumn("block", block_of("user_id", n_blocks, method))
 
 
+def assign_tiles(blocked: DataFrame, tile: int, user: str = "user_id") -> DataFrame:
+    """Add ``tile`` and ``tiles``: the part of its block that a user falls into, and their number.
+
+    Each block gets as many tiles as ``tile`` users a tile take; the counts
+    are a table with one row per block.  Tiles only divide the work.
+    """
+    tiles = materialize(blocked.groupBy("block").agg(
+        F.ceil(F.count_distinct(user) / tile).cast("int").alias("tiles")), "tiles")
+    return blocked.join(tiles, "block").withColumn("tile", tile_of(user, F.col("tiles")))
+
+
 def corated_pairs(blocked: DataFrame) -> DataFrame:
     """Blocked self join (J2): same block, same item, user < neighbor.
 
@@ -124,48 +119,34 @@ def symmetric(corrs: DataFrame) -> DataFrame:
     )))
 
 
-def block_correlations(ratings: DataFrame, n_blocks: int | Column | None = None,
-                       users_per_block: int = USERS_PER_BLOCK, method: str = "mix",
+def block_correlations(ratings: DataFrame, n_blocks: int = N_BLOCKS, method: str = "mix",
                        min_support: int | None = MIN_SUPPORT,
-                       min_corr: float | None = MIN_CORR,
-                       strategy: str = "matmul") -> DataFrame:
+                       min_corr: float | None = MIN_CORR, k: int | None = None,
+                       tile: int = TRAIN_TILE) -> DataFrame:
     """Half-matrix correlations inside blocks: (user < neighbor, corr, n).
 
-    ``strategy="join"``: blocked self join + hash aggregate (all JVM);
-    ``strategy="matmul"``: per-block matrix products (``block_pair_moments``).
+    With ``k``, a pair may be left out that is not among the k best of either
+    user: all that a later top-k needs is kept.
     """
-    blocked = assign_blocks(ratings.select("user_id", "item_id", "rating"),
-                            n_blocks, users_per_block, method)
-    if strategy == "matmul" and dict(blocked.dtypes)["rating"] not in INTEGRAL:
-        strategy = "join"  # the matrix kernel's exact int64 sums need integer ratings
-    if strategy == "matmul":
-        moments = block_pair_moments(blocked, min_support, min_corr=min_corr)
-    else:
-        moments = pair_moments(corated_pairs(blocked), min_support)
-    return correlations(moments, min_corr)
+    blocked = assign_blocks(ratings.select("user_id", "item_id", "rating"), n_blocks, method)
+    return correlations(block_pair_moments(blocked, min_support, False, min_corr, k, tile), min_corr)
 
 
 # --- subject users against everyone (J3, J5, A4) ----------------------------
 
 def _subject_frame(ratings: DataFrame, subjects) -> DataFrame:
-    """Subject users' ratings; a Python list is size-checked, then broadcast."""
+    """Subject users' ratings, by a list of ids or by a table of them."""
     if isinstance(subjects, DataFrame):
         ids = subjects.select(F.col(subjects.columns[0]).alias("user_id")).distinct()
         return ratings.join(ids, "user_id", "left_semi")
-    ids = sorted({int(u) for u in subjects})
-    sub = ratings.where(F.col("user_id").isin(ids))
-    if len(ids) <= MAX_BROADCAST_SUBJECTS:
-        # rows <= len(ids) * items: bounded by the list length we just checked
-        return F.broadcast(sub)
-    return sub
+    return ratings.where(F.col("user_id").isin(sorted({int(u) for u in subjects})))
 
 
 def subject_pairs(ratings: DataFrame, subjects: Sequence[int] | DataFrame) -> DataFrame:
     """Subject users joined to every other user on shared items.
 
-    Output (user, neighbor, item_id, x, y), ``user != neighbor``.  The subject
-    side is broadcast (bounded by the id list), so the large side is streamed
-    once and a hot item never lands in a single shuffle task.
+    Output (user, neighbor, item_id, x, y), ``user != neighbor``.  The sides'
+    measured sizes decide on the join; a popular item's partition is split.
     """
     sub = _subject_frame(ratings, subjects).select(
         F.col("user_id").alias("user"), "item_id", F.col("rating").alias("x"))
@@ -183,115 +164,110 @@ def subject_correlations(ratings: DataFrame, subjects: Sequence[int] | DataFrame
     return correlations(moments, min_corr)
 
 
-# --- per-block moments with dense matrix products ------------------------------
+# --- co-moments of pairs of tiles --------------------------------------------
 
-MOMENTS_SCHEMA = ("user long, neighbor long, n long, sum_x long, sum_y long, "
-                  "sum_xy long, sum_x2 long, sum_y2 long")
+MOMENT_NAMES = ("n", "sum_x", "sum_y", "sum_xy", "sum_x2", "sum_y2")
 ITEM_CHUNK = 2048
-USER_TILE = 2048
 
 
-def _block_moments_fn(min_support: int | None, strict: bool, chunk: int = ITEM_CHUNK,
-                      tile: int = USER_TILE, min_corr: float | None = None):
-    """pandas function: all pair co-moments of one block via matrix products.
+def _tile_moments_fn(min_support: int | None, strict: bool, min_corr: float | None, k: int | None,
+                     number: str, chunk: int = ITEM_CHUNK):
+    """pandas function: co-moments of the users of two tiles of one block.
 
-    With M the users x items 0/1 matrix of "rated" and X the ratings
-    (0 where unrated), for users u < v:
+    With M the users x items counts of ratings (1, or more where a user rated
+    an item repeatedly), X their sums and Q the sums of their squares:
         n = M M^T,  Sxy = X X^T,  Sx = X M^T,  Sy = M X^T,
-        Sxx = X^2 M^T,  Syy = M (X^2)^T.
-    Users are processed in tiles and items in chunks, so memory is
-    O(tile^2 + tile x chunk) whatever the block or catalogue size.
-    Integer-valued float64 sums are exact (< 2^53), so results equal the join
-    + aggregate form bit for bit.  Only pairs passing the support filter
-    leave the task.  With ``min_corr`` set, pairs whose unrounded r is at or
-    below ``min_corr - 1e-6`` (or undefined) are dropped too: a strict superset
-    of what the exact filter in Spark keeps, so results do not change, but
-    far fewer rows travel back to the JVM.
+        Sxx = Q M^T,  Syy = M Q^T,
+    which are the sums over the rows of the self join.  Items are taken in
+    chunks, so memory is O(tile^2 + tile x chunk).  Integer-valued float64
+    sums are exact (< 2^53).  With ``min_corr``, pairs whose unrounded r is at
+    or below ``min_corr - 1e-6`` (or undefined) are dropped, and with ``k``
+    those more than 1e-6 below the k-th best r of both their users: what is
+    left contains all that the exact steps in Spark keep.
     """
     import numpy as np
     import pandas as pd
 
-    def dense(rows, u_idx, i_idx, x, lo, width, c0, cw):
-        sel = rows & (i_idx >= c0) & (i_idx < c0 + cw)
-        m = np.zeros((width, cw)); xm = np.zeros((width, cw))
-        m[u_idx[sel] - lo, i_idx[sel] - c0] = 1.0
-        xm[u_idx[sel] - lo, i_idx[sel] - c0] = x[sel]
-        return m, xm
+    def dense(u, i, x, width, c0, cw):
+        sel = (i >= c0) & (i < c0 + cw)
+        at = (u[sel], i[sel] - c0)
+        m, s, q = (np.zeros((width, cw)) for _ in range(3))
+        np.add.at(m, at, 1.0)
+        np.add.at(s, at, x[sel])
+        np.add.at(q, at, x[sel] * x[sel])
+        return m, s, q
 
     def fn(pdf):
-        users, u_idx = np.unique(pdf["user_id"].to_numpy(), return_inverse=True)
+        same = pdf["low"].iat[0] == pdf["high"].iat[0]
         items, i_idx = np.unique(pdf["item_id"].to_numpy(), return_inverse=True)
         x = pdf["rating"].to_numpy().astype(np.float64)
-        nu, ni = len(users), len(items)
-        parts = []
-        for a0 in range(0, nu, tile):
-            wa = min(tile, nu - a0)
-            rows_a = (u_idx >= a0) & (u_idx < a0 + wa)
-            for b0 in range(a0, nu, tile):
-                wb = min(tile, nu - b0)
-                rows_b = (u_idx >= b0) & (u_idx < b0 + wb)
-                same = a0 == b0
-                n = np.zeros((wa, wb)); sx = np.zeros((wa, wb)); sy = np.zeros((wa, wb))
-                sxy = np.zeros((wa, wb)); sxx = np.zeros((wa, wb)); syy = np.zeros((wa, wb))
-                for c0 in range(0, ni, chunk):
-                    cw = min(chunk, ni - c0)
-                    ma, xa = dense(rows_a, u_idx, i_idx, x, a0, wa, c0, cw)
-                    mb, xb = (ma, xa) if same else dense(rows_b, u_idx, i_idx, x, b0, wb, c0, cw)
-                    n += ma @ mb.T
-                    sxy += xa @ xb.T
-                    sx += xa @ mb.T
-                    sxx += (xa * xa) @ mb.T
-                    if not same:
-                        sy += ma @ xb.T
-                        syy += ma @ (xb * xb).T
-                if same:
-                    sy, syy = sx.T, sxx.T
-                    iu, iv = np.triu_indices(wa, k=1)  # sorted users: index order = id order
-                else:
-                    iu, iv = (g.ravel() for g in np.meshgrid(np.arange(wa), np.arange(wb),
-                                                             indexing="ij"))
-                nn = n[iu, iv]
-                if min_support is None:
-                    keep = nn > 0
-                else:
-                    keep = (nn > min_support) if strict else (nn >= max(min_support, 1))
-                if min_corr is not None:
-                    f = [a[iu, iv] for a in (sx, sy, sxy, sxx, syy)]
-                    vx = nn * f[3] - f[0] * f[0]
-                    vy = nn * f[4] - f[1] * f[1]
-                    ok = (vx > 0) & (vy > 0)
-                    r = np.full(len(nn), -2.0)
-                    r[ok] = (nn[ok] * f[2][ok] - f[0][ok] * f[1][ok]) / (
-                        np.sqrt(vx[ok]) * np.sqrt(vy[ok]))
-                    keep &= r > (min_corr - 1e-6)
-                iu, iv = iu[keep], iv[keep]
-                parts.append(pd.DataFrame({
-                    "user": users[a0 + iu], "neighbor": users[b0 + iv],
-                    "n": nn[keep].astype(np.int64),
-                    "sum_x": sx[iu, iv].astype(np.int64), "sum_y": sy[iu, iv].astype(np.int64),
-                    "sum_xy": sxy[iu, iv].astype(np.int64),
-                    "sum_x2": sxx[iu, iv].astype(np.int64), "sum_y2": syy[iu, iv].astype(np.int64),
-                }))
-        if not parts:
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in
-                                 ["user", "neighbor", "n", "sum_x", "sum_y", "sum_xy",
-                                  "sum_x2", "sum_y2"]})
-        return pd.concat(parts, ignore_index=True)
+        ids, sides = pdf["user_id"].to_numpy(), []
+        for t in ("low",) if same else ("low", "high"):
+            rows = (pdf["tile"] == pdf[t]).to_numpy()
+            users, u_idx = np.unique(ids[rows], return_inverse=True)
+            sides.append((users, u_idx, i_idx[rows], x[rows]))
+        ua, ub = sides[0][0], sides[-1][0]
+        n, sx, sy, sxy, sxx, syy = (np.zeros((len(ua), len(ub))) for _ in range(6))
+        for c0 in range(0, len(items), chunk):
+            cw = min(chunk, len(items) - c0)
+            ma, xa, qa = dense(*sides[0][1:], len(ua), c0, cw)
+            mb, xb, qb = (ma, xa, qa) if same else dense(*sides[1][1:], len(ub), c0, cw)
+            n += ma @ mb.T
+            sxy += xa @ xb.T
+            sx += xa @ mb.T
+            sxx += qa @ mb.T
+            if not same:
+                sy += ma @ xb.T
+                syy += ma @ qb.T
+        if same:
+            sy, syy = sx.T, sxx.T
+        least = 1 if min_support is None else min_support + 1 if strict else max(min_support, 1)
+        keep = n >= least
+        if same:
+            keep &= np.triu(np.ones(n.shape, bool), 1)
+        if min_corr is not None:
+            vx, vy = n * sxx - sx * sx, n * syy - sy * sy
+            ok = keep & (vx > 0) & (vy > 0)
+            r = np.full(n.shape, -2.0)
+            r[ok] = (n[ok] * sxy[ok] - sx[ok] * sy[ok]) / (np.sqrt(vx[ok]) * np.sqrt(vy[ok]))
+            keep &= r > min_corr - 1e-6
+            if k is not None:
+                full = np.where(keep, r, -2.0)
+                full = np.maximum(full, full.T) if same else full
+
+                def kth(rows):  # the k-th best of each row, or less than all
+                    return -np.partition(-rows, k - 1, axis=1)[:, k - 1] if rows.shape[1] >= k else np.full(len(rows), -3.0)
+
+                keep &= (r >= kth(full)[:, None] - 1e-6) | (r >= kth(full.T)[None, :] - 1e-6)
+        a, b = np.nonzero(keep)
+        flip = ua[a] > ub[b]
+        pick = lambda p, q: np.where(flip, q[a, b], p[a, b]).astype(number)
+        return pd.DataFrame({
+            "user": np.where(flip, ub[b], ua[a]), "neighbor": np.where(flip, ua[a], ub[b]),
+            "n": n[a, b].astype(np.int64), "sum_x": pick(sx, sy), "sum_y": pick(sy, sx),
+            "sum_xy": sxy[a, b].astype(number), "sum_x2": pick(sxx, syy), "sum_y2": pick(syy, sxx)})
 
     return fn
 
 
-def block_pair_moments(blocked: DataFrame, min_support: int | None = MIN_SUPPORT,
-                       strict: bool = False, min_corr: float | None = None) -> DataFrame:
-    """Same rows as ``pair_moments(corated_pairs(blocked), ...)``, one task per block.
+def block_pair_moments(blocked: DataFrame, min_support: int | None = MIN_SUPPORT, strict: bool = False,
+                       min_corr: float | None = None, k: int | None = None,
+                       tile: int = TRAIN_TILE) -> DataFrame:
+    """Same rows as ``pair_moments(corated_pairs(blocked), ...)``, one task per pair of tiles.
 
-    One shuffle of the ratings by block; no pair rows are materialised or
-    shuffled.  A block holds at most ``users_per_block`` users, so the group
-    handed to pandas is bounded by block size x items per user.
+    Ratings are shuffled once for each tile of their block; no pair row is.
+    Users who rated an item repeatedly count as often as in the join.
     """
+    integral = dict(blocked.dtypes)["rating"] in INTEGRAL
+    rating = F.col("rating") if integral else F.col("rating").cast("double")
+    tiled = assign_tiles(blocked.select("block", "user_id", "item_id", rating.alias("rating")), tile)
+    paired = tiled.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+        "block", F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"),
+        "tile", "user_id", "item_id", "rating")
     # An explicit partition count keeps AQE from packing many compute-heavy
-    # (but byte-light) blocks into a few tasks.
+    # (but byte-light) pairs of tiles into a few tasks.
     parts = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = blocked.select("block", "user_id", "item_id", "rating").repartition(parts, "block")
-    return side.groupBy("block").applyInPandas(
-        _block_moments_fn(min_support, strict, min_corr=min_corr), MOMENTS_SCHEMA)
+    kind = "long" if integral else "double"
+    schema = "user long, neighbor long, n long, " + ", ".join(f"{c} {kind}" for c in MOMENT_NAMES[1:])
+    return paired.repartition(parts, "block", "low", "high").groupBy("block", "low", "high").applyInPandas(
+        _tile_moments_fn(min_support, strict, min_corr, k, "int64" if integral else "float64"), schema)

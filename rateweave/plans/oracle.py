@@ -11,28 +11,39 @@ from .. import constants as K
 
 D = K.OUT_DIGITS
 
-RATINGS = f"""
+
+
+def ratings_sql(item: str) -> str:
+    return f"""
 ratings AS (
   SELECT user_id, item_id, rating, rated_at FROM (
     SELECT o_custkey AS user_id,
-           CAST(l_partkey % {K.ITEM_MODULUS} AS INT) AS item_id,
+           CAST({item} AS BIGINT) AS item_id,
            CAST(least(5, floor((l_quantity - 1) / 10) + 1) AS INT) AS rating,
            l_shipdate AS rated_at,
-           row_number() OVER (PARTITION BY o_custkey, l_partkey % {K.ITEM_MODULUS}
+           row_number() OVER (PARTITION BY o_custkey, {item}
              ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC,
                       l_partkey DESC, l_quantity DESC) AS rn
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey) t
   WHERE rn = 1)"""
 
-ITEMS = f"""
+
+def items_sql(item: str) -> str:
+    return f"""
 items AS (
   SELECT p.item_id, f.year, p.title
-  FROM (SELECT CAST(p_partkey % {K.ITEM_MODULUS} AS INT) AS item_id,
+  FROM (SELECT CAST({item} AS BIGINT) AS item_id,
                arg_min(p_name, p_partkey) AS title
         FROM part GROUP BY 1) p
   LEFT JOIN (SELECT item_id, CAST(year(min(rated_at)) AS INT) AS year
              FROM ratings GROUP BY 1) f USING (item_id))"""
 
+
+RATINGS, ITEMS = ratings_sql("l_partkey"), items_sql("p_partkey")
+# the fixture of the similarity queries: few items, which users share
+DENSE = ratings_sql(f"l_partkey % {K.DENSE_ITEMS}")
+DENSE_ITEMS = items_sql(f"p_partkey % {K.DENSE_ITEMS}")
+
 STATS = """
 stats AS (
   SELECT user_id, avg(rating) AS mean_rating, stddev_pop(rating) AS std_rating,
@@ -41,13 +52,10 @@ stats AS (
   FROM ratings GROUP BY user_id)"""
 
 BLOCKED = f"""
-nb AS (SELECT CAST(greatest(1, ceil(count(DISTINCT user_id) / {K.USERS_PER_BLOCK}.0)) AS BIGINT) AS n
-       FROM ratings),
 blocked AS (
-  SELECT r.user_id, r.item_id, r.rating, (mixed % nb.n + nb.n) % nb.n AS block
+  SELECT r.user_id, r.item_id, r.rating, (mixed % {K.QUERY_BLOCKS} + {K.QUERY_BLOCKS}) % {K.QUERY_BLOCKS} AS block
   FROM (SELECT *, ((((user_id % {K.BLOCK_PRIME} + {K.BLOCK_PRIME}) % {K.BLOCK_PRIME}) * {K.BLOCK_MULT} + {K.BLOCK_ADD}) % {K.BLOCK_PRIME} + {K.BLOCK_PRIME}) % {K.BLOCK_PRIME}
-                  AS mixed FROM ratings) r
-  CROSS JOIN nb)"""
+                  AS mixed FROM ratings) r)"""
 
 PAIRS = """
 pairs AS (
@@ -129,7 +137,7 @@ def r(x: str) -> str:
     return f"round({x}, {D}) AS {x}"
 
 
-TRAIN = (RATINGS, BLOCKED, PAIRS, MOMENTS, CORRS, SYM, TOPK)
+TRAIN = (DENSE, BLOCKED, PAIRS, MOMENTS, CORRS, SYM, TOPK)
 PRED = TRAIN + (NEIGHBOR_RATINGS, RAW, PEN)
 
 ORACLE: dict[str, str] = {}
@@ -145,10 +153,10 @@ SELECT r.user_id, r.item_id,
        r.rating, round(s.mean_rating, {D}) AS mean_rating, round(s.std_rating, {D}) AS std_rating
 FROM ratings r LEFT JOIN stats s USING (user_id)"""
 ORACLE["user_blocks"] = with_(RATINGS, BLOCKED) + "SELECT user_id, item_id, rating, block FROM blocked"
-ORACLE["corated_pairs"] = with_(RATINGS, BLOCKED, PAIRS) + "SELECT * FROM pairs"
-ORACLE["pair_moments"] = with_(RATINGS, BLOCKED, PAIRS, MOMENTS) + "SELECT * FROM moments"
-ORACLE["user_correlations"] = with_(RATINGS, BLOCKED, PAIRS, MOMENTS, CORRS) + "SELECT * FROM corrs"
-ORACLE["symmetric_corr"] = with_(RATINGS, BLOCKED, PAIRS, MOMENTS, CORRS, SYM) + "SELECT * FROM sym"
+ORACLE["corated_pairs"] = with_(DENSE, BLOCKED, PAIRS) + "SELECT * FROM pairs"
+ORACLE["pair_moments"] = with_(DENSE, BLOCKED, PAIRS, MOMENTS) + "SELECT * FROM moments"
+ORACLE["user_correlations"] = with_(DENSE, BLOCKED, PAIRS, MOMENTS, CORRS) + "SELECT * FROM corrs"
+ORACLE["symmetric_corr"] = with_(DENSE, BLOCKED, PAIRS, MOMENTS, CORRS, SYM) + "SELECT * FROM sym"
 ORACLE["top_k_neighbors"] = with_(*TRAIN) + "SELECT * FROM topk"
 ORACLE["train_neighbors"] = ORACLE["top_k_neighbors"]
 ORACLE["neighbor_ratings"] = with_(*TRAIN, NEIGHBOR_RATINGS) + "SELECT * FROM nbr"
@@ -223,11 +231,11 @@ absw AS (
                  / nullif(CAST(sum(abs({CU})) AS DOUBLE), 0) AS raw_prediction
         FROM knn e JOIN ratings r ON r.user_id = e.neighbor
         GROUP BY "user", item_id) g)"""
-NB_CTES = (RATINGS, SUBJECT_PAIRS, moments_sql("sp", "nbm", f"HAVING count(*) > {K.NOTEBOOK_MIN_SUPPORT}"),
+NB_CTES = (DENSE, SUBJECT_PAIRS, moments_sql("sp", "nbm", f"HAVING count(*) > {K.NOTEBOOK_MIN_SUPPORT}"),
            corr_sql("nbm", "nbc", ""), KNN)
 
-ORACLE["users_rated_all"] = with_(RATINGS, USERS_ALL) + "SELECT user_id FROM ua"
-ORACLE["users_page"] = with_(RATINGS, USERS_ALL) + f"""
+ORACLE["users_rated_all"] = with_(DENSE, USERS_ALL) + "SELECT user_id FROM ua"
+ORACLE["users_page"] = with_(DENSE, USERS_ALL) + f"""
 SELECT user_id, {LP} AS page, {PS} AS page_size, total AS total_users,
        (total + {PS - 1}) // {PS} AS total_pages,
        {(LP - 1) * PS + PS} < total AS has_next, {(LP - 1) * PS} > 0 AS has_prev
@@ -244,7 +252,7 @@ ORACLE["rated_items_page"] = with_(
     "\nmine AS (SELECT r.user_id, r.item_id, r.rating, i.title FROM ratings r LEFT JOIN items i USING (item_id))"
 ) + per_user_pages("mine", "user_id", "item_id")
 ORACLE["paged_recommendations"] = with_(
-    *RECS_ALL, ITEMS,
+    *RECS_ALL, DENSE_ITEMS,
     f'\nrt AS (SELECT p."user", p.item_id, round(p.rating, {D}) AS rating, i.title '
     'FROM recs p LEFT JOIN items i USING (item_id))'
 ) + per_user_pages("rt", '"user"', "rating DESC, item_id ASC")
@@ -257,22 +265,22 @@ ORACLE["best_rated_items"] = with_(RATINGS, ITEMS) + f"""
 SELECT r.user_id, r.item_id, r.rating, i.title,
        CAST(row_number() OVER (PARTITION BY r.user_id ORDER BY r.rating DESC, r.item_id ASC) AS INTEGER) AS rank
 FROM ratings r JOIN items i USING (item_id) WHERE r.user_id IN ({SUBJ})"""
-ORACLE["one_vs_all_pairs"] = with_(RATINGS, SUBJECT_PAIRS) + "SELECT * FROM sp"
-ORACLE["one_vs_all_corr"] = with_(RATINGS, SUBJECT_PAIRS, moments_sql("sp", "m", ""),
+ORACLE["one_vs_all_pairs"] = with_(DENSE, SUBJECT_PAIRS) + "SELECT * FROM sp"
+ORACLE["one_vs_all_corr"] = with_(DENSE, SUBJECT_PAIRS, moments_sql("sp", "m", ""),
                                   corr_sql("m", "c", "")) + "SELECT * FROM c"
 ORACLE["one_vs_all_knn"] = with_(*NB_CTES) + "SELECT * FROM knn"
 ORACLE["predict_abs_weighted"] = with_(*NB_CTES, ABSW) + f"""
 SELECT "user", item_id, support, {r('raw_prediction')}, {r('prediction')} FROM absw"""
-ORACLE["suggest_items"] = with_(*NB_CTES, ABSW, ITEMS) + f"""
+ORACLE["suggest_items"] = with_(*NB_CTES, ABSW, DENSE_ITEMS) + f"""
 SELECT a."user", a.item_id, i.title, round(a.raw_prediction, {D}) AS raw_prediction, a.support,
        round(a.prediction, {D}) AS prediction,
        CAST(row_number() OVER (PARTITION BY a."user" ORDER BY round(a.prediction, {D}) DESC, a.item_id ASC)
             AS INTEGER) AS rank
 FROM absw a JOIN items i USING (item_id)"""
 ORACLE["subset_correlations"] = with_(
-    RATINGS, SUBJECT_PAIRS, moments_sql("sp", "m", f"HAVING count(*) >= {K.MIN_SUPPORT}"),
+    DENSE, SUBJECT_PAIRS, moments_sql("sp", "m", f"HAVING count(*) >= {K.MIN_SUPPORT}"),
     corr_sql("m", "c", f"AND corr > {K.MIN_CORR}")) + "SELECT * FROM c"
-ORACLE["both_users_items"] = with_(RATINGS) + f"""
+ORACLE["both_users_items"] = with_(DENSE) + f"""
 SELECT a.item_id, a.user_id AS user1, b.user_id AS user2, a.rating AS rating1, b.rating AS rating2
 FROM ratings a JOIN ratings b USING (item_id)
 WHERE a.user_id = {K.DEFAULT_PAIR[0]} AND b.user_id = {K.DEFAULT_PAIR[1]}"""
@@ -280,7 +288,7 @@ ORACLE["filter_user"] = with_(RATINGS) + f"SELECT * FROM ratings WHERE user_id =
 ORACLE["user_ratings_multi"] = with_(RATINGS) + f"SELECT * FROM ratings WHERE user_id IN ({SUBJ})"
 _s = K.DEFAULT_SUBJECT_USERS
 ORACLE["pair_lookup"] = with_(
-    RATINGS,
+    DENSE,
     f'\npl AS (SELECT * FROM (VALUES ({_s[0]}, {_s[1]}), ({_s[0]}, {_s[2]}), ({_s[1]}, {_s[2]})) v(pu, pn))',
     """
 pp AS (SELECT a.user_id AS "user", b.user_id AS neighbor, a.rating AS x, b.rating AS y
@@ -297,16 +305,16 @@ c AS (SELECT "user", neighbor, n,
 
 # --- text ingestion and versioned sinks ----------------------------------------
 
-ORACLE["scan_ratings_text"] = with_(RATINGS) + """
+ORACLE["scan_ratings_text"] = with_(RATINGS) + f"""
 SELECT CAST(item_id AS VARCHAR) || ':' AS user_raw, CAST(NULL AS INTEGER) AS rating,
        CAST(NULL AS DATE) AS rated_on
-FROM (SELECT DISTINCT item_id FROM ratings) h
+FROM (SELECT DISTINCT item_id, (user_id % {K.BLOCK_PIECES} + {K.BLOCK_PIECES}) % {K.BLOCK_PIECES} FROM ratings) h
 UNION ALL
 SELECT CAST(user_id AS VARCHAR), rating, CAST(rated_at AS DATE) FROM ratings"""
-ORACLE["split_line_fields"] = with_(RATINGS) + """
+ORACLE["split_line_fields"] = with_(RATINGS) + f"""
 SELECT CAST(item_id AS VARCHAR) || ':' AS user_raw, CAST(NULL AS VARCHAR) AS rating_raw,
        CAST(NULL AS VARCHAR) AS date_raw
-FROM (SELECT DISTINCT item_id FROM ratings) h
+FROM (SELECT DISTINCT item_id, (user_id % {K.BLOCK_PIECES} + {K.BLOCK_PIECES}) % {K.BLOCK_PIECES} FROM ratings) h
 UNION ALL
 SELECT CAST(user_id AS VARCHAR), CAST(rating AS VARCHAR), strftime(rated_at, '%Y-%m-%d') FROM ratings"""
 ORACLE["parse_header_blocks"] = with_(RATINGS) + """
@@ -314,10 +322,21 @@ SELECT CAST(user_id AS VARCHAR) AS user_raw, rating, CAST(rated_at AS DATE) AS r
        CAST(item_id AS VARCHAR) AS item_raw
 FROM ratings"""
 ORACLE["parse_header_cumsum"] = ORACLE["parse_header_blocks"]
+ORACLE["silver_rejects"] = with_(RATINGS) + """
+SELECT CASE WHEN k = 1 THEN user_id END AS user_id, CAST(NULL AS BIGINT) AS item_id,
+       CASE WHEN k = 0 THEN rating END AS rating, DATE '2000-01-02' AS rated_at
+FROM ratings, (VALUES (0), (1)) v(k) WHERE item_id % 10 = 0"""
+ORACLE["peek_raw_lines"] = with_(RATINGS) + f"""
+SELECT value, CAST(len(string_split(value, ',')) AS INTEGER) AS fields FROM (
+  SELECT CAST(item_id AS VARCHAR) || ':' AS value
+  FROM (SELECT DISTINCT item_id, (user_id % {K.BLOCK_PIECES} + {K.BLOCK_PIECES}) % {K.BLOCK_PIECES} FROM ratings) h
+  UNION ALL
+  SELECT user_id || ',' || rating || ',' || strftime(rated_at, '%Y-%m-%d') FROM ratings) l
+ORDER BY value LIMIT 10"""
 ORACLE["silver_ratings"] = with_(RATINGS) + """
 SELECT user_id, item_id, rating, CAST(rated_at AS DATE) AS rated_at FROM ratings"""
 ORACLE["scan_items_csv"] = with_(RATINGS, ITEMS) + """
-SELECT item_id, CAST(year AS SMALLINT) AS year, title FROM items"""
+SELECT CAST(item_id AS INT) AS item_id, CAST(year AS SMALLINT) AS year, title FROM items"""
 ORACLE["silver_items"] = ORACLE["scan_items_csv"]
 _STATS_COLS = f"""user_id, {r('mean_rating')}, {r('std_rating')}, max_rating, min_rating, rated_items"""
 _OLD_STATS = f"""
@@ -336,6 +355,7 @@ SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FR
 ORACLE["recommend_for_users"] = with_(*PRED, RECS) + f"""
 SELECT "user", item_id, score, corr_sum, support, {r('raw_rating')},
        {r('user_mean')}, {r('rating')} FROM recs WHERE "user" IN ({SUBJ})"""
+ORACLE["recommend_stored_model"] = ORACLE["recommend_all"]
 ORACLE["users_pages_all"] = with_(RATINGS) + f"""
 SELECT user_id, rank, page, {PS} AS page_size, total AS total_users,
        (total + {PS - 1}) // {PS} AS total_pages,

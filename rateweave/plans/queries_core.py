@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import K_NEIGHBORS
+from ..constants import DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD, K_NEIGHBORS, QUERY_BLOCKS
 from ..operators import predict as P
 from ..operators import similarity as S
 from ..operators import stats as ST
 from ..operators.neighbors import top_k_per_user
+from ..session import fresh_path
+from ..sources import versioned as V
 from ..plans.train import recommend_all, train_neighbors
 from .registry import Ctx, register, rounded
 
@@ -31,82 +33,97 @@ def q_normalize_ratings(spark, sf_dir):
     return rounded(ST.normalize_ratings(c.ratings, ST.user_stats(c.ratings)))
 
 
+def _dense(spark, sf_dir):
+    """Written ratings over few items, as the similarity queries need them."""
+    return Ctx(spark, sf_dir, True, dense=True).ratings
+
+
+def _train(ratings):
+    return train_neighbors(ratings, n_blocks=QUERY_BLOCKS)
+
+
 @register("user_blocks")
 def q_user_blocks(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings
-    return S.assign_blocks(r.select("user_id", "item_id", "rating"))
+    r = Ctx(spark, sf_dir).ratings
+    return S.assign_blocks(r.select("user_id", "item_id", "rating"), QUERY_BLOCKS)
 
 
 @register("corated_pairs")
 def q_corated_pairs(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings.select("user_id", "item_id", "rating")
-    return S.corated_pairs(S.assign_blocks(r))
+    r = _dense(spark, sf_dir).select("user_id", "item_id", "rating")
+    return S.corated_pairs(S.assign_blocks(r, QUERY_BLOCKS))
 
 
 @register("pair_moments")
 def q_pair_moments(spark, sf_dir):
-    """A2 + P11; computed per block with matrix products (same rows as the join form)."""
-    r = Ctx(spark, sf_dir, True).ratings.select("user_id", "item_id", "rating")
-    return S.block_pair_moments(S.assign_blocks(r))
+    """A2 + P11, as matrix products (same rows as the join form)."""
+    r = _dense(spark, sf_dir).select("user_id", "item_id", "rating")
+    return S.block_pair_moments(S.assign_blocks(r, QUERY_BLOCKS))
 
 
 @register("user_correlations")
 def q_user_correlations(spark, sf_dir):
-    return S.block_correlations(Ctx(spark, sf_dir, True).ratings)
+    return S.block_correlations(_dense(spark, sf_dir), QUERY_BLOCKS)
 
 
 @register("symmetric_corr")
 def q_symmetric_corr(spark, sf_dir):
-    return S.symmetric(S.block_correlations(Ctx(spark, sf_dir, True).ratings))
+    return S.symmetric(S.block_correlations(_dense(spark, sf_dir), QUERY_BLOCKS))
 
 
 @register("top_k_neighbors")
 def q_top_k_neighbors(spark, sf_dir):
-    sym = S.symmetric(S.block_correlations(Ctx(spark, sf_dir, True).ratings))
+    sym = S.symmetric(S.block_correlations(_dense(spark, sf_dir), QUERY_BLOCKS))
     return top_k_per_user(sym, K_NEIGHBORS)
 
 
 @register("train_neighbors")
 def q_train_neighbors(spark, sf_dir):
-    # ratings are read twice (block count + moments): materialise them once
-    return train_neighbors(Ctx(spark, sf_dir, True).ratings)
+    """C4: the newest version of the stored user statistics decides who takes part."""
+    r = _dense(spark, sf_dir)
+    path = fresh_path(spark, "gold-user-stats")
+    stats = ST.user_stats(r)
+    V.write_versioned(stats.limit(0), path, DEFAULT_VERSION_OLD)
+    V.write_versioned(stats, path, DEFAULT_VERSION_NEW)
+    newest = V.latest_version(V.read_versioned(spark, path, stats.schema))
+    return train_neighbors(r, n_blocks=QUERY_BLOCKS, stats=newest)
 
 
 @register("neighbor_ratings")
 def q_neighbor_ratings(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings
-    return P.neighbor_ratings(train_neighbors(r), r)
+    r = _dense(spark, sf_dir)
+    return P.neighbor_ratings(_train(r), r)
 
 
 @register("predict_raw")
 def q_predict_raw(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings
-    return rounded(P.predict_raw(train_neighbors(r), r))
+    r = _dense(spark, sf_dir)
+    return rounded(P.predict_raw(_train(r), r))
 
 
 @register("predict_penalized")
 def q_predict_penalized(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings
-    out = P.penalize(P.predict_raw(train_neighbors(r), r))
+    r = _dense(spark, sf_dir)
+    out = P.penalize(P.predict_raw(_train(r), r))
     return rounded(out.select("user", "item_id", "support", "raw_rating", "user_mean", "rating"))
 
 
 @register("exclude_rated")
 def q_exclude_rated(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings
-    preds = P.penalize(P.predict_raw(train_neighbors(r), r))
+    r = _dense(spark, sf_dir)
+    preds = P.penalize(P.predict_raw(_train(r), r))
     return rounded(P.exclude_rated(preds, r).select("user", "item_id", "rating"))
 
 
 @register("recommend_all")
 def q_recommend_all(spark, sf_dir):
-    return rounded(recommend_all(Ctx(spark, sf_dir).ratings))  # materialises its input
+    return rounded(recommend_all(Ctx(spark, sf_dir, dense=True).ratings, n_blocks=QUERY_BLOCKS))
 
 
 @register("top_n_recommendations")
 def q_top_n(spark, sf_dir):
-    preds = recommend_all(Ctx(spark, sf_dir).ratings).select("user", "item_id", "rating")
-    return rounded(P.top_n(preds, TOP_N))
+    preds = recommend_all(Ctx(spark, sf_dir, dense=True).ratings, n_blocks=QUERY_BLOCKS)
+    return rounded(P.top_n(preds.select("user", "item_id", "rating"), TOP_N))
 
 
 @register("distinct_users")

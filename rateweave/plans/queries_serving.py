@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from ..constants import (DEFAULT_FILTER_ITEMS, DEFAULT_PAIR, DEFAULT_SUBJECT_USERS,
-                         PAGE_SIZE)
+                         DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD, PAGE_SIZE, QUERY_BLOCKS)
 from ..operators import lookups as L
 from ..operators import serving as SV
-from ..operators.predict import predict_abs_weighted
+from ..operators.predict import predict_abs_weighted, recommend_blocked, recommend_for_users
 from ..operators.similarity import subject_correlations, subject_pairs
+from ..session import fresh_path
+from ..sources import versioned as V
 from . import notebook as NB
 from .registry import Ctx, register, rounded
-from .train import recommend_all
+from .train import recommend_all, train_neighbors
 
 SUBJECTS = list(DEFAULT_SUBJECT_USERS)
 LIST_PAGE = 2
@@ -18,12 +20,12 @@ LIST_PAGE = 2
 
 @register("users_rated_all")
 def q_users_rated_all(spark, sf_dir):
-    return SV.users_rated_all(Ctx(spark, sf_dir).ratings, list(DEFAULT_FILTER_ITEMS))
+    return SV.users_rated_all(Ctx(spark, sf_dir, dense=True).ratings, list(DEFAULT_FILTER_ITEMS))
 
 
 @register("users_page")
 def q_users_page(spark, sf_dir):
-    return SV.users_page(Ctx(spark, sf_dir).ratings, list(DEFAULT_FILTER_ITEMS),
+    return SV.users_page(Ctx(spark, sf_dir, dense=True).ratings, list(DEFAULT_FILTER_ITEMS),
                          LIST_PAGE, PAGE_SIZE)
 
 
@@ -40,15 +42,15 @@ def q_rated_items_page(spark, sf_dir):
 
 @register("paged_recommendations")
 def q_paged_recommendations(spark, sf_dir):
-    c = Ctx(spark, sf_dir, True)
-    recs = recommend_all(c.ratings, checkpoint_input=False)
+    c = Ctx(spark, sf_dir, True, dense=True)
+    recs = recommend_all(c.ratings, n_blocks=QUERY_BLOCKS, checkpoint_input=False)
     return rounded(SV.recommendation_pages(recs, c.items, PAGE_SIZE))
 
 
 @register("page_meta")
 def q_page_meta(spark, sf_dir):
-    c = Ctx(spark, sf_dir)
-    return SV.page_meta(recommend_all(c.ratings), PAGE_SIZE)
+    c = Ctx(spark, sf_dir, dense=True)
+    return SV.page_meta(recommend_all(c.ratings, n_blocks=QUERY_BLOCKS), PAGE_SIZE)
 
 
 @register("attach_titles")
@@ -65,39 +67,39 @@ def q_best_rated_items(spark, sf_dir):
 
 @register("one_vs_all_pairs")
 def q_one_vs_all_pairs(spark, sf_dir):
-    return subject_pairs(Ctx(spark, sf_dir).ratings, SUBJECTS)
+    return subject_pairs(Ctx(spark, sf_dir, dense=True).ratings, SUBJECTS)
 
 
 @register("one_vs_all_corr")
 def q_one_vs_all_corr(spark, sf_dir):
-    return NB.one_vs_all_corr(Ctx(spark, sf_dir).ratings, SUBJECTS)
+    return NB.one_vs_all_corr(Ctx(spark, sf_dir, dense=True).ratings, SUBJECTS)
 
 
 @register("one_vs_all_knn")
 def q_one_vs_all_knn(spark, sf_dir):
-    return NB.one_vs_all_knn(Ctx(spark, sf_dir).ratings, SUBJECTS)
+    return NB.one_vs_all_knn(Ctx(spark, sf_dir, dense=True).ratings, SUBJECTS)
 
 
 @register("predict_abs_weighted")
 def q_predict_abs_weighted(spark, sf_dir):
-    r = Ctx(spark, sf_dir, True).ratings
+    r = Ctx(spark, sf_dir, True, dense=True).ratings
     return rounded(predict_abs_weighted(NB.one_vs_all_knn(r, SUBJECTS), r))
 
 
 @register("suggest_items")
 def q_suggest_items(spark, sf_dir):
-    c = Ctx(spark, sf_dir, True)
+    c = Ctx(spark, sf_dir, True, dense=True)
     return rounded(NB.suggest_items(c.ratings, c.items, SUBJECTS))
 
 
 @register("subset_correlations")
 def q_subset_correlations(spark, sf_dir):
-    return subject_correlations(Ctx(spark, sf_dir).ratings, SUBJECTS)
+    return subject_correlations(Ctx(spark, sf_dir, dense=True).ratings, SUBJECTS)
 
 
 @register("both_users_items")
 def q_both_users_items(spark, sf_dir):
-    return L.both_users_items(Ctx(spark, sf_dir).ratings, *DEFAULT_PAIR)
+    return L.both_users_items(Ctx(spark, sf_dir, dense=True).ratings, *DEFAULT_PAIR)
 
 
 @register("filter_user")
@@ -113,19 +115,31 @@ def q_user_ratings_multi(spark, sf_dir):
 @register("pair_lookup")
 def q_pair_lookup(spark, sf_dir):
     s = SUBJECTS
-    return L.pair_lookup(spark, Ctx(spark, sf_dir).ratings,
+    return L.pair_lookup(spark, Ctx(spark, sf_dir, dense=True).ratings,
                          [(s[0], s[1]), (s[0], s[2]), (s[1], s[2])])
 
 
+def _stored_model(spark, ratings):
+    """K4: neighbours trained and written under two dates, the newest read back."""
+    path = fresh_path(spark, "gold-user-neighbors")
+    edges = train_neighbors(ratings, n_blocks=QUERY_BLOCKS)
+    V.write_versioned(edges.limit(0), path, DEFAULT_VERSION_OLD)
+    V.write_versioned(edges, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
+    return V.latest_version(V.read_versioned(spark, path, edges.schema)).drop("version_date")
+
+
+@register("recommend_stored_model")
+def q_recommend_stored_model(spark, sf_dir):
+    """C5 from the stored model: its newest version scores every user."""
+    r = Ctx(spark, sf_dir, True, dense=True).ratings
+    return rounded(recommend_blocked(_stored_model(spark, r), r, QUERY_BLOCKS))
+
+
 @register("recommend_for_users")
 def q_recommend_for_users(spark, sf_dir):
-    """C5 per request: penalised predictions for the subject users only."""
-    from ..operators.predict import recommend_for_users
-    from .train import train_neighbors_for
-
-    c = Ctx(spark, sf_dir, True)
-    edges = train_neighbors_for(c.ratings, SUBJECTS)  # only the subjects' blocks
-    return rounded(recommend_for_users(edges, c.ratings, SUBJECTS))
+    """C5 per request: the stored model scores the subject users only."""
+    r = Ctx(spark, sf_dir, True, dense=True).ratings
+    return rounded(recommend_for_users(_stored_model(spark, r), r, SUBJECTS))
 
 
 @register("users_pages_all")

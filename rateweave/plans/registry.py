@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..constants import OUT_DIGITS
+from ..constants import DENSE_ITEMS, OUT_DIGITS
 from ..sources.versioned import materialize
 from ..sources.views import load_items, load_ratings
 
@@ -49,27 +49,32 @@ class Ctx:
 
     ``materialize=True``: the ratings view is written once as parquet in the
     shared checkpoint folder and every branch of the plan (training, scoring,
-    titles, block count, totals) reads that table instead of recomputing the
+    titles, totals) reads that table instead of recomputing the
     lineitem x orders join.  Queries that touch only a few users keep the
     lazy view, so their filter reaches the parquet scan.
+
+    ``dense=True``: parts are mapped onto DENSE_ITEMS items, the fixture of
+    the queries that need users who share items.  All others keep the part
+    keys, so their catalogue grows with the tables.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False, dense: bool = False):
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self.n_items = DENSE_ITEMS if dense else None
         self._ratings = None
         self._items = None
 
     @property
     def ratings(self) -> DataFrame:
         if self._ratings is None:
-            view = load_ratings(self.spark, self.sf_dir)
+            view = load_ratings(self.spark, self.sf_dir, self.n_items)
             self._ratings = materialize(view, "ratings") if self.materialize else view
         return self._ratings
 
     @property
     def items(self) -> DataFrame:
         if self._items is None:
-            self._items = load_items(self.spark, self.sf_dir, self.ratings)
+            self._items = load_items(self.spark, self.sf_dir, self.ratings, self.n_items)
         return self._items
 
 

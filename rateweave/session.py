@@ -34,8 +34,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch folder.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (it must
-    be on shared storage).  Only when the session has none (tests, laptops) a
-    fresh temporary folder is created and registered as the checkpoint dir.
+    be on shared storage).  Only when a local session has none (tests,
+    laptops) a fresh temporary folder is created and registered as the
+    checkpoint dir; on a cluster a missing folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -45,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="rateweave-")
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

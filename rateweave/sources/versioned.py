@@ -27,6 +27,8 @@ def write_versioned(df: DataFrame, path: str, version_date: str,
     (the serving tier's "index").  Without it the upstream partitioning is
     kept, instead of a ``coalesce`` that would throttle the upstream stage.
     """
+    if cluster_by:
+        df = materialize(df, "to-cluster")  # a range partitioning reads its input twice
     out = df.withColumn("version_date", F.to_date(F.lit(version_date)))
     if cluster_by:
         out = out.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)

@@ -10,46 +10,46 @@ from rateweave.operators.stats import normalize_ratings, user_stats
 from rateweave.plans.train import train_neighbors
 from rateweave.sources import versioned as V
 
-STRATEGIES = ["join", "matmul"]
+TILES = [1024, 2]
 
 
-def edges_of(spark, rows, strategy, **kw):
+def edges_of(spark, rows, tile, **kw):
     kw.setdefault("n_blocks", 1)
-    out = train_neighbors(ratings_df(spark, rows), strategy=strategy, **kw)
+    out = train_neighbors(ratings_df(spark, rows), tile=tile, **kw)
     return {(r.user, r.neighbor): r.corr for r in out.collect()}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_constant_side_gives_no_edge(spark, strategy):
+@pytest.mark.parametrize("tile", TILES)
+def test_constant_side_gives_no_edge(spark, tile):
     # user 1 rates 11 shared items all 3 -> zero variance -> r undefined, not NaN
     rows = [(1, i, 3) for i in range(11)] + [(2, i, 1 + i % 5) for i in range(11)]
-    assert edges_of(spark, rows, strategy) == {}
+    assert edges_of(spark, rows, tile) == {}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_perfect_pair_and_support(spark, strategy):
+@pytest.mark.parametrize("tile", TILES)
+def test_perfect_pair_and_support(spark, tile):
     ten = [(1, i, 1 + i % 5) for i in range(10)] + [(2, i, 1 + i % 5) for i in range(10)]
-    assert edges_of(spark, ten, strategy) == {(1, 2): 1.0, (2, 1): 1.0}
+    assert edges_of(spark, ten, tile) == {(1, 2): 1.0, (2, 1): 1.0}
     nine = [r for r in ten if r[1] < 9]
-    assert edges_of(spark, nine, strategy) == {}
+    assert edges_of(spark, nine, tile) == {}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_threshold_is_exclusive_after_rounding(spark, strategy):
+@pytest.mark.parametrize("tile", TILES)
+def test_threshold_is_exclusive_after_rounding(spark, tile):
     x = [4, 4, 3, 5, 3, 1, 4, 3, 3, 5]
     y = [1, 4, 2, 2, 2, 2, 2, 1, 1, 3]  # r = 0.29999999999999993 -> 0.3 after rounding
     rows = [(1, i, v) for i, v in enumerate(x)] + [(2, i, v) for i, v in enumerate(y)]
-    assert edges_of(spark, rows, strategy) == {}
+    assert edges_of(spark, rows, tile) == {}
     # the same pair is kept when the floor is lowered
-    assert edges_of(spark, rows, strategy, min_corr=0.29) == {(1, 2): 0.3, (2, 1): 0.3}
+    assert edges_of(spark, rows, tile, min_corr=0.29) == {(1, 2): 0.3, (2, 1): 0.3}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_tie_at_rank_k_keeps_lower_id(spark, strategy):
+@pytest.mark.parametrize("tile", TILES)
+def test_tie_at_rank_k_keeps_lower_id(spark, tile):
     base = [1 + i % 5 for i in range(10)]
     rows = [(1, i, v) for i, v in enumerate(base)]
     rows += [(7, i, v) for i, v in enumerate(base)] + [(5, i, v) for i, v in enumerate(base)]
-    e = edges_of(spark, rows, strategy, k=1)
+    e = edges_of(spark, rows, tile, k=1)
     assert e[(1, 5)] == 1.0 and (1, 7) not in e
 
 
@@ -141,15 +141,15 @@ def test_clustered_versioned_table_prunes_lookups(spark, tmp_dir):
     assert "EqualTo(user,7)" in plan
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_empty_input_gives_empty_output(spark, strategy):
+@pytest.mark.parametrize("tile", TILES)
+def test_empty_input_gives_empty_output(spark, tile):
     r = ratings_df(spark, [(1, 1, 3)]).where("false")
-    edges = train_neighbors(r, strategy=strategy)
+    edges = train_neighbors(r, tile=tile)
     assert edges.count() == 0
     assert recommend(edges, r).count() == 0
     assert user_stats(r).count() == 0
     from rateweave.plans.train import recommend_all
-    assert recommend_all(r).count() == 0  # one-pass block count on no users
+    assert recommend_all(r).count() == 0  # no users, no blocks
 
 
 @pytest.mark.parametrize("n_parts", [1, 3, 16])
@@ -237,3 +237,45 @@ def test_attach_titles_strict_and_inner(spark):
     assert [(x.item_id, x.title) for x in inner] == [(1, "one")]
     with pytest.raises(KeyError):
         SV.attach_titles(r.select("user_id", "item_id"), items, strict=True)
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from rateweave.session import shared_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(ValueError):
+        shared_dir(Session())
+
+
+def test_users_without_stats_have_no_edges(spark):
+    base = [1 + i % 5 for i in range(10)]
+    rows = [(u, i, v) for u in (1, 2, 3, 4) for i, v in enumerate(base)] + [(4, i, 3) for i in range(20, 24)]
+    r = ratings_df(spark, rows)
+    stats = user_stats(r).where("user_id != 3").withColumn(
+        "std_rating", F.when(F.col("user_id") == 4, 0.0).otherwise(F.col("std_rating")))
+    got = {(x.user, x.neighbor) for x in train_neighbors(r, n_blocks=1, stats=stats).collect()}
+    assert got == {(1, 2), (2, 1)}
+    assert {(x.user, x.neighbor) for x in train_neighbors(r, n_blocks=1, stats=user_stats(r)).collect()} == {
+        (a, b) for a in (1, 2, 3, 4) for b in (1, 2, 3, 4) if a != b}
+
+
+def test_clustered_write_runs_its_input_once(spark, tmp_dir):
+    calls = spark.sparkContext.accumulator(0)
+
+    df = spark.range(0, 1000, numPartitions=3).withColumnRenamed("id", "user").mapInArrow(
+        lambda batches: (calls.add(b.num_rows) or b for b in batches), "user long")
+    V.write_versioned(df, tmp_dir + "/once", "2021-01-01", cluster_by=["user"])
+    assert calls.value == 1000
