@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
@@ -42,10 +43,11 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 2
              rows: int = 4096) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``limit`` bytes of ``column``.
 
-    A single longer value still comes whole, alone in its slice.
+    A single longer value still comes whole, alone in its slice.  (Spark
+    itself fills a batch by rows: spark.sql.execution.arrow.maxRecordsPerBatch.)
     """
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(sizes):
             if i > start and (held + n > limit or i - start >= rows):

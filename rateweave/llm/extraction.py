@@ -48,7 +48,8 @@ AROUND = frozenset(
     "popup popups modal overlay newsletter subscribe subscription signup login paywall share sharing social related "
     "recommended recommendations trending popular comment comments commentlist disqus discussion replies reply respond "
     "responses reviews pagination pager tags taglist skip hidden copyright disclaimer legal form search searchbox "
-    "announcement outbrain taboola".split())
+    "announcement outbrain taboola adsbygoogle skyscraper leaderboard colophon dropdown notification notifications "
+    "feedback toc".split())
 #: Words that tell of the article itself.
 ARTICLE = frozenset("article main content story entry post body text prose".split())
 #: Class names with one of these words speak of the page's layout ("has-sidebar").
@@ -89,13 +90,14 @@ def surrounds(name: str, attributes: str, parent: Element) -> tuple[bool, float]
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
             for part in value.split():
-                words = {x.lower() for x in NAME_PARTS.findall(part)}
+                parts = [x.lower() for x in NAME_PARTS.findall(part)]
+                words = {*parts, "".join(parts)}  # "side-bar" is a sidebar
                 told |= bool(words & ARTICLE)
                 around = words & AROUND
                 if not around or words & LAYOUT:
                     continue
                 if name in ("article", "main"):
-                    off |= words <= {"comment", "comments", "body"}
+                    off |= set(parts) <= {"comment", "comments", "body"}
                 else:
                     off |= not (around == {"header"} and words & {"article", "entry", "post", "story"})
         elif key == "role":
@@ -105,6 +107,8 @@ def surrounds(name: str, attributes: str, parent: Element) -> tuple[bool, float]
             off = True
         elif key == "style":
             off |= bool(UNSEEN.search(value))
+        elif key == "aria-label" and name not in ("article", "main"):
+            off |= bool(AROUND & {x.lower() for x in NAME_PARTS.findall(value)})
         elif key == "itemprop" and value.lower() == "articlebody":
             favour += HOLDER
     return off, favour + 15.0 * told
@@ -253,7 +257,8 @@ def main_text(page: str) -> str:
         node = owner
         while node is not None and id(node) not in kept:
             node = node.parent
-        if node is not None and not (linked >= len(text) and owner.name == "li"):
+        # a list of links is a menu, save inside a marked article
+        if node is not None and not (linked >= len(text) and owner.name == "li" and best.favour < HOLDER):
             lines.append(text)
     return "\n".join(lines)
 

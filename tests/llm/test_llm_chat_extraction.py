@@ -105,6 +105,8 @@ PAGES = [
     ("<main><nav>n</nav><p>One &lt;b&gt; &eacute;&#233;&#x1F642;&nbsp;x &copy</p><script>var a='<p>no</p>'</script>"
      "<style>p{}</style><!-- <p>no</p> --><p title='a>b'>Two</p></main>", "One <b> éé🙂 x ©\nTwo"),
     ("<article><p>a<p>b</div></span>c<p hidden>no</p><p style='display: none'>no</p></article><p>out", "a\nbc"),
+    ("<div class='sideBar'><p>side</p></div><div id='user-comments'><p>c</p></div><section aria-label='Related posts'><p>r</p></section>"
+     "<article><header><h1>H</h1></header><p>Text.</p><ul><li><a href=x>Link</a></li></ul><footer>f</footer></article>", "H\nText.\nLink"),
     ("just text", "just text"), ("<nav>only</nav>", ""), ("", ""), (None, ""), ("<p>cut off <a href='x", "cut off"),
     ("<div>one<div>two</div>three</div>", "one\ntwo\nthree"),
 ]
