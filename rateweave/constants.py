@@ -31,10 +31,11 @@ NOTEBOOK_C = 5
 # Similarity blocks of the registered queries, whatever the table's size; a
 # caller passes the count that suits the table (see N_BLOCKS).
 QUERY_BLOCKS = 8
-# Users of one side of a training tile pair, and users of one scoring tile: the
-# sizes that bound a task, without influence on any result.
+# Users of one side of a training tile pair, and users and neighbours of one
+# scoring task: the sizes that bound a task, without influence on any result.
 TRAIN_TILE = 1024
 SCORE_TILE = 512
+NEAR_TILE = 4096
 # Block mixing hash ((user mod P) * A + B) mod P, then mod n_blocks.  Plain
 # 64-bit integer arithmetic ((P-1) * A + B < 2^63), so Spark and the SQL
 # oracle compute identical blocks, and any id pattern is spread evenly.

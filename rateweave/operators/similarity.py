@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from ..constants import MIN_CORR, MIN_SUPPORT, N_BLOCKS, TRAIN_TILE
 from ..functions.columns import block_of, pearson_from_moments, rounded_corr, tile_of
-from ..sources.versioned import materialize
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 FLOAT_VAR_EPS = 1e-9
@@ -40,15 +39,14 @@ def assign_blocks(ratings: DataFrame, n_blocks: int = N_BLOCKS, method: str = "m
     return ratings.withColumn("block", block_of("user_id", n_blocks, method))
 
 
-def assign_tiles(blocked: DataFrame, tile: int, user: str = "user_id") -> DataFrame:
-    """Add ``tile`` and ``tiles``: the part of its block that a user falls into, and their number.
+def block_tiles(blocked: DataFrame, **tiles: int) -> DataFrame:
+    """(block, name...): into how many tiles of so many users each block falls.
 
-    Each block gets as many tiles as ``tile`` users a tile take; the counts
-    are a table with one row per block.  Tiles only divide the work.
+    A table with one row per block.  Tiles only divide the work.
     """
-    tiles = materialize(blocked.groupBy("block").agg(
-        F.ceil(F.count_distinct(user) / tile).cast("int").alias("tiles")), "tiles")
-    return blocked.join(tiles, "block").withColumn("tile", tile_of(user, F.col("tiles")))
+    users = F.count_distinct("user_id")
+    return blocked.groupBy("block").agg(
+        *(F.ceil(users / size).cast("int").alias(name) for name, size in tiles.items()))
 
 
 def corated_pairs(blocked: DataFrame) -> DataFrame:
@@ -260,8 +258,9 @@ def block_pair_moments(blocked: DataFrame, min_support: int | None = MIN_SUPPORT
     """
     integral = dict(blocked.dtypes)["rating"] in INTEGRAL
     rating = F.col("rating") if integral else F.col("rating").cast("double")
-    tiled = assign_tiles(blocked.select("block", "user_id", "item_id", rating.alias("rating")), tile)
-    paired = tiled.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
+    tiled = blocked.select("block", "user_id", "item_id", rating.alias("rating")).join(
+        block_tiles(blocked, tiles=tile), "block")
+    paired = tiled.withColumn("tile", tile_of("user_id", F.col("tiles"))).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "block", F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"),
         "tile", "user_id", "item_id", "rating")
     # An explicit partition count keeps AQE from packing many compute-heavy

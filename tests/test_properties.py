@@ -230,7 +230,7 @@ def test_half_steps_and_repeats_in_prediction(spark, kind):
     for drop in (True, False):
         keep = {k: v for k, v in final.items() if not drop or k not in rated}
         forms = [recommend(edges, r, drop_rated=drop), recommend_blocked(edges, r, 1, drop_rated=drop),
-                 recommend_blocked(edges, r, 1, drop_rated=drop, tile=5),
+                 recommend_blocked(edges, r, 1, drop_rated=drop, tile=5, near_tile=7),
                  recommend_for_users(edges, r, list(range(1, 40)), drop_rated=drop)]
         for df in forms:
             assert {(x.user, x.item_id): x.rating for x in df.collect()} == pytest.approx(keep, abs=1e-9)
@@ -260,7 +260,7 @@ def test_scoring_in_blocks_equals_join_scoring(spark, small):
             "round(raw_rating, 9) AS raw", "round(user_mean, 9) AS m", "round(rating, 9) AS rt"]
     for drop, tile in ((True, 512), (False, 10)):
         a = recommend(edges, r, drop_rated=drop).selectExpr(*cols)
-        b = recommend_blocked(edges, r, 2, drop_rated=drop, tile=tile).selectExpr(*cols)
+        b = recommend_blocked(edges, r, 2, drop_rated=drop, tile=tile, near_tile=3 * tile).selectExpr(*cols)
         assert a.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -285,7 +285,7 @@ def test_a_catalogue_above_twenty_thousand_items(spark):
         u.alias("user_id"), i.alias("item_id"), (F.pmod(F.xxhash64(i, u, u), F.lit(5)) + 1).cast("int").alias("rating"))
     edges = train_neighbors(r, n_blocks=1, min_corr=0.0).cache()
     cols = ["user", "item_id", "score", "corr_sum", "support", "round(rating, 9) AS rt"]
-    a, b = recommend(edges, r).selectExpr(*cols), recommend_blocked(edges, r, 1, tile=4).selectExpr(*cols)
+    a, b = recommend(edges, r).selectExpr(*cols), recommend_blocked(edges, r, 1, tile=4, near_tile=5).selectExpr(*cols)
     assert a.count() > 20_000 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
