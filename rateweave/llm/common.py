@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,6 +58,14 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 2
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+        give_back()
+
+
+def give_back() -> None:
+    """Return memory that this Python worker has freed; it outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # where there is no glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def crc_mod(doc_id: Column, mod: int) -> Column:

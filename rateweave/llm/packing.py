@@ -27,7 +27,7 @@ END_ID = 2
 OPEN_BINS = 1 << 16
 PIECES_A_TASK = 100_000
 # Words whose ids a Python worker remembers.
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
 # Characters on which every Unicode version of the split pattern agrees.
 PLAIN = re.compile("[!-~¡-ɏ][\t\n\r!-~¡-ɏ]*")
 SPACES = re.compile("[\\s\x85᠎​﻿] [\\s\x85᠎​﻿]")
