@@ -9,16 +9,34 @@ table stays empty throughout.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
-from rateweave.llm.common import written
+from rateweave.llm.common import noting, written
 from rateweave.llm.exact import drop_exact_duplicates
 from rateweave.llm.mixing import resample
 from rateweave.llm.packing import pack_documents
 from rateweave.llm.quality import drop_low_quality
 from rateweave.llm.simhash import drop_near_duplicates
+from rateweave.sources.versioned import release
 from rateweave.sources.views import read_table
 
+# The copies of whole tables that the last stage of an application made.
+COPIES: dict[str, list[DataFrame]] = {}
+
+
+def stage(function):
+    """A stage that first frees the copies of the stage before, whose result is written by then."""
+    @functools.wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        key = spark.sparkContext.applicationId
+        for table in COPIES.pop(key, []):
+            release(table)
+        with noting(COPIES.setdefault(key, [])):
+            return function(spark, docs, sf_dir)
+    return run_stage
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from ``labels``, does not reject."""
@@ -45,7 +63,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack_documents(docs)
 
 
-STAGES = [(f.__name__, f) for f in (
+STAGES = [(f.__name__, stage(f)) for f in (
     quality_classifier, exact_dedup, simhash_near_dedup, source_mixing, best_fit_packing)]
 
 # SQL cannot express the classifier, the fingerprints or the tokenizer.
@@ -55,6 +73,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+    for name, function in STAGES[:-1]:
+        docs = written(function(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,6 +21,27 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_BITS = 20
 
 written = materialize
+# Where copies of whole tables are noted for whoever frees them, see ``noting``.
+_copies: list[DataFrame] | None = None
+
+
+def copied(df: DataFrame) -> DataFrame:
+    """``written`` for a copy of a caller's whole table."""
+    table = written(df, "copy")
+    if _copies is not None:
+        _copies.append(table)
+    return table
+
+
+@contextlib.contextmanager
+def noting(tables: list[DataFrame]):
+    """Note in ``tables`` the copies made meanwhile, to ``release`` once the results are written."""
+    global _copies
+    before, _copies = _copies, tables
+    try:
+        yield
+    finally:
+        _copies = before
 
 
 def ascii_lower(text: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ascii_lower, by_prefix, free_name, without, written
+from .common import ascii_lower, by_prefix, copied, free_name, without, written
 
 # Leading bits of the 64-bit fingerprint that are exchanged.
 BITS = 48
@@ -185,8 +185,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
     row, mark = free_name(docs, "row"), free_name(docs, "fingerprint")
-    rows = written(docs.withColumns({
-        row: F.monotonically_increasing_id(), mark: F.xxhash64(ascii_lower(F.col(text_col)))}), "numbered")
+    rows = copied(docs.withColumns({
+        row: F.monotonically_increasing_id(), mark: F.xxhash64(ascii_lower(F.col(text_col)))}))
     dropped = written(exact_groups(rows, id_col, text_col, row).filter("not kept").select(
         F.col("row").alias(row), F.col("fingerprint").alias(mark)), "dropped")
     return without(rows, row, mark, dropped).select(docs.columns)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, free_name, written
+from .common import WORD, copied, free_name, written
 
 # A source supplies at most so many times its own size.
 MOST_COPIES = 3
@@ -115,7 +115,7 @@ def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
     """The rows of ``docs`` with all their columns, each as often as the mix takes it."""
     row, times = free_name(docs, "row"), free_name(docs, "times")
-    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    rows = copied(docs.withColumn(row, F.monotonically_increasing_id()))
     taken = mix_sources(rows, id_col, text_col, source_col, keep=(row,)).filter("copies > 0").select(
         row, F.col("copies").alias(times))
     return rows.join(taken, row).withColumn(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_bytes, free_name, with_fields, without, written
+from .common import by_bytes, copied, free_name, with_fields, without, written
 from .components import components
 
 SHINGLE_WORDS = 3
@@ -172,7 +172,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
     """The rows of ``docs`` that ``near_groups`` keeps, with all their columns."""
     row, mark = free_name(docs, "row"), free_name(docs, "print")
-    rows = written(with_simhash(docs.withColumn(row, F.monotonically_increasing_id()), mark, text_col, words), "numbered")
+    rows = copied(with_simhash(docs.withColumn(row, F.monotonically_increasing_id()), mark, text_col, words))
     told = near_groups(rows, id_col, text_col, words, most_bits, mark, row)
     dropped = written(told.filter("not kept").select(F.col("row").alias(row), F.col("print").alias(mark)), "dropped")
     return without(rows, row, mark, dropped).select(docs.columns)
