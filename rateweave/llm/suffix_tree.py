@@ -1,33 +1,36 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-Contexts are the last one or two symbols before a word.  A symbol is a word
-with at least SYMBOL_SHARE of the training tokens; rarer words are one symbol
-as outcomes, share its probability by their counts, and are passed over when
-contexts form.  A context is kept when its next-symbol counts differ from its
-shorter context's distribution by more than chance (a likelihood-ratio test).
-Its distribution lists the outcomes with at least PAIR_SHARE of the tokens,
-smoothed with the shorter context's; all others share the rest in the shorter
-context's proportions.  A word is scored from the longest kept context.
-
-Shares bound the model whatever the corpus: at most 1 / SYMBOL_SHARE symbols
-and 1 / PAIR_SHARE outcomes of each context length, which is what is sent to
-the tasks.  All counts are exact and cover all training documents.
+A context is the words before a word.  It is kept when its next-word counts
+differ from its shorter contexts' distribution by more than chance (a
+likelihood-ratio test).  Its distribution lists the outcomes with at least
+LEAST_COUNT tokens, smoothed with the shorter context's; all others share the
+rest in the shorter context's proportions.  A word is scored from the longest
+kept context.  A context with a word that occurs once in the training texts
+has no such outcome, so it ends there.
+
+The tree grows by one word a round, up to two.  Words, contexts
+and outcomes are tables; nothing of the model is gathered or broadcast whole.
+All counts are exact and cover all training documents.
 """
 
 from __future__ import annotations
 
+import functools
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..sources.versioned import release
 from .common import by_bytes, crc_mod, written
 from .simhash import SPACE
 
-SYMBOL_SHARE = 1e-6
-PAIR_SHARE = 5e-7
+# The least count of an outcome that a context lists, whatever the corpus.
 LEAST_COUNT = 2
+# A branch of the tree ends after so many words in a row that told nothing.
+IDLE = 2
 # Distinct keys a task counts before it hands them on.
 HELD_KEYS = 1 << 21
 CHUNK_BYTES = 1 << 22
@@ -133,7 +136,7 @@ def counted(texts: DataFrame, keys_of) -> DataFrame:
 
 
 def gathered(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts) in order of key; for tables whose size is bounded by a share."""
+    """(keys, counts) in order of key."""
     got = table.select("key", "n").toArrow()
     keys, counts = (got.column(c).to_numpy() for c in ("key", "n"))
     order = np.argsort(keys)
@@ -243,19 +246,22 @@ class SuffixTree:
 
 
 def learn_suffix_tree(texts: DataFrame) -> tuple[SuffixTree, DataFrame]:
-    """(the tree, all words' counts) of a table with a column ``text``."""
+    """(the tree, all words' counts) of a table with a column ``text``.
+
+    A model in memory for small tables, of contexts of one and two words with
+    rare words passed over; ``lm_scores`` does not use it.
+    """
     texts = texts.select("text")
     spark = texts.sparkSession
     counts = written(counted(texts, lambda digests, owner: digests), "words")
     tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     end = int(END.view(np.int64))
-    # at most 1 / SYMBOL_SHARE rows, and the end
-    symbols = counts.filter((F.col("n") >= max(LEAST_COUNT, SYMBOL_SHARE * tokens)) | (F.col("key") == end))
+    symbols = counts.filter((F.col("n") >= LEAST_COUNT) | (F.col("key") == end))
     words, n = gathered(symbols)
     tree = SuffixTree(words, n, tokens, types)
     if not len(words):
         return tree, counts
-    floor = max(LEAST_COUNT, PAIR_SHARE * tokens)
+    floor = LEAST_COUNT
     shared = spark.sparkContext.broadcast(tree)
 
     def short_keys(digests, owner):
@@ -269,7 +275,7 @@ def learn_suffix_tree(texts: DataFrame) -> tuple[SuffixTree, DataFrame]:
     sums = pairs.groupBy(F.floor(F.col("key") / tree.symbols).alias("key")).agg(F.sum("n").alias("n"))
     at, total = gathered(sums)  # one row a symbol at most
     totals[at] = total
-    keys, n = gathered(pairs.filter(F.col("n") >= floor))  # at most 1 / PAIR_SHARE rows
+    keys, n = gathered(pairs.filter(F.col("n") >= floor))
     tree.one = tree.level(keys, n, totals, tree.root[keys % tree.symbols])
     words_only = (keys % tree.symbols != tree.symbols - 1) & (tree.words[np.minimum(keys % tree.symbols, len(words) - 1)] != end)
     tree.pairs, listed = keys[words_only], keys
@@ -300,6 +306,79 @@ def learn_suffix_tree(texts: DataFrame) -> tuple[SuffixTree, DataFrame]:
     return tree, counts
 
 
+def occurrences(active: DataFrame, length: int) -> DataFrame:
+    """(row, pos, ctx, w, learn, back, idle) of the tokens at ``at``, or of all where ``length`` is one.
+
+    ctx: the digest of the ``length`` words before, 0 for a text's first token.
+    """
+    def emit(batches):
+        digests = Digests()
+        for batch in by_bytes(batches, "text", CHUNK_BYTES, 1 << 14):
+            value, owner = digests.of_texts(batch.column("text").to_pylist())
+            n = batch.num_rows
+            starts = np.searchsorted(owner, np.arange(n))
+            if length == 1:
+                whose, index = owner, np.arange(len(value))
+                back, idle = np.zeros(len(value)), np.zeros(len(value), np.int32)
+            else:
+                at = batch.column("at")
+                whose = np.repeat(np.arange(n), at.value_lengths().to_numpy(zero_copy_only=False))
+                index = starts[whose] + at.flatten().to_numpy()
+                back, idle = (batch.column(k).flatten().to_numpy() for k in ("back", "idle"))
+            up, down = powers(BASE, len(value)), powers(BASE_INVERSE, len(value))
+            total = np.append(np.zeros(1, np.uint64), np.cumsum(value * up))
+            first = np.maximum(index - length, starts[whose])
+            ctx = (total[index] - total[first]) * down[first]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row").take(pa.array(whose)), pa.array((index - starts[whose]).astype(np.int32)),
+                 pa.array(ctx.view(np.int64)), pa.array(value[index].view(np.int64)),
+                 batch.column("learn").take(pa.array(whose)), pa.array(back), pa.array(idle)],
+                names=["row", "pos", "ctx", "w", "learn", "back", "idle"])
+
+    return active.mapInArrow(emit, "row long, pos int, ctx long, w long, learn boolean, back double, idle int")
+
+
+def judged(grams: DataFrame) -> DataFrame:
+    """(ctx, total, mix, rest, kept, idle, grows) of the contexts with a frequent outcome.
+
+    grams: (ctx, w, n, back, idle), n the training count of w after ctx,
+    back its log10 probability from the shorter contexts, idle how many of
+    these in a row, the longest first, were not kept.  A context is kept if its
+    counts diverge from the shorter contexts' distribution.  It does not grow
+    if no longer one can be kept: what any part of its counts could tell
+    against its distribution is at most ``most``, and shrinks as contexts get
+    longer; nor after IDLE in a row that were not kept.
+    """
+    log10 = math.log(10)
+    often = F.col("n") >= LEAST_COUNT
+    sums = lambda x: F.sum(F.when(often, x).otherwise(0.0))
+    c = F.col
+    return grams.filter("n > 0 and ctx <> 0").groupBy("ctx").agg(
+        F.sum("n").alias("total"), F.max("idle").alias("idle"), sums(c("n")).alias("listed"), sums(F.lit(1.0)).alias("outcomes"),
+        F.least(sums(F.pow(F.lit(10.0), c("back"))), F.lit(1 - 1e-12)).alias("back_sum"),
+        sums(c("n") * F.ln("n")).alias("own"), sums(c("n") * c("back") * log10).alias("known")).filter(
+        "outcomes > 0").withColumns({
+            "other": c("total") - c("listed"), "mix": c("outcomes") / (c("total") + c("outcomes"))}).withColumns({
+                "surprise": c("own") - c("listed") * F.ln("total") - c("known") + F.when(
+                    c("other") > 0, c("other") * F.ln(c("other") / c("total") / (1 - c("back_sum")))).otherwise(0.0),
+                "left": F.greatest(1 - (1 - c("mix")) * c("listed") / c("total") - c("mix") * c("back_sum"), F.lit(1e-12)),
+            }).withColumn("kept", 2 * c("surprise") > c("outcomes") + 3.1 * F.sqrt(2 * c("outcomes")) + 3).withColumn(
+        "most", F.when(c("kept"), c("listed") * (F.ln("total") - F.log1p(-c("mix"))) - c("own") - c("other") * F.ln("left"))
+        .otherwise(-c("known") - c("other") * F.log1p(-c("back_sum")))).withColumn(
+        "idle", F.when(c("kept"), 0).otherwise(c("idle") + 1)).select(
+        "ctx", "total", "mix", F.log10(c("left") / (1 - c("back_sum"))).alias("rest"), "kept", "idle",
+        ((2 * c("most") > 4 + 3.1 * math.sqrt(2)) & (c("idle") < IDLE)).alias("grows"))
+
+
+def graded(grams: DataFrame) -> DataFrame:
+    """``grams`` with ``log``, the log10 probability of w after ctx, and ``idle`` and ``grows`` of ctx."""
+    own = F.log10((1 - F.col("mix")) * F.col("n") / F.col("total") + F.col("mix") * F.pow(F.lit(10.0), F.col("back")))
+    return grams.drop("idle").join(judged(grams), "ctx", "left").withColumns({
+        "log": F.when(~F.coalesce("kept", F.lit(False)), F.col("back")).when(F.col("n") >= LEAST_COUNT, own)
+        .otherwise(F.col("rest") + F.col("back")), "grows": F.coalesce("grows", F.lit(False))}).drop(
+        "total", "mix", "rest", "kept")
+
+
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1,
               folds: int = 5) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
@@ -312,50 +391,45 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     rows are learned and scored as often as they occur; other columns are not
     read; an empty table gives no rows.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.coalesce(crc_mod(F.col(id_col), folds) == held_out, F.lit(False)).alias("held_out"))
-    tree, counts = learn_suffix_tree(rows.filter("not held_out"))
-    tokens, log_total = tree.tokens, float(tree.log_total)
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
-    kinds = {"row": T.LongType(), "n_tokens": T.LongType(), "n_symbols": T.LongType(), "base": T.DoubleType(),
-             "model": T.DoubleType(), "rare": T.ArrayType(T.LongType()), "rare_n": T.ArrayType(T.LongType())}
-    schema = T.StructType([rows.schema["doc_id"], rows.schema["held_out"], *(T.StructField(k, v) for k, v in kinds.items())])
-
-    def score(batches):
-        from pyspark import TaskContext
-
-        t, digests, row = shared.value, Digests(), TaskContext.get().partitionId() << 40
-        for batch in by_bytes(batches, "text", CHUNK_BYTES, 1 << 14):
-            value, owner = digests.of_texts(batch.column("text").to_pylist())
-            symbol, logs = t.scores(value, owner)
-            n = batch.num_rows
-            rare = symbol == t.symbols - 1
-            sums = lambda x, o: np.bincount(o, weights=x, minlength=n)
-            # a rare word's share of its symbol: its own base probability over the symbol's
-            model = sums(np.where(rare, logs - t.root[-1], logs), owner)
-            base = sums(np.where(rare, 0, t.root[symbol]), owner)
-            known = sums(~rare, owner).astype(np.int64)
-            order = np.lexsort((value[rare], owner[rare]))
-            v, o = value[rare][order], owner[rare][order]
-            new = np.flatnonzero(np.append(True, (v[1:] != v[:-1]) | (o[1:] != o[:-1]))[:len(v)])
-            cuts = pa.array(np.searchsorted(o[new], np.arange(n + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(row + np.arange(n)),
-                 pa.array(np.bincount(owner, minlength=n)), pa.array(known), pa.array(base), pa.array(model),
-                 pa.ListArray.from_arrays(cuts, pa.array(v[new].view(np.int64))),
-                 pa.ListArray.from_arrays(cuts, pa.array(np.diff(np.append(new, len(v))).astype(np.int64)))],
-                names=schema.names)
-            row += n
-
-    scored = written(rows.mapInArrow(score, schema), "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select(
-        "row", F.col("w.rare").alias("key"), F.col("w.rare_n").alias("times"))
-    share = F.log10(F.coalesce("n", F.lit(0)) + F.lit(0.5)) - F.lit(log_total)
-    rest = rare.join(counts, "key", "left").groupBy("row").agg(
-        F.sum(F.col("times") * share).alias("rest"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("more"))
-    rest_sum = F.coalesce("rest", F.lit(0.0))
-    return scored.drop("rare", "rare_n").join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_symbols") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + rest_sum).alias("base_score"), (F.col("model") + rest_sum).alias("score"))
+    rows = written(docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(crc_mod(F.col(id_col), folds) == held_out, F.lit(False)).alias("held_out")), "rows")
+    learned = counted(rows.filter("not held_out"), lambda digests, owner: digests)
+    words = written(learned.select(F.col("key").alias("w"), F.col("n").alias("words")), "words")
+    tokens, types = words.agg(F.coalesce(F.sum("words"), F.lit(0)), F.count(F.lit(1))).first()
+    log_total = math.log10(tokens + 0.5 * (types + 1))
+    root = F.log10(F.coalesce("words", F.lit(0)) + F.lit(0.5)) - F.lit(log_total)
+    active, length, done, made = rows.withColumn("learn", ~F.col("held_out")), 1, [], None
+    while True:
+        seen = occurrences(active, length)
+        grams = seen.groupBy("ctx", "w").agg(F.sum(F.col("learn").cast("long")).alias("n"), *(F.max(k).alias(k) for k in ("back", "idle")))
+        if length == 1:
+            grams = grams.join(words, "w", "left").withColumn("back", root)
+        grams = written(grams, "grams")
+        marks = graded(grams).withColumnRenamed("back", "base")
+        goes = F.col("grows") & (F.col("pos") > length) & F.lit(length < 2)
+        sums = {"done": F.sum(F.when(~goes, F.col("log")).otherwise(0.0)),
+                "more": F.collect_list(F.when(goes, F.struct("pos", "log", "idle")))}
+        if length == 1:
+            sums |= {"n_tokens": F.count(F.lit(1)), "n_known": F.count("words"), "base_score": F.sum("base")}
+        level = written(seen.drop("back", "idle").join(marks.drop("n"), ["ctx", "w"]).groupBy("row").agg(
+            *(x.alias(k) for k, x in sums.items())), "level")
+        done.append(level.drop("more"))
+        growing = written(level.filter(F.size("more") > 0).select(
+            "row", F.col("more.pos").alias("at"), F.col("more.log").alias("back"), F.col("more.idle").alias("idle")).join(
+            active.select("row", "learn", "text"), "row"), "active")
+        release(grams)
+        if made is not None:
+            release(made)
+        active = made = growing
+        if active.isEmpty():
+            break
+        length += 1
+    score = done[0]
+    if len(done) > 1:
+        later = functools.reduce(DataFrame.unionByName, done[1:]).groupBy("row").agg(F.sum("done").alias("later"))
+        score = score.join(later, "row", "left").withColumn("done", F.col("done") + F.coalesce("later", F.lit(0.0)))
+    return rows.drop("text").join(score, "row").select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+        "base_score", F.col("done").alias("score"))

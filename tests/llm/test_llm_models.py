@@ -142,3 +142,19 @@ def test_no_context_passes_a_text(spark):
     last, other = tree.contexts(np.array([1, 2, 0, 1, 3, 2, 0]), np.array([0, 0, 0, 1, 1, 1, 1]),
                                 np.array([False, False, True, False, False, False, True]))
     assert last.tolist() == [-1, 1, 2, -1, 1, 1, 2] and other.tolist() == [-1, -1, 1, -1, -1, -1, 1]
+
+
+def scored(spark, learn, held):
+    """Scores of ``held`` texts, ``learn`` (text, times) learned from."""
+    ids = iter(range(10**6))
+    take = lambda fold: next(i for i in ids if (zlib.crc32(str(i).encode()) % 5 == 1) == fold)
+    rows_ = [(take(False), t) for t, times in learn for _ in range(times)]
+    asked = [(take(True), t) for t in held]
+    got = {r.doc_id: r for r in lm_scores(spark.createDataFrame(rows_ + asked, "doc_id long, text string")).collect()}
+    return [got[i] for i, _ in asked]
+
+
+def test_rare_pairs_of_a_large_corpus_are_learned(spark):
+    # 5 million tokens: shares of 1e-6 and 5e-7 would be floors of 5 and 3
+    r, = scored(spark, [("a b " * 50_000, 50), ("q z", 4)], ["q z"])
+    assert r.n_known == 3 and r.score > r.base_score + 4
