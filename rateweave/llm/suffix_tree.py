@@ -8,7 +8,7 @@ rest in the shorter context's proportions.  A word is scored from the longest
 kept context.  A context with a word that occurs once in the training texts
 has no such outcome, so it ends there.
 
-The tree grows by one word a round, up to two.  Words, contexts
+The tree grows by one word a round until no context grows.  Words, contexts
 and outcomes are tables; nothing of the model is gathered or broadcast whole.
 All counts are exact and cover all training documents.
 """
@@ -408,7 +408,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
             grams = grams.join(words, "w", "left").withColumn("back", root)
         grams = written(grams, "grams")
         marks = graded(grams).withColumnRenamed("back", "base")
-        goes = F.col("grows") & (F.col("pos") > length) & F.lit(length < 2)
+        goes = F.col("grows") & (F.col("pos") > length)
         sums = {"done": F.sum(F.when(~goes, F.col("log")).otherwise(0.0)),
                 "more": F.collect_list(F.when(goes, F.struct("pos", "log", "idle")))}
         if length == 1:

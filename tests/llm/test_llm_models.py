@@ -158,3 +158,49 @@ def test_rare_pairs_of_a_large_corpus_are_learned(spark):
     # 5 million tokens: shares of 1e-6 and 5e-7 would be floors of 5 and 3
     r, = scored(spark, [("a b " * 50_000, 50), ("q z", 4)], ["q z"])
     assert r.n_known == 3 and r.score > r.base_score + 4
+
+
+def test_contexts_grow_as_long_as_they_tell(spark):
+    # the last word follows from the third word before it, for each of two endings
+    learn = [(f"{a} {x} {y} {a}{x}{y}", 12) for a in "pq" for x in "rs" for y in "tu"]
+    got = scored(spark, learn, ["p r t prt", "p r t qrt"])
+    # of 12 in 12 the listed outcome has 12/13 at least, of 12 in 24 (two words known) about half
+    tail = lambda r: r.score - scored_head
+    scored_head = scored(spark, learn, ["p r t"])[0].score
+    assert tail(got[0]) > tail(got[1]) + 1
+
+
+def test_scores_agree_with_counts_by_hand(spark):
+    learn = [(f"{a} {x} {y} {a}{x}{y}", 12) for a in "pq" for x in "rs" for y in "tu"] + [("p r once t u", 1), ("t t t t", 3)]
+    held = ["p r t prt", "new r t qrt", "p r once t", "t t t t t", ""]
+    tokens = lambda t: (*t.split(), None)
+    texts = [tokens(t) for t, times in learn for _ in range(times)]
+    words = Counter(w for t in texts for w in t)
+    total = sum(words.values()) + 0.5 * (len(words) + 1)
+
+    def prob(context, w, length):
+        """(probability, lengths in a row that were not kept or None at the end of a branch)."""
+        if not length:
+            return (words[w] + 0.5) / total, 0
+        back, idle = prob(context, w, length - 1)
+        if idle is None or length > len(context):
+            return back, None
+        ctx = context[len(context) - length:]
+        n = Counter(t[i] for t in texts for i in range(length, len(t)) if t[i - length:i] == ctx)
+        often = {v: k for v, k in n.items() if k >= 2}
+        if not often:
+            return back, None
+        short = {v: prob(context, v, length - 1)[0] for v in often}
+        m, k, other = sum(n.values()), len(often), sum(n.values()) - sum(often.values())
+        told = sum(c * math.log(c / m / short[v]) for v, c in often.items())
+        told += other * math.log(other / m / (1 - sum(short.values()))) if other else 0
+        if 2 * told <= k + 3.1 * math.sqrt(2 * k) + 3:
+            return back, idle + 1 if idle + 1 < 2 else None
+        mix = k / (m + k)
+        mine = {v: (1 - mix) * c / m + mix * short[v] for v, c in often.items()}
+        return mine[w] if w in mine else back * (1 - sum(mine.values())) / (1 - sum(short.values())), 0
+
+    for r, text in zip(scored(spark, learn, held), held, strict=True):
+        t = tokens(text)
+        want = sum(math.log10(prob(t[:i], w, i)[0]) for i, w in enumerate(t))
+        assert r.score == pytest.approx(want)
