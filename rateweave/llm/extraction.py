@@ -57,6 +57,8 @@ LAYOUT = frozenset("has with no without open enabled layout".split())
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Points for an element that is marked as the article.
 HOLDER = 25.0
+#: An article of fewer characters is looked for again without the names.
+LITTLE = 100
 NAME_PARTS = re.compile(r"[a-z]+(?=[A-Z])|[A-Z]?[a-z]+|[A-Z]+")
 CLOSES = {  # an open element of the value ends where one of the key begins
     **{name: frozenset({"p"}) for name in BLOCK - {"html", "body", "head", "option", "optgroup", "tr", "td", "th", "tbody", "thead", "tfoot", "caption"}},
@@ -78,14 +80,17 @@ class Element:
         self.items, self.chars, self.linked, self.score = [], 0, 0, 0.0
 
 
-def surrounds(name: str, attributes: str, parent: Element) -> tuple[bool, float]:
-    """Whether an element holds no article text, and points for its names."""
+def surrounds(name: str, attributes: str, parent: Element, named: bool = True) -> tuple[bool, float]:
+    """Whether an element holds no article text, and points for its names.
+
+    Without ``named``, class and id names switch nothing off.
+    """
     if name in NEVER or name == "header" and parent.name not in ("article", "main"):
         return True, 0.0
     favour = HOLDER if name in ("article", "main") else 0.0
     if not attributes.strip() or name in ("html", "body"):
         return False, favour
-    off = told = False
+    off = told = beside = article = False
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
@@ -94,12 +99,13 @@ def surrounds(name: str, attributes: str, parent: Element) -> tuple[bool, float]
                 words = {*parts, "".join(parts)}  # "side-bar" is a sidebar
                 told |= bool(words & ARTICLE)
                 around = words & AROUND
+                article |= not around and bool(words & ARTICLE)
                 if not around or words & LAYOUT:
                     continue
                 if name in ("article", "main"):
                     off |= set(parts) <= {"comment", "comments", "body"}
                 else:
-                    off |= not (around == {"header"} and words & {"article", "entry", "post", "story"})
+                    beside |= not (around == {"header"} and words & {"article", "entry", "post", "story"})
         elif key == "role":
             off |= value.lower() in NOT_ROLES
             favour += HOLDER * (value.lower() in ("main", "article"))
@@ -111,10 +117,12 @@ def surrounds(name: str, attributes: str, parent: Element) -> tuple[bool, float]
             off |= bool(AROUND & {x.lower() for x in NAME_PARTS.findall(value)})
         elif key == "itemprop" and value.lower() == "articlebody":
             favour += HOLDER
-    return off, favour + 15.0 * told
+    if beside and article:  # another name says that it is the article
+        return off, favour
+    return off or beside and named, favour + 15.0 * told
 
 
-def parse(page: str) -> Element:
+def parse(page: str, named: bool = True) -> Element:
     """The element tree of a page; unclosed and misnested tags are mended as browsers do, roughly."""
     root = here = Element("html", None)
     depth = at = 0
@@ -155,7 +163,7 @@ def parse(page: str) -> Element:
                 node, steps = node.parent, steps + 1
             if last is not None:
                 here, depth = last.parent, depth - last_steps
-        off, favour = surrounds(name, m[3], here)
+        off, favour = surrounds(name, m[3], here, named)
         if name in ("article", "main", "h1"):  # a form around the whole page
             node = here
             while node is not None:
@@ -210,10 +218,23 @@ def blocks_of(root: Element) -> list[tuple[Element, str, int]]:
 
 
 def main_text(page: str) -> str:
-    """The article of a page, one line for each block; empty if there is none."""
-    blocks = blocks_of(parse(page))
+    """The article of a page, one line for each block; empty if there is none.
+
+    Where class and id names leave very little, they switch nothing off.
+    """
+    text, marked = article_of(parse(page))
+    if len(text) < LITTLE and not marked:
+        other, _ = article_of(parse(page, named=False))
+        if len(other) > 4 * len(text):
+            return other
+    return text
+
+
+def article_of(root: Element) -> tuple[str, bool]:
+    """(the article's text, whether it is marked as the article)."""
+    blocks = blocks_of(root)
     if not blocks:
-        return ""
+        return "", False
     nodes: dict[int, Element] = {}
     for owner, text, linked in blocks:
         heading = owner.name in HEADINGS
@@ -257,10 +278,11 @@ def main_text(page: str) -> str:
         node = owner
         while node is not None and id(node) not in kept:
             node = node.parent
-        # a list of links is a menu, save inside a marked article
-        if node is not None and not (linked >= len(text) and owner.name == "li" and best.favour < HOLDER):
+        # a list mostly of links is a menu, save inside a marked article
+        if node is not None and not (linked >= len(text) and owner.name == "li" and best.favour < HOLDER
+                                     and 2 * owner.parent.linked > owner.parent.chars):
             lines.append(text)
-    return "\n".join(lines)
+    return "\n".join(lines), best.favour >= HOLDER
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:

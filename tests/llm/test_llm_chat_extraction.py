@@ -145,3 +145,16 @@ def test_pages_of_the_table(spark):
         body = re.sub(r"<footer>.*|<[^>]*\Z", "", re.search(r"<article>(.*?)(?:</article>|\Z)", r.html, re.S)[1], flags=re.S)
         parts = [" ".join(unescape(re.sub(r"<[^>]+>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)\b[^>]*>", body)]
         assert r.text == "\n".join(x for x in parts if x)
+
+
+def test_names_of_the_article_outweigh_names_of_its_surroundings():
+    text = "<p>" + "A sentence of the article, with a comma, and some more words. " * 4 + "</p>"
+    for names in ('class="main-content right-sidebar"', 'class="post legal"', 'class="promo"', 'id="content-sidebar"'):
+        for tag in ("div", "section"):
+            page = f"<body><div class='nav'>Home</div><{tag} {names}>{text * 3}</{tag}><div class='sidebar'><p>Beside, this.</p></div></body>"
+            got = main_text(page)
+            assert got.count("A sentence") == 12 and "Beside" not in got and "Home" not in got
+    around = f"<body><div class='text'>{text * 3}</div><div class='post-comments'>{text.replace('article', 'reply')}</div></body>"
+    assert "reply" not in main_text(around)
+    item = "<li>An item of the list, with words of its own and no link at all in it.</li>"
+    assert "see this" in main_text(f"<body><div>{text * 3}<ul>{item * 3}<li><a href=x>see this</a></li></ul></div></body>")
