@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -69,9 +70,46 @@ CLOSES = {  # an open element of the value ends where one of the key begins
 }
 #: Ends that are implied do not reach beyond these.
 SCOPE = frozenset("table ul ol dl div section article main body html td th aside nav header footer form blockquote".split())
+#: Elements below this depth are not opened: their text belongs to the one at this depth.
 DEPTH = 256
 
 
+class Below:
+    """The open elements below DEPTH, of which only names and off marks count."""
+
+    def __init__(self):
+        self.open, self.places, self.hidden, self.forms = [], {}, 0, []
+
+    def push(self, node: Element) -> None:
+        self.places.setdefault(node.name, []).append(len(self.open))
+        self.open.append(node)
+        self.hidden += node.off
+        if node.name == "form" and node.off:
+            self.forms.append(node)
+
+    def cut(self, size: int) -> None:
+        while len(self.open) > size:
+            node = self.open.pop()
+            self.places[node.name].pop()
+            self.hidden -= node.off
+            node.off = False
+
+    def last(self, names) -> int:
+        """The place of the innermost of these elements, -1 for none."""
+        return max((self.places[x][-1] for x in names if self.places.get(x)), default=-1)
+
+    def first(self, names, after: int) -> int:
+        """The place of the outermost of these elements behind a place, or -1."""
+        got = [p[bisect(p, after)] for x in names if (p := self.places.get(x)) and p[-1] > after]
+        return min(got, default=-1)
+
+    def show_forms(self) -> None:
+        for node in self.forms:
+            self.hidden -= node.off
+            node.off = False
+        self.forms = []
+
+
 class Element:
     __slots__ = ("name", "parent", "items", "off", "favour", "chars", "linked", "score")
 
@@ -126,10 +164,11 @@ def parse(page: str, named: bool = True) -> Element:
     """The element tree of a page; unclosed and misnested tags are mended as browsers do, roughly."""
     root = here = Element("html", None)
     depth = at = 0
+    below = Below()
     while True:
         m = TOKEN.search(page, at)
         text = page[at:m.start() if m else len(page)]
-        if text:
+        if text and not below.hidden:
             here.items.append(html.unescape(text) if "&" in text else text)
         if not m:
             return root
@@ -139,6 +178,16 @@ def parse(page: str, named: bool = True) -> Element:
             continue
         name = name.lower()
         if m[1]:
+            place, scope = below.last((name,)), -1 if name in BLOCK else below.last(SCOPE)
+            if place >= 0 and place >= scope:
+                below.cut(place)
+                if name in BLOCK:
+                    here.items.append(Element(name, here))
+                continue
+            if scope >= 0:  # the end of an inline element that began elsewhere, or never
+                if name == "br":
+                    here.items.append(Element(name, here))
+                continue
             node, steps = here, 0
             while node.parent is not None and node.name != name:
                 if name not in BLOCK and node.name in SCOPE:
@@ -146,6 +195,7 @@ def parse(page: str, named: bool = True) -> Element:
                     break
                 node, steps = node.parent, steps + 1
             if node.parent is not None:
+                below.cut(0)
                 here, depth = node.parent, depth - steps - 1
             elif name in ("p", "br"):
                 here.items.append(Element(name, here))
@@ -154,17 +204,23 @@ def parse(page: str, named: bool = True) -> Element:
             continue
         ends = CLOSES.get(name)
         if ends:
+            scope = below.last(SCOPE - ends) if below.open else -1
+            place = below.first(ends, scope)
             node, steps, last, last_steps = here, 0, None, 0
-            while node.parent is not None:
+            while node.parent is not None and scope < 0:
                 if node.name in ends:
                     last, last_steps = node, steps + 1
                 elif node.name in SCOPE:
                     break
                 node, steps = node.parent, steps + 1
+            if place >= 0:
+                below.cut(place)
             if last is not None:
+                below.cut(0)
                 here, depth = last.parent, depth - last_steps
-        off, favour = surrounds(name, m[3], here, named)
+        off, favour = surrounds(name, m[3], below.open[-1] if below.open else here, named)
         if name in ("article", "main", "h1"):  # a form around the whole page
+            below.show_forms()
             node = here
             while node is not None:
                 node.off &= node.name != "form"
@@ -174,9 +230,14 @@ def parse(page: str, named: bool = True) -> Element:
             at = end.end()
             continue
         node = Element(name, here, off, favour)
-        here.items.append(node)
-        if name not in VOID and depth < DEPTH:
+        if name in VOID:
+            here.items.append(node)
+        elif depth < DEPTH:
+            here.items.append(node)
             here, depth = node, depth + 1
+        else:
+            here.items.append(Element(name, here))  # where a block begins
+            below.push(node)
 
 
 def blocks_of(root: Element) -> list[tuple[Element, str, int]]:

@@ -158,3 +158,12 @@ def test_names_of_the_article_outweigh_names_of_its_surroundings():
     assert "reply" not in main_text(around)
     item = "<li>An item of the list, with words of its own and no link at all in it.</li>"
     assert "see this" in main_text(f"<body><div>{text * 3}<ul>{item * 3}<li><a href=x>see this</a></li></ul></div></body>")
+
+
+def test_no_text_moves_or_leaks_below_the_depth():
+    text = "<p>" + "A sentence of the article, with a comma, and some more words. " * 4 + "</p>"
+    for n in (10, 250, 260, 2000):
+        deep = "<div>" * n + "<nav>Menu <b>of</b> pages</nav><div hidden>Unseen <p>words</p></div><p hidden>Gone<p>Seen.</p>" + "</div>" * n
+        got = main_text(f"<body><article>{text}{deep}{text}</article><p>Beside.</p></body>")
+        assert got.count("A sentence") == 8 and "Seen." in got
+        assert not any(x in got for x in ("Menu", "pages", "Unseen", "words</p>", "Gone", "Beside"))
