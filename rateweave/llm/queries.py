@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.views import read_table
+from .audit import SPECIAL, audit_filters
 from .chat import CLOSE, CUT, GUARDED, OPEN, conversation_digests, format_conversations
+from .decontamination import ITEM_WORD, WINDOW, contaminated_documents
 from .embeddings import THRESHOLD, embedding_groups
 from .exact import exact_groups
 from .extraction import extract_main_text
 from .common import LOWER, UPPER, WORD
+from .lexical import TOP, UNIT, rank_documents
 from .mixing import MOST_COPIES, SEED, WEIGHTS, mix_sources
 from .packing import pack_documents
 from .quality import classify_quality
@@ -71,7 +74,21 @@ def op10_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read_table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("html")
 
 
-QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op3_embedding_dedup, op4_exact_dedup, op5_simhash_dedup, op6_quality, op7_lm_score, op8_shard, op9_chat, op10_extract)}
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pack, op2_mix, op3_embedding_dedup, op4_exact_dedup, op5_simhash_dedup, op6_quality,
+                                   op7_lm_score, op8_shard, op9_chat, op10_extract, op11_search, op12_audit,
+                                   op13_decontaminate)}
 
 GUARDED_SQL = f"'{GUARDED}', '\\1{chr(92) * 2}', 'g'"
 
@@ -133,4 +150,90 @@ spoken AS (
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learnt) AS loss_chars,
        sha256(learnt) AS loss_sha256, formatted_chars
 FROM spoken""",
+    "op11_search": rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{ITEM_WORD}') AS words
+  FROM documents),
+sums AS (SELECT count(*) AS docs, CAST(sum(len(words)) AS BIGINT) AS terms FROM docs WHERE len(words) > 0),
+postings AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM docs) t GROUP BY ALL),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, sums GROUP BY term),
+items AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS item, item_id,
+               unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{ITEM_WORD}')) AS term FROM benchmark) t
+  GROUP BY ALL),
+scored AS (
+  SELECT item, item_id, row,
+         CAST(sum(times * w * (({UNIT} * tf) // (1000 * tf + 8 * (25 + (75 * len(words) * sums.docs) // sums.terms)))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN postings USING (term) JOIN docs USING (row), sums
+  GROUP BY item, item_id, row),
+ranked AS (
+  SELECT item_id, doc_id, score,
+         CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS INT) AS rank
+  FROM scored JOIN docs USING (row) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {TOP}""",
+    "op12_audit": f"""
+WITH texts AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+worded AS (
+  SELECT *, regexp_extract_all(text, '{WORD}') AS words,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS later FROM texts),
+marked AS (
+  SELECT doc_id AS id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CAST(len(words) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(words)) < 50 * len(words) AS INT)
+         + 4 * CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 3 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '{SPECIAL}') AS INT) + 16 * CAST(later AS INT) AS mask
+  FROM worded LEFT JOIN marked ON doc_id = id),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY part, mask),
+states AS (
+  SELECT part, CAST(subset AS INT) AS subset, coalesce(sum(n) FILTER (mask & subset = 0), 0) AS n,
+         coalesce(sum(good) FILTER (mask & subset = 0), 0) AS good, coalesce(sum(toxic) FILTER (mask & subset = 0), 0) AS toxic
+  FROM cells, range(32) r(subset) GROUP BY ALL),
+letters AS (SELECT * FROM (VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3), ('E', 4)) v(letter, bit)),
+orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE (1 << a.bit) + (1 << b.bit) + (1 << c.bit) + (1 << d.bit) + (1 << e.bit) = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps AS (
+  SELECT filter_order, CAST(step AS INT) AS step, bit,
+         CAST((SELECT coalesce(sum(1 << l.bit), 0) FROM letters l
+               WHERE contains(left(filter_order, CAST(step - 1 AS INT)), l.letter)) AS INT) AS before
+  FROM orders, range(1, 6) r(step), letters WHERE letter = substr(filter_order, CAST(step AS INT), 1)),
+walked AS (
+  SELECT s.part, filter_order, step, bit, z.n AS kept, s.n - z.n AS removed, s.good - z.good AS good_lost,
+         s.toxic - z.toxic AS toxic_lost
+  FROM steps JOIN states s ON s.subset = before JOIN states z ON z.subset = before + (1 << bit) AND z.part = s.part),
+fails AS (
+  SELECT part, bit, coalesce(sum(n) FILTER (mask & (1 << bit) <> 0), 0) AS all_fails,
+         coalesce(sum(n) FILTER (mask = 1 << bit), 0) AS alone FROM cells, letters GROUP BY part, bit),
+shares AS (SELECT part, bit, sum(removed) AS shapley FROM walked GROUP BY part, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(all_fails - removed AS BIGINT) AS redundant, CAST(alone AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(shapley AS BIGINT) AS shapley
+FROM walked JOIN fails USING (part, bit) JOIN shares USING (part, bit)""",
+    "op13_decontaminate": f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ITEM_WORD}') AS words FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{ITEM_WORD}') AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, words[i:i + {WINDOW} - 1] AS win
+  FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - {WINDOW} + 1, 1) + 1)) AS i FROM items WHERE len(words) > 0) t),
+lengths AS (SELECT DISTINCT len(win) AS length FROM windows),
+runs AS (
+  SELECT row, i, length, words[i:i + length - 1] AS win
+  FROM (SELECT row, words, length, unnest(range(1, len(words) - length + 2)) AS i FROM docs, lengths) t),
+met AS (SELECT row, i, length, item_id FROM runs JOIN windows USING (win)),
+hit AS (SELECT row, count(DISTINCT pos) AS n_hit FROM (SELECT row, unnest(range(i, i + length)) AS pos FROM met) t GROUP BY row),
+named AS (
+  SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM met WHERE item_id IS NOT NULL) t GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hit USING (row) LEFT JOIN named USING (row)""",
 }
