@@ -7,7 +7,7 @@ Fixed values that must equal the reference's defaults for equal results:
     smoothing factor (shrinkage lambda)     = 5
     rating clip                             = 1 .. 5
     page size                               = default 20, at most 100
-        similarity blocks                       = 1000
+    similarity blocks                       = 1000
     notebook form: k = 50, support > 10 (strict), C = 5
 """
 
@@ -34,6 +34,7 @@ QUERY_BLOCKS = 8
 # Users of one side of a training tile pair, and users and neighbours of one
 # scoring task: the sizes that bound a task, without influence on any result.
 TRAIN_TILE = 1024
+STRIP_TILES = 32
 SCORE_TILE = 512
 NEAR_TILE = 4096
 # Block mixing hash ((user mod P) * A + B) mod P, then mod n_blocks.  Plain

@@ -13,9 +13,14 @@ Design
   follows from the data, so more users change no correlation among the
   others.  Work inside a block grows with the square of its users; a caller
   with a large table passes a larger count.
-* Inside a block, users are dealt into tiles of about TRAIN_TILE users, and a
-  task computes the co-moments of one pair of tiles as matrix products: no
-  pair row is shuffled, and a task's size does not depend on the block's.
+* Inside a block, users are dealt into tiles of about TRAIN_TILE users and the
+  tiles into strips.  A task takes a pair of strips and computes the co-moments
+  of their tiles, pair by pair, as matrix products: no pair row is shuffled,
+  ratings travel once per strip, and a task holds at most two strips.
+* One block is the exact answer.  It is pruned where that is safe: r over the
+  shared items has no bound from either user's own ratings, but a pair needs
+  its support.  Users with fewer ratings are left out before the shuffle, and
+  in each pair of tiles those who share too few items with the other tile.
 * ``corated_pairs`` and ``pair_moments`` are the same as plain relational
   operators: a blocked self join and a hash aggregate.
 """
@@ -24,10 +29,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import MIN_CORR, MIN_SUPPORT, N_BLOCKS, TRAIN_TILE
+from ..constants import MIN_CORR, MIN_SUPPORT, N_BLOCKS, STRIP_TILES, TRAIN_TILE
 from ..functions.columns import block_of, pearson_from_moments, rounded_corr, tile_of
 
 INTEGRAL = ("tinyint", "smallint", "int", "bigint")
@@ -120,13 +125,15 @@ def symmetric(corrs: DataFrame) -> DataFrame:
 def block_correlations(ratings: DataFrame, n_blocks: int = N_BLOCKS, method: str = "mix",
                        min_support: int | None = MIN_SUPPORT,
                        min_corr: float | None = MIN_CORR, k: int | None = None,
-                       tile: int = TRAIN_TILE) -> DataFrame:
+                       tile: int = TRAIN_TILE, one_rating: bool = False) -> DataFrame:
     """Half-matrix correlations inside blocks: (user < neighbor, corr, n).
 
     With ``k``, a pair may be left out that is not among the k best of either
-    user: all that a later top-k needs is kept.
+    user: all that a later top-k needs is kept.  ``one_rating`` says that no
+    user rated an item twice, see ``able_users``.
     """
-    blocked = assign_blocks(ratings.select("user_id", "item_id", "rating"), n_blocks, method)
+    rows = ratings.select("user_id", "item_id", "rating")
+    blocked = assign_blocks(able_users(rows, min_support) if one_rating else rows, n_blocks, method)
     return correlations(block_pair_moments(blocked, min_support, False, min_corr, k, tile), min_corr)
 
 
@@ -169,23 +176,57 @@ ITEM_CHUNK = 2048
 
 
 def _tile_moments_fn(min_support: int | None, strict: bool, min_corr: float | None, k: int | None,
-                     number: str, chunk: int = ITEM_CHUNK):
-    """pandas function: co-moments of the users of two tiles of one block.
+                     number: str, chunk: int = ITEM_CHUNK, count_only: bool = False):
+    """pandas function: co-moments of the users of two strips of tiles of one block.
 
-    With M the users x items counts of ratings (1, or more where a user rated
-    an item repeatedly), X their sums and Q the sums of their squares:
+    The strips' tiles are taken pair by pair.  With M the users x items counts
+    of ratings (1, or more where a user rated an item repeatedly), X their
+    sums and Q the sums of their squares:
         n = M M^T,  Sxy = X X^T,  Sx = X M^T,  Sy = M X^T,
         Sxx = Q M^T,  Syy = M Q^T,
-    which are the sums over the rows of the self join.  Items are taken in
-    chunks, so memory is O(tile^2 + tile x chunk).  Integer-valued float64
-    sums are exact (< 2^53).  With ``min_corr``, pairs whose unrounded r is at
-    or below ``min_corr - 1e-6`` (or undefined) are dropped, and with ``k``
-    those more than 1e-6 below the k-th best r of both their users: what is
-    left contains all that the exact steps in Spark keep.
+    which are the sums over the rows of the self join.  Only items that both
+    tiles hold have a column, and of each tile only users whose ratings of
+    such items can reach the support have a row: all others are in no pair.
+    Items are taken in chunks, so memory is O(tile^2 + tile x chunk) besides
+    the strips' ratings.  Integer-valued float64 sums are exact (< 2^53).
+    With ``min_corr``, pairs whose unrounded r is at or below ``min_corr -
+    1e-6`` (or undefined) are dropped, and with ``k`` those more than 1e-6
+    below the k-th best r of both their users: what is left contains all that
+    the exact steps in Spark keep.  ``count_only`` gives (compared, supported)
+    pairs instead.
     """
     import numpy as np
     import pandas as pd
 
+    least = 1 if min_support is None else min_support + 1 if strict else max(min_support, 1)
+
+    class Side:
+        """The ratings of one tile: users and items by number, sorted by user."""
+
+        def __init__(self, ids, items, x):
+            self.users, self.u = np.unique(ids, return_inverse=True)
+            self.i, self.x = items, x
+            self.held = np.unique(items)
+
+        def facing(self, other):
+            """The part of it that can be in a pair with ``other``, and whether it is all."""
+            common = np.isin(self.i, other.held)
+            if self.repeats or other.repeats:  # a repeated rating supports a pair more than once
+                enough = np.zeros(len(self.users), bool)
+                enough[self.u[common]] = True
+            else:
+                enough = np.bincount(self.u[common], minlength=len(self.users)) >= least
+            sel = common & enough[self.u]
+            number = np.cumsum(enough) - 1
+            return self.users[enough], number[self.u[sel]], self.i[sel], self.x[sel]
+
+        @property
+        def repeats(self):
+            if not hasattr(self, "_repeats"):
+                key = self.u.astype(np.int64) * (int(self.i.max()) + 1 if len(self.i) else 1) + self.i
+                self._repeats = len(np.unique(key)) < len(key)
+            return self._repeats
+
     def dense(u, i, x, width, c0, cw):
         sel = (i >= c0) & (i < c0 + cw)
         at = (u[sel], i[sel] - c0)
@@ -195,21 +236,21 @@ def _tile_moments_fn(min_support: int | None, strict: bool, min_corr: float | No
         np.add.at(q, at, x[sel] * x[sel])
         return m, s, q
 
-    def fn(pdf):
-        same = pdf["low"].iat[0] == pdf["high"].iat[0]
-        items, i_idx = np.unique(pdf["item_id"].to_numpy(), return_inverse=True)
-        x = pdf["rating"].to_numpy().astype(np.float64)
-        ids, sides = pdf["user_id"].to_numpy(), []
-        for t in ("low",) if same else ("low", "high"):
-            rows = (pdf["tile"] == pdf[t]).to_numpy()
-            users, u_idx = np.unique(ids[rows], return_inverse=True)
-            sides.append((users, u_idx, i_idx[rows], x[rows]))
-        ua, ub = sides[0][0], sides[-1][0]
+    def moments(one, two, same):
+        ua, u_a, i_a, x_a = one.facing(two)
+        ub, u_b, i_b, x_b = two.facing(one)
+        columns = np.intersect1d(i_a, i_b)  # fewer, as users have left
+        if not len(ua) or not len(ub) or not len(columns):
+            return None
+        sides = []
+        for u, i, x in ((u_a, i_a, x_a), (u_b, i_b, x_b)):
+            sel = np.isin(i, columns)
+            sides.append((u[sel], np.searchsorted(columns, i[sel]), x[sel]))
         n, sx, sy, sxy, sxx, syy = (np.zeros((len(ua), len(ub))) for _ in range(6))
-        for c0 in range(0, len(items), chunk):
-            cw = min(chunk, len(items) - c0)
-            ma, xa, qa = dense(*sides[0][1:], len(ua), c0, cw)
-            mb, xb, qb = (ma, xa, qa) if same else dense(*sides[1][1:], len(ub), c0, cw)
+        for c0 in range(0, len(columns), chunk):
+            cw = min(chunk, len(columns) - c0)
+            ma, xa, qa = dense(*sides[0], len(ua), c0, cw)
+            mb, xb, qb = (ma, xa, qa) if same else dense(*sides[1], len(ub), c0, cw)
             n += ma @ mb.T
             sxy += xa @ xb.T
             sx += xa @ mb.T
@@ -219,10 +260,19 @@ def _tile_moments_fn(min_support: int | None, strict: bool, min_corr: float | No
                 syy += ma @ qb.T
         if same:
             sy, syy = sx.T, sxx.T
-        least = 1 if min_support is None else min_support + 1 if strict else max(min_support, 1)
+        return ua, ub, n, sx, sy, sxy, sxx, syy
+
+    def pairs(one, two, same):
+        got = moments(one, two, same)
+        if got is None:
+            return None
+        ua, ub, n, sx, sy, sxy, sxx, syy = got
         keep = n >= least
         if same:
             keep &= np.triu(np.ones(n.shape, bool), 1)
+        if count_only:
+            return pd.DataFrame({"compared": [len(ua) * (len(ua) - 1) // 2 if same else len(ua) * len(ub)],
+                                 "supported": [int(keep.sum())]})
         if min_corr is not None:
             vx, vy = n * sxx - sx * sx, n * syy - sy * sy
             ok = keep & (vx > 0) & (vy > 0)
@@ -245,28 +295,97 @@ def _tile_moments_fn(min_support: int | None, strict: bool, min_corr: float | No
             "n": n[a, b].astype(np.int64), "sum_x": pick(sx, sy), "sum_y": pick(sy, sx),
             "sum_xy": sxy[a, b].astype(number), "sum_x2": pick(sxx, syy), "sum_y2": pick(syy, sxx)})
 
+    names = ("compared", "supported") if count_only else ("user", "neighbor", *MOMENT_NAMES)
+    none = pd.DataFrame({c: np.zeros(0, "int64" if c in ("user", "neighbor", "n") or count_only else number) for c in names})
+
+    def fn(pdf):
+        one_strip = pdf["low"].iat[0] == pdf["high"].iat[0]
+        items = np.unique(pdf["item_id"].to_numpy(), return_inverse=True)[1]
+        x, ids, tiles = pdf["rating"].to_numpy().astype(np.float64), pdf["user_id"].to_numpy(), pdf["tile"].to_numpy()
+        strip = pdf["strip"].to_numpy()
+        sides = {}
+        for t in np.unique(tiles):
+            rows = tiles == t
+            sides[t] = strip[rows][0], Side(ids[rows], items[rows], x[rows])
+        low, out = pdf["low"].iat[0], []
+        for a, (strip_a, one) in sides.items():
+            for b, (strip_b, two) in sides.items():
+                if (a <= b) if one_strip else (strip_a == low and strip_b != low):
+                    out.append(pairs(one, two, a == b))
+        out = [x for x in out if x is not None and len(x)]
+        return pd.concat(out, ignore_index=True) if out else none
+
     return fn
 
 
+def strips_of(tiles: Column, most: int = STRIP_TILES) -> Column:
+    """Into how many strips ``tiles`` tiles fall: the square root, but no strip of more than ``most``."""
+    return F.greatest(F.ceil(F.sqrt(tiles.cast("double"))), F.ceil(tiles / most)).cast("int")
+
+
+def strip_pairs(blocked: DataFrame, tile: int = TRAIN_TILE, most: int = STRIP_TILES) -> DataFrame:
+    """(block, low, high, strip, tile, user_id, item_id, rating): ratings at every pair of strips they take part in.
+
+    With T tiles a block there are about sqrt(T) strips of sqrt(T) tiles, and a
+    rating is copied once for each strip instead of once for each tile.
+    """
+    counts = block_tiles(blocked, tiles=tile)
+    tiled = blocked.select("block", "user_id", "item_id", "rating").join(
+        counts.withColumn("strips", strips_of(F.col("tiles"), most)), "block")
+    own = tiled.withColumn("tile", tile_of("user_id", F.col("tiles"))).withColumn(
+        "strip", F.pmod("tile", "strips")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)))
+    return own.select("block", F.least("strip", "with").alias("low"), F.greatest("strip", "with").alias("high"),
+                      "strip", "tile", "user_id", "item_id", "rating")
+
+
+def able_users(ratings: DataFrame, min_support: int | None, strict: bool = False) -> DataFrame:
+    """The ratings of users with as many as a pair's support, where no user rated an item twice.
+
+    Nobody else can have an edge then: a pair's support is the items it shares.
+    """
+    least = 1 if min_support is None else min_support + strict
+    able = ratings.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least).select("user_id")
+    return ratings.join(able, "user_id", "left_semi")
+
+
+def _by_strips(blocked: DataFrame, fn, schema: str, tile: int, most: int) -> DataFrame:
+    # An explicit partition count keeps AQE from packing many compute-heavy
+    # (but byte-light) pairs of strips into a few tasks.
+    parts = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return strip_pairs(blocked, tile, most).repartition(parts, "block", "low", "high").groupBy(
+        "block", "low", "high").applyInPandas(fn, schema)
+
+
 def block_pair_moments(blocked: DataFrame, min_support: int | None = MIN_SUPPORT, strict: bool = False,
                        min_corr: float | None = None, k: int | None = None,
-                       tile: int = TRAIN_TILE) -> DataFrame:
-    """Same rows as ``pair_moments(corated_pairs(blocked), ...)``, one task per pair of tiles.
+                       tile: int = TRAIN_TILE, strip: int = STRIP_TILES) -> DataFrame:
+    """Same rows as ``pair_moments(corated_pairs(blocked), ...)``, one task per pair of strips of tiles.
 
-    Ratings are shuffled once for each tile of their block; no pair row is.
+    Ratings are shuffled once for each strip of their block; no pair row is.
     Users who rated an item repeatedly count as often as in the join.
     """
     integral = dict(blocked.dtypes)["rating"] in INTEGRAL
     rating = F.col("rating") if integral else F.col("rating").cast("double")
-    tiled = blocked.select("block", "user_id", "item_id", rating.alias("rating")).join(
-        block_tiles(blocked, tiles=tile), "block")
-    paired = tiled.withColumn("tile", tile_of("user_id", F.col("tiles"))).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "block", F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"),
-        "tile", "user_id", "item_id", "rating")
-    # An explicit partition count keeps AQE from packing many compute-heavy
-    # (but byte-light) pairs of tiles into a few tasks.
-    parts = int(blocked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = "long" if integral else "double"
     schema = "user long, neighbor long, n long, " + ", ".join(f"{c} {kind}" for c in MOMENT_NAMES[1:])
-    return paired.repartition(parts, "block", "low", "high").groupBy("block", "low", "high").applyInPandas(
-        _tile_moments_fn(min_support, strict, min_corr, k, "int64" if integral else "float64"), schema)
+    return _by_strips(blocked.withColumn("rating", rating), _tile_moments_fn(
+        min_support, strict, min_corr, k, "int64" if integral else "float64"), schema, tile, strip)
+
+
+def pair_counts(ratings: DataFrame, n_blocks: int = 1, method: str = "mix", min_support: int | None = MIN_SUPPORT,
+                tile: int = TRAIN_TILE, strip: int = STRIP_TILES) -> DataFrame:
+    """(step, n): how many users, users with ratings enough, pairs compared and pairs with the support.
+
+    For ratings with one row per user and item.  The compared pairs are those
+    that the tile products compute after pruning; they depend on the tiles.
+    """
+    rows = ratings.select("user_id", "item_id", "rating")
+    able = able_users(rows, min_support)
+    pairs = _by_strips(assign_blocks(able, n_blocks, method), _tile_moments_fn(
+        min_support, False, None, None, "int64", count_only=True), "compared long, supported long", tile, strip)
+    users = F.count_distinct("user_id").alias("n")
+    return rows.agg(users).select(F.lit("users").alias("step"), "n").unionByName(
+        able.agg(users).select(F.lit("able users").alias("step"), "n")).unionByName(
+        pairs.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("compared", "supported"))).select(
+            F.inline(F.array(*(F.struct(F.lit(f"{c} pairs").alias("step"), F.col(c).alias("n"))
+                               for c in ("compared", "supported"))))))

@@ -7,6 +7,8 @@ those and rebuilds the ratings / items views with CTEs.  Parameters come from
 
 from __future__ import annotations
 
+import re
+
 from .. import constants as K
 
 D = K.OUT_DIGITS
@@ -158,7 +160,10 @@ ORACLE["pair_moments"] = with_(DENSE, BLOCKED, PAIRS, MOMENTS) + "SELECT * FROM
 ORACLE["user_correlations"] = with_(DENSE, BLOCKED, PAIRS, MOMENTS, CORRS) + "SELECT * FROM corrs"
 ORACLE["symmetric_corr"] = with_(DENSE, BLOCKED, PAIRS, MOMENTS, CORRS, SYM) + "SELECT * FROM sym"
 ORACLE["top_k_neighbors"] = with_(*TRAIN) + "SELECT * FROM topk"
+# users with a row in the newest stored statistics, of which the older version has fewer
 ORACLE["train_neighbors"] = ORACLE["top_k_neighbors"]
+ORACLE["exact_neighbors"] = with_(
+    DENSE, "\nblocked AS (SELECT *, 0 AS block FROM ratings)", PAIRS, MOMENTS, CORRS, SYM, TOPK) + "SELECT * FROM topk"
 ORACLE["neighbor_ratings"] = with_(*TRAIN, NEIGHBOR_RATINGS) + "SELECT * FROM nbr"
 ORACLE["predict_raw"] = with_(*TRAIN, NEIGHBOR_RATINGS, RAW) + f"""
 SELECT "user", item_id, score, corr_sum, support, {r('raw_rating')} FROM raw"""
@@ -234,13 +239,32 @@ absw AS (
 NB_CTES = (DENSE, SUBJECT_PAIRS, moments_sql("sp", "nbm", f"HAVING count(*) > {K.NOTEBOOK_MIN_SUPPORT}"),
            corr_sql("nbm", "nbc", ""), KNN)
 
-ORACLE["users_rated_all"] = with_(DENSE, USERS_ALL) + "SELECT user_id FROM ua"
-ORACLE["users_page"] = with_(DENSE, USERS_ALL) + f"""
+# the listed items are those of the order with the smallest key; the page and
+# the pair are of the users of the most rated item
+LISTED = """
+listed AS (
+  SELECT DISTINCT CAST(l_partkey AS BIGINT) AS item_id FROM lineitem
+  WHERE l_orderkey = (SELECT min(l_orderkey) FROM lineitem))"""
+USERS_LISTED = """
+ua AS (
+  SELECT user_id FROM ratings JOIN listed USING (item_id)
+  GROUP BY user_id HAVING count(DISTINCT item_id) = (SELECT count(*) FROM listed))"""
+ANY_ITEM = """
+ua AS (
+  SELECT DISTINCT user_id FROM ratings
+  WHERE item_id = (SELECT item_id FROM ratings GROUP BY item_id ORDER BY count(*) DESC, item_id LIMIT 1))"""
+ORACLE["users_rated_all"] = with_(RATINGS, LISTED, USERS_LISTED) + "SELECT user_id FROM ua"
+ORACLE["users_page"] = with_(RATINGS, ANY_ITEM) + f"""
 SELECT user_id, {LP} AS page, {PS} AS page_size, total AS total_users,
        (total + {PS - 1}) // {PS} AS total_pages,
        {(LP - 1) * PS + PS} < total AS has_next, {(LP - 1) * PS} > 0 AS has_prev
 FROM ua CROSS JOIN (SELECT count(*) AS total FROM ua) t
 ORDER BY user_id LIMIT {PS} OFFSET {(LP - 1) * PS}"""
+ORACLE["users_rated_lists"] = with_(RATINGS) + """,
+lists AS (SELECT DISTINCT l_orderkey AS list_id, CAST(l_partkey AS BIGINT) AS item_id FROM lineitem),
+sizes AS (SELECT list_id, count(*) AS size FROM lists GROUP BY list_id)
+SELECT list_id, user_id FROM lists JOIN ratings USING (item_id) JOIN sizes USING (list_id)
+GROUP BY list_id, user_id, size HAVING count(*) = size"""
 ORACLE["items_page"] = with_(RATINGS, ITEMS) + f"""
 SELECT item_id, title, {LP} AS page, {PS} AS page_size, total AS total_items,
        (total + {PS - 1}) // {PS} AS total_pages,
@@ -280,10 +304,10 @@ FROM absw a JOIN items i USING (item_id)"""
 ORACLE["subset_correlations"] = with_(
     DENSE, SUBJECT_PAIRS, moments_sql("sp", "m", f"HAVING count(*) >= {K.MIN_SUPPORT}"),
     corr_sql("m", "c", f"AND corr > {K.MIN_CORR}")) + "SELECT * FROM c"
-ORACLE["both_users_items"] = with_(DENSE) + f"""
-SELECT a.item_id, a.user_id AS user1, b.user_id AS user2, a.rating AS rating1, b.rating AS rating2
-FROM ratings a JOIN ratings b USING (item_id)
-WHERE a.user_id = {K.DEFAULT_PAIR[0]} AND b.user_id = {K.DEFAULT_PAIR[1]}"""
+ORACLE["both_users_items"] = with_(RATINGS, ANY_ITEM) + """,
+pair AS (SELECT min(user_id) AS user1, (SELECT min(user_id) FROM ua WHERE user_id > (SELECT min(user_id) FROM ua)) AS user2 FROM ua)
+SELECT a.item_id, user1, user2, a.rating AS rating1, b.rating AS rating2
+FROM pair JOIN ratings a ON a.user_id = user1 JOIN ratings b ON b.user_id = user2 AND b.item_id = a.item_id"""
 ORACLE["filter_user"] = with_(RATINGS) + f"SELECT * FROM ratings WHERE user_id = {K.DEFAULT_SUBJECT_USERS[0]}"
 ORACLE["user_ratings_multi"] = with_(RATINGS) + f"SELECT * FROM ratings WHERE user_id IN ({SUBJ})"
 _s = K.DEFAULT_SUBJECT_USERS
@@ -323,9 +347,9 @@ SELECT CAST(user_id AS VARCHAR) AS user_raw, rating, CAST(rated_at AS DATE) AS r
 FROM ratings"""
 ORACLE["parse_header_cumsum"] = ORACLE["parse_header_blocks"]
 ORACLE["silver_rejects"] = with_(RATINGS) + """
-SELECT CASE WHEN k = 1 THEN user_id END AS user_id, CAST(NULL AS BIGINT) AS item_id,
-       CASE WHEN k = 0 THEN rating END AS rating, DATE '2000-01-02' AS rated_at
-FROM ratings, (VALUES (0), (1)) v(k) WHERE item_id % 10 = 0"""
+SELECT CASE WHEN rating = 3 THEN user_id END AS user_id, item_id, CASE WHEN rating <> 3 THEN rating END AS rating,
+       CAST(rated_at AS DATE) AS rated_at
+FROM ratings WHERE rating <= 3"""
 ORACLE["peek_raw_lines"] = with_(RATINGS) + f"""
 SELECT value, CAST(len(string_split(value, ',')) AS INTEGER) AS fields FROM (
   SELECT CAST(item_id AS VARCHAR) || ':' AS value
@@ -346,12 +370,38 @@ old_stats AS (
   FROM ratings WHERE rated_at < TIMESTAMP '{K.DEFAULT_VERSION_OLD} 00:00:00' GROUP BY user_id)"""
 ORACLE["latest_version"] = with_(RATINGS, STATS) + f"""
 SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM stats"""
+ORACLE["merged_stats"] = ORACLE["latest_version"]
+ORACLE["stored_normalized"] = ORACLE["normalize_ratings"]
+ORACLE["silver_counts"] = with_(RATINGS) + """
+SELECT count(*) AS lines, CAST(count(*) FILTER (rating > 3) AS BIGINT) AS valid,
+       CAST(count(*) FILTER (rating <= 3) AS BIGINT) AS rejected FROM ratings"""
+ORACLE["users_page_seek"] = with_(RATINGS) + f"""
+SELECT user_id, CAST((rank - 1) // {PS} + 1 AS BIGINT) AS page
+FROM (SELECT user_id, row_number() OVER (ORDER BY user_id) AS rank, count(*) OVER () AS total
+      FROM (SELECT DISTINCT user_id FROM ratings) u) t
+WHERE (rank - 1) // {PS} = (total - 1) // {PS}"""
 ORACLE["versioned_stats"] = with_(RATINGS, STATS, _OLD_STATS) + f"""
 SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_OLD}' AS version_date FROM old_stats
 UNION ALL
 SELECT {_STATS_COLS}, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM stats"""
-ORACLE["versioned_neighbors"] = with_(*TRAIN) + f"""
-SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM topk"""
+def old_ctes() -> tuple[str, ...]:
+    """TRAIN over the ratings before the old date, every name with ``_old``."""
+    out = []
+    for cte in TRAIN:
+        for name in ("ratings", "blocked", "pairs", "moments", "corrs", "sym", "topk"):
+            cte = re.sub(rf"\b{name}\b", f"{name}_old", cte)
+        out.append(cte.replace("WHERE rn = 1", f"WHERE rn = 1 AND rated_at < TIMESTAMP '{K.DEFAULT_VERSION_OLD} 00:00:00'"))
+    return tuple(out)
+
+
+ORACLE["versioned_neighbors"] = with_(*TRAIN, *old_ctes()) + f"""
+SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_NEW}' AS version_date FROM topk
+UNION ALL
+SELECT "user", neighbor, corr, DATE '{K.DEFAULT_VERSION_OLD}' FROM topk_old"""
+ORACLE["ingest_new_files"] = with_(RATINGS) + f"""
+SELECT user_id, item_id, rating, CAST(rated_at AS DATE) AS rated_at,
+       CASE WHEN rated_at < TIMESTAMP '{K.DEFAULT_VERSION_OLD} 00:00:00' THEN 0 ELSE 1 END AS run
+FROM ratings"""
 ORACLE["recommend_for_users"] = with_(*PRED, RECS) + f"""
 SELECT "user", item_id, score, corr_sum, support, {r('raw_rating')},
        {r('user_mean')}, {r('rating')} FROM recs WHERE "user" IN ({SUBJ})"""

@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..constants import DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD, QUERY_BLOCKS
-from ..operators.stats import user_stats
+from ..operators.stats import merge_moments, normalize_ratings, stats_of_moments, user_moments, user_stats
 from ..session import fresh_path
 from ..sources import text as T
 from ..sources import versioned as V
 from ..sources.versioned import materialize as written
 from .registry import Ctx, register, rounded
-from .train import recommend_all, train_neighbors
+from .train import model_versions, recommend_all
 
 
 def _bronze(spark, sf_dir):
@@ -49,13 +49,12 @@ def q_parse_header_cumsum(spark, sf_dir):
     return T.parse_header_cumsum(raw)
 
 
-def _silver(spark, sf_dir):
+def _silver(spark, sf_dir, faulty=False):
     """C1 + K1: parse, type, and write both the valid rows and the rejects."""
-    raw, _ = _bronze(spark, sf_dir)
-    typed = written(T.type_ratings(T.parse_header_blocks(raw)), "typed-ratings")
-    good, bad = T.split_typed(typed)
-    return (V.write_table(good, fresh_path(spark, "silver-ratings")),
-            V.write_table(bad, fresh_path(spark, "rejected-ratings")))
+    path = T.render_header_blocks(Ctx(spark, sf_dir).ratings, fresh_path(spark, "bronze-ratings"), faulty=faulty)
+    good, bad = fresh_path(spark, "silver-ratings"), fresh_path(spark, "rejected-ratings")
+    counts = T.write_silver(T.parse_header_blocks(T.scan_ratings_text(spark, path)), good, bad)
+    return good, bad, counts
 
 
 @register("silver_ratings")
@@ -65,19 +64,29 @@ def q_silver_ratings(spark, sf_dir):
 
 @register("silver_rejects")
 def q_silver_rejects(spark, sf_dir):
-    """The lines that K1 could not type, as text: an empty table for clean input.
+    """The lines that K1 could not type: spoiled inside their blocks, beside good ones, in the whole table."""
+    return spark.read.parquet(_silver(spark, sf_dir, faulty=True)[1])
+
+
+@register("silver_counts")
+def q_silver_counts(spark, sf_dir):
+    """What the silver job reports of its own write."""
+    counts = _silver(spark, sf_dir, faulty=True)[2]
+    return spark.createDataFrame([tuple(counts[c] for c in ("lines", "valid", "rejected"))],
+                                 "lines long, valid long, rejected long")
 
-    The rendered text is clean, so lines without a user and without a rating
-    are written beside it for one item in ten.
-    """
-    ratings = Ctx(spark, sf_dir).ratings
-    path = T.render_header_blocks(ratings, fresh_path(spark, "bronze-ratings"))
-    faulty = ratings.filter("item_id % 10 = 0").select(F.inline(F.array(
-        F.struct(F.concat(F.lit(","), F.col("rating").cast("string"), F.lit(",2000-01-02")).alias("value")),
-        F.struct(F.concat(F.col("user_id").cast("string"), F.lit(",x,2000-01-02")).alias("value")))))
-    faulty.write.mode("append").text(path)
-    _, bad = T.silver_ratings(T.parse_header_blocks(T.scan_ratings_text(spark, path)))
-    return spark.read.parquet(V.write_table(bad, fresh_path(spark, "rejected-ratings")))
+
+@register("ingest_new_files")
+def q_ingest_new_files(spark, sf_dir):
+    """S3 + K1 in two runs: the files there are, then those added since, into one table."""
+    ratings = Ctx(spark, sf_dir, True).ratings
+    source, table, state = (fresh_path(spark, x) for x in ("incoming", "ingested", "ingest-state"))
+    old = F.col("rated_at") < F.lit(DEFAULT_VERSION_OLD).cast("timestamp_ntz")
+    for run, rows in enumerate((ratings.where(old), ratings.where(~old))):
+        T.render_header_blocks(rows, f"{source}/delivery-{run}")
+        T.ingest_new_files(spark, f"{source}/*", table, state, str(run))
+    return T.ingested_ratings(spark, table).where("ok").select(
+        "user_id", "item_id", "rating", "rated_at", F.col("run").cast("int").alias("run"))
 
 
 @register("peek_raw_lines")
@@ -129,15 +138,35 @@ def q_latest_version(spark, sf_dir):
     return rounded(V.latest_version(_stats_versions(spark, sf_dir)))
 
 
+@register("merged_stats")
+def q_merged_stats(spark, sf_dir):
+    """A1 + K3 kept up by merging: the stored moments of the old date and those of the ratings since."""
+    r = Ctx(spark, sf_dir, True).ratings
+    old = F.col("rated_at") < F.lit(DEFAULT_VERSION_OLD).cast("timestamp_ntz")
+    path = fresh_path(spark, "gold-user-moments")
+    moments = user_moments(r.where(old))
+    V.write_versioned(moments, path, DEFAULT_VERSION_OLD)
+    stored = V.latest_version(V.read_versioned(spark, path, moments.schema)).drop("version_date")
+    # written elsewhere first: the version is made from the table it goes to
+    merged = written(merge_moments(stored, user_moments(r.where(~old))), "merged")
+    V.write_versioned(merged, path, DEFAULT_VERSION_NEW)
+    newest = V.latest_version(V.read_versioned(spark, path, merged.schema))
+    return rounded(stats_of_moments(newest).withColumn("version_date", F.lit(DEFAULT_VERSION_NEW).cast("date")))
+
+
+@register("stored_normalized")
+def q_stored_normalized(spark, sf_dir):
+    """J1 on stored tables that lie by user: ratings meet their statistics where they are."""
+    r = Ctx(spark, sf_dir, True).ratings
+    ratings = V.write_bucketed(r, ["user_id"])
+    stats = V.write_bucketed(user_stats(r), ["user_id"])
+    return rounded(normalize_ratings(ratings, stats))
+
+
 @register("versioned_neighbors")
 def q_versioned_neighbors(spark, sf_dir):
-    """C4 + K4: trained neighbours written as today's version, latest read back."""
-    c = Ctx(spark, sf_dir, True, dense=True)
-    edges = train_neighbors(c.ratings, n_blocks=QUERY_BLOCKS)
-    path = fresh_path(spark, "gold-user-neighbors")
-    # clustered by user: a serving look-up reads one narrow key range
-    V.write_versioned(edges, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
-    return V.latest_version(V.read_versioned(spark, path, edges.schema))
+    """C4 + K4: every stored version of the neighbours, clustered by user for the service's look-up."""
+    return model_versions(spark, Ctx(spark, sf_dir, True, dense=True).ratings)
 
 
 @register("versioned_recommendations")

@@ -2,31 +2,54 @@
 
 from __future__ import annotations
 
-from ..constants import (DEFAULT_FILTER_ITEMS, DEFAULT_PAIR, DEFAULT_SUBJECT_USERS,
-                         DEFAULT_VERSION_NEW, DEFAULT_VERSION_OLD, PAGE_SIZE, QUERY_BLOCKS)
+from pyspark.sql import functions as F
+
+from ..constants import DEFAULT_SUBJECT_USERS, PAGE_SIZE, QUERY_BLOCKS
 from ..operators import lookups as L
 from ..operators import serving as SV
 from ..operators.predict import predict_abs_weighted, recommend_blocked, recommend_for_users
 from ..operators.similarity import subject_correlations, subject_pairs
 from ..session import fresh_path
 from ..sources import versioned as V
+from ..sources.views import read_table
 from . import notebook as NB
 from .registry import Ctx, register, rounded
-from .train import recommend_all, train_neighbors
+from .train import model_versions, recommend_all
 
 SUBJECTS = list(DEFAULT_SUBJECT_USERS)
 LIST_PAGE = 2
 
 
+def _order_items(spark, sf_dir):
+    """The items of the order with the smallest key, at most a few lines."""
+    lines = read_table(spark, sf_dir, "lineitem")
+    first = lines.agg(F.min("l_orderkey")).scalar()
+    return [r[0] for r in lines.where(F.col("l_orderkey") == first).select("l_partkey").distinct().collect()]
+
+
+def _most_rated(ratings):
+    """The item with the most ratings, the smallest of equals."""
+    counts = ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    return [r[0] for r in counts.orderBy(F.desc("n"), "item_id").limit(1).collect()]
+
+
 @register("users_rated_all")
 def q_users_rated_all(spark, sf_dir):
-    return SV.users_rated_all(Ctx(spark, sf_dir, dense=True).ratings, list(DEFAULT_FILTER_ITEMS))
+    return SV.users_rated_all(Ctx(spark, sf_dir).ratings, _order_items(spark, sf_dir))
+
+
+@register("users_rated_lists")
+def q_users_rated_lists(spark, sf_dir):
+    """A7 for every order's parts as a list."""
+    lists = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("list_id"), F.col("l_partkey").cast("bigint").alias("item_id"))
+    return SV.users_rated_lists(Ctx(spark, sf_dir).ratings, lists)
 
 
 @register("users_page")
 def q_users_page(spark, sf_dir):
-    return SV.users_page(Ctx(spark, sf_dir, dense=True).ratings, list(DEFAULT_FILTER_ITEMS),
-                         LIST_PAGE, PAGE_SIZE)
+    r = Ctx(spark, sf_dir, True).ratings
+    return SV.users_page(r, _most_rated(r), LIST_PAGE, PAGE_SIZE)
 
 
 @register("items_page")
@@ -99,7 +122,10 @@ def q_subset_correlations(spark, sf_dir):
 
 @register("both_users_items")
 def q_both_users_items(spark, sf_dir):
-    return L.both_users_items(Ctx(spark, sf_dir, dense=True).ratings, *DEFAULT_PAIR)
+    """J4 for the first two users of the most rated item."""
+    r = Ctx(spark, sf_dir, True).ratings
+    pair = [u[0] for u in SV.users_rated_all(r, _most_rated(r)).orderBy("user_id").limit(2).collect()]
+    return L.both_users_items(r, *pair)
 
 
 @register("filter_user")
@@ -120,12 +146,8 @@ def q_pair_lookup(spark, sf_dir):
 
 
 def _stored_model(spark, ratings):
-    """K4: neighbours trained and written under two dates, the newest read back."""
-    path = fresh_path(spark, "gold-user-neighbors")
-    edges = train_neighbors(ratings, n_blocks=QUERY_BLOCKS)
-    V.write_versioned(edges.limit(0), path, DEFAULT_VERSION_OLD)
-    V.write_versioned(edges, path, DEFAULT_VERSION_NEW, cluster_by=["user"])
-    return V.latest_version(V.read_versioned(spark, path, edges.schema)).drop("version_date")
+    """K4: the neighbours as of two dates, trained and written one after the other; the newest read back."""
+    return V.latest_version(model_versions(spark, ratings)).drop("version_date")
 
 
 @register("recommend_stored_model")
@@ -142,6 +164,15 @@ def q_recommend_for_users(spark, sf_dir):
     return rounded(recommend_for_users(_stored_model(spark, r), r, SUBJECTS))
 
 
+@register("users_page_seek")
+def q_users_page_seek(spark, sf_dir):
+    """C7's last page by key: the page index names the files that hold it."""
+    path = SV.write_pages(Ctx(spark, sf_dir).ratings.select("user_id").distinct(), "user_id",
+                          fresh_path(spark, "user-pages"), PAGE_SIZE)
+    last = SV.page_count(spark, path)
+    return SV.seek_page(spark, path, last).select("user_id", "page")
+
+
 @register("users_pages_all")
 def q_users_pages_all(spark, sf_dir):
     """C7 for every page at once: distributed global rank, no single-task window."""

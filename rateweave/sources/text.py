@@ -21,24 +21,26 @@ preserves inside each input split:
 1. scan with a digest of ``_metadata.file_path`` and
    ``_metadata.file_block_start`` (the split);
 2. fill inside the split as the scan hands out its lines, in Arrow batches:
-   no line of text is shuffled;
-3. per split, keep its last header (a tiny table: one row per split);
+   no line of text is shuffled; at the end of a split a marker row with its
+   last header follows its lines;
+3. the filled lines and the markers are written once, as columns;
 4. the carry-in of a split is the last header of the nearest earlier split
-   of the same file that has one (window by file over the tiny table);
-5. item = coalesce(local fill, carry-in).
+   of the same file that has one (window by file over the markers);
+5. only lines before the first header of their split are joined to it.
 
-Work is parallel per split and nothing is gathered per file.  Inputs must be
+The text is scanned once.  Work is parallel per split and nothing is gathered
+per file.  Inputs must be
 splittable (plain text); data rows before the first header of a file get a
 null item and are reported as rejects, never silently dropped.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import BLOCK_PIECES
+from .versioned import materialize, write_table
 
 RAW_RATINGS_SCHEMA = "user_raw STRING, rating INT, rated_on DATE"
 RAW_ITEMS_SCHEMA = "item_id INT, year SMALLINT, title STRING"
@@ -47,15 +49,21 @@ RAW_ITEMS_SCHEMA = "item_id INT, year SMALLINT, title STRING"
 # --- rendering (bronze fixtures derived from the ratings view) ----------------
 
 def render_header_blocks(ratings: DataFrame, path: str, n_files: int | None = None,
-                         pieces: int = BLOCK_PIECES) -> str:
+                         pieces: int = BLOCK_PIECES, faulty: bool = False) -> str:
     """Write ratings as header-block text, up to ``pieces`` blocks per item.
 
     Rows are hash-partitioned by item and piece (user mod ``pieces``), so an
     item that most rows belong to is written by several tasks; inside each
     file a block's header comes first, then its users ascending.
     ``n_files`` defaults to the session's shuffle partition count, so the
-    write is as parallel as any other stage.
+    write is as parallel as any other stage.  ``faulty`` spoils lines where
+    they lie, by their own rating: a user id that is no number at 1, none at
+    2, a rating that is no number at 3.
     """
+    user, rating = F.col("user_id").cast("string"), F.col("rating").cast("string")
+    if faulty:
+        user = F.when(F.col("rating") == 1, F.concat(F.lit("u"), user)).when(F.col("rating") == 2, F.lit("")).otherwise(user)
+        rating = F.when(F.col("rating") == 3, F.lit("x")).otherwise(rating)
     if n_files is None:
         n_files = int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     piece = F.pmod("user_id", F.lit(pieces)).alias("piece")
@@ -64,8 +72,7 @@ def render_header_blocks(ratings: DataFrame, path: str, n_files: int | None = No
         F.concat(F.col("item_id").cast("string"), F.lit(":")).alias("value"))
     rows = ratings.select(
         "item_id", piece, F.lit(1).alias("kind"), "user_id",
-        F.concat_ws(",", F.col("user_id").cast("string"), F.col("rating").cast("string"),
-                    F.date_format("rated_at", "yyyy-MM-dd")).alias("value"))
+        F.concat_ws(",", user, rating, F.date_format("rated_at", "yyyy-MM-dd")).alias("value"))
     lines = heads.unionByName(rows).repartition(n_files, "item_id", "piece") \
         .sortWithinPartitions("item_id", "piece", "kind", "user_id").select("value")
     lines.write.mode("overwrite").text(path)
@@ -103,6 +110,33 @@ def scan_ratings_text(spark: SparkSession, path: str, glob: str = "part-*") -> D
         F.monotonically_increasing_id().alias("pos"))
 
 
+def ingest_new_files(spark: SparkSession, source: str, table: str, checkpoint: str, run: str,
+                     glob: str = "part-*") -> int:
+    """Append the lines of files not taken before to ``table``; gives the number of lines read (K1).
+
+    A stream with ``availableNow``: ``checkpoint`` remembers the files, the
+    file sink's log the batches that are complete, so a run that was cut off
+    and repeated writes nothing twice, and a run without new files nothing.
+    The lines are stored as ``filled_lines`` with the name of the run; see
+    ``ingested_ratings``.
+    """
+    lines = (spark.readStream.schema(RAW_RATINGS_SCHEMA)
+             .option("sep", ",").option("header", "false").option("mode", "PERMISSIVE")
+             .option("dateFormat", "yyyy-MM-dd").option("pathGlobFilter", glob).csv(source))
+    raw = lines.select("user_raw", "rating", "rated_on", F.xxhash64("_metadata.file_path").alias("file"),
+                       F.col("_metadata.file_block_start").alias("split"))
+    query = (filled_lines(raw).withColumn("run", F.lit(run)).writeStream.format("parquet").partitionBy("run")
+             .option("path", table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def ingested_ratings(spark: SparkSession, table: str) -> DataFrame:
+    """``type_ratings`` of everything that ``ingest_new_files`` stored, with ``run``."""
+    stored = carried(spark.read.schema(f"{FILLED}, run string").parquet(table))
+    return type_ratings(stored, "run")
+
+
 def split_line_fields(spark: SparkSession, path: str, glob: str = "part-*") -> DataFrame:
     """Split each raw line into three text fields on the first two commas."""
     lines = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true") \
@@ -145,16 +179,19 @@ def _fill_fn():
     A file scan hands every split to one task as a contiguous run of lines, in
     file order, so the fill needs no shuffle.  The fill restarts at every
     split boundary; a split's leading rows (before its first header) stay
-    null here and get the carry-in from the small per-split table.
+    null here and get the carry-in.  Every split ends with a marker row: its
+    last header, null if it has none.
     """
     import pyarrow as pa
     import pyarrow.compute as pc
 
     def fn(batches):
-        last_key, last = None, None
+        last_key, last, schema = None, None, None
         for batch in batches:
             for part in cut(batch):
                 key = (part.column("file")[0].as_py(), part.column("split")[0].as_py())
+                if last_key is not None and key != last_key:
+                    yield marker(schema, last_key, last)
                 raw = part.column("user_raw")
                 head = pc.fill_null(pc.ends_with(raw, ":"), False)
                 item = pc.if_else(head, pc.replace_substring(raw, ":", ""), pa.scalar(None, pa.string()))
@@ -164,8 +201,16 @@ def _fill_fn():
                 else:
                     item = pc.fill_null_forward(item)
                 last_key, last = key, item[len(item) - 1].as_py()
-                out = pa.RecordBatch.from_arrays([*part.columns, item], names=[*part.schema.names, "local"])
+                out = pa.RecordBatch.from_arrays(
+                    [*part.columns, item, pa.array([False] * len(part))], names=[*part.schema.names, "local", "marker"])
+                schema = out.schema
                 yield out.filter(pc.invert(head))
+        if last_key is not None:
+            yield marker(schema, last_key, last)
+
+    def marker(schema, key, last):
+        values = {"file": key[0], "split": key[1], "local": last, "marker": True}
+        return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
 
     def cut(batch):
         """A batch at its split boundaries."""
@@ -181,19 +226,38 @@ def _fill_fn():
     return fn
 
 
+FILLED = "file bigint, split bigint, user_raw string, rating int, rated_on date, local string, marker boolean"
+
+
+def filled_lines(raw: DataFrame) -> DataFrame:
+    """The lines without headers, filled inside their splits, and the splits' markers (see FILLED)."""
+    return raw.select("file", "split", "user_raw", "rating", "rated_on").mapInArrow(_fill_fn(), FILLED)
+
+
+def carried(filled: DataFrame) -> DataFrame:
+    """Written ``filled_lines`` with ``item_raw``: splits hand their last header on to the next.
+
+    Lines before the first header of their split are joined to the markers,
+    one row for each split; all others pass straight through.
+    """
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carry = filled.where("marker").select(
+        "file", "split", F.last("local", ignorenulls=True).over(earlier).alias("carry"))
+    columns = [c for c in filled.columns if c not in ("file", "split", "local", "marker")]
+    lines = filled.where("NOT marker")
+    leading = lines.where("local IS NULL").join(carry, ["file", "split"], "left")
+    return lines.where("local IS NOT NULL").select(*columns, F.col("local").alias("item_raw")).unionByName(
+        leading.select(*columns, F.col("carry").alias("item_raw")))
+
+
 def parse_header_blocks(raw: DataFrame) -> DataFrame:
     """Forward-fill the item id down each file and drop header rows.
 
     Output: user_raw, rating, rated_on, item_raw (text, before casts).  The
-    lines are filled inside their scan tasks and not shuffled; the headers are
-    scanned once more for the last one of each split.
+    text is scanned once: the lines are filled inside their scan tasks, not
+    shuffled, and written with the markers of their splits.
     """
-    rows = raw.select("file", "split", "user_raw", "rating", "rated_on")
-    filled = rows.mapInArrow(_fill_fn(), T.StructType([*rows.schema.fields, T.StructField("local", T.StringType())]))
-    # one row for each input split, as many as the scan has tasks
-    carry = F.broadcast(_carry_in(raw))
-    return filled.join(carry, ["file", "split"], "left").select(
-        "user_raw", "rating", "rated_on", F.coalesce("local", "carry").alias("item_raw"))
+    return carried(materialize(filled_lines(raw), "filled"))
 
 
 def parse_header_cumsum(raw: DataFrame) -> DataFrame:
@@ -214,12 +278,12 @@ def parse_header_cumsum(raw: DataFrame) -> DataFrame:
                          F.coalesce("head_item", "carry").alias("item_raw"))
 
 
-def type_ratings(parsed: DataFrame) -> DataFrame:
-    """Typed silver columns with ``try_cast`` (D4) plus an ``ok`` flag."""
+def type_ratings(parsed: DataFrame, *keep: str) -> DataFrame:
+    """Typed silver columns with ``try_cast`` (D4) plus an ``ok`` flag (P6) and the columns to keep."""
     typed = parsed.select(
         F.expr("try_cast(user_raw AS BIGINT)").alias("user_id"),
         F.expr("try_cast(item_raw AS BIGINT)").alias("item_id"),
-        F.col("rating"), F.col("rated_on").alias("rated_at"))
+        F.col("rating"), F.col("rated_on").alias("rated_at"), *keep)
     ok = (F.col("user_id").isNotNull() & F.col("item_id").isNotNull()
           & F.col("rating").isNotNull() & F.col("rated_at").isNotNull())
     return typed.withColumn("ok", ok)
@@ -230,6 +294,22 @@ def silver_ratings(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_typed(type_ratings(parsed))
 
 
+def write_silver(parsed: DataFrame, good_path: str, bad_path: str) -> dict[str, int]:
+    """Write valid and rejected rows; their numbers are counted by the write itself.
+
+    gives {"lines": ..., "valid": ..., "rejected": ...}: no pass of its own.
+    """
+    counts = Observation("silver")
+    kept = F.col("ok").cast("bigint")
+    typed = materialize(type_ratings(parsed).observe(
+        counts, F.count(F.lit(1)).alias("lines"), F.coalesce(F.sum(kept), F.lit(0)).alias("valid"),
+        F.coalesce(F.sum(1 - kept), F.lit(0)).alias("rejected")), "typed-ratings")
+    good, bad = split_typed(typed)
+    write_table(good, good_path)
+    write_table(bad, bad_path)
+    return counts.get
+
+
 def split_typed(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of ``type_ratings`` as (valid, rejected)."""
     cols = ["user_id", "item_id", "rating", "rated_at"]

@@ -37,6 +37,25 @@ def write_versioned(df: DataFrame, path: str, version_date: str,
     return path
 
 
+# Buckets of a stored user table, the same for all so that they lie together.
+BUCKETS = 32
+
+
+def write_bucketed(df: DataFrame, keys: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """Store ``df`` in buckets of ``keys``, sorted, and read it back.
+
+    Tables with equal keys and buckets join and aggregate by them without an
+    exchange.  The catalogue entry lasts as long as its session; the files lie
+    in the shared folder.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "bucketed")
+    name = "rateweave_" + path.rpartition("-")[2]
+    df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("path", path).bucketBy(
+        buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
 def write_table(df: DataFrame, path: str) -> str:
     """Plain idempotent overwrite (silver tables)."""
     df.write.mode("overwrite").parquet(path)
