@@ -41,8 +41,13 @@ NEVER = frozenset(
 NOT_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form "
     "tablist tooltip status".split())
+#: Words in class and id names of what surrounds an article, or names a part of one.
+PARTS = frozenset(
+    "alert announcement aside banner banners copyright disclaimer discussion feedback footer form header hidden leaderboard "
+    "legal menu menus overlay popular promotion rail recommendations recommended related responses reviews search skip social "
+    "subscription tags toc trending widget widgets".split())
 #: Words in class and id names of what surrounds an article.
-AROUND = frozenset(
+AROUND = PARTS | frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox adslot banner banners sponsor sponsored sponsors "
     "promo promos promotion promoted nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars sidenav "
     "aside rail widget widgets footer header masthead topbar toolbar cookie cookies consent gdpr notice notices alert "
@@ -58,8 +63,6 @@ LAYOUT = frozenset("has with no without open enabled layout".split())
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: Points for an element that is marked as the article.
 HOLDER = 25.0
-#: An article of fewer characters is looked for again without the names.
-LITTLE = 100
 NAME_PARTS = re.compile(r"[a-z]+(?=[A-Z])|[A-Z]?[a-z]+|[A-Z]+")
 CLOSES = {  # an open element of the value ends where one of the key begins
     **{name: frozenset({"p"}) for name in BLOCK - {"html", "body", "head", "option", "optgroup", "tr", "td", "th", "tbody", "thead", "tfoot", "caption"}},
@@ -111,29 +114,32 @@ class Below:
 
 
 class Element:
-    __slots__ = ("name", "parent", "items", "off", "favour", "chars", "linked", "score")
+    __slots__ = ("name", "parent", "items", "off", "favour", "part", "chars", "linked", "score")
 
-    def __init__(self, name, parent, off=False, favour=0.0):
-        self.name, self.parent, self.off, self.favour = name, parent, off, favour
+    def __init__(self, name, parent, off=False, favour=0.0, part=False):
+        self.name, self.parent, self.off, self.favour, self.part = name, parent, off, favour, part
         self.items, self.chars, self.linked, self.score = [], 0, 0, 0.0
 
 
-def surrounds(name: str, attributes: str, parent: Element, named: bool = True) -> tuple[bool, float]:
-    """Whether an element holds no article text, and points for its names.
+def surrounds(name: str, attributes: str, parent: Element, named: bool = True) -> tuple[bool, float, bool]:
+    """Whether an element holds no article text, points for its names, and whether these may name a part.
 
-    Without ``named``, class and id names switch nothing off.
+    Such a name switches off outside a marked article only; within one it
+    does so if most of the part is links.  Without ``named``, class and id
+    names switch nothing off.
     """
-    if name in NEVER or name == "header" and parent.name not in ("article", "main"):
-        return True, 0.0
+    if name in NEVER or name == "header" and parent.name not in ("article", "main") and not parent.favour > 0:
+        return True, 0.0, False
     favour = HOLDER if name in ("article", "main") else 0.0
     if not attributes.strip() or name in ("html", "body"):
-        return False, favour
+        return False, favour, False
     off = told = beside = article = False
+    part = True
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
         if key in ("class", "id"):
-            for part in value.split():
-                parts = [x.lower() for x in NAME_PARTS.findall(part)]
+            for one in value.split():
+                parts = [x.lower() for x in NAME_PARTS.findall(one)]
                 words = {*parts, "".join(parts)}  # "side-bar" is a sidebar
                 told |= bool(words & ARTICLE)
                 around = words & AROUND
@@ -142,8 +148,8 @@ def surrounds(name: str, attributes: str, parent: Element, named: bool = True) -
                     continue
                 if name in ("article", "main"):
                     off |= set(parts) <= {"comment", "comments", "body"}
-                else:
-                    beside |= not (around == {"header"} and words & {"article", "entry", "post", "story"})
+                elif not (around == {"header"} and words & {"article", "entry", "post", "story"}):
+                    beside, part = True, part and around <= PARTS
         elif key == "role":
             off |= value.lower() in NOT_ROLES
             favour += HOLDER * (value.lower() in ("main", "article"))
@@ -156,8 +162,9 @@ def surrounds(name: str, attributes: str, parent: Element, named: bool = True) -
         elif key == "itemprop" and value.lower() == "articlebody":
             favour += HOLDER
     if beside and article:  # another name says that it is the article
-        return off, favour
-    return off or beside and named, favour + 15.0 * told
+        return off, favour, False
+    beside = beside and named and not off
+    return off or beside and not part, favour + 15.0 * told, beside and part
 
 
 def parse(page: str, named: bool = True) -> Element:
@@ -218,7 +225,7 @@ def parse(page: str, named: bool = True) -> Element:
             if last is not None:
                 below.cut(0)
                 here, depth = last.parent, depth - last_steps
-        off, favour = surrounds(name, m[3], below.open[-1] if below.open else here, named)
+        off, favour, part = surrounds(name, m[3], below.open[-1] if below.open else here, named)
         if name in ("article", "main", "h1"):  # a form around the whole page
             below.show_forms()
             node = here
@@ -229,7 +236,7 @@ def parse(page: str, named: bool = True) -> Element:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
             at = end.end()
             continue
-        node = Element(name, here, off, favour)
+        node = Element(name, here, off, favour, part)
         if name in VOID:
             here.items.append(node)
         elif depth < DEPTH:
@@ -278,29 +285,62 @@ def blocks_of(root: Element) -> list[tuple[Element, str, int]]:
     return found
 
 
+def settle(root: Element) -> None:
+    """Decide on the elements whose names may name a part of the article.
+
+    Outside an element that is marked as the article they are switched off.
+    Inside one, a part stays unless most of its text is links.
+    """
+    stack = [(root, False)]
+    while stack:
+        node, marked = stack.pop()
+        marked |= node.favour >= HOLDER
+        for item in node.items:
+            if isinstance(item, Element) and not item.off:
+                if item.part:
+                    chars, linked = weight(item)
+                    item.off = not marked or 2 * linked > chars
+                if not item.off:
+                    stack.append((item, marked))
+
+
+def weight(node: Element) -> tuple[int, int]:
+    """(characters, those in links) of the text of an element."""
+    chars = linked = 0
+    stack = [(node, False)]
+    while stack:
+        top, link = stack.pop()
+        for item in top.items:
+            if isinstance(item, str):
+                n = len(" ".join(item.split()))
+                chars, linked = chars + n, linked + n * link
+            elif not item.off:
+                stack.append((item, link or item.name == "a"))
+    return chars, linked
+
+
 def main_text(page: str) -> str:
     """The article of a page, one line for each block; empty if there is none.
 
-    Where class and id names leave very little, they switch nothing off.
+    Where nothing but links and headings is left, names switch nothing off.
     """
-    text, marked = article_of(parse(page))
-    if len(text) < LITTLE and not marked:
-        other, _ = article_of(parse(page, named=False))
-        if len(other) > 4 * len(text):
-            return other
-    return text
+    text, points = article_of(parse(page))
+    return text if points else article_of(parse(page, named=False))[0]
 
 
-def article_of(root: Element) -> tuple[str, bool]:
-    """(the article's text, whether it is marked as the article)."""
+def article_of(root: Element) -> tuple[str, float]:
+    """(the article's text, the points of all blocks)."""
+    settle(root)
     blocks = blocks_of(root)
     if not blocks:
-        return "", False
+        return "", 0.0
+    total = 0.0
     nodes: dict[int, Element] = {}
     for owner, text, linked in blocks:
         heading = owner.name in HEADINGS
         points = 0.0 if heading else 1.0 + text.count(",") + min(len(text) / 100, 3.0)
         points *= 1 - min(linked / len(text), 1.0)
+        total += points
         # the blocks' points also go to a block element that holds text of its own
         near = owner.parent if owner.name in ("p", "pre", "li", "blockquote", "td") and owner.parent is not None else owner
         node, share, k = near, 1.0, 0
@@ -334,16 +374,27 @@ def article_of(root: Element) -> tuple[str, bool]:
                 worth(item) >= least or item.name in HEADINGS
                 or item.name in ("p", "pre", "blockquote") and item.chars > 80)):
             kept.add(id(item))
-    lines = []
+    inside = []
     for owner, text, linked in blocks:
         node = owner
         while node is not None and id(node) not in kept:
             node = node.parent
-        # a list mostly of links is a menu, save inside a marked article
-        if node is not None and not (linked >= len(text) and owner.name == "li" and best.favour < HOLDER
-                                     and 2 * owner.parent.linked > owner.parent.chars):
-            lines.append(text)
-    return "\n".join(lines), best.favour >= HOLDER
+        if node is not None:
+            inside.append((owner, text, linked))
+    # between which blocks an element's own paragraphs lie
+    spoken: dict[int, list[int]] = {}
+    for k, (owner, text, linked) in enumerate(inside):
+        if owner.name in ("p", "pre", "blockquote") and 2 * linked < len(text):
+            spoken.setdefault(id(owner.parent), []).append(k)
+    lines = []
+    for k, (owner, text, linked) in enumerate(inside):
+        # a list mostly of links is a menu, save inside a marked article or between paragraphs
+        if linked >= len(text) and owner.name == "li" and best.favour < HOLDER and 2 * owner.parent.linked > owner.parent.chars:
+            around = spoken.get(id(owner.parent.parent), [])
+            if not around or not around[0] < k < around[-1]:
+                continue
+        lines.append(text)
+    return "\n".join(lines), total
 
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:

@@ -167,3 +167,48 @@ def test_no_text_moves_or_leaks_below_the_depth():
         got = main_text(f"<body><article>{text}{deep}{text}</article><p>Beside.</p></body>")
         assert got.count("A sentence") == 8 and "Seen." in got
         assert not any(x in got for x in ("Menu", "pages", "Unseen", "words</p>", "Gone", "Beside"))
+
+
+SAID = [f"Sentence number {i} of the article, which is long enough, tells a story." for i in range(6)]
+
+
+@pytest.mark.parametrize("attribute", ["class='discussion'", "id='responses'", "id='feedback-control'", "id='wave-form'", "class='related-work'"])
+def test_a_section_of_an_article_is_not_lost_to_its_name(attribute):
+    inner = "".join(f"<p>{x}</p>" for x in SAID[1:5])
+    page = f"<body><article><p>{SAID[0]}</p><section {attribute}>{inner}</section><p>{SAID[5]}</p></article></body>"
+    assert main_text(page) == "\n".join(SAID)
+    links = "".join(f"<li><a href=x>{x}</a></li>" for x in SAID[1:5])
+    page = f"<body><article><p>{SAID[0]}</p><div {attribute}><ul>{links}</ul></div><p>{SAID[5]}</p></article></body>"
+    assert main_text(page) == f"{SAID[0]}\n{SAID[5]}"
+
+
+@pytest.mark.parametrize("attribute", ["class='comments'", "id='comment-list'", "class='ad-slot'", "class='newsletter signup'", "class='cookie-notice'"])
+def test_what_surrounds_an_article_goes_even_inside_it(attribute):
+    page = f"<body><article><p>{SAID[0]}</p><div {attribute}><p>{SAID[1]}</p></div><p>{SAID[2]}</p></article></body>"
+    assert main_text(page) == f"{SAID[0]}\n{SAID[2]}"
+
+
+def test_links_between_paragraphs_stay_and_menus_go():
+    links = "<ul><li><a href=x>Alpha link</a></li><li><a href=y>Beta link</a></li></ul>"
+    first, last = SAID[0] + " " + SAID[1], SAID[2] + " " + SAID[3]
+    assert main_text(f"<body><div><p>{first}</p>{links}<p>{last}</p></div></body>") == f"{first}\nAlpha link\nBeta link\n{last}"
+    assert main_text(f"<body><div>{links}<p>{first}</p><p>{last}</p></div></body>") == f"{first}\n{last}"
+    assert main_text(f"<body><div><p>{first}</p><p>{last}</p>{links}</div></body>") == f"{first}\n{last}"
+
+
+def test_headers_of_the_article_and_of_the_page():
+    text = f"<p>{SAID[0]} {SAID[1]}</p><p>{SAID[2]} {SAID[3]}</p>"
+    lines = f"{SAID[0]} {SAID[1]}\n{SAID[2]} {SAID[3]}"
+    assert main_text(f"<body><div class='page-content'><header><h1>Headline</h1></header>{text}</div></body>") == "Headline\n" + lines
+    assert main_text(f"<body><header><h1>Site</h1></header><div>{text}</div></body>") == lines
+
+
+def test_names_switch_nothing_off_where_nothing_else_is_left():
+    assert main_text(f"<body><div class='sidebar'><p>{SAID[0]}</p></div></body>") == SAID[0]
+
+
+def test_articles_without_their_tag_give_the_same_text(spark):
+    import re
+
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").collect()]
+    assert pages and all(main_text(p) == main_text(re.sub("<(/?)article", r"<\1div", p)) for p in pages)

@@ -55,6 +55,15 @@ def test_word_table_gives_the_tokenizers_ids(text):
     assert encoder.encode([text])[0] == encoder.whole(text)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext", "|>", "<|", " ", "a", "end", "\n", "</s>", "[INST]", "é"]), max_size=8), max_size=4))
+def test_control_strings_are_the_tokenizers_ids(parts):
+    encoder = test_word_table_gives_the_tokenizers_ids.__dict__.setdefault("encoder", WordIds(None, None))
+    texts = ["".join(x) for x in parts]
+    assert encoder.added  # the file has such tokens
+    assert encoder.encode(texts) == [encoder.whole(x) for x in texts]
+
+
 def test_word_table_is_bounded(monkeypatch):
     monkeypatch.setattr("rateweave.llm.packing.KNOWN_WORDS", 3)
     encoder = WordIds(None, None)

@@ -39,7 +39,7 @@ def as_counter(rows):
 
 def test_every_query_is_registered():
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
@@ -109,3 +109,14 @@ def test_an_empty_table_stays_empty(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, PATH).count() > 0
+
+
+def test_stages_leave_former_results_alone(spark):
+    table = spark.read.parquet(f"{PATH}/documents.parquet").limit(150)
+    by_name = dict(corpus_pipeline.STAGES)
+    exact = by_name["exact_dedup"](spark, table, PATH)
+    near = by_name["simhash_near_dedup"](spark, exact, PATH)  # neither is written yet
+    again = by_name["exact_dedup"](spark, table, PATH)
+    mixed = by_name["source_mixing"](spark, near, PATH)
+    assert as_counter(collected(exact)) == as_counter(collected(again))
+    assert near.count() <= exact.count() and mixed.count() > 0 and near.count() <= exact.count()
