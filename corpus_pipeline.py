@@ -2,15 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's ``docs``.  All but the last
-return the columns of ``documents``.  Null texts count as empty, rows that
-repeat are documents of their own until the exact deduplication, and an empty
+return the columns of ``documents``.  Null texts count as empty, very long ones
+are read whole, rows that repeat are documents of their own until the exact
+deduplication, further columns are handed on up to the packing, and an empty
 table stays empty throughout.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 
 from rateweave.llm.common import noting, written
@@ -22,22 +21,6 @@ from rateweave.llm.simhash import drop_near_duplicates
 from rateweave.sources.versioned import release
 from rateweave.sources.views import read_table
 
-# The copies of whole tables that the last stage of an application made.
-COPIES: dict[str, list[DataFrame]] = {}
-
-
-def stage(function):
-    """A stage that first frees the copies of the stage before, whose result is written by then."""
-    @functools.wraps(function)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        key = spark.sparkContext.applicationId
-        for table in COPIES.pop(key, []):
-            release(table)
-        with noting(COPIES.setdefault(key, [])):
-            return function(spark, docs, sf_dir)
-    return run_stage
-
-
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from ``labels``, does not reject."""
     return drop_low_quality(docs, read_table(spark, sf_dir, "labels"))
@@ -63,7 +46,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return pack_documents(docs)
 
 
-STAGES = [(f.__name__, stage(f)) for f in (
+STAGES = [(f.__name__, f) for f in (
     quality_classifier, exact_dedup, simhash_near_dedup, source_mixing, best_fit_packing)]
 
 # SQL cannot express the classifier, the fingerprints or the tokenizer.
@@ -71,8 +54,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage over ``documents``."""
+    """The rows of the last stage over ``documents``.
+
+    Some stages number their rows in a copy of the table that they are given.
+    A copy is freed here, once the result that was made from it is written; a
+    stage that is called by itself frees nothing, so that earlier results and
+    a second call stay good.
+    """
     docs = read_table(spark, sf_dir, "documents")
     for name, function in STAGES[:-1]:
-        docs = written(function(spark, docs, sf_dir), name)
+        copies: list[DataFrame] = []
+        with noting(copies):
+            docs = written(function(spark, docs, sf_dir), name)
+        for copy in copies:
+            release(copy)
     return STAGES[-1][1](spark, docs, sf_dir)
