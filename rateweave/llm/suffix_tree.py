@@ -29,7 +29,7 @@ from .simhash import SPACE
 
 # The least count of an outcome that a context lists, whatever the corpus.
 LEAST_COUNT = 2
-# A branch of the tree ends after so many words in a row that told nothing.
+# A branch of the tree ends after so many words in a row that told nothing (None: never).
 IDLE = 2
 # Distinct keys a task counts before it hands them on.
 HELD_KEYS = 1 << 21
@@ -135,177 +135,6 @@ def counted(texts: DataFrame, keys_of) -> DataFrame:
     return texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def gathered(table: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, counts) in order of key."""
-    got = table.select("key", "n").toArrow()
-    keys, counts = (got.column(c).to_numpy() for c in ("key", "n"))
-    order = np.argsort(keys)
-    return keys[order], counts[order]
-
-
-def found_at(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Where each wanted key stands in the sorted keys, -1 if it does not."""
-    if not len(keys):
-        return np.full(len(wanted), -1)
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, at, -1)
-
-
-class Level:
-    """The kept contexts of one length: sorted keys of listed outcomes, their log10
-    probabilities, and each context's log10 factor for all others."""
-
-    def __init__(self, keys, logs, rest, kept):
-        self.keys, self.logs, self.rest, self.kept = keys, logs, rest, kept
-
-    def score(self, context: np.ndarray, symbol: np.ndarray, symbols: int, shorter: np.ndarray) -> np.ndarray:
-        """log10 P(symbol | context), from ``shorter`` where the context (or -1) is not kept."""
-        known = context >= 0
-        known[known] = self.kept[context[known]]
-        out = shorter.copy()
-        c, s = context[known], symbol[known]
-        at = found_at(self.keys, c * symbols + s)
-        out[known] = np.where(at >= 0, self.logs[at] if len(self.logs) else 0, self.rest[c] + shorter[known])
-        return out
-
-
-class SuffixTree:
-    def __init__(self, words, counts, tokens: int, types: int):
-        """words: sorted digests of the symbols with their counts, END among them."""
-        self.words, self.tokens, self.types = words, tokens, types
-        self.log_total = np.log10(tokens + 0.5 * (types + 1))
-        listed = np.log10(counts + 0.5) - self.log_total
-        # the last symbol stands for all rarer and unknown words
-        self.root = np.append(listed, np.log10(max(1 - (10**listed).sum(), 1e-300)))
-        self.symbols = len(words) + 1
-        self.one = self.two = None
-        self.pairs = np.zeros(0, np.int64)
-
-    def symbol(self, digests: np.ndarray) -> np.ndarray:
-        at = found_at(self.words, digests.view(np.int64))
-        return np.where(at >= 0, at, self.symbols - 1)
-
-    def contexts(self, symbol: np.ndarray, owner: np.ndarray, ends: np.ndarray):
-        """(last, last but one) symbol before each token in its text, rare words passed over; -1 for none."""
-        plain = (symbol != self.symbols - 1) & ~ends
-        before = np.cumsum(plain) - plain
-        seen, whose = symbol[plain], owner[plain]
-        got = []
-        for back in (1, 2):
-            at = before - back
-            ok = at >= 0
-            ok[ok] = whose[at[ok]] == owner[ok]
-            context = np.full(len(symbol), -1, np.int64)
-            context[ok] = seen[at[ok]]
-            got.append(context)
-        return got
-
-    def long_context(self, last: np.ndarray, other: np.ndarray) -> np.ndarray:
-        """The number of the context (other, last) among the listed pairs, or -1."""
-        both = (last >= 0) & (other >= 0)
-        out = np.full(len(last), -1, np.int64)
-        out[both] = found_at(self.pairs, other[both] * self.symbols + last[both])
-        return out
-
-    def level(self, keys, counts, totals, shorter) -> Level:
-        """Keep the contexts whose counts diverge from the shorter contexts' distribution.
-
-        totals: each context's tokens; shorter: log10 probability of each
-        listed outcome in the shorter context.
-        """
-        n = len(totals)
-        context = keys // self.symbols
-        back = 10.0**shorter
-        sums = lambda x: np.bincount(context, weights=x, minlength=n)
-        listed, outcomes, back_sum = sums(counts), sums(np.ones(len(keys))), np.minimum(sums(back), 1 - 1e-12)
-        total = np.maximum(totals, 1)
-        other = np.maximum(totals - listed, 0)
-        share = counts / total[context]
-        surprise = sums(counts * np.log(share / back)) + np.where(
-            other > 0, other * np.log(np.maximum(other, 1) / total / (1 - back_sum)), 0)
-        kept = (outcomes > 0) & (2 * surprise > outcomes + 3.1 * np.sqrt(2 * outcomes) + 3)
-        mix = outcomes / (total + outcomes)
-        prob = (1 - mix[context]) * share + mix[context] * back
-        left = np.maximum(1 - sums(prob), 1e-12)
-        with np.errstate(divide="ignore"):
-            rest = np.log10(left / (1 - back_sum))
-        stay = kept[context]
-        return Level(keys[stay], np.log10(prob[stay]), rest, kept)
-
-    def scores(self, digests: np.ndarray, owner: np.ndarray):
-        """(symbol, log10 probability) of each token; a rare word's lacks its share of its symbol."""
-        symbol = self.symbol(digests)
-        last, other = self.contexts(symbol, owner, digests == END)
-        shorter = self.root[symbol]
-        if self.one is not None:
-            shorter = self.one.score(last, symbol, self.symbols, shorter)
-        if self.two is not None:
-            shorter = self.two.score(self.long_context(last, other), symbol, self.symbols, shorter)
-        return symbol, shorter
-
-
-def learn_suffix_tree(texts: DataFrame) -> tuple[SuffixTree, DataFrame]:
-    """(the tree, all words' counts) of a table with a column ``text``.
-
-    A model in memory for small tables, of contexts of one and two words with
-    rare words passed over; ``lm_scores`` does not use it.
-    """
-    texts = texts.select("text")
-    spark = texts.sparkSession
-    counts = written(counted(texts, lambda digests, owner: digests), "words")
-    tokens, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    end = int(END.view(np.int64))
-    symbols = counts.filter((F.col("n") >= LEAST_COUNT) | (F.col("key") == end))
-    words, n = gathered(symbols)
-    tree = SuffixTree(words, n, tokens, types)
-    if not len(words):
-        return tree, counts
-    floor = LEAST_COUNT
-    shared = spark.sparkContext.broadcast(tree)
-
-    def short_keys(digests, owner):
-        t = shared.value
-        symbol = t.symbol(digests)
-        last, _ = t.contexts(symbol, owner, digests == END)
-        return (last * t.symbols + symbol)[last >= 0]
-
-    pairs = written(counted(texts, short_keys), "pairs")
-    totals = np.zeros(tree.symbols)
-    sums = pairs.groupBy(F.floor(F.col("key") / tree.symbols).alias("key")).agg(F.sum("n").alias("n"))
-    at, total = gathered(sums)  # one row a symbol at most
-    totals[at] = total
-    keys, n = gathered(pairs.filter(F.col("n") >= floor))
-    tree.one = tree.level(keys, n, totals, tree.root[keys % tree.symbols])
-    words_only = (keys % tree.symbols != tree.symbols - 1) & (tree.words[np.minimum(keys % tree.symbols, len(words) - 1)] != end)
-    tree.pairs, listed = keys[words_only], keys
-    if not len(tree.pairs):
-        return tree, counts
-    shared = spark.sparkContext.broadcast((tree, listed))
-
-    def long_keys(digests, owner):
-        t, likely = shared.value
-        symbol = t.symbol(digests)
-        last, other = t.contexts(symbol, owner, digests == END)
-        context = t.long_context(last, other)
-        got = context >= 0
-        # an outcome is not frequent here unless it is after the shorter context; the others are counted as one
-        outcome = np.where(found_at(likely, last[got] * t.symbols + symbol[got]) >= 0, symbol[got], t.symbols)
-        return context[got] * (t.symbols + 1) + outcome
-
-    triples = written(counted(texts, long_keys), "triples")
-    width = tree.symbols + 1
-    totals = np.zeros(len(tree.pairs))
-    at, total = gathered(triples.groupBy(F.floor(F.col("key") / width).alias("key")).agg(F.sum("n").alias("n")))
-    totals[at] = total
-    keys, n = gathered(triples.filter((F.col("n") >= floor) & (F.col("key") % width != tree.symbols)))
-    context, symbol = keys // width, keys % width
-    last = tree.pairs[context] % tree.symbols
-    shorter = tree.one.score(last, symbol, tree.symbols, tree.root[symbol])
-    tree.two = tree.level(context * tree.symbols + symbol, n, totals, shorter)
-    return tree, counts
-
-
 def occurrences(active: DataFrame, length: int) -> DataFrame:
     """(row, pos, ctx, w, learn, back, idle) of the tokens at ``at``, or of all where ``length`` is one.
 
@@ -338,7 +167,7 @@ def occurrences(active: DataFrame, length: int) -> DataFrame:
     return active.mapInArrow(emit, "row long, pos int, ctx long, w long, learn boolean, back double, idle int")
 
 
-def judged(grams: DataFrame) -> DataFrame:
+def judged(grams: DataFrame, idle: int | None) -> DataFrame:
     """(ctx, total, mix, rest, kept, idle, grows) of the contexts with a frequent outcome.
 
     grams: (ctx, w, n, back, idle), n the training count of w after ctx,
@@ -347,7 +176,7 @@ def judged(grams: DataFrame) -> DataFrame:
     counts diverge from the shorter contexts' distribution.  It does not grow
     if no longer one can be kept: what any part of its counts could tell
     against its distribution is at most ``most``, and shrinks as contexts get
-    longer; nor after IDLE in a row that were not kept.
+    longer; nor after ``idle`` in a row that were not kept, if that is given.
     """
     log10 = math.log(10)
     often = F.col("n") >= LEAST_COUNT
@@ -367,20 +196,20 @@ def judged(grams: DataFrame) -> DataFrame:
         .otherwise(-c("known") - c("other") * F.log1p(-c("back_sum")))).withColumn(
         "idle", F.when(c("kept"), 0).otherwise(c("idle") + 1)).select(
         "ctx", "total", "mix", F.log10(c("left") / (1 - c("back_sum"))).alias("rest"), "kept", "idle",
-        ((2 * c("most") > 4 + 3.1 * math.sqrt(2)) & (c("idle") < IDLE)).alias("grows"))
+        ((2 * c("most") > 4 + 3.1 * math.sqrt(2)) & (F.lit(idle is None) | (c("idle") < (idle or 0)))).alias("grows"))
 
 
-def graded(grams: DataFrame) -> DataFrame:
+def graded(grams: DataFrame, idle: int | None) -> DataFrame:
     """``grams`` with ``log``, the log10 probability of w after ctx, and ``idle`` and ``grows`` of ctx."""
     own = F.log10((1 - F.col("mix")) * F.col("n") / F.col("total") + F.col("mix") * F.pow(F.lit(10.0), F.col("back")))
-    return grams.drop("idle").join(judged(grams), "ctx", "left").withColumns({
+    return grams.drop("idle").join(judged(grams, idle), "ctx", "left").withColumns({
         "log": F.when(~F.coalesce("kept", F.lit(False)), F.col("back")).when(F.col("n") >= LEAST_COUNT, own)
         .otherwise(F.col("rest") + F.col("back")), "grows": F.coalesce("grows", F.lit(False))}).drop(
         "total", "mix", "rest", "kept")
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1,
-              folds: int = 5) -> DataFrame:
+              folds: int = 5, idle: int | None = IDLE) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Learned from the rows whose crc32(id as text) mod ``folds`` is not
@@ -389,7 +218,9 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     half a count added to every word and one unknown; score: the suffix
     tree's, whose outcomes are the same words, so the two compare.  Repeated
     rows are learned and scored as often as they occur; other columns are not
-    read; an empty table gives no rows.
+    read; an empty table gives no rows.  ``idle`` ends a branch after so many
+    lengths in a row that were not kept, which is cheaper and can miss longer
+    contexts behind them; None follows every branch that its bound allows.
     """
     rows = written(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
@@ -407,7 +238,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
         if length == 1:
             grams = grams.join(words, "w", "left").withColumn("back", root)
         grams = written(grams, "grams")
-        marks = graded(grams).withColumnRenamed("back", "base")
+        marks = graded(grams, idle).withColumnRenamed("back", "base")
         goes = F.col("grows") & (F.col("pos") > length)
         sums = {"done": F.sum(F.when(~goes, F.col("log")).otherwise(0.0)),
                 "more": F.collect_list(F.when(goes, F.struct("pos", "log", "idle")))}

@@ -9,7 +9,7 @@ from llm_fixtures import collected, docs, empty, rows, text_of
 
 from rateweave.llm.quality import (FILTERS, Network, block_peaks, classify_quality, drop_low_quality, pooled,
                                    probability, train)
-from rateweave.llm.suffix_tree import Digests, SuffixTree, learn_suffix_tree, lm_scores
+from rateweave.llm.suffix_tree import Digests, graded, judged, lm_scores
 
 UP = {i: i + 32 for i in range(65, 91)}
 
@@ -98,37 +98,23 @@ def test_base_scores_and_counts(spark):
     assert lm_scores(empty(spark)).count() == 0
 
 
-def test_each_context_is_a_distribution_and_counts_are_exact(spark):
-    path = "/root/testdata/sf0.001/documents.parquet"
-    texts = spark.read.parquet(path).select("text")
-    tree, _ = learn_suffix_tree(texts)
-    symbols = np.arange(tree.symbols)
-    assert 10.0**tree.root @ np.ones(tree.symbols) == pytest.approx(1)
-    one = [np.array(tree.one.score(np.full(tree.symbols, c), symbols, tree.symbols, tree.root)) for c in np.flatnonzero(tree.one.kept)[:40]]
-    assert len(one) > 5 and all((10.0**x).sum() == pytest.approx(1) for x in one)
-    kept = np.flatnonzero(tree.two.kept)[:40]
-    assert len(kept) > 5
-    for c in kept:
-        last = tree.pairs[c] % tree.symbols
-        shorter = tree.one.score(np.full(tree.symbols, last), symbols, tree.symbols, tree.root)
-        assert (10.0**tree.two.score(np.full(tree.symbols, c), symbols, tree.symbols, shorter)).sum() == pytest.approx(1)
-    # counts of contexts of both lengths by hand
-    rows_ = [r.text for r in texts.collect()]
-    value, owner = Digests().of_texts(rows_)
-    symbol = tree.symbol(value)
-    pairs = Counter()
-    for k in range(len(rows_)):
-        past = []
-        for s, v in zip(symbol[owner == k].tolist(), value[owner == k].tolist(), strict=True):
-            if past:
-                pairs[past[-1] * tree.symbols + s] += 1
-            if s != tree.symbols - 1 and v != 1:
-                past.append(s)
-    assert set(tree.one.keys.tolist()) <= {k for k, n in pairs.items() if n >= 2}
-    assert {k // tree.symbols for k in tree.one.keys.tolist()} == set(np.flatnonzero(tree.one.kept).tolist())
-    c = int(np.flatnonzero(tree.one.kept)[0])
-    listed = {k for k, n in pairs.items() if n >= 2 and k // tree.symbols == c}
-    assert {k for k in tree.one.keys.tolist() if k // tree.symbols == c} == listed
+def test_each_context_is_a_distribution(spark):
+    # every word of a vocabulary after every context, with probabilities that sum to one
+    rng = np.random.default_rng(8)
+    words = rng.dirichlet(np.ones(12))
+    grams, counts = [], {}
+    for ctx in range(1, 30):
+        n = rng.multinomial(int(rng.integers(1, 300)), rng.dirichlet(np.ones(12) * 0.2) if ctx % 2 else words)
+        counts[ctx] = n
+        grams += [(ctx, w, int(n[w]), float(np.log10(words[w])), 0) for w in range(12)]
+    df = spark.createDataFrame(grams, "ctx long, w long, n long, back double, idle int")
+    got, kept = Counter(), {r["ctx"]: r["kept"] for r in judged(df, None).collect()}
+    for r in graded(df, None).collect():
+        got[r["ctx"]] += 10 ** r["log"]
+    assert len(got) == 29 and all(x == pytest.approx(1, abs=1e-9) for x in got.values())
+    assert 5 < sum(kept.values()) < len(kept)
+    # the test is a likelihood ratio: contexts like their shorter one are not kept
+    assert sum(kept[c] for c in kept if c % 2) > 3 * sum(kept[c] for c in kept if not c % 2)
 
 
 def test_scores_beat_the_base_on_held_out_documents(spark):
@@ -137,20 +123,13 @@ def test_scores_beat_the_base_on_held_out_documents(spark):
     assert np.mean([r.score > r.base_score for r in got]) > 0.8
 
 
-def test_no_context_passes_a_text(spark):
-    tree = SuffixTree(np.array([1, 5, 9]), np.array([2, 2, 2]), 6, 3)
-    last, other = tree.contexts(np.array([1, 2, 0, 1, 3, 2, 0]), np.array([0, 0, 0, 1, 1, 1, 1]),
-                                np.array([False, False, True, False, False, False, True]))
-    assert last.tolist() == [-1, 1, 2, -1, 1, 1, 2] and other.tolist() == [-1, -1, 1, -1, -1, -1, 1]
-
-
-def scored(spark, learn, held):
+def scored(spark, learn, held, **options):
     """Scores of ``held`` texts, ``learn`` (text, times) learned from."""
     ids = iter(range(10**6))
     take = lambda fold: next(i for i in ids if (zlib.crc32(str(i).encode()) % 5 == 1) == fold)
     rows_ = [(take(False), t) for t, times in learn for _ in range(times)]
     asked = [(take(True), t) for t in held]
-    got = {r.doc_id: r for r in lm_scores(spark.createDataFrame(rows_ + asked, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r for r in lm_scores(spark.createDataFrame(rows_ + asked, "doc_id long, text string"), **options).collect()}
     return [got[i] for i, _ in asked]
 
 
@@ -170,7 +149,8 @@ def test_contexts_grow_as_long_as_they_tell(spark):
     assert tail(got[0]) > tail(got[1]) + 1
 
 
-def test_scores_agree_with_counts_by_hand(spark):
+@pytest.mark.parametrize("most_idle", [1, 2, None])
+def test_scores_agree_with_counts_by_hand(spark, most_idle):
     learn = [(f"{a} {x} {y} {a}{x}{y}", 12) for a in "pq" for x in "rs" for y in "tu"] + [("p r once t u", 1), ("t t t t", 3)]
     held = ["p r t prt", "new r t qrt", "p r once t", "t t t t t", ""]
     tokens = lambda t: (*t.split(), None)
@@ -195,12 +175,12 @@ def test_scores_agree_with_counts_by_hand(spark):
         told = sum(c * math.log(c / m / short[v]) for v, c in often.items())
         told += other * math.log(other / m / (1 - sum(short.values()))) if other else 0
         if 2 * told <= k + 3.1 * math.sqrt(2 * k) + 3:
-            return back, idle + 1 if idle + 1 < 2 else None
+            return back, idle + 1 if most_idle is None or idle + 1 < most_idle else None
         mix = k / (m + k)
         mine = {v: (1 - mix) * c / m + mix * short[v] for v, c in often.items()}
         return mine[w] if w in mine else back * (1 - sum(mine.values())) / (1 - sum(short.values())), 0
 
-    for r, text in zip(scored(spark, learn, held), held, strict=True):
+    for r, text in zip(scored(spark, learn, held, idle=most_idle), held, strict=True):
         t = tokens(text)
         want = sum(math.log10(prob(t[:i], w, i)[0]) for i, w in enumerate(t))
         assert r.score == pytest.approx(want)
