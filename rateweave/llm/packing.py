@@ -8,12 +8,14 @@ places are taken, the fullest open bin closes first.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,9 @@ END_ID = 2
 OPEN_BINS = 1 << 16
 PIECES_A_TASK = 100_000
 # Words whose ids a Python worker remembers.
-KNOWN_WORDS = 100_000
+KNOWN_WORDS = 300_000
+# Bytes of text that are encoded together.
+TEXT_BYTES = 1 << 22
 # Characters on which every Unicode version of the split pattern agrees.
 PLAIN = re.compile("[!-~¡-ɏ][\t\n\r!-~¡-ɏ]*")
 SPACES = re.compile("[\\s\x85᠎​﻿] [\\s\x85᠎​﻿]")
@@ -39,7 +43,8 @@ class WordIds:
     The vocabulary's split pattern always breaks before a space that follows
     or precedes a character other than white space, so a text's ids are those
     of its first word and of " word" for each further one.  Texts with a space
-    between white space go to the tokenizer whole.  Words outside PLAIN are
+    between white space and texts that hold one of the tokenizer's added tokens
+    (which it cuts out before it splits) go to it whole.  Words outside PLAIN are
     also encoded by the tokenizer; plain new words are encoded many at a time
     from the same vocabulary's rank file, where the tokens that begin with a
     space mark the words' beginnings.
@@ -54,6 +59,7 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path or public_tokenizers.path("byte_bpe_50k.json"))
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         with open(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.ranked = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN,
@@ -83,29 +89,44 @@ class WordIds:
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if SPACES.search(x) else x.split(" ") for x in texts]
-        new = set().union(*(x[1:] for x in split if x)).difference(self.known)
-        fresh = self.words(list(new))
-        table, room = self.known, KNOWN_WORDS - len(self.known)
-        if len(fresh) <= room:
-            table.update(fresh)
-        else:
-            table.update(list(fresh.items())[:max(room, 0)])
-            table = {**fresh, **{w: table[w] for x in split if x for w in x[1:] if w in table}}
-        return [self.whole(text) if x is None else
-                (self.whole(x[0]) if x[0] else b"") + b"".join([table[w] for w in x[1:]])
-                for text, x in zip(texts, split, strict=True)]
+        out: list[bytes | None] = [self.whole(x) if SPACES.search(x) or any(a in x for a in self.added) else None for x in texts]
+        rest = [k for k, x in enumerate(out) if x is None]
+        if not rest:
+            return out
+        words = pc.split_pattern(pa.array([texts[k] for k in rest], pa.large_string()), " ")
+        ends = np.cumsum(words.value_lengths().to_numpy())
+        coded = words.flatten().dictionary_encode()
+        number, first = coded.indices.to_numpy(), np.append(0, ends[:-1])
+        later = np.ones(len(number), bool)
+        later[first] = False  # a text's first word has no space before it
+        used = np.zeros(len(coded.dictionary), bool)
+        used[number[later]] = True
+        vocabulary = coded.dictionary.to_pylist()
+        fresh = self.words([w for w, k in zip(vocabulary, used.tolist(), strict=True) if k and w not in self.known])
+        ids = [(self.known.get(w) or fresh[w]) if k else b"" for w, k in zip(vocabulary, used.tolist(), strict=True)]
+        room = KNOWN_WORDS - len(self.known)
+        self.known.update(itertools.islice(fresh.items(), max(room, 0)))
+        # the ids of all words behind one another, from the table of the distinct ones
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        table, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        count = np.where(later, sizes[number], 0)
+        stop = np.cumsum(count)
+        flat = table[np.repeat(starts[number] - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)]
+        for k, a, z in zip(rest, first.tolist(), ends.tolist(), strict=True):
+            head = vocabulary[number[a]]
+            out[k] = (self.whole(head) if head else b"") + flat[stop[a]:stop[z - 1]].tobytes()
+        return out
+
+
+# The encoders of this Python worker; they outlive a task with their tables of words.
+_encoders: dict[tuple, WordIds] = {}
 
 
 def word_ids(tokenizer_path: str | None, ranks_path: str | None) -> WordIds:
-    """The encoder of this Python worker; it outlives a task with its table of words."""
-    import public_tokenizers
-
-    held = public_tokenizers.__dict__.setdefault("_word_ids", {})
     key = (tokenizer_path, ranks_path)
-    if key not in held:
-        held[key] = WordIds(*key)
-    return held[key]
+    if key not in _encoders:
+        _encoders[key] = WordIds(*key)
+    return _encoders[key]
 
 
 def pieces_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM,
@@ -124,7 +145,7 @@ def pieces_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
 
     def cut(batches):
         encoder, end = word_ids(tokenizer_path, ranks_path), np.array([END_ID], "<u4").tobytes()
-        for batch in by_bytes(batches, "text", 1 << 20):
+        for batch in by_bytes(batches, "text", TEXT_BYTES):
             rows, piece, start, length, crc = [], [], [], [], []
             for row, raw in enumerate(encoder.encode(batch.column("text").to_pylist())):
                 raw += end
