@@ -1,9 +1,11 @@
 """Near-duplicate vectors by quantised tile products with error bounds.
 
-Vectors with the same label are dealt into tiles.  A task multiplies two tiles
-as 8-bit codes; each vector's own quantisation error bounds how far a product
-can be from the cosine, and only pairs that may reach the threshold are
-computed again in double precision.
+Vectors with the same label are dealt into tiles and these into strips, about
+as many as a strip has tiles, so that a tile is sent to the square root of the
+number of tiles and not to each.  A task multiplies the tiles of two strips,
+pair by pair, as 8-bit codes; each vector's own quantisation error bounds how
+far a product can be from the cosine, and only pairs that may reach the
+threshold are computed again in double precision.
 """
 
 from __future__ import annotations
@@ -18,12 +20,17 @@ from .components import components
 
 THRESHOLD = 0.93
 TILE = 1024
+# The most tiles of a strip; a task holds two strips.
+STRIP_TILES = 16
 # Products of 8-bit codes over so many dimensions are exact in single precision.
 EXACT_DIMS = 1024
 
 
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, scale, error, norm) of double vectors: unit = codes * scale + rest, |rest| <= error."""
+    """(codes, scale, error, norm) of double vectors: unit = codes * scale + rest, |rest| <= error.
+
+    Components are below 1 in size and the largest at least a half, see ``even``.
+    """
     norm = np.sqrt((vectors * vectors).sum(axis=1))
     unit = vectors / norm[:, None]
     scale = np.abs(unit).max(axis=1) / 127
@@ -32,6 +39,12 @@ def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return codes, scale, np.sqrt((rest * rest).sum(axis=1)) + 1e-9, norm
 
 
+def even(vectors: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two, without rounding: squares neither over- nor underflow."""
+    vectors = vectors.astype(np.float64)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
+
+
 def near_in_tiles(a: np.ndarray, b: np.ndarray | None, threshold: float):
     """Index arrays (i, j), a block of rows at a time, of pairs with cosine >= threshold.
 
@@ -73,11 +86,12 @@ def hang(tree: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def near_links(classes: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """(row, links, near) for each pair of tiles: a vector's links there, and a node it reaches.
+    """(row, links, near) for each pair of strips: a vector's links there, and a node it reaches.
 
     classes: (row, copies, label, dim, vector), all unlike.  ``near`` spans
-    the links that a pair of tiles holds with one link a vector at most, so
-    the output grows with the tiles and not with the links.
+    the links that a pair of strips holds with one link a vector at most, so
+    the output grows with the strips and not with the links.  Vectors travel
+    in their own precision.
     """
     classes = written(classes, "classes")
     sizes = written(classes.groupBy("label", "dim").agg(
@@ -85,10 +99,12 @@ def near_links(classes: DataFrame, threshold: float = THRESHOLD, tile: int = TIL
     dealt = classes.join(sizes, ["label", "dim"]).withColumn(
         "tile", F.pmod(F.xxhash64("row"), F.col("tiles")).cast("int"))
 
+    item = "<f4" if classes.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
+
     def pack(table: pa.Table) -> pa.Table:
         table = table.sort_by("row")
         first = {c: table.column(c).slice(0, 1) for c in ("label", "dim", "tiles", "tile")}
-        data = np.concatenate(table.column("vector").to_pylist()).astype("<f8")
+        data = np.concatenate(table.column("vector").to_pylist()).astype(item)
         return pa.table(first | {
             "rows": pa.array([table.column("row").to_numpy().astype("<i8").tobytes()], pa.binary()),
             "copies": pa.array([table.column("copies").to_numpy().astype("<i8").tobytes()], pa.binary()),
@@ -97,22 +113,28 @@ def near_links(classes: DataFrame, threshold: float = THRESHOLD, tile: int = TIL
     kind = classes.schema["label"].dataType.simpleString()
     tiles = written(dealt.groupBy("label", "dim", "tile").applyInArrow(
         pack, f"label {kind}, dim int, tiles int, tile int, rows binary, copies binary, data binary"), "tiles")
-    pairs = tiles.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "label", "dim", F.least("tile", "with").alias("low"), F.greatest("tile", "with").alias("high"),
-        "tile", "rows", "copies", "data")
+    strips = F.greatest(F.ceil(F.sqrt(F.col("tiles").cast("double"))), F.ceil(F.col("tiles") / STRIP_TILES)).cast("int")
+    pairs = tiles.withColumn("strips", strips).withColumn("strip", F.pmod("tile", "strips")).withColumn(
+        "with", F.explode(F.sequence(F.lit(0), F.col("strips") - 1))).select(
+        "label", "dim", F.least("strip", "with").alias("low"), F.greatest("strip", "with").alias("high"),
+        "strip", "tile", "rows", "copies", "data")
 
     def multiply(table: pa.Table) -> pa.Table:
         sides = table.sort_by("tile").to_pylist()
+        low, one_strip = sides[0]["low"], sides[0]["low"] == sides[0]["high"]
         ids = [np.frombuffer(s["rows"], "<i8") for s in sides]
         copies = np.concatenate([np.frombuffer(s["copies"], "<i8") for s in sides])
-        data = [np.frombuffer(s["data"], "<f8").reshape(-1, s["dim"]) for s in sides]
-        shift = len(ids[0]) if len(sides) > 1 else 0
+        data = [even(np.frombuffer(s["data"], item).reshape(-1, s["dim"])) for s in sides]
+        starts = np.cumsum([0, *map(len, ids)])
         links, tree = np.zeros(len(copies), np.int64), np.arange(len(copies))
-        for i, j in near_in_tiles(data[0], data[1] if shift else None, threshold):
-            j = j + shift
-            np.add.at(links, i, copies[j])
-            np.add.at(links, j, copies[i])
-            tree = hang(tree, i, j)
+        for a, one in enumerate(sides):
+            for b, two in enumerate(sides):
+                if (a <= b) if one_strip else one["strip"] == low != two["strip"]:
+                    for i, j in near_in_tiles(data[a], data[b] if a != b else None, threshold):
+                        i, j = i + starts[a], j + starts[b]
+                        np.add.at(links, i, copies[j])
+                        np.add.at(links, j, copies[i])
+                        tree = hang(tree, i, j)
         ids, found = np.concatenate(ids), links > 0
         return pa.table({"row": ids[found], "links": links[found], "near": ids[tree[found]]})
 

@@ -127,6 +127,22 @@ placed AS (
 SELECT doc_id, size, source_size, target,
        CAST(size * CAST(floor(rank * rate + first) - floor((rank - 1) * rate + first) AS INT) AS BIGINT) AS taken
 FROM placed""",
+    "op3_embedding_dedup": f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS row, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+sound AS (
+  SELECT * FROM rows WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.row AS a, b.row AS b, b.vec_id AS id FROM sound a JOIN sound b ON a.label = b.label AND a.row <> b.row
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+counts AS (SELECT a AS row, count(*) AS n_links FROM links GROUP BY a),
+reach AS (
+  SELECT row, row AS node FROM rows
+  UNION SELECT r.row, l.b FROM reach r JOIN links l ON l.a = r.node),
+lowest AS (SELECT reach.row, min(vec_id) AS component_id FROM reach JOIN rows ON rows.row = node GROUP BY reach.row)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM rows LEFT JOIN counts USING (row) JOIN lowest USING (row)""",
     "op4_exact_dedup": f"""
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,

@@ -10,7 +10,7 @@ from llm_fixtures import collected, docs, empty, rows
 from xxhash import xxh64_intdigest
 
 from rateweave.llm.components import components
-from rateweave.llm.embeddings import embedding_groups, quantised
+from rateweave.llm.embeddings import embedding_groups, even, quantised
 from rateweave.llm.exact import drop_exact_duplicates, exact_groups, golomb_decode, golomb_encode, runs_of, suspects_of
 from rateweave.llm.simhash import drop_near_duplicates, near_groups, near_pairs, simhash
 
@@ -171,7 +171,7 @@ def test_embedding_groups(spark):
 
     ids = [v[0] for v in vectors]
     root = {i: min(g) for g in reach(ids, linked) for i in g}
-    for tile in (1024, 16):
+    for tile in (1024, 16, 2):  # one strip, and up to 8 of 8 tiles
         got = collected(embedding_groups(df, tile=tile))
         assert len(got) == len(vectors)
         for r in got:
@@ -182,3 +182,22 @@ def test_embedding_groups(spark):
     repeated = collected(embedding_groups(spark.createDataFrame(
         [(1, [1.0, 0.0], 3), (1, [1.0, 0.0], 3), (None, [1.0, 0.0], 3)], "vec_id long, embedding array<float>, label int")))
     assert [r["n_links"] for r in repeated] == [2, 2, 2] and {r["component_id"] for r in repeated} == {1}
+
+
+def test_vectors_of_any_size_link(spark):
+    base = [[3.0, 4.0, 1.0], [3.1, 4.0, 1.0], [-4.0, 3.0, 0.5]]
+    vectors, want = [], {}
+    for k, size in enumerate((1.0, 1e-170, 1e160, 1e-300, 5e307)):
+        for j, v in enumerate(base):
+            vectors.append((10 * k + j, [x / 4.1 * size for x in v], 1))
+            want[10 * k + j] = (9 if j < 2 else 4, 0 if j < 2 else 2)
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
+    for tile in (1024, 4):
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in collected(embedding_groups(df, tile=tile))} == want
+
+
+def test_even_vectors_are_not_rounded():
+    v = np.array([[1e-170, 3e-170], [0.3, -7.7], [5e307, 1e300]])
+    e = even(v)
+    assert (np.abs(e).max(axis=1) < 1).all() and (np.abs(e).max(axis=1) >= 0.5).all()
+    assert (v[:, 0] * e[:, 1] == v[:, 1] * e[:, 0]).all() or np.allclose(e[:, 0] / e[:, 1], v[:, 0] / v[:, 1], rtol=0)
