@@ -183,7 +183,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``exact_groups`` keeps, with all their columns, whatever these are called.
+
+    One row of each text stays, also where rows repeat it with its id; null
+    texts are empty, null ids last.  An empty table gives no rows.
+    """
     row, mark = free_name(docs, "row"), free_name(docs, "fingerprint")
     rows = copied(docs.withColumns({
         row: F.monotonically_increasing_id(), mark: F.xxhash64(ascii_lower(F.col(text_col)))}))

@@ -113,7 +113,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def resample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source") -> DataFrame:
-    """The rows of ``docs`` with all their columns, each as often as the mix takes it."""
+    """The rows of ``docs`` with all their columns, whatever these are called, each as often as the mix takes it.
+
+    Repeated rows are taken each for itself; nulls and ties: see
+    ``mix_sources``.  An empty table gives no rows.
+    """
     row, times = free_name(docs, "row"), free_name(docs, "times")
     rows = copied(docs.withColumn(row, F.monotonically_increasing_id()))
     taken = mix_sources(rows, id_col, text_col, source_col, keep=(row,)).filter("copies > 0").select(

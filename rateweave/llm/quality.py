@@ -188,7 +188,10 @@ def score_quality(docs: DataFrame, net: Network | None, text_col: str = "text",
 def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row.
 
-    A null id is not held out.  An empty table gives no rows.
+    Whole texts are scored, however long; null and empty ones alike, as an
+    empty text.  Rows with equal texts score the same, repeated rows each have
+    one.  A null id is not held out.  Without labels all scores are 0.5.  Other
+    columns are not read; an empty table gives no rows.
     """
     net = learn_quality(docs, labels, id_col, text_col)
     scored = score_quality(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), net)
@@ -198,7 +201,10 @@ def classify_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a score of at least 0.5, with all their columns."""
+    """The rows of ``docs`` with a score of at least 0.5, with all their columns, whatever these are called.
+
+    Nulls, empty and repeated texts: see ``classify_quality``.
+    """
     name = free_name(docs, "score")
     net = learn_quality(docs, labels, id_col, text_col)
     return score_quality(docs, net, text_col, name).filter(F.col(name) >= 0.5).select(docs.columns)

@@ -170,7 +170,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          words: int = SHINGLE_WORDS, most_bits: int = MOST_BITS) -> DataFrame:
-    """The rows of ``docs`` that ``near_groups`` keeps, with all their columns."""
+    """The rows of ``docs`` that ``near_groups`` keeps, with all their columns, whatever these are called.
+
+    One row of each group stays, also where rows repeat; null texts are
+    empty.  An empty table gives no rows.
+    """
     row, mark = free_name(docs, "row"), free_name(docs, "print")
     rows = copied(with_simhash(docs.withColumn(row, F.monotonically_increasing_id()), mark, text_col, words))
     told = near_groups(rows, id_col, text_col, words, most_bits, mark, row)
