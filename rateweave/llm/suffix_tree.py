@@ -8,20 +8,27 @@ rest in the shorter context's proportions.  A word is scored from the longest
 kept context.  A context with a word that occurs once in the training texts
 has no such outcome, so it ends there.
 
-The tree grows by one word a round until no context grows.  Words, contexts
-and outcomes are tables; nothing of the model is gathered or broadcast whole.
-All counts are exact and cover all training documents.
+The texts are cut into runs of about RUN_TOKENS tokens.  The tree grows by one
+word a round until no context grows.  In a round each run sends its distinct
+contexts and (context, word) pairs with their counts, sorted and packed, to the
+contexts' owners.  An owner adds up, tests the contexts and answers each run in
+the order of its message; the run scores the tokens that end there and keeps
+the others for the next round.  A context with many tokens is dealt over
+several owners by its words, and its runs add up their answers.  Nothing of the
+model is gathered or broadcast; all counts are exact and cover all training
+documents.  A token's probability from the shorter contexts travels in single
+precision.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.versioned import release
 from .common import by_bytes, crc_mod, written
@@ -31,8 +38,10 @@ from .simhash import SPACE
 LEAST_COUNT = 2
 # A branch of the tree ends after so many words in a row that told nothing (None: never).
 IDLE = 2
-# Distinct keys a task counts before it hands them on.
-HELD_KEYS = 1 << 21
+# Tokens of a run (a text is never cut), and tokens for which one owner answers.
+RUN_TOKENS = 1 << 20
+OWNER_TOKENS = 1 << 22
+LEAST_OWNERS = 8
 CHUNK_BYTES = 1 << 22
 # The digest that stands for the end of a text.
 END = np.uint64(1)
@@ -51,6 +60,12 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def mixed(value: np.ndarray) -> np.ndarray:
+    value = value ^ value >> np.uint64(33)
+    value *= np.uint64(0xFF51AFD7ED558CCD)
+    return value ^ value >> np.uint64(33)
+
+
 class Digests:
     """64-bit digests of the words of byte strings."""
 
@@ -66,11 +81,7 @@ class Digests:
         start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         total = np.zeros(len(code) + 1, np.uint64)
         np.cumsum(BYTES[code] * self.up[:len(code)], out=total[1:])
-        value = (total[end] - total[start]) * self.down[start]
-        value ^= value >> np.uint64(33)
-        value *= np.uint64(0xFF51AFD7ED558CCD)
-        value ^= value >> np.uint64(33)
-        return value, start
+        return mixed((total[end] - total[start]) * self.down[start]), start
 
     def of(self, raw: bytes) -> tuple[np.ndarray, np.ndarray]:
         """The same for any length, a bounded part at a time."""
@@ -95,121 +106,384 @@ class Digests:
         return value[order], owner[order]
 
 
-class Tally:
-    """Counts of 64-bit keys; hands them on when it holds too many."""
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of fixed-width numbers as bytes: equal places of the numbers together, compressed."""
+    parts = []
+    for a in arrays:
+        planes = np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+        code = pa.compress(planes, codec="zstd", asbytes=True) if planes else b""
+        parts += [np.array([len(a), len(code)], "<i8").tobytes(), code]
+    return b"".join(parts)
 
-    def __init__(self):
-        self.parts, self.held = [], 0
-
-    def add(self, keys: np.ndarray):
-        values, counts = np.unique(keys, return_counts=True)
-        self.parts.append((values, counts))
-        self.held += len(values)
-        if self.held > HELD_KEYS:
-            self.parts = [self.merged()]
-            self.held = len(self.parts[0][0])
-            if self.held > HELD_KEYS // 2:
-                yield self.batch()
-
-    def merged(self):
-        keys = np.concatenate([k for k, _ in self.parts])
-        values, place = np.unique(keys, return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate([n for _, n in self.parts]), minlength=len(values))
-        return values, counts.astype(np.int64)
-
-    def batch(self) -> pa.RecordBatch:
-        values, counts = self.merged()
-        self.parts, self.held = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], names=["key", "n"])
-
-
-def counted(texts: DataFrame, keys_of) -> DataFrame:
-    """(key, n) over the tokens of ``text``; ``keys_of(digests, owners)`` gives 64-bit keys."""
-    def count(batches):
-        digests, tally = Digests(), Tally()
-        for batch in by_bytes(batches, "text", CHUNK_BYTES, 1 << 14):
-            yield from tally.add(keys_of(*digests.of_texts(batch.column("text").to_pylist())))
-        if tally.parts:
-            yield tally.batch()
 
-    return texts.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+def unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    """The arrays of ``pack``, given their types."""
+    out, at = [], 0
+    for kind in map(np.dtype, kinds):
+        n, size = np.frombuffer(raw, "<i8", 2, at).tolist()
+        planes = pa.decompress(raw[at + 16:at + 16 + size], n * kind.itemsize, codec="zstd", asbytes=True) if n else b""
+        out.append(np.frombuffer(planes, np.uint8).reshape(kind.itemsize, n).T.copy().view(kind).reshape(n))
+        at += 16 + size
+    return out
+
+
+def summed(place: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
+    return np.bincount(place, weights=weights, minlength=size)
+
 
+# ---------------------------------------------------------------- the model
 
-def occurrences(active: DataFrame, length: int) -> DataFrame:
-    """(row, pos, ctx, w, learn, back, idle) of the tokens at ``at``, or of all where ``length`` is one.
+def outcome_sums(ctx: np.ndarray, n: np.ndarray, back: np.ndarray, size: int) -> np.ndarray:
+    """(listed, outcomes, back_sum, own, known) of contexts 0..size-1 from their distinct (ctx, n, back).
 
-    ctx: the digest of the ``length`` words before, 0 for a text's first token.
+    n: the training count of a word after the context, back its log10
+    probability from the shorter contexts; only counts from LEAST_COUNT on enter.
     """
-    def emit(batches):
-        digests = Digests()
+    often = n >= LEAST_COUNT
+    ctx, n, back = ctx[often], n[often].astype(float), back[often].astype(float)
+    return np.array([summed(ctx, x, size) for x in (n, np.ones(len(n)), 10.0 ** back, n * np.log(n), n * back * math.log(10))])
+
+
+def judged(total: np.ndarray, sums: np.ndarray, idle: np.ndarray, most_idle: int | None):
+    """(kept, grows, idle, rest) of contexts with ``total`` training tokens and an outcome listed.
+
+    ``idle``: how many shorter contexts in a row, the longest first, were not
+    kept.  A context is kept if its counts diverge from the shorter contexts'
+    distribution.  It does not grow if no longer one can be kept: what any
+    part of its counts could tell against its distribution is at most
+    ``most``, and shrinks as contexts get longer; nor after ``most_idle`` in a
+    row that were not kept, if that is given.  rest: log10 of the factor by
+    which a kept context changes the probability of an unlisted word.
+    """
+    listed, outcomes, back_sum, own, known = sums
+    back_sum = np.minimum(back_sum, 1 - 1e-12)
+    other, mix = total - listed, outcomes / (total + outcomes)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        unlisted = np.where(other > 0, other * np.log(other / total / (1 - back_sum)), 0.0)
+    left = np.maximum(1 - (1 - mix) * listed / total - mix * back_sum, 1e-12)
+    surprise = own - listed * np.log(total) - known + unlisted
+    kept = 2 * surprise > outcomes + 3.1 * np.sqrt(2 * outcomes) + 3
+    most = np.where(kept, listed * (np.log(total) - np.log1p(-mix)) - own - other * np.log(left),
+                    -known - other * np.log1p(-back_sum))
+    idle = np.where(kept, 0, idle + 1)
+    grows = 2 * most > 4 + 3.1 * math.sqrt(2)
+    if most_idle is not None:
+        grows &= idle < most_idle
+    return kept, grows, idle, np.log10(left / (1 - back_sum))
+
+
+def log_after(n: np.ndarray, back: np.ndarray, total: np.ndarray, outcomes: np.ndarray, kept: np.ndarray,
+              rest: np.ndarray) -> np.ndarray:
+    """log10 probabilities of words with count ``n`` after contexts as ``judged``."""
+    log = np.where(kept, rest + back, back).astype(float)
+    own = np.flatnonzero(kept & (n >= LEAST_COUNT))
+    mix = outcomes[own] / (total[own] + outcomes[own])
+    log[own] = np.log10((1 - mix) * n[own] / total[own] + mix * 10.0 ** back[own].astype(float))
+    return log
+
+
+def parts_of(total: np.ndarray, owner_tokens: int, owners: int) -> np.ndarray:
+    """log2 of the owners over which a context with at most ``total`` tokens is dealt."""
+    parts = np.ceil(np.log2(np.maximum(total / (owner_tokens / 4), 1)))
+    return np.minimum(parts, math.log2(owners)).astype("u1")
+
+
+# ---------------------------------------------------------------- runs
+
+# A run's tokens: text lengths, texts learned from, a code a token; its words: number, count, log10 probability.
+TOKENS = ("<i4", "u1", "<i4", "<i8", "<i8", "<f8")
+# Its active tokens: bits, then back, idle and parts (empty for contexts of one word).
+STATE = ("u1", "<f4", "<u2", "u1")
+# A message: contexts (gaps, tokens, idle, parts, pairs of each), pairs (word, count, back).
+MESSAGE = ("<u8", "<i8", "<u2", "u1", "<i4", "<i8", "<i4", "<f4")
+# An answer: contexts (1 kept, 2 grows, 4 dealt), then the kept or growing ones' tokens, outcomes, idle, rest;
+# of dealt ones the tokens and five sums; pairs' counts, 0 below LEAST_COUNT.
+ANSWER = ("u1", "<i8", "<i8", "<u2", "<f8", "<i8", "<f8", "<i8")
+
+
+def cut_runs(docs: DataFrame, run_tokens: int) -> DataFrame:
+    """(run, docs, words, tokens): whole texts in runs, words told by digests."""
+    doc = T.StructType([f for f in docs.schema.fields if f.name != "text"])
+    schema = T.StructType([T.StructField("run", T.LongType()), T.StructField("docs", T.ArrayType(doc)),
+                           T.StructField("words", T.BinaryType()), T.StructField("tokens", T.BinaryType())])
+
+    def cut(batches):
+        from pyspark import TaskContext
+
+        digests, run, held, count = Digests(), TaskContext.get().partitionId() << 32, [], 0
+
+        def flush():
+            table = pa.Table.from_batches([b for b, _, _ in held]).combine_chunks()
+            rows = pa.StructArray.from_arrays([c.combine_chunks() for c in table.columns], table.column_names)
+            words, codes = np.unique(np.concatenate([v for _, v, _ in held]), return_inverse=True)
+            learn = ~table.column("held_out").to_numpy()
+            tokens = pack(np.concatenate([n for _, _, n in held]).astype("<i4"), learn.astype("u1"), codes.astype("<i4"))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([run], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows),
+                 pa.array([pack(np.diff(words, prepend=np.uint64(0)))], pa.binary()), pa.array([tokens], pa.binary())],
+                names=schema.names)
+
         for batch in by_bytes(batches, "text", CHUNK_BYTES, 1 << 14):
             value, owner = digests.of_texts(batch.column("text").to_pylist())
-            n = batch.num_rows
-            starts = np.searchsorted(owner, np.arange(n))
-            if length == 1:
-                whose, index = owner, np.arange(len(value))
-                back, idle = np.zeros(len(value)), np.zeros(len(value), np.int32)
-            else:
-                at = batch.column("at")
-                whose = np.repeat(np.arange(n), at.value_lengths().to_numpy(zero_copy_only=False))
-                index = starts[whose] + at.flatten().to_numpy()
-                back, idle = (batch.column(k).flatten().to_numpy() for k in ("back", "idle"))
-            up, down = powers(BASE, len(value)), powers(BASE_INVERSE, len(value))
-            total = np.append(np.zeros(1, np.uint64), np.cumsum(value * up))
-            first = np.maximum(index - length, starts[whose])
-            ctx = (total[index] - total[first]) * down[first]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("row").take(pa.array(whose)), pa.array((index - starts[whose]).astype(np.int32)),
-                 pa.array(ctx.view(np.int64)), pa.array(value[index].view(np.int64)),
-                 batch.column("learn").take(pa.array(whose)), pa.array(back), pa.array(idle)],
-                names=["row", "pos", "ctx", "w", "learn", "back", "idle"])
-
-    return active.mapInArrow(emit, "row long, pos int, ctx long, w long, learn boolean, back double, idle int")
-
-
-def judged(grams: DataFrame, idle: int | None) -> DataFrame:
-    """(ctx, total, mix, rest, kept, idle, grows) of the contexts with a frequent outcome.
-
-    grams: (ctx, w, n, back, idle), n the training count of w after ctx,
-    back its log10 probability from the shorter contexts, idle how many of
-    these in a row, the longest first, were not kept.  A context is kept if its
-    counts diverge from the shorter contexts' distribution.  It does not grow
-    if no longer one can be kept: what any part of its counts could tell
-    against its distribution is at most ``most``, and shrinks as contexts get
-    longer; nor after ``idle`` in a row that were not kept, if that is given.
+            held.append((batch.select(doc.names), value, np.bincount(owner, minlength=batch.num_rows)))
+            count += len(value)
+            if count >= run_tokens:
+                yield flush()
+                run, held, count = run + 1, [], 0
+        if held:
+            yield flush()
+
+    return docs.mapInArrow(cut, schema)
+
+
+def messages(runs: DataFrame, columns: list[str], codes_of) -> DataFrame:
+    """(owner, run, code): what ``codes_of(*columns)`` of each run says, as (owner, bytes)."""
+    def send(batches):
+        for batch in batches:
+            for run, *values in zip(*(batch.column(c).to_pylist() for c in ["run", *columns]), strict=True):
+                said = list(codes_of(*values))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([o for o, _ in said], pa.int32()), pa.array([run] * len(said), pa.int64()),
+                     pa.array([c for _, c in said], pa.binary())], names=["owner", "run", "code"])
+
+    return runs.select("run", *columns).mapInArrow(send, "owner int, run long, code binary")
+
+
+def told(answers: DataFrame) -> DataFrame:
+    """The answers to each run in the order of their owners."""
+    return answers.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("owner", "code"))).alias("told"))
+
+
+def joined(answers: list[dict] | None, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    """The arrays of a run's answers, end to end."""
+    found = [unpack(a["code"], *kinds) for a in answers or []]
+    return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, k) for k in kinds]
+
+
+def word_answers(runs: DataFrame, owners: int) -> DataFrame:
+    """(run, owner, code, tokens, types): training count and number of the runs' words.
+
+    Words from LEAST_COUNT on are numbered, frequent ones first with each
+    owner; the others get -1.  tokens and types: the owner's, in its first row.
     """
-    log10 = math.log(10)
-    often = F.col("n") >= LEAST_COUNT
-    sums = lambda x: F.sum(F.when(often, x).otherwise(0.0))
-    c = F.col
-    return grams.filter("n > 0 and ctx <> 0").groupBy("ctx").agg(
-        F.sum("n").alias("total"), F.max("idle").alias("idle"), sums(c("n")).alias("listed"), sums(F.lit(1.0)).alias("outcomes"),
-        F.least(sums(F.pow(F.lit(10.0), c("back"))), F.lit(1 - 1e-12)).alias("back_sum"),
-        sums(c("n") * F.ln("n")).alias("own"), sums(c("n") * c("back") * log10).alias("known")).filter(
-        "outcomes > 0").withColumns({
-            "other": c("total") - c("listed"), "mix": c("outcomes") / (c("total") + c("outcomes"))}).withColumns({
-                "surprise": c("own") - c("listed") * F.ln("total") - c("known") + F.when(
-                    c("other") > 0, c("other") * F.ln(c("other") / c("total") / (1 - c("back_sum")))).otherwise(0.0),
-                "left": F.greatest(1 - (1 - c("mix")) * c("listed") / c("total") - c("mix") * c("back_sum"), F.lit(1e-12)),
-            }).withColumn("kept", 2 * c("surprise") > c("outcomes") + 3.1 * F.sqrt(2 * c("outcomes")) + 3).withColumn(
-        "most", F.when(c("kept"), c("listed") * (F.ln("total") - F.log1p(-c("mix"))) - c("own") - c("other") * F.ln("left"))
-        .otherwise(-c("known") - c("other") * F.log1p(-c("back_sum")))).withColumn(
-        "idle", F.when(c("kept"), 0).otherwise(c("idle") + 1)).select(
-        "ctx", "total", "mix", F.log10(c("left") / (1 - c("back_sum"))).alias("rest"), "kept", "idle",
-        ((2 * c("most") > 4 + 3.1 * math.sqrt(2)) & (F.lit(idle is None) | (c("idle") < (idle or 0)))).alias("grows"))
-
-
-def graded(grams: DataFrame, idle: int | None) -> DataFrame:
-    """``grams`` with ``log``, the log10 probability of w after ctx, and ``idle`` and ``grows`` of ctx."""
-    own = F.log10((1 - F.col("mix")) * F.col("n") / F.col("total") + F.col("mix") * F.pow(F.lit(10.0), F.col("back")))
-    return grams.drop("idle").join(judged(grams, idle), "ctx", "left").withColumns({
-        "log": F.when(~F.coalesce("kept", F.lit(False)), F.col("back")).when(F.col("n") >= LEAST_COUNT, own)
-        .otherwise(F.col("rest") + F.col("back")), "grows": F.coalesce("grows", F.lit(False))}).drop(
-        "total", "mix", "rest", "kept")
+    starts = np.array([(k << 64) // owners for k in range(owners)], np.uint64)
+
+    def ask(words, tokens):
+        lens, learn, codes = unpack(tokens, *TOKENS[:3])
+        words = np.cumsum(unpack(words, "<u8")[0], dtype=np.uint64)
+        n = np.bincount(codes[np.repeat(learn > 0, lens)], minlength=len(words))
+        cut = [*np.searchsorted(words, starts), len(words)]
+        return [(k, pack(np.diff(words[a:b], prepend=np.uint64(0)), n[a:b])) for k, (a, b) in enumerate(zip(cut, cut[1:])) if a < b]
+
+    def answer(table: pa.Table) -> pa.Table:
+        owner = table.column("owner")[0].as_py()
+        sent = [unpack(code, "<u8", "<i8") for code in table.column("code").to_pylist()]
+        sizes = np.cumsum([len(n) for _, n in sent])[:-1]
+        values, place = np.unique(np.concatenate([np.cumsum(g, dtype=np.uint64) for g, _ in sent]), return_inverse=True)
+        n = summed(place, np.concatenate([n for _, n in sent]), len(values)).astype(np.int64)
+        number = np.empty(len(n), np.int64)
+        number[np.argsort(-n, kind="stable")] = np.arange(len(n)) * owners + owner
+        number[n < LEAST_COUNT] = -1
+        codes = [pack(a, b) for a, b in zip(np.split(n[place], sizes), np.split(number[place], sizes), strict=True)]
+        first = lambda x: pa.array([int(x)] + [0] * (len(codes) - 1), pa.int64())
+        return pa.table({"run": table.column("run"), "owner": table.column("owner"), "code": pa.array(codes, pa.binary()),
+                         "tokens": first(n.sum()), "types": first((n > 0).sum())})
+
+    return messages(runs, ["words", "tokens"], ask).groupBy("owner").applyInArrow(
+        answer, "run long, owner int, code binary, tokens long, types long")
+
+
+def with_words(runs: DataFrame, answers: DataFrame, log_total: float) -> DataFrame:
+    """(run, docs, tokens, active, score, state): the runs with their words' counts, before contexts of one word."""
+    doc = T.StructType([*runs.schema["docs"].dataType.elementType.fields, T.StructField("n_tokens", T.LongType()),
+                        T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType())])
+    schema = T.StructType([
+        T.StructField("run", T.LongType()), T.StructField("docs", T.ArrayType(doc)), T.StructField("tokens", T.BinaryType()),
+        T.StructField("active", T.LongType()), T.StructField("score", T.ArrayType(T.DoubleType())),
+        T.StructField("state", T.BinaryType())])
+
+    def add(batches):
+        for batch in batches:
+            for k, (run, tokens, said) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("run", "tokens", "told")), strict=True)):
+                lens, learn, codes = unpack(tokens, *TOKENS[:3])
+                n, number = joined(said, ("<i8", "<i8"))
+                # codes by number, behind those of words that do not occur and occur once
+                order = np.flatnonzero(number >= 0)
+                order = order[np.argsort(number[order])]
+                code = np.minimum(n, 1)
+                code[order] = 2 + np.arange(len(order))
+                codes = code[codes]
+                number, n = np.append([-1, -1], number[order]), np.append([0, 1], n[order])
+                root = np.log10(n + 0.5) - log_total
+                doc_of = np.repeat(np.arange(len(lens)), lens)
+                active = np.zeros(len(codes), bool)
+                active[1:] = (doc_of[1:] == doc_of[:-1]) & (codes[:-1] > 1)
+                per_doc = lambda x: summed(doc_of, x, len(lens))
+                rows = batch.column("docs").slice(k, 1).flatten()
+                rows = pa.StructArray.from_arrays(
+                    [*rows.flatten(), pa.array(lens.astype(np.int64)), pa.array(per_doc(codes > 0).astype(np.int64)),
+                     pa.array(per_doc(root[codes]))], doc.names)
+                score = pa.array(per_doc(np.where(active, 0.0, root[codes])))
+                none = [np.zeros(0, kind) for kind in STATE[1:]]
+                one = pa.array([0, len(lens)], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([run], pa.int64()), pa.ListArray.from_arrays(one, rows),
+                     pa.array([pack(lens, learn, codes.astype("<i4"), number, n, root)], pa.binary()),
+                     pa.array([int(active.sum())], pa.int64()), pa.ListArray.from_arrays(one, score),
+                     pa.array([pack(np.packbits(active), *none)], pa.binary())], names=schema.names)
+
+    return runs.select("run", "docs", "tokens").join(told(answers), "run").mapInArrow(add, schema)
+
+
+class Run:
+    """A run's active tokens, their contexts of ``length`` words, and what it asks which owner."""
+
+    def __init__(self, tokens: bytes, state: bytes, length: int, owners: int, owner_tokens: int):
+        self.lens, learn, codes, number, n, root = unpack(tokens, *TOKENS)
+        bits, back, idle, parts = unpack(state, *STATE)
+        self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
+        self.word = number[codes]
+        self.at = at = np.flatnonzero(np.unpackbits(bits, count=len(codes)))
+        self.pos = at - (np.cumsum(self.lens) - self.lens)[self.doc[at]]
+        if length == 1:
+            back, idle = root[codes[at]].astype("<f4"), np.zeros(len(at), "<u2")
+            parts = parts_of(n[codes[at - 1]], owner_tokens, owners)
+        self.back = back
+        value = mixed((self.word + 2).astype(np.uint64) * BASE)
+        total = np.zeros(len(value) + 1, np.uint64)
+        np.cumsum(value * powers(BASE, len(value)), out=total[1:])
+        digests = (total[at] - total[at - length]) * powers(BASE_INVERSE, len(value))[at - length]
+        self.ctx, first, self.ctx_of = np.unique(digests, return_index=True, return_inverse=True)
+        self.idle, self.parts = idle[first], parts[first].astype(np.int64)
+        learned = learn[self.doc[at]] > 0
+        self.total = np.bincount(self.ctx_of[learned], minlength=len(self.ctx))
+        # pairs of a context and a word that is not rare
+        self.listable = self.word[at] >= 0
+        pairs = self.ctx_of[self.listable] << 40 | self.word[at][self.listable]
+        pairs, first, self.pair_of = np.unique(pairs, return_index=True, return_inverse=True)
+        self.pair_n = np.bincount(self.pair_of[learned[self.listable]], minlength=len(pairs))
+        self.pair_back = back[self.listable][first]
+        self.pair_ctx, self.pair_word = pairs >> 40, pairs & (1 << 40) - 1
+        # a context is asked of each owner over which it is dealt, a pair of one
+        home = (self.ctx >> np.uint64(64 - int(math.log2(owners)))).astype(np.int64)
+        each = 1 << self.parts
+        self.asked = np.repeat(np.arange(len(each)), each)
+        owner = (home[self.asked] + np.arange(len(self.asked)) - np.repeat(np.cumsum(each) - each, each)) & owners - 1
+        pair_owner = mixed(self.pair_word.astype(np.uint64) * BASE).astype(np.int64) & (1 << self.parts[self.pair_ctx]) - 1
+        pair_owner = (home[self.pair_ctx] + pair_owner) & owners - 1
+        kind = np.uint16 if owners <= 1 << 16 else np.int64
+        order = np.argsort(owner.astype(kind), kind="stable")
+        self.asked, self.owner = self.asked[order], owner[order]
+        self.pair_order = np.argsort(pair_owner.astype(kind), kind="stable")
+        self.pair_owner = pair_owner[self.pair_order]
+
+    def codes(self):
+        """(owner, message) of each owner asked."""
+        key, size = self.owner * len(self.ctx) + self.asked, len(self.ctx)
+        pair_key = self.pair_owner * size + self.pair_ctx[self.pair_order]
+        pairs = np.searchsorted(pair_key, key, "right") - np.searchsorted(pair_key, key)
+        owners, starts = np.unique(self.owner, return_index=True)
+        for k, a, b in zip(owners.tolist(), starts, [*starts[1:], len(key)], strict=True):
+            c = self.asked[a:b]
+            p = self.pair_order[np.searchsorted(self.pair_owner, k):np.searchsorted(self.pair_owner, k, "right")]
+            yield k, pack(np.diff(self.ctx[c], prepend=np.uint64(0)), self.total[c], self.idle[c], self.parts[c].astype("u1"),
+                          pairs[a:b].astype("<i4"), self.pair_word[p], self.pair_n[p].astype("<i4"), self.pair_back[p])
+
+    def answered(self, answers: list[dict] | None, length: int, most_idle: int | None, owners: int, owner_tokens: int):
+        """(text, log10 probability) of the tokens that end at this length, and the state of the others."""
+        flags, total_, outcomes_, idle_, rest_, dealt_total, dealt_sums, pair_counts = joined(answers, ANSWER)
+        size = len(self.ctx)
+        total, outcomes, idle, rest = np.ones(size), np.zeros(size), np.zeros(size, np.int64), np.zeros(size)
+        kept, grows = np.zeros(size, bool), np.zeros(size, bool)
+        kept[self.asked[flags & 1 > 0]] = True
+        grows[self.asked[flags & 2 > 0]] = True
+        alive = self.asked[flags & 3 > 0]
+        total[alive], outcomes[alive], idle[alive], rest[alive] = total_, outcomes_, idle_, rest_
+        dealt, place = np.unique(self.asked[flags & 4 > 0], return_inverse=True)
+        if len(dealt):
+            sums = np.array([summed(place, x, len(dealt)) for x in dealt_sums.reshape(-1, 5).T])
+            all_of = np.zeros(len(dealt))
+            all_of[place] = dealt_total
+            some = sums[1] > 0
+            dealt, sums, all_of = dealt[some], sums[:, some], all_of[some]
+            total[dealt], outcomes[dealt] = all_of, sums[1]
+            kept[dealt], grows[dealt], idle[dealt], rest[dealt] = judged(all_of, sums, self.idle[dealt].astype(np.int64), most_idle)
+        counts = np.empty(len(pair_counts), np.int64)
+        counts[self.pair_order] = pair_counts
+        n = np.zeros(len(self.at), np.int64)
+        n[self.listable] = counts[self.pair_of]
+        c, at = self.ctx_of, self.at
+        log = log_after(n, self.back, total[c], outcomes[c], kept[c], rest[c])
+        # a longer context needs a word before, not a rare one, and is what the word before makes of its own context
+        goes = grows[c] & (self.pos > length)
+        goes[goes] = self.word[at[goes] - length - 1] >= 0
+        seen = np.full(len(self.word), LEAST_COUNT)
+        seen[at] = n
+        goes[goes] = seen[at[goes] - 1] >= LEAST_COUNT
+        bits = np.zeros(len(self.word), bool)
+        bits[at[goes]] = True
+        state = pack(np.packbits(bits), log[goes].astype("<f4"), idle[c[goes]].astype("<u2"),
+                     parts_of(total[c[goes]], owner_tokens, owners))
+        return self.doc[at[~goes]], log[~goes], int(goes.sum()), state
+
+
+def context_answers(table: pa.Table, most_idle: int | None) -> pa.Table:
+    """An owner's answers to the messages of all runs."""
+    sent = [unpack(code, *MESSAGE) for code in table.column("code").to_pylist()]
+    sizes, pair_sizes = np.cumsum([len(m[0]) for m in sent])[:-1], np.cumsum([len(m[5]) for m in sent])[:-1]
+    digests = np.concatenate([np.cumsum(m[0], dtype=np.uint64) for m in sent])
+    total, idle, parts, pairs, word, n, back = (np.concatenate(x) for x in list(zip(*sent, strict=True))[1:])
+    ctx, first, place = np.unique(digests, return_index=True, return_inverse=True)
+    size = len(ctx)
+    total, idle, dealt = summed(place, total, size), idle[first].astype(np.int64), parts[first] > 0
+    keys, first, pair_of = np.unique(np.repeat(place, pairs) << 40 | word, return_index=True, return_inverse=True)
+    n = summed(pair_of, n, len(keys)).astype(np.int64)
+    n[n < LEAST_COUNT] = 0
+    sums = outcome_sums(keys >> 40, n, back[first], size)
+    kept, grows, rest = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size)
+    some = np.flatnonzero((sums[1] > 0) & ~dealt)
+    kept[some], grows[some], idle[some], rest[some] = judged(total[some], sums[:, some], idle[some], most_idle)
+    rest[~kept] = 0
+    flags = (kept + 2 * grows + 4 * dealt).astype("u1")
+    codes = []
+    for c, counts in zip(np.split(place, sizes), np.split(n[pair_of], pair_sizes), strict=True):
+        alive, cut = c[flags[c] & 3 > 0], c[dealt[c]]
+        codes.append(pack(flags[c], total[alive].astype("<i8"), sums[1][alive].astype("<i8"), idle[alive].astype("<u2"), rest[alive],
+                          total[cut].astype("<i8"), np.ascontiguousarray(sums[:, cut].T).reshape(-1), counts))
+    return pa.table({"run": table.column("run"), "owner": table.column("owner"), "code": pa.array(codes, pa.binary())})
+
+
+def grown(tokens: DataFrame, state: DataFrame, length: int, most_idle: int | None, owners: int, owner_tokens: int) -> DataFrame:
+    """(run, active, score, state) after contexts of ``length`` words."""
+    both = tokens.join(state, "run")
+
+    def ask(tokens, state, active):
+        return Run(tokens, state, length, owners, owner_tokens).codes() if active else ()
+
+    def score(batches):
+        for batch in batches:
+            for k, (run, active, tokens, state, said) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("run", "active", "tokens", "state", "told")), strict=True)):
+                score = batch.column("score").slice(k, 1).flatten().to_numpy()
+                if active:
+                    doc, log, active, state = Run(tokens, state, length, owners, owner_tokens).answered(
+                        said, length, most_idle, owners, owner_tokens)
+                    score = score + summed(doc, log, len(score))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([run], pa.int64()), pa.array([active], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array([0, len(score)], pa.int32()), pa.array(score)),
+                     pa.array([state], pa.binary())], names=["run", "active", "score", "state"])
+
+    answers = messages(both, ["tokens", "state", "active"], ask).groupBy("owner").applyInArrow(
+        lambda table: context_answers(table, most_idle), "run long, owner int, code binary")
+    return both.join(told(answers), "run", "left").mapInArrow(
+        score, "run long, active long, score array<double>, state binary")
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1,
-              folds: int = 5, idle: int | None = IDLE) -> DataFrame:
+              folds: int = 5, idle: int | None = IDLE, run_tokens: int = RUN_TOKENS,
+              owner_tokens: int = OWNER_TOKENS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row.
 
     Learned from the rows whose crc32(id as text) mod ``folds`` is not
@@ -221,46 +495,28 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     read; an empty table gives no rows.  ``idle`` ends a branch after so many
     lengths in a row that were not kept, which is cheaper and can miss longer
     contexts behind them; None follows every branch that its bound allows.
+    ``run_tokens`` and ``owner_tokens`` bound a task's memory and change no
+    score: a run holds whole texts, so at least the longest, and an owner the
+    pairs of about ``owner_tokens`` tokens, whatever one context's share.
     """
-    rows = written(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.coalesce(crc_mod(F.col(id_col), folds) == held_out, F.lit(False)).alias("held_out")), "rows")
-    learned = counted(rows.filter("not held_out"), lambda digests, owner: digests)
-    words = written(learned.select(F.col("key").alias("w"), F.col("n").alias("words")), "words")
-    tokens, types = words.agg(F.coalesce(F.sum("words"), F.lit(0)), F.count(F.lit(1))).first()
-    log_total = math.log10(tokens + 0.5 * (types + 1))
-    root = F.log10(F.coalesce("words", F.lit(0)) + F.lit(0.5)) - F.lit(log_total)
-    active, length, done, made = rows.withColumn("learn", ~F.col("held_out")), 1, [], None
-    while True:
-        seen = occurrences(active, length)
-        grams = seen.groupBy("ctx", "w").agg(F.sum(F.col("learn").cast("long")).alias("n"), *(F.max(k).alias(k) for k in ("back", "idle")))
-        if length == 1:
-            grams = grams.join(words, "w", "left").withColumn("back", root)
-        grams = written(grams, "grams")
-        marks = graded(grams, idle).withColumnRenamed("back", "base")
-        goes = F.col("grows") & (F.col("pos") > length)
-        sums = {"done": F.sum(F.when(~goes, F.col("log")).otherwise(0.0)),
-                "more": F.collect_list(F.when(goes, F.struct("pos", "log", "idle")))}
-        if length == 1:
-            sums |= {"n_tokens": F.count(F.lit(1)), "n_known": F.count("words"), "base_score": F.sum("base")}
-        level = written(seen.drop("back", "idle").join(marks.drop("n"), ["ctx", "w"]).groupBy("row").agg(
-            *(x.alias(k) for k, x in sums.items())), "level")
-        done.append(level.drop("more"))
-        growing = written(level.filter(F.size("more") > 0).select(
-            "row", F.col("more.pos").alias("at"), F.col("more.log").alias("back"), F.col("more.idle").alias("idle")).join(
-            active.select("row", "learn", "text"), "row"), "active")
-        release(grams)
+    runs = written(cut_runs(docs.select(
+        F.col(id_col).alias("doc_id"), F.coalesce(crc_mod(F.col(id_col), folds) == held_out, F.lit(False)).alias("held_out"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text")), run_tokens), "runs")
+    least = max(1, runs.count() * run_tokens // owner_tokens)
+    owners = max(LEAST_OWNERS, 1 << (least - 1).bit_length())
+    answers = written(word_answers(runs, owners), "words")
+    tokens, types = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first()
+    known = written(with_words(runs, answers, math.log10(tokens + 0.5 * (types + 1))), "tokens")
+    release(runs)
+    release(answers)
+    state, length, made = known.select("run", "active", "score", "state"), 1, None
+    while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
+        state = written(grown(known.select("run", "tokens"), state, length, idle, owners, owner_tokens), "state")
         if made is not None:
             release(made)
-        active = made = growing
-        if active.isEmpty():
-            break
-        length += 1
-    score = done[0]
-    if len(done) > 1:
-        later = functools.reduce(DataFrame.unionByName, done[1:]).groupBy("row").agg(F.sum("done").alias("later"))
-        score = score.join(later, "row", "left").withColumn("done", F.col("done") + F.coalesce("later", F.lit(0.0)))
-    return rows.drop("text").join(score, "row").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
-        "base_score", F.col("done").alias("score"))
+        made, length = state, length + 1
+    rows = known.select("run", "docs").join(state.select("run", "score"), "run").select(
+        F.explode(F.arrays_zip("docs", "score")).alias("row"))
+    return rows.select(
+        *(F.col(f"row.docs.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known")),
+        F.lit(tokens).cast("long").alias("train_tokens"), "row.docs.base_score", "row.score")

@@ -9,7 +9,7 @@ from llm_fixtures import collected, docs, empty, rows, text_of
 
 from rateweave.llm.quality import (FILTERS, Network, block_peaks, classify_quality, drop_low_quality, pooled,
                                    probability, train)
-from rateweave.llm.suffix_tree import Digests, graded, judged, lm_scores
+from rateweave.llm.suffix_tree import Digests, judged, lm_scores, log_after, outcome_sums, pack, unpack
 
 UP = {i: i + 32 for i in range(65, 91)}
 
@@ -98,23 +98,40 @@ def test_base_scores_and_counts(spark):
     assert lm_scores(empty(spark)).count() == 0
 
 
-def test_each_context_is_a_distribution(spark):
+def test_each_context_is_a_distribution():
     # every word of a vocabulary after every context, with probabilities that sum to one
     rng = np.random.default_rng(8)
     words = rng.dirichlet(np.ones(12))
-    grams, counts = [], {}
-    for ctx in range(1, 30):
-        n = rng.multinomial(int(rng.integers(1, 300)), rng.dirichlet(np.ones(12) * 0.2) if ctx % 2 else words)
-        counts[ctx] = n
-        grams += [(ctx, w, int(n[w]), float(np.log10(words[w])), 0) for w in range(12)]
-    df = spark.createDataFrame(grams, "ctx long, w long, n long, back double, idle int")
-    got, kept = Counter(), {r["ctx"]: r["kept"] for r in judged(df, None).collect()}
-    for r in graded(df, None).collect():
-        got[r["ctx"]] += 10 ** r["log"]
-    assert len(got) == 29 and all(x == pytest.approx(1, abs=1e-9) for x in got.values())
-    assert 5 < sum(kept.values()) < len(kept)
+    counts = np.array([rng.multinomial(int(rng.integers(1, 300)), rng.dirichlet(np.ones(12) * 0.2) if ctx % 2 else words)
+                       for ctx in range(1, 30)])
+    ctx, back = np.repeat(np.arange(29), 12), np.tile(np.log10(words), 29)
+    total, sums = counts.sum(1), outcome_sums(ctx, counts.ravel(), back, 29)
+    listed = sums[1] > 0
+    kept, rest = np.zeros(29, bool), np.zeros(29)
+    kept[listed], _, _, rest[listed] = judged(total[listed], sums[:, listed], np.zeros(listed.sum(), int), None)
+    log = log_after(counts.ravel(), back, total[ctx], sums[1][ctx], kept[ctx], rest[ctx])
+    assert np.bincount(ctx, weights=10 ** log) == pytest.approx(1, abs=1e-9)
+    assert 5 < kept.sum() < len(kept)
     # the test is a likelihood ratio: contexts like their shorter one are not kept
-    assert sum(kept[c] for c in kept if c % 2) > 3 * sum(kept[c] for c in kept if not c % 2)
+    assert kept[::2].sum() > 3 * kept[1::2].sum()
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(2)
+    arrays = [rng.integers(0, 1 << 63, 1000, dtype=np.uint64), np.zeros(0, "<i4"), np.arange(-5, 5), rng.random(7).astype("<f4")]
+    got = unpack(pack(*arrays), "<u8", "<i4", "<i8", "<f4")
+    assert all(a.tolist() == b.tolist() for a, b in zip(arrays, got, strict=True))
+
+
+def test_runs_and_owners_change_no_score(spark):
+    # many runs; the frequent contexts, a third of all tokens one of them, are dealt over all owners
+    rng = np.random.default_rng(4)
+    texts = [(i, " ".join("the" if k % 3 == 0 else f"w{rng.zipf(1.4) % 50}" for k in range(40))) for i in range(300)]
+    df = spark.createDataFrame(texts + [(None, None), (7, "the the"), (8, "")], "doc_id long, text string").repartition(3)
+    want = sorted((str(r.doc_id), r.n_tokens, round(r.score, 4), round(r.base_score, 6)) for r in lm_scores(df).collect())
+    got = sorted((str(r.doc_id), r.n_tokens, round(r.score, 4), round(r.base_score, 6))
+                 for r in lm_scores(df, run_tokens=500, owner_tokens=400).collect())
+    assert len(want) == 303 and got == want
 
 
 def test_scores_beat_the_base_on_held_out_documents(spark):
