@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -89,6 +90,16 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that have ended.
+
+    It does so when the driver's JVM finds that nothing refers to their plans
+    any more; in a loop of rounds that can be many rounds later.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; null for a null id."""
     return F.crc32(doc_id.cast("string")) % mod

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.versioned import release
-from .common import by_bytes, crc_mod, written
+from .common import by_bytes, crc_mod, forget, give_back, written
 from .simhash import SPACE
 
 # The least count of an outcome that a context lists, whatever the corpus.
@@ -127,6 +127,17 @@ def unpack(raw: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def told_apart(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, codes) of ``a``; the values are ``a`` itself, without codes, where few repeat."""
+    values, codes = np.unique(a, return_inverse=True)
+    return (values, codes.astype("<i4")) if len(values) <= len(a) // 3 else (a, np.zeros(0, "<i4"))
+
+
+def together(values: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """What ``told_apart`` was given."""
+    return values[codes] if len(codes) else values
+
+
 def summed(place: np.ndarray, weights: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(place, weights=weights, minlength=size)
 
@@ -192,10 +203,11 @@ def parts_of(total: np.ndarray, owner_tokens: int, owners: int) -> np.ndarray:
 
 # A run's tokens: text lengths, texts learned from, a code a token; its words: number, count, log10 probability.
 TOKENS = ("<i4", "u1", "<i4", "<i8", "<i8", "<f8")
-# Its active tokens: bits, then back, idle and parts (empty for contexts of one word).
-STATE = ("u1", "<f4", "<u2", "u1")
-# A message: contexts (gaps, tokens, idle, parts, pairs of each), pairs (word, count, back).
-MESSAGE = ("<u8", "<i8", "<u2", "u1", "<i4", "<i8", "<i4", "<f4")
+# Its active tokens: bits, then back (values, codes), idle, parts and bits of those that may be listed
+# (empty for contexts of one word).
+STATE = ("u1", "<f4", "<i4", "<u2", "u1", "u1")
+# A message: contexts (gaps, tokens, idle, parts, pairs of each), pairs (word, count, back as values and codes).
+MESSAGE = ("<u8", "<i8", "<u2", "u1", "<i4", "<i8", "<i4", "<f4", "<i4")
 # An answer: contexts (1 kept, 2 grows, 4 dealt), then the kept or growing ones' tokens, outcomes, idle, rest;
 # of dealt ones the tokens and five sums; pairs' counts, 0 below LEAST_COUNT.
 ANSWER = ("u1", "<i8", "<i8", "<u2", "<f8", "<i8", "<f8", "<i8")
@@ -245,6 +257,7 @@ def messages(runs: DataFrame, columns: list[str], codes_of) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o for o, _ in said], pa.int32()), pa.array([run] * len(said), pa.int64()),
                      pa.array([c for _, c in said], pa.binary())], names=["owner", "run", "code"])
+                give_back()
 
     return runs.select("run", *columns).mapInArrow(send, "owner int, run long, code binary")
 
@@ -341,7 +354,8 @@ class Run:
 
     def __init__(self, tokens: bytes, state: bytes, length: int, owners: int, owner_tokens: int):
         self.lens, learn, codes, number, n, root = unpack(tokens, *TOKENS)
-        bits, back, idle, parts = unpack(state, *STATE)
+        bits, values, places, idle, parts, listable = unpack(state, *STATE)
+        back = together(values, places)
         self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
         self.word = number[codes]
         self.at = at = np.flatnonzero(np.unpackbits(bits, count=len(codes)))
@@ -350,16 +364,14 @@ class Run:
             back, idle = root[codes[at]].astype("<f4"), np.zeros(len(at), "<u2")
             parts = parts_of(n[codes[at - 1]], owner_tokens, owners)
         self.back = back
-        value = mixed((self.word + 2).astype(np.uint64) * BASE)
-        total = np.zeros(len(value) + 1, np.uint64)
-        np.cumsum(value * powers(BASE, len(value)), out=total[1:])
-        digests = (total[at] - total[at - length]) * powers(BASE_INVERSE, len(value))[at - length]
-        self.ctx, first, self.ctx_of = np.unique(digests, return_index=True, return_inverse=True)
+        self.ctx, first, self.ctx_of = np.unique(self.digests(length), return_index=True, return_inverse=True)
         self.idle, self.parts = idle[first], parts[first].astype(np.int64)
         learned = learn[self.doc[at]] > 0
         self.total = np.bincount(self.ctx_of[learned], minlength=len(self.ctx))
-        # pairs of a context and a word that is not rare
+        # pairs of a context and a word that is not rare, nor was so after the shorter context
         self.listable = self.word[at] >= 0
+        if length > 1:
+            self.listable &= np.unpackbits(listable, count=len(at)) > 0
         pairs = self.ctx_of[self.listable] << 40 | self.word[at][self.listable]
         pairs, first, self.pair_of = np.unique(pairs, return_index=True, return_inverse=True)
         self.pair_n = np.bincount(self.pair_of[learned[self.listable]], minlength=len(pairs))
@@ -378,6 +390,14 @@ class Run:
         self.pair_order = np.argsort(pair_owner.astype(kind), kind="stable")
         self.pair_owner = pair_owner[self.pair_order]
 
+    def digests(self, length: int) -> np.ndarray:
+        """The digest of the ``length`` words before each active token."""
+        value = mixed((self.word + 2).astype(np.uint64) * BASE)
+        value *= powers(BASE, len(value))
+        total = np.zeros(len(value) + 1, np.uint64)
+        np.cumsum(value, out=total[1:])
+        return (total[self.at] - total[self.at - length]) * powers(BASE_INVERSE, len(value))[self.at - length]
+
     def codes(self):
         """(owner, message) of each owner asked."""
         key, size = self.owner * len(self.ctx) + self.asked, len(self.ctx)
@@ -388,7 +408,7 @@ class Run:
             c = self.asked[a:b]
             p = self.pair_order[np.searchsorted(self.pair_owner, k):np.searchsorted(self.pair_owner, k, "right")]
             yield k, pack(np.diff(self.ctx[c], prepend=np.uint64(0)), self.total[c], self.idle[c], self.parts[c].astype("u1"),
-                          pairs[a:b].astype("<i4"), self.pair_word[p], self.pair_n[p].astype("<i4"), self.pair_back[p])
+                          pairs[a:b].astype("<i4"), self.pair_word[p], self.pair_n[p].astype("<i4"), *told_apart(self.pair_back[p]))
 
     def answered(self, answers: list[dict] | None, length: int, most_idle: int | None, owners: int, owner_tokens: int):
         """(text, log10 probability) of the tokens that end at this length, and the state of the others."""
@@ -423,14 +443,17 @@ class Run:
         goes[goes] = seen[at[goes] - 1] >= LEAST_COUNT
         bits = np.zeros(len(self.word), bool)
         bits[at[goes]] = True
-        state = pack(np.packbits(bits), log[goes].astype("<f4"), idle[c[goes]].astype("<u2"),
-                     parts_of(total[c[goes]], owner_tokens, owners))
+        state = pack(np.packbits(bits), *told_apart(log[goes].astype("<f4")), idle[c[goes]].astype("<u2"),
+                     parts_of(total[c[goes]], owner_tokens, owners), np.packbits(n[goes] >= LEAST_COUNT))
         return self.doc[at[~goes]], log[~goes], int(goes.sum()), state
 
 
 def context_answers(table: pa.Table, most_idle: int | None) -> pa.Table:
     """An owner's answers to the messages of all runs."""
-    sent = [unpack(code, *MESSAGE) for code in table.column("code").to_pylist()]
+    sent = []
+    for code in table.column("code").to_pylist():
+        *found, values, places = unpack(code, *MESSAGE)
+        sent.append((*found, together(values, places)))
     sizes, pair_sizes = np.cumsum([len(m[0]) for m in sent])[:-1], np.cumsum([len(m[5]) for m in sent])[:-1]
     digests = np.concatenate([np.cumsum(m[0], dtype=np.uint64) for m in sent])
     total, idle, parts, pairs, word, n, back = (np.concatenate(x) for x in list(zip(*sent, strict=True))[1:])
@@ -451,6 +474,7 @@ def context_answers(table: pa.Table, most_idle: int | None) -> pa.Table:
         alive, cut = c[flags[c] & 3 > 0], c[dealt[c]]
         codes.append(pack(flags[c], total[alive].astype("<i8"), sums[1][alive].astype("<i8"), idle[alive].astype("<u2"), rest[alive],
                           total[cut].astype("<i8"), np.ascontiguousarray(sums[:, cut].T).reshape(-1), counts))
+    give_back()
     return pa.table({"run": table.column("run"), "owner": table.column("owner"), "code": pa.array(codes, pa.binary())})
 
 
@@ -474,6 +498,7 @@ def grown(tokens: DataFrame, state: DataFrame, length: int, most_idle: int | Non
                     [pa.array([run], pa.int64()), pa.array([active], pa.int64()),
                      pa.ListArray.from_arrays(pa.array([0, len(score)], pa.int32()), pa.array(score)),
                      pa.array([state], pa.binary())], names=["run", "active", "score", "state"])
+                give_back()
 
     answers = messages(both, ["tokens", "state", "active"], ask).groupBy("owner").applyInArrow(
         lambda table: context_answers(table, most_idle), "run long, owner int, code binary")
@@ -509,11 +534,13 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     known = written(with_words(runs, answers, math.log10(tokens + 0.5 * (types + 1))), "tokens")
     release(runs)
     release(answers)
+    forget(docs.sparkSession)
     state, length, made = known.select("run", "active", "score", "state"), 1, None
     while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
         state = written(grown(known.select("run", "tokens"), state, length, idle, owners, owner_tokens), "state")
         if made is not None:
             release(made)
+        forget(docs.sparkSession)
         made, length = state, length + 1
     rows = known.select("run", "docs").join(state.select("run", "score"), "run").select(
         F.explode(F.arrays_zip("docs", "score")).alias("row"))
