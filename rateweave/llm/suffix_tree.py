@@ -478,32 +478,35 @@ def context_answers(table: pa.Table, most_idle: int | None) -> pa.Table:
     return pa.table({"run": table.column("run"), "owner": table.column("owner"), "code": pa.array(codes, pa.binary())})
 
 
-def grown(tokens: DataFrame, state: DataFrame, length: int, most_idle: int | None, owners: int, owner_tokens: int) -> DataFrame:
-    """(run, active, score, state) after contexts of ``length`` words."""
-    both = tokens.join(state, "run")
+def grown(runs: DataFrame, length: int, most_idle: int | None, owners: int, owner_tokens: int) -> DataFrame:
+    """``runs`` after contexts of ``length`` words."""
+    schema = runs.schema
 
     def ask(tokens, state, active):
         return Run(tokens, state, length, owners, owner_tokens).codes() if active else ()
 
     def score(batches):
         for batch in batches:
-            for k, (run, active, tokens, state, said) in enumerate(zip(
-                    *(batch.column(c).to_pylist() for c in ("run", "active", "tokens", "state", "told")), strict=True)):
+            for k, (active, tokens, state, said) in enumerate(zip(
+                    *(batch.column(c).to_pylist() for c in ("active", "tokens", "state", "told")), strict=True)):
                 score = batch.column("score").slice(k, 1).flatten().to_numpy()
                 if active:
                     doc, log, active, state = Run(tokens, state, length, owners, owner_tokens).answered(
                         said, length, most_idle, owners, owner_tokens)
                     score = score + summed(doc, log, len(score))
+                    tokens = tokens if active else b""
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([run], pa.int64()), pa.array([active], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array([0, len(score)], pa.int32()), pa.array(score)),
-                     pa.array([state], pa.binary())], names=["run", "active", "score", "state"])
+                    [*(batch.column(c).slice(k, 1) for c in ("run", "docs")), pa.array([tokens], pa.binary()),
+                     pa.array([active], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(score)], pa.int32()), pa.array(score)),
+                     pa.array([state], pa.binary())], names=schema.names)
                 give_back()
 
-    answers = messages(both, ["tokens", "state", "active"], ask).groupBy("owner").applyInArrow(
-        lambda table: context_answers(table, most_idle), "run long, owner int, code binary")
-    return both.join(told(answers), "run", "left").mapInArrow(
-        score, "run long, active long, score array<double>, state binary")
+    answers = written(messages(runs, ["tokens", "state", "active"], ask).groupBy("owner").applyInArrow(
+        lambda table: context_answers(table, most_idle), "run long, owner int, code binary"), "answers")
+    forget(runs.sparkSession)  # the messages
+    after = written(runs.join(told(answers), "run", "left").mapInArrow(score, schema), "runs")
+    release(answers)
+    return after
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1,
@@ -531,19 +534,16 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     owners = max(LEAST_OWNERS, 1 << (least - 1).bit_length())
     answers = written(word_answers(runs, owners), "words")
     tokens, types = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first()
-    known = written(with_words(runs, answers, math.log10(tokens + 0.5 * (types + 1))), "tokens")
+    state, length = written(with_words(runs, answers, math.log10(tokens + 0.5 * (types + 1))), "runs"), 1
     release(runs)
     release(answers)
     forget(docs.sparkSession)
-    state, length, made = known.select("run", "active", "score", "state"), 1, None
     while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
-        state = written(grown(known.select("run", "tokens"), state, length, idle, owners, owner_tokens), "state")
-        if made is not None:
-            release(made)
+        before, state = state, grown(state, length, idle, owners, owner_tokens)
+        release(before)
         forget(docs.sparkSession)
-        made, length = state, length + 1
-    rows = known.select("run", "docs").join(state.select("run", "score"), "run").select(
-        F.explode(F.arrays_zip("docs", "score")).alias("row"))
+        length += 1
+    rows = state.select(F.explode(F.arrays_zip("docs", "score")).alias("row"))
     return rows.select(
         *(F.col(f"row.docs.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known")),
         F.lit(tokens).cast("long").alias("train_tokens"), "row.docs.base_score", "row.score")
