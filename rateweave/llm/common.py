@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..session import fresh_path
 from ..sources.versioned import materialize
 
 # Words are maximal runs without these characters (space, tab to carriage return).
@@ -90,14 +90,35 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-def forget(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of queries that have ended.
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Delete a query's shuffle files as soon as it has ended.
+
+    For loops of rounds that each write their result as a table: nothing reads
+    the files again, and otherwise they lie until the driver's JVM happens to
+    collect the plan.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def in_buckets(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``written`` in buckets of ``key``, each task's rows as they lie; a join by it does not shuffle the table.
 
-    It does so when the driver's JVM finds that nothing refers to their plans
-    any more; in a loop of rounds that can be many rounds later.
+    ``release`` frees it.  The catalogue entry lasts as long as its session.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    spark = df.sparkSession
+    path = fresh_path(spark, "buckets")
+    name = "rateweave_" + path.rpartition("-")[2]
+    df.write.format("parquet").option("path", path).bucketBy(buckets, key).saveAsTable(name)
+    out = spark.table(name)
+    out.materialized_path = path
+    return out
 
 
 def crc_mod(doc_id: Column, mod: int) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.versioned import release
-from .common import by_bytes, crc_mod, forget, give_back, written
+from .common import by_bytes, crc_mod, give_back, in_buckets, shuffles_freed, written
 from .simhash import SPACE
 
 # The least count of an outcome that a context lists, whatever the corpus.
@@ -42,6 +42,8 @@ IDLE = 2
 RUN_TOKENS = 1 << 20
 OWNER_TOKENS = 1 << 22
 LEAST_OWNERS = 8
+# Buckets of the stored runs: two to four times their number, so that one rarely holds two, but no more than these.
+MOST_BUCKETS = 1 << 16
 CHUNK_BYTES = 1 << 22
 # The digest that stands for the end of a text.
 END = np.uint64(1)
@@ -262,9 +264,9 @@ def messages(runs: DataFrame, columns: list[str], codes_of) -> DataFrame:
     return runs.select("run", *columns).mapInArrow(send, "owner int, run long, code binary")
 
 
-def told(answers: DataFrame) -> DataFrame:
-    """The answers to each run in the order of their owners."""
-    return answers.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("owner", "code"))).alias("told"))
+def told(answers: DataFrame, buckets: int) -> DataFrame:
+    """The answers to each run in the order of their owners, dealt as the runs' buckets are."""
+    return answers.repartition(buckets, "run").groupBy("run").agg(F.sort_array(F.collect_list(F.struct("owner", "code"))).alias("told"))
 
 
 def joined(answers: list[dict] | None, kinds: tuple[str, ...]) -> list[np.ndarray]:
@@ -306,7 +308,7 @@ def word_answers(runs: DataFrame, owners: int) -> DataFrame:
         answer, "run long, owner int, code binary, tokens long, types long")
 
 
-def with_words(runs: DataFrame, answers: DataFrame, log_total: float) -> DataFrame:
+def with_words(runs: DataFrame, answers: DataFrame, log_total: float, buckets: int) -> DataFrame:
     """(run, docs, tokens, active, score, state): the runs with their words' counts, before contexts of one word."""
     doc = T.StructType([*runs.schema["docs"].dataType.elementType.fields, T.StructField("n_tokens", T.LongType()),
                         T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType())])
@@ -346,7 +348,7 @@ def with_words(runs: DataFrame, answers: DataFrame, log_total: float) -> DataFra
                      pa.array([int(active.sum())], pa.int64()), pa.ListArray.from_arrays(one, score),
                      pa.array([pack(np.packbits(active), *none)], pa.binary())], names=schema.names)
 
-    return runs.select("run", "docs", "tokens").join(told(answers), "run").mapInArrow(add, schema)
+    return runs.select("run", "docs", "tokens").join(told(answers, buckets), "run").mapInArrow(add, schema)
 
 
 class Run:
@@ -478,8 +480,8 @@ def context_answers(table: pa.Table, most_idle: int | None) -> pa.Table:
     return pa.table({"run": table.column("run"), "owner": table.column("owner"), "code": pa.array(codes, pa.binary())})
 
 
-def grown(runs: DataFrame, length: int, most_idle: int | None, owners: int, owner_tokens: int) -> DataFrame:
-    """``runs`` after contexts of ``length`` words."""
+def grown(runs: DataFrame, length: int, most_idle: int | None, owners: int, owner_tokens: int, buckets: int) -> DataFrame:
+    """``runs``, in buckets, after contexts of ``length`` words; they stay where they lie, only answers are shuffled."""
     schema = runs.schema
 
     def ask(tokens, state, active):
@@ -503,8 +505,7 @@ def grown(runs: DataFrame, length: int, most_idle: int | None, owners: int, owne
 
     answers = written(messages(runs, ["tokens", "state", "active"], ask).groupBy("owner").applyInArrow(
         lambda table: context_answers(table, most_idle), "run long, owner int, code binary"), "answers")
-    forget(runs.sparkSession)  # the messages
-    after = written(runs.join(told(answers), "run", "left").mapInArrow(score, schema), "runs")
+    after = in_buckets(runs.join(told(answers, buckets), "run", "left").mapInArrow(score, schema), "run", buckets)
     release(answers)
     return after
 
@@ -527,22 +528,25 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     score: a run holds whole texts, so at least the longest, and an owner the
     pairs of about ``owner_tokens`` tokens, whatever one context's share.
     """
-    runs = written(cut_runs(docs.select(
+    texts = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(crc_mod(F.col(id_col), folds) == held_out, F.lit(False)).alias("held_out"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text")), run_tokens), "runs")
-    least = max(1, runs.count() * run_tokens // owner_tokens)
-    owners = max(LEAST_OWNERS, 1 << (least - 1).bit_length())
-    answers = written(word_answers(runs, owners), "words")
-    tokens, types = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first()
-    state, length = written(with_words(runs, answers, math.log10(tokens + 0.5 * (types + 1))), "runs"), 1
-    release(runs)
-    release(answers)
-    forget(docs.sparkSession)
-    while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
-        before, state = state, grown(state, length, idle, owners, owner_tokens)
-        release(before)
-        forget(docs.sparkSession)
-        length += 1
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    with shuffles_freed(docs.sparkSession):
+        runs = written(cut_runs(texts, run_tokens), "runs")
+        count = runs.count()
+        least = max(1, count * run_tokens // owner_tokens)
+        owners = max(LEAST_OWNERS, 1 << (least - 1).bit_length())
+        buckets = min(MOST_BUCKETS, max(LEAST_OWNERS, 2 << count.bit_length()))
+        answers = written(word_answers(runs, owners), "words")
+        tokens, types = answers.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types"))).first()
+        state = in_buckets(with_words(runs, answers, math.log10(tokens + 0.5 * (types + 1)), buckets), "run", buckets)
+        release(runs)
+        release(answers)
+        length = 1
+        while state.agg(F.coalesce(F.sum("active"), F.lit(0))).first()[0]:
+            before, state = state, grown(state, length, idle, owners, owner_tokens, buckets)
+            release(before)
+            length += 1
     rows = state.select(F.explode(F.arrays_zip("docs", "score")).alias("row"))
     return rows.select(
         *(F.col(f"row.docs.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_known")),
