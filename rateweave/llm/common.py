@@ -90,21 +90,22 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
-@contextlib.contextmanager
-def shuffles_freed(spark: SparkSession):
-    """Delete a query's shuffle files as soon as it has ended.
+# With this setting a query's shuffle files go as soon as it has ended; otherwise
+# they lie until the driver's JVM happens to collect the plan.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    For loops of rounds that each write their result as a table: nothing reads
-    the files again, and otherwise they lie until the driver's JVM happens to
-    collect the plan.
-    """
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+
+@contextlib.contextmanager
+def setting(spark: SparkSession, values: dict[str, str]):
+    """Settings of the session for the queries that run meanwhile, put back afterwards."""
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def in_buckets(df: DataFrame, key: str, buckets: int) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.versioned import release
-from .common import by_bytes, crc_mod, give_back, in_buckets, shuffles_freed, written
+from .common import SHUFFLES_GO, by_bytes, crc_mod, give_back, in_buckets, setting, written
 from .simhash import SPACE
 
 # The least count of an outcome that a context lists, whatever the corpus.
@@ -43,10 +43,11 @@ RUN_TOKENS = 1 << 20
 OWNER_TOKENS = 1 << 22
 LEAST_OWNERS = 8
 # Pairs that an owner handles at a time.
-PART_PAIRS = 1 << 20
+PART_PAIRS = 1 << 19
 # Buckets of the stored runs: one to two times their number, but no more than these.
 MOST_BUCKETS = 1 << 16
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 20
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 # The digest that stands for the end of a text.
 END = np.uint64(1)
 
@@ -285,7 +286,8 @@ def messages(runs: DataFrame, columns: list[str], codes_of) -> DataFrame:
     """(owner, run, code): what ``codes_of(*columns)`` of each run says, as (owner, bytes)."""
     def send(batches):
         for batch in batches:
-            for run, *values in zip(*(batch.column(c).to_pylist() for c in ["run", *columns]), strict=True):
+            for k in range(batch.num_rows):
+                run, *values = (batch.column(c)[k].as_py() for c in ["run", *columns])
                 said = list(codes_of(*values))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([o for o, _ in said], pa.int32()), pa.array([run] * len(said), pa.int64()),
@@ -350,8 +352,8 @@ def with_words(runs: DataFrame, answers: DataFrame, log_total: float, buckets: i
 
     def add(batches):
         for batch in batches:
-            for k, (run, tokens, said) in enumerate(zip(
-                    *(batch.column(c).to_pylist() for c in ("run", "tokens", "told")), strict=True)):
+            for k in range(batch.num_rows):
+                run, tokens, said = (batch.column(c)[k].as_py() for c in ("run", "tokens", "told"))
                 lens, learn, codes = unpack(tokens, *TOKENS[:3])
                 n, number = joined(said, ("<i8", "<i8"))
                 # codes by number, behind those of words that do not occur and occur once
@@ -389,10 +391,10 @@ class Run:
         self.lens, learn, codes, number, n, root = unpack(tokens, *TOKENS)
         bits, values, places, idle, parts, listable = unpack(state, *STATE)
         back = together(values, places)
-        self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
+        self.doc = np.repeat(np.arange(len(self.lens), dtype="<i4"), self.lens)
         self.word = number[codes]
         self.at = at = np.flatnonzero(np.unpackbits(bits, count=len(codes)))
-        self.pos = at - (np.cumsum(self.lens) - self.lens)[self.doc[at]]
+        self.pos = (at - (np.cumsum(self.lens) - self.lens)[self.doc[at]]).astype("<i4")
         if length == 1:
             back, idle = root[codes[at]].astype("<f4"), np.zeros(len(at), "<u2")
             parts = parts_of(n[codes[at - 1]], owner_tokens, owners)
@@ -536,8 +538,8 @@ def grown(runs: DataFrame, length: int, most_idle: int | None, owners: int, owne
 
     def score(batches):
         for batch in batches:
-            for k, (active, tokens, state, said) in enumerate(zip(
-                    *(batch.column(c).to_pylist() for c in ("active", "tokens", "state", "told")), strict=True)):
+            for k in range(batch.num_rows):
+                active, tokens, state, said = (batch.column(c)[k].as_py() for c in ("active", "tokens", "state", "told"))
                 score = batch.column("score").slice(k, 1).flatten().to_numpy()
                 if active:
                     doc, log, active, state = Run(tokens, state, length, owners, owner_tokens).answered(
@@ -578,7 +580,8 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     texts = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(crc_mod(F.col(id_col), folds) == held_out, F.lit(False)).alias("held_out"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    with shuffles_freed(docs.sparkSession):
+    # a round writes its result, so its shuffle files are no more needed; a batch is to hold few runs
+    with setting(docs.sparkSession, {SHUFFLES_GO: "true", BATCH_BYTES: str(4 * run_tokens)}):
         runs = written(cut_runs(texts, run_tokens), "runs")
         count = runs.count()
         least = max(1, count * run_tokens // owner_tokens)
