@@ -235,7 +235,8 @@ def parts_of(total: np.ndarray, owner_tokens: int, owners: int) -> np.ndarray:
 
 # ---------------------------------------------------------------- runs
 
-# A run's tokens: text lengths, texts learned from, a code a token; its words: number, count, log10 probability.
+# A run's tokens: text lengths, texts learned from, a code a token; its words: number, count, log10 probability
+# (after contexts of one word only the numbers, and of a text what lies before its last active token).
 TOKENS = ("<i4", "u1", "<i4", "<i8", "<i8", "<f8")
 # Its active tokens: bits, then back (values, codes), idle, parts and bits of those that may be listed
 # (empty for contexts of one word).
@@ -389,6 +390,7 @@ class Run:
 
     def __init__(self, tokens: bytes, state: bytes, length: int, owners: int, owner_tokens: int):
         self.lens, learn, codes, number, n, root = unpack(tokens, *TOKENS)
+        self.learn, self.coded, self.number = learn, codes, number
         bits, values, places, idle, parts, listable = unpack(state, *STATE)
         back = together(values, places)
         self.doc = np.repeat(np.arange(len(self.lens), dtype="<i4"), self.lens)
@@ -447,7 +449,7 @@ class Run:
                           pairs[a:b].astype("<i4"), self.pair_word[p], self.pair_n[p].astype("<i4"), *told_apart(self.pair_back[p]))
 
     def answered(self, answers: list[dict] | None, length: int, most_idle: int | None, owners: int, owner_tokens: int):
-        """(text, log10 probability) of the tokens that end at this length, and the state of the others."""
+        """(text, log10 probability) of the tokens that end at this length; number, tokens and state of the others."""
         flags, total_, outcomes_, idle_, rest_, dealt_total, dealt_sums, pair_counts = joined(answers, ANSWER)
         size = len(self.ctx)
         total, outcomes, idle, rest = np.ones(size), np.zeros(size), np.zeros(size, np.int64), np.zeros(size)
@@ -479,9 +481,17 @@ class Run:
         goes[goes] = seen[at[goes] - 1] >= LEAST_COUNT
         bits = np.zeros(len(self.word), bool)
         bits[at[goes]] = True
+        # what lies behind a text's last active token is in no longer context
+        lens = np.zeros(len(self.lens), "<i4")
+        lens[self.doc[at[goes]]] = self.pos[goes] + 1
+        need = np.arange(len(bits)) - (np.cumsum(self.lens) - self.lens)[self.doc] < lens[self.doc]
+        codes, bits = self.coded[need], bits[need]
+        used = np.bincount(codes, minlength=len(self.number)) > 0
+        tokens = pack(lens, self.learn, (np.cumsum(used) - 1).astype("<i4")[codes], self.number[used],
+                      *(np.zeros(0, kind) for kind in TOKENS[4:]))
         state = pack(np.packbits(bits), *told_apart(log[goes].astype("<f4")), idle[c[goes]].astype("<u2"),
                      parts_of(total[c[goes]], owner_tokens, owners), np.packbits(n[goes] >= LEAST_COUNT))
-        return self.doc[at[~goes]], log[~goes], int(goes.sum()), state
+        return self.doc[at[~goes]], log[~goes], int(goes.sum()), tokens, state
 
 
 def context_answers(table: pa.Table, most_idle: int | None) -> pa.Table:
@@ -542,7 +552,7 @@ def grown(runs: DataFrame, length: int, most_idle: int | None, owners: int, owne
                 active, tokens, state, said = (batch.column(c)[k].as_py() for c in ("active", "tokens", "state", "told"))
                 score = batch.column("score").slice(k, 1).flatten().to_numpy()
                 if active:
-                    doc, log, active, state = Run(tokens, state, length, owners, owner_tokens).answered(
+                    doc, log, active, tokens, state = Run(tokens, state, length, owners, owner_tokens).answered(
                         said, length, most_idle, owners, owner_tokens)
                     score = score + summed(doc, log, len(score))
                     tokens = tokens if active else b""
