@@ -95,3 +95,32 @@ def test_scoring_in_small_chunks_is_the_join(spark, ratings):
     for chunk in (1, 500, 1 << 21):
         got = P._tile_scores_fn("int64", chunk)(left, lists)
         assert sorted(tuple(r.values()) for r in got.to_pylist()) == rows_of(want)
+
+
+def test_only_users_with_the_two_rarest_items_look_up_the_rest(spark):
+    from rateweave.operators import serving as SV
+
+    drawn = np.random.default_rng(3).integers(0, 2, (60, 12))
+    rated = {(u, i) for u in range(60) for i in range(12) if drawn[u, i]}
+    lists = [(n, (n * k + k * k) % 13) for n in range(40) for k in range(1 + n % 5)]
+    got = SV.users_rated_lists(ratings_df(spark, [(u, i, 3) for u, i in rated]),
+                               spark.createDataFrame(lists, "list_id long, item_id long"))
+    wanted = {}
+    for n, i in lists:
+        wanted.setdefault(n, set()).add(i)
+    want = sorted((n, u) for n, items in wanted.items() for u in range(60) if all((u, i) in rated for i in items))
+    assert rows_of(got) == want and len({len(x) for x in wanted.values()}) > 3
+    scans = got.inputFiles()
+    both = [f for f in scans if "/both-" in f]
+    assert both and spark.read.parquet(*both).count() < 1000
+
+
+def test_counting_headers_scans_the_text_once(spark, tmp_dir):
+    from rateweave.sources import text as T
+
+    df = ratings_df(spark, [(u, i, 1 + (u + i) % 5) for u in range(50) for i in range(30)])
+    raw = T.scan_ratings_text(spark, T.render_header_blocks(df, f"{tmp_dir}/bronze", n_files=3))
+    got = T.parse_header_cumsum(raw)
+    assert "csv" not in got._jdf.queryExecution().executedPlan().toString().lower()
+    want = sorted((str(u), 1 + (u + i) % 5, str(i)) for u in range(50) for i in range(30))
+    assert sorted((r.user_raw, r.rating, r.item_raw) for r in got.collect()) == want
