@@ -162,17 +162,6 @@ def _headed(raw: DataFrame) -> DataFrame:
         F.when(is_header, F.regexp_replace("user_raw", ":", "")).alias("header"))
 
 
-def _carry_in(raw: DataFrame) -> DataFrame:
-    """(file, split, carry): last header of the nearest earlier split with one."""
-    headers = _headed(raw).where("is_header").groupBy("file", "split").agg(
-        F.max_by("header", "pos").alias("last_header"))
-    last_in_split = raw.select("file", "split").distinct().join(headers, ["file", "split"], "left")
-    w = Window.partitionBy("file").orderBy("split") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    return last_in_split.select(
-        "file", "split", F.last("last_header", ignorenulls=True).over(w).alias("carry"))
-
-
 def _fill_fn():
     """mapInArrow function: forward-fill headers through each split, in scan order.
 
@@ -260,22 +249,50 @@ def parse_header_blocks(raw: DataFrame) -> DataFrame:
     return carried(materialize(filled_lines(raw), "filled"))
 
 
+def _count_fn():
+    """mapInArrow function: ``hno``, the headers of a line's split up to and with the line, in scan order (see ``_fill_fn``)."""
+    import numpy as np
+    import pyarrow as pa
+
+    def fn(batches):
+        last, count = None, 0
+        for batch in batches:
+            if not len(batch):
+                continue
+            file, split = batch.column("file").to_numpy(), batch.column("split").to_numpy()
+            head = batch.column("is_header").to_numpy(zero_copy_only=False)
+            begins = np.flatnonzero(np.append(True, (file[1:] != file[:-1]) | (split[1:] != split[:-1])))
+            total = np.cumsum(head)
+            hno = total - np.repeat((total - head)[begins], np.diff(begins, append=len(batch)))
+            if last == (file[0], split[0]):
+                hno[:begins[1] if len(begins) > 1 else len(batch)] += count
+            last, count = (file[-1], split[-1]), int(hno[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hno, pa.int64())], names=[*batch.schema.names, "hno"])
+
+    return fn
+
+
+COUNTED = "file bigint, split bigint, user_raw string, rating int, rated_on date, is_header boolean, header string, hno bigint"
+
+
 def parse_header_cumsum(raw: DataFrame) -> DataFrame:
     """Notebook variant: running header count, then join rows to their header.
 
-    This form shuffles all lines by split; ``parse_header_blocks`` does not.
+    The text is scanned once: the headers are counted inside their scan tasks
+    and the lines written with their count.  This form then joins every line
+    to its header by split and count; a split's count 0 is the carry-in.
+    ``parse_header_blocks`` joins only such lines.
     """
-    marked = _headed(raw).repartition("file", "split")
-    w = Window.partitionBy("file", "split").orderBy("pos") \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = marked.withColumn("hno", F.sum(F.col("is_header").cast("int")).over(w))
-    heads = numbered.where("is_header").select("file", "split", "hno",
-                                              F.col("header").alias("head_item"))
-    rows = numbered.where(~F.col("is_header"))
-    joined = rows.join(heads, ["file", "split", "hno"], "left") \
-        .join(_carry_in(raw), ["file", "split"], "left")
-    return joined.select("user_raw", "rating", "rated_on",
-                         F.coalesce("head_item", "carry").alias("item_raw"))
+    marked = _headed(raw).drop("pos")
+    numbered = materialize(marked.mapInArrow(_count_fn(), COUNTED), "counted")
+    heads = numbered.where("is_header").select("file", "split", "hno", F.col("header").alias("item_raw"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    splits = numbered.groupBy("file", "split").agg(F.max_by("header", F.when(F.col("is_header"), F.col("hno"))).alias("last_header"))
+    carry = splits.select("file", "split", F.lit(0).cast("bigint").alias("hno"),
+                          F.last("last_header", ignorenulls=True).over(earlier).alias("item_raw"))
+    rows = numbered.where(~F.col("is_header")).select("file", "split", "hno", "user_raw", "rating", "rated_on")
+    return rows.join(heads.unionByName(carry), ["file", "split", "hno"], "left").select(
+        "user_raw", "rating", "rated_on", "item_raw")
 
 
 def type_ratings(parsed: DataFrame, *keep: str) -> DataFrame:
