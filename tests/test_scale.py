@@ -1,5 +1,7 @@
 """Work that must not grow with pairs of tiles, rows of lists or candidates: bounded tasks with the same rows."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -57,6 +59,19 @@ def test_ties_are_no_reason_to_hold_every_pair(whole_bytes):
         assert sorted(best[u])[:4] == [v for v in range(120) if v % 2 == u % 2 and v != u][:4]
 
 
+@pytest.mark.parametrize("whole_bytes", [0, 1 << 28])
+def test_held_pairs_take_few_bytes(whole_bytes):
+    drawn = np.random.default_rng(5).integers(0, 6, (1500, 16))
+    batch = batch_of([(u, i, int(drawn[u, i])) for u in range(1500) for i in range(16) if drawn[u, i]], 15)
+    fn = S._tile_moments_fn(4, False, 0.0, 100, "int64", whole_bytes=whole_bytes, most_held=1)
+    next(fn(iter([batch])), None)  # what is loaded once
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in fn(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 0 < rows <= 1500 * 100 * 1.2 and peak < 25_000_000
+
+
 def test_pairs_leave_a_task_tile_by_tile():
     rows = [(u, i, 1 + (i * u) % 5) for u in range(60) for i in range(12)]
     fn = S._tile_moments_fn(10, False, None, None, "int64")
