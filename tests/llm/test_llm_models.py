@@ -1,15 +1,19 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from llm_fixtures import collected, docs, empty, rows, text_of
 
 from rateweave.llm.quality import (FILTERS, Network, block_peaks, classify_quality, drop_low_quality, pooled,
                                    probability, train)
-from rateweave.llm.suffix_tree import Digests, judged, lm_scores, log_after, outcome_sums, pack, unpack
+from rateweave.llm.suffix_tree import (STATE, Digests, Run, context_answers, judged, lm_scores, log_after, outcome_sums,
+                                       pack, unpack)
 
 UP = {i: i + 32 for i in range(65, 91)}
 
@@ -134,6 +138,36 @@ def test_runs_and_owners_change_no_score(spark):
     assert len(want) == 303 and got == want
 
 
+def test_a_run_takes_few_bytes_a_token():
+    # one run of 200,000 tokens, asking and answered, without its packed messages
+    rng = np.random.default_rng(3)
+    lens, vocab = np.full(400, 500), 20_000
+    codes = np.where(rng.random(200_000) < 0.5, rng.integers(2, 300, 200_000), rng.integers(2, vocab, 200_000))
+    active = np.arange(200_000) % 500 > 0
+    n = np.append([0, 1], np.bincount(codes, minlength=vocab)[2:] + 2)
+    tokens = pack(lens.astype("<i4"), np.ones(400, "u1"), codes.astype("<i4"), np.arange(-2, vocab - 2), n, np.log10(n + 0.5) - 6)
+    state = pack(np.packbits(active), *(np.zeros(0, kind) for kind in STATE[1:]))
+    said = [(k, context_answers(pa.table({"run": [0], "owner": [k], "code": pa.array([c], pa.binary())}), 2).column("code")[0].as_py())
+            for k, c in Run(tokens, state, 1, 8, 1 << 22).codes()]
+    said = [{"owner": k, "code": c} for k, c in said]
+    tracemalloc.start()
+    try:
+        doc, log, left, *_ = Run(tokens, state, 1, 8, 1 << 22).answered(said, 1, 2, 8, 1 << 22)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(log) + left == active.sum() and left and (log < 0).all()
+    assert peak < 130 * 200_000
+
+
+def test_packed_columns_are_not_compressed_again(spark):
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    files = lm_scores(docs(spark)).inputFiles()
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == before
+    groups = [pq.ParquetFile(re.sub("^file:/*", "/", f)).metadata.row_group(0) for f in files]
+    assert {g.column(k).compression for g in groups for k in range(g.num_columns)} == {"UNCOMPRESSED"}
+
+
 def test_scores_beat_the_base_on_held_out_documents(spark):
     got = lm_scores(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).filter("held_out").collect()
     assert sum(r.score for r in got) > 0.95 * sum(r.base_score for r in got)
