@@ -17,6 +17,9 @@ from .common import ascii_lower, free_name, written
 WINDOW = 10
 # Words are runs of letters, digits and everything beyond ASCII.
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same in a text of any case.  Each character outside a word stands by itself:
+# Java looks these up in a table, but tries ranges one after the other.
+ANY_CASE_WORD = "[^" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 # The same in a text whose A-Z are not lower-cased, with what follows it.
 PIECE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 HEAD = r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
@@ -25,7 +28,7 @@ MOST_BROADCAST = 200_000
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(ITEM_WORD), F.lit(0))
+    return F.regexp_extract_all(ascii_lower(text), F.lit(ANY_CASE_WORD), F.lit(0))
 
 
 def window_hashes(words: Column, length: int) -> Column:
@@ -126,7 +129,7 @@ def contaminated_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc
         F.size("places").cast("long").alias("n_hit"),
         F.size("items").cast("long").alias("n_items"), F.array_join("items", ",").alias("ids")), "found")
     rows = docs.select(F.col(id_col).alias("doc_id"), text_print(F.col(text_col)).alias("print"),
-                       F.regexp_count(ascii_lower(F.col(text_col)), F.lit(ITEM_WORD)).cast("long").alias("n_words"))
+                       F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(ANY_CASE_WORD)).cast("long").alias("n_words"))
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("print") == F.col("hit_print"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return rows.join(found, same, "left").select(
