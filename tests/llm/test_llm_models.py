@@ -12,7 +12,7 @@ from llm_fixtures import collected, docs, empty, rows, text_of
 
 from rateweave.llm.quality import (FILTERS, Network, block_peaks, classify_quality, drop_low_quality, pooled,
                                    probability, train)
-from rateweave.llm.suffix_tree import (STATE, Digests, Run, context_answers, judged, lm_scores, log_after, outcome_sums,
+from rateweave.llm.suffix_tree import (STATE, Digests, Run, context_answers, grouped, judged, lm_scores, log_after, outcome_sums,
                                        pack, unpack)
 
 UP = {i: i + 32 for i in range(65, 91)}
@@ -160,6 +160,37 @@ def test_a_run_takes_few_bytes_a_token():
     assert peak < 130 * 200_000
 
 
+def test_a_run_keeps_places_in_32_bits():
+    # the run of the test above: 118 bytes a token traced while its places had 64 bits, values of its own were gathered
+    # for numbers that fit beside their places, and what it asked stayed until it was answered
+    rng = np.random.default_rng(3)
+    codes = np.where(rng.random(200_000) < 0.5, rng.integers(2, 300, 200_000), rng.integers(2, 20_000, 200_000))
+    n = np.append([0, 1], np.bincount(codes, minlength=20_000)[2:] + 2)
+    tokens = pack(np.full(400, 500, "<i4"), np.ones(400, "u1"), codes.astype("<i4"), np.arange(-2, 19_998), n, np.log10(n + 0.5) - 6)
+    state = pack(np.packbits(np.arange(200_000) % 500 > 0), *(np.zeros(0, kind) for kind in STATE[1:]))
+    said = [{"owner": k, "code": context_answers(pa.table({"run": [0], "owner": [k], "code": pa.array([c], pa.binary())}), 2)
+             .column("code")[0].as_py()} for k, c in Run(tokens, state, 1, 8, 1 << 22).codes()]
+    tracemalloc.start()
+    try:
+        run = Run(tokens, state, 1, 8, 1 << 22)
+        assert {x.dtype for x in (run.ctx_of, run.pair_of, run.asked, run.pair_order)} == {np.dtype(np.int32)}
+        run.answered(said, 1, 2, 8, 1 << 22)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 100 * 200_000, peak / 200_000
+
+
+@pytest.mark.parametrize("values", [[], [7], [5, 5, 5], [3, 0, 3, 1, 0], [1 << 62, 0, 1 << 62, 1], [(1 << 63) - 1, (1 << 63) - 2] * 3])
+@pytest.mark.parametrize("kind", [np.int64, np.uint64])
+def test_grouped_is_unique(values, kind):
+    a = np.array(values, kind)
+    got, first, codes = grouped(a)
+    want, _, back = np.unique(a, return_index=True, return_inverse=True)
+    assert got.dtype == kind and got.tolist() == want.tolist() and codes.tolist() == back.tolist()
+    assert a[first].tolist() == want.tolist() and codes.dtype == np.int32
+
+
 def test_packed_columns_are_not_compressed_again(spark):
     before = spark.conf.get("spark.sql.parquet.compression.codec")
     files = lm_scores(docs(spark)).inputFiles()
