@@ -72,6 +72,75 @@ def test_held_pairs_take_few_bytes(whole_bytes):
     assert 0 < rows <= 1500 * 100 * 1.2 and peak < 25_000_000
 
 
+@pytest.mark.parametrize("make,exact", [
+    (lambda d, u, i: int(d[u, i]), True),  # many ties
+    (lambda d, u, i: int(d[u, i]) - 3, True),
+    (lambda d, u, i: 40 * int(d[u, i]) + (u * i) % 7, True),  # digits need double precision
+    (lambda d, u, i: 100_003 * int(d[u, i]), False),  # squares too large for the short form
+])
+def test_digits_of_three_products_give_the_k_best(make, exact):
+    drawn = np.random.default_rng(11).integers(0, 5, (90, 14))
+    rows = [(u, i, make(drawn, u, i)) for u in range(90) for i in range(14) if drawn[u, i]]
+    rows += [r for r in rows if r[0] % 9 == 0 and r[1] % 2]  # rated twice
+    batch = batch_of(rows, 4)
+    batch = batch.set_column(2, "strip", pa.array([t % 2 for t in batch["tile"].to_pylist()], pa.int32()))
+    batch = batch.set_column(1, "high", pa.array(np.ones(90, np.int32)))
+    assert (S._top_pairs_fn(5, 0.1, 3, 1 << 28)(pa.Table.from_batches([batch]).combine_chunks(), 0, 1) is not None) == exact
+    sums = {}
+    for u, i, x in rows:
+        for v, j, y in rows:
+            if i == j and u % 2 == 0 and v % 2:
+                key = (u, v) if u < v else (v, u)
+                p, q = (x, y) if u < v else (y, x)
+                sums[key] = [a + b for a, b in zip(sums.get(key, [0] * 6), (1, p, q, p * q, p * p, q * q))]
+    want = {}
+    for (u, v), (n, sx, sy, sxy, sxx, syy) in sums.items():
+        spread = (n * sxx - sx * sx, n * syy - sy * sy)
+        if n >= 5 and min(spread) > 0:
+            r = round((n * sxy - sx * sy) / (np.sqrt(spread[0]) * np.sqrt(spread[1])), 9)
+            if r > 0.1:
+                want.setdefault(u, []).append((-r, v))
+                want.setdefault(v, []).append((-r, u))
+    got, held = {}, {}
+    for b in S._tile_moments_fn(5, False, 0.1, 3, "int64")(iter([batch])):
+        for r in b.to_pylist():
+            key = (r["user"], r["neighbor"])
+            assert key not in got
+            got[key] = [r[c] for c in S.MOMENT_NAMES]
+    assert all(sums[key] == m for key, m in got.items())
+    for u, near in want.items():
+        for _, v in sorted(near)[:3]:
+            held[min(u, v), max(u, v)] = None
+    assert held and set(held) <= set(got) and (not exact or len(got) <= len(held) * 1.2)
+
+
+def test_a_training_task_takes_few_bytes_a_user():
+    rng = np.random.default_rng(2)
+    users, items = 6144, 100
+    drawn = rng.integers(0, 6, (users, items)) * (rng.random((users, items)) < 0.35)
+    each = (drawn > 0).sum(axis=1)
+    at, i = np.nonzero(drawn)
+    whole = lambda x: pa.array(np.full(users, x, np.int32))
+    offsets = pa.array(np.concatenate([[0], np.cumsum(each)]).astype(np.int32))
+    lists = (pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (i.astype(np.int64), drawn[at, i].astype(np.int32)))
+    batch = pa.RecordBatch.from_arrays(
+        [whole(0), whole(0), whole(0), pa.array(np.arange(users, dtype=np.int32) % 24), pa.array(np.arange(users, dtype=np.int64)), *lists],
+        names=["low", "high", "strip", "tile", "user_id", "items", "ratings"])
+    fn = S._tile_moments_fn(10, False, 0.3, 50, "int64")
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in fn(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows <= 50 * users and peak < 4000 * users
+
+
+def test_training_has_as_few_strips_as_give_enough_tasks(spark, ratings):
+    blocked = S.assign_blocks(ratings.select("user_id", "item_id", "rating"), 1)
+    for enough, most, strips in ((3, 100, 3), (3, 20, 8), (None, 100, 13), (200, 100, 13)):
+        copies = S.strip_lists(blocked, 2, most, enough).groupBy("user_id").count().select("count").distinct().collect()
+        assert [r[0] for r in copies] == [strips]
+
+
 def test_pairs_leave_a_task_tile_by_tile():
     rows = [(u, i, 1 + (i * u) % 5) for u in range(60) for i in range(12)]
     fn = S._tile_moments_fn(10, False, None, None, "int64")
