@@ -181,6 +181,40 @@ def test_scoring_in_small_chunks_is_the_join(spark, ratings):
         assert sorted(tuple(r.values()) for r in got.to_pylist()) == rows_of(want)
 
 
+def test_edges_pass_a_scoring_task_in_batches():
+    kinds = {"block": pa.int32(), "mine": pa.int32(), "theirs": pa.int32(), "user": pa.int64(), "neighbor": pa.int64(),
+             "corr": pa.float64(), "items": pa.list_(pa.int64()), "ratings": pa.list_(pa.int32())}
+
+    def batch(**columns):
+        size = len(columns["neighbor"])
+        filler = {"block": [0] * size, "mine": [0] * size, "theirs": [0] * size, "items": [[]] * size, "ratings": [[]] * size}
+        return pa.RecordBatch.from_arrays([pa.array(columns.get(c, filler.get(c, [None] * size)), t) for c, t in kinds.items()],
+                                          names=list(kinds))
+
+    def edges():
+        for user in range(400):
+            yield batch(user=[user] * 50, neighbor=list(range(50)), corr=[0.5] * 50)
+
+    lists = batch(neighbor=list(range(50)), items=[list(range(n % 7, 200)) for n in range(50)], ratings=[[1 + n % 5] * (200 - n % 7) for n in range(50)])
+    other = batch(theirs=[1], user=[3], neighbor=[4], corr=[0.5])  # a group without lists
+    fn = P._strip_scores_fn("int64", ["block", "mine", "theirs"])
+    want = {i: (sum((1 + n % 5) * 500_000_000 for n in range(50) if i >= n % 7), sum(i >= n % 7 for n in range(50))) for i in range(200)}
+    tracemalloc.start()
+    rows = 0
+    for out in fn(b for part in ([lists], edges(), [other]) for b in part):
+        assert all((score, support) == want[item] for item, score, support in zip(*(out[c].to_pylist() for c in ("item_id", "score_u", "support"))))
+        rows += out.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 400 * 200 and peak < 4 << 20  # 4 million candidate rows
+
+
+def test_scoring_sends_block_counts_along(spark, ratings):
+    edges = train_neighbors(ratings, n_blocks=1, min_corr=0.0).cache()
+    plan = P.recommend_blocked(edges, ratings, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" not in plan and "SortMergeJoin" not in plan
+
+
 def test_only_users_with_the_two_rarest_items_look_up_the_rest(spark):
     from rateweave.operators import serving as SV
 
